@@ -13,9 +13,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.lsn import lsn_hex
+from tidemark.functions import envelope as env
+from tidemark.functions.lsn import lsn_from_number, lsns_to_hex
+from tidemark.model import ORDER_COLS
+from tidemark.operators import analytics, batches, ranges, routing
 from tidemark.operators import merge
-from tidemark.sources.fixtures import FIXTURE_PK, fixture, oracle_with
+from tidemark.plans.scan import Sum, ordered_scan
+from tidemark.sources.fixtures import FIXTURE_PK, FIXTURE_SQL, fixture, oracle_with, table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -67,6 +71,795 @@ def q_latest_per_key(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+
+# ------------------------------------------------------------ shared inputs -------
+# Multi-table changelog: users and orders come from source MyDB, lines from Archive.
+CHANGELOG_SQL = """changelog AS (
+  select 'MyDB' as source, 'dbo' as schema_name, 'users' as table_name, lsn_no, seqval, op from ch_user
+  union all select 'MyDB', 'dbo', 'orders', lsn_no, seqval, op from ch_order
+  union all select 'Archive', 'dbo', 'lines', lsn_no, seqval, op from ch_line)
+"""
+CURSORS_SQL = "cursors AS (select 'MyDB' as source, cast(900 as bigint) as cursor_no)\n"
+SOURCES = ["MyDB", "Archive"]
+ENV_COLS = ["source", "schema_name", "table_name", "lsn", "seqval", "op"]
+
+
+def _with_changelog(*extra: str) -> str:
+    return oracle_with("ch_user", "ch_order", "ch_line", *extra).rstrip() + ",\n" + CHANGELOG_SQL
+
+
+def changelog(spark: SparkSession, sf: str) -> DataFrame:
+    """Envelope changelog of the three change fixtures (built with encode_changes)."""
+    users = env.encode_changes(fixture(spark, sf, "ch_user"), "dbo", "users", ["user_id"], time_col="ts")
+    orders = env.encode_changes(fixture(spark, sf, "ch_order"), "dbo", "orders", ["o_orderkey"])
+    lines = env.encode_changes(
+        fixture(spark, sf, "ch_line"), "dbo", "lines", ["l_orderkey", "l_linenumber"]
+    )
+    return routing.union_sources({"MyDB": users.unionByName(orders), "Archive": lines})
+
+
+def cursors(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([("MyDB", 900)], "source string, cursor_no bigint").select(
+        "source", lsn_from_number("cursor_no").alias("cursor_lsn")
+    )
+
+
+def _out(df: DataFrame, cols=ENV_COLS) -> DataFrame:
+    return lsns_to_hex(df.select(*cols))
+
+
+# ---------------------------------------------------------------- scans -----------
+
+
+@register(
+    "read_changes",
+    oracle_with("ch_line")
+    + f"""
+select {_hex('lsn_no')} as lsn, seqval, op, l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice
+from ch_line where lsn_no between 700 and 1900
+""",
+)
+def q_read_changes(spark, sf):
+    """Changes of one capture in a closed LSN range (predicate on the bare lsn column)."""
+    ch = fixture(spark, sf, "ch_line")
+    out = ranges.read_changes(ch, lsn_from_number(F.lit(700)), lsn_from_number(F.lit(1900)))
+    return lsns_to_hex(out, "lsn")
+
+
+POLL_ORACLE = (
+    _with_changelog()
+    + ", "
+    + CURSORS_SQL
+    + """, pend AS (
+  select c.* from changelog c left join cursors k on c.source = k.source
+  where k.cursor_no is null or c.lsn_no > k.cursor_no),
+per AS (select source, lsn_no, count(*) as n from pend group by source, lsn_no),
+run AS (select source, lsn_no,
+    sum(n) over (partition by source order by lsn_no rows between unbounded preceding and current row) as r,
+    row_number() over (partition by source order by lsn_no) as rn from per),
+cut AS (select source, max(lsn_no) as cut from run where r <= 1000 or rn = 1 group by source)
+"""
+)
+
+
+@register(
+    "poll_changes",
+    POLL_ORACLE
+    + f"""select p.source, p.schema_name, p.table_name, {_hex('p.lsn_no')} as lsn, p.seqval, p.op
+from pend p join cut on p.source = cut.source where p.lsn_no <= cut.cut
+""",
+)
+def q_poll_changes(spark, sf):
+    """Multi-table poll after each source's cursor, 1000 rows per source by whole LSNs."""
+    return _out(ranges.poll_changes(changelog(spark, sf), cursors(spark), 1000))
+
+
+@register(
+    "limit_batch",
+    _with_changelog()
+    + f""", per AS (select source, lsn_no, count(*) as n from changelog group by source, lsn_no),
+run AS (select source, lsn_no,
+    sum(n) over (partition by source order by lsn_no rows between unbounded preceding and current row) as r,
+    row_number() over (partition by source order by lsn_no) as rn from per),
+cut AS (select source, max(lsn_no) as cut from run where r <= 1000 or rn = 1 group by source)
+select p.source, p.schema_name, p.table_name, {_hex('p.lsn_no')} as lsn, p.seqval, p.op
+from changelog p join cut on p.source = cut.source where p.lsn_no <= cut.cut
+""",
+)
+def q_limit_batch(spark, sf):
+    """First 1000 changes per source over all captures, cut only between LSNs."""
+    return _out(ranges.limit_batch(changelog(spark, sf), 1000))
+
+
+@register(
+    "lsn_range",
+    _with_changelog()
+    + f"""select source, {_hex('min(case when lsn_no > 0 then lsn_no end)')} as min_lsn,
+  {_hex('max(lsn_no)')} as max_lsn from changelog group by source
+""",
+)
+def q_lsn_range(spark, sf):
+    """Per source: smallest positive LSN over captures and the largest LSN."""
+    return lsns_to_hex(ranges.lsn_range(changelog(spark, sf)), "min_lsn", "max_lsn")
+
+
+@register(
+    "effective_start",
+    _with_changelog()
+    + ", "
+    + CURSORS_SQL
+    + f"""select c.source, c.schema_name, c.table_name,
+  {_hex('min(c.lsn_no)')} as capture_min_lsn,
+  {_hex('max(k.cursor_no)')} as cursor_lsn,
+  {_hex('min(case when k.cursor_no is null or c.lsn_no > k.cursor_no then c.lsn_no end)')} as start_lsn,
+  coalesce(max(k.cursor_no) is not null and min(c.lsn_no) > max(k.cursor_no), false) as gap
+from changelog c left join cursors k on c.source = k.source
+group by c.source, c.schema_name, c.table_name
+""",
+)
+def q_effective_start(spark, sf):
+    """Per capture: first change after the cursor, capture minimum and purge gap flag."""
+    out = ranges.effective_start(changelog(spark, sf), cursors(spark))
+    return lsns_to_hex(out, "capture_min_lsn", "cursor_lsn", "start_lsn")
+
+
+@register(
+    "list_captures",
+    _with_changelog()
+    + """select distinct source, schema_name, table_name, schema_name || '_' || table_name as capture_instance
+from changelog
+""",
+)
+def q_list_captures(spark, sf):
+    """Distinct captured tables of the changelog."""
+    return ranges.list_captures(changelog(spark, sf))
+
+
+@register(
+    "union_sources",
+    _with_changelog()
+    + f"select source, schema_name, table_name, {_hex('lsn_no')} as lsn, seqval, op from changelog\n",
+)
+def q_union_sources(spark, sf):
+    """Changelogs of two named sources as one, keyed by source."""
+    return _out(changelog(spark, sf))
+
+
+@register(
+    "safe_high_water",
+    _with_changelog()
+    + ", "
+    + CURSORS_SQL
+    + f""", pend AS (
+  select c.* from changelog c left join cursors k on c.source = k.source
+  where k.cursor_no is null or c.lsn_no > k.cursor_no),
+per AS (select source, schema_name, table_name, lsn_no, count(*) as n from pend group by all),
+run AS (select *, sum(n) over (partition by source, schema_name, table_name order by lsn_no
+    rows between unbounded preceding and current row) as r,
+    row_number() over (partition by source, schema_name, table_name order by lsn_no) as rn from per),
+cut AS (select source, schema_name, table_name, max(lsn_no) as cut from run where r <= 1000 or rn = 1 group by all),
+tops AS (select source, schema_name, table_name, max(lsn_no) as top from pend group by all)
+select c.source, {_hex('coalesce(min(case when c.cut < t.top then c.cut end), max(t.top))')} as high_water_lsn,
+  cast(sum(case when c.cut < t.top then 1 else 0 end) as bigint) as truncated_captures
+from cut c join tops t using (source, schema_name, table_name) group by c.source
+""",
+)
+def q_safe_high_water(spark, sf):
+    """Per source: furthest LSN below which every capture was fully read (1000 rows per capture)."""
+    out = ranges.safe_high_water(changelog(spark, sf), cursors(spark), 1000)
+    return lsns_to_hex(out, "high_water_lsn")
+
+
+# ----------------------------------------------------------- envelope -------------
+
+
+@register(
+    "encode_changes",
+    oracle_with("ch_user")
+    + f"""select 'users' as table_name, {_hex('lsn_no')} as lsn, seqval, op,
+  case op when 1 then 'DELETE' when 2 then 'INSERT' when 3 then 'UPDATE_OLD' when 4 then 'UPDATE_NEW'
+    else 'UNSPECIFIED' end as operation,
+  user_id as pk_user_id, value as row_value, event_type as row_event_type,
+  strftime(ts, '%Y-%m-%dT%H:%M:%SZ') as row_ts
+from ch_user
+""",
+)
+def q_encode_changes(spark, sf):
+    """Typed changes → envelope (operation name, key JSON, row JSON), checked field by field."""
+    e = env.encode_changes(fixture(spark, sf, "ch_user"), "dbo", "users", ["user_id"], time_col="ts")
+    return lsns_to_hex(
+        e.select(
+            "table_name",
+            "lsn",
+            "seqval",
+            "op",
+            "operation",
+            F.get_json_object("pk_json", "$.user_id").cast("bigint").alias("pk_user_id"),
+            F.get_json_object("row_json", "$.value").cast("double").alias("row_value"),
+            F.get_json_object("row_json", "$.event_type").alias("row_event_type"),
+            F.get_json_object("row_json", "$.ts").alias("row_ts"),
+        ),
+        "lsn",
+    )
+
+
+@register(
+    "decode_rows",
+    oracle_with("ch_order")
+    + f"""select {_hex('lsn_no')} as lsn, seqval, op, o_orderkey, o_custkey, o_totalprice from ch_order
+""",
+)
+def q_decode_rows(spark, sf):
+    """Envelope → typed rows (round trip of ``ch_order``: bigint and decimal columns)."""
+    raw = fixture(spark, sf, "ch_order")
+    e = env.encode_changes(raw, "dbo", "orders", ["o_orderkey"])
+    good, _bad = env.decode_rows(e, env.typed_schema(raw))
+    return lsns_to_hex(good.select("lsn", "seqval", "op", "o_orderkey", "o_custkey", "o_totalprice"), "lsn")
+
+
+@register(
+    "decode_rows_time",
+    oracle_with("ch_user")
+    + f"""select {_hex('lsn_no')} as lsn, seqval, op, user_id, value, event_type,
+  date_trunc('second', ts) as ts from ch_user
+""",
+)
+def q_decode_rows_time(spark, sf):
+    """Envelope → typed rows for ``ch_user``: timestamps come back at second precision."""
+    raw = fixture(spark, sf, "ch_user")
+    e = env.encode_changes(raw, "dbo", "users", ["user_id"], time_col="ts")
+    good, _bad = env.decode_rows(e, env.typed_schema(raw))
+    return lsns_to_hex(good.select("lsn", "seqval", "op", "user_id", "value", "event_type", "ts"), "lsn")
+
+
+@register(
+    "assign_sequence",
+    _with_changelog()
+    + f"""select source, table_name, {_hex('lsn_no')} as lsn, seqval, op,
+  row_number() over (partition by source, schema_name, table_name order by lsn_no, seqval, op) - 1 as sequence_number
+from changelog
+""",
+)
+def q_assign_sequence(spark, sf):
+    """0-based sequence per (source, table) in (lsn, seqval, op) order."""
+    seq = assign_sequence(changelog(spark, sf))
+    return _out(seq, ["source", "table_name", "lsn", "seqval", "op", "sequence_number"])
+
+
+def assign_sequence(changes: DataFrame, within=("source", "schema_name", "table_name")) -> DataFrame:
+    """0-based ordinal per ``within`` group in change order (block-wise running count)."""
+    return ordered_scan(
+        changes, list(within), list(ORDER_COLS), [Sum(F.lit(1), "sequence_number", inclusive=False)]
+    )
+
+
+@register(
+    "map_columns",
+    oracle_with("ch_line")
+    + f"""select {_hex('lsn_no')} as lsn, seqval, op, l_orderkey, l_linenumber, l_partkey,
+  l_quantity as quantity, l_extendedprice as extended_price from ch_line
+""",
+)
+def q_map_columns(spark, sf):
+    """Per-route column renaming of a typed change table."""
+    out = routing.map_columns(
+        fixture(spark, sf, "ch_line"), {"l_quantity": "quantity", "l_extendedprice": "extended_price"}
+    )
+    return lsns_to_hex(out, "lsn")
+
+
+# ------------------------------------------------------------ routing -------------
+
+ROUTED_SQL = (
+    _with_changelog("routes")
+    + """, nr AS (select case when database_name = '' then 'default' else database_name end as route_source,
+    source_schema, source_table, target_schema, target_table from routes),
+routed AS (select c.source, r.target_schema as schema_name, r.target_table as table_name, c.lsn_no, c.seqval, c.op
+  from changelog c join nr r on c.source = r.route_source and c.schema_name = r.source_schema
+   and c.table_name = r.source_table)
+"""
+)
+
+
+@register(
+    "route_changes",
+    ROUTED_SQL + f"select source, schema_name, table_name, {_hex('lsn_no')} as lsn, seqval, op from routed\n",
+)
+def q_route_changes(spark, sf):
+    """Keep tracked tables and rename them to their targets (blank database, two sources → 'default')."""
+    routed = routing.route_changes(changelog(spark, sf), fixture(spark, sf, "routes"), SOURCES)
+    return _out(routed)
+
+
+@register(
+    "untracked_changes",
+    _with_changelog("routes")
+    + f""", nr AS (select case when database_name = '' then 'default' else database_name end as route_source,
+    source_schema, source_table from routes)
+select source, schema_name, table_name, {_hex('lsn_no')} as lsn, seqval, op from changelog c
+where not exists (select 1 from nr r where c.source = r.route_source and c.schema_name = r.source_schema
+   and c.table_name = r.source_table)
+""",
+)
+def q_untracked_changes(spark, sf):
+    """Changes of tables no route tracks."""
+    return _out(routing.untracked_changes(changelog(spark, sf), fixture(spark, sf, "routes"), SOURCES))
+
+
+@register(
+    "map_schema",
+    ROUTED_SQL.rstrip()
+    + """, schema_map AS ("""
+    + FIXTURE_SQL["schema_map"].strip()
+    + f"""),
+firstmap AS (select source_schema, arg_min(target_schema, ord) as target_schema from schema_map group by source_schema)
+select r.source, coalesce(m.target_schema, r.schema_name) as schema_name, r.table_name, {_hex('r.lsn_no')} as lsn,
+  r.seqval, r.op from routed r left join firstmap m on r.schema_name = m.source_schema
+""",
+)
+def q_map_schema(spark, sf):
+    """Route, then map the target schema (first mapping by ``ord`` wins)."""
+    routed = routing.route_changes(changelog(spark, sf), fixture(spark, sf, "routes"), SOURCES)
+    return _out(routing.map_schema(routed, fixture(spark, sf, "schema_map")))
+
+
+@register(
+    "resolve_primary_key",
+    _with_changelog()
+    + f""", keys AS (select * from (values ('dbo', 'users', 'user_id'), ('dbo', 'lines', 'l_orderkey,l_linenumber'))
+   as t(schema_name, table_name, pk_cols))
+select c.source, c.schema_name, c.table_name, {_hex('c.lsn_no')} as lsn, c.seqval, c.op, k.pk_cols,
+  case when k.pk_cols is null then 'no_primary_key' end as reject_reason
+from changelog c left join keys k on c.schema_name = k.schema_name and c.table_name = k.table_name
+""",
+)
+def q_resolve_primary_key(spark, sf):
+    """Key columns per table from source catalogue, else target catalogue; joined to the
+    changes, tables without a key rejected. Column lists come from the change tables'
+    own schemas; users has a source key, lines only a target key, orders none."""
+    cols, pkc, tgt = _key_metadata(spark, sf)
+    keys = routing.resolve_primary_key(cols, pkc, tgt)
+    att = routing.attach_primary_key(changelog(spark, sf), keys)
+    return _out(
+        att.withColumn("pk_cols", F.concat_ws(",", "pk_cols")).withColumn(
+            "pk_cols", F.when(F.col("pk_cols") != "", F.col("pk_cols"))
+        ),
+        [*ENV_COLS, "pk_cols", "reject_reason"],
+    )
+
+
+def _key_metadata(spark, sf):
+    rows = []
+    for name, tbl in (("ch_user", "users"), ("ch_order", "orders"), ("ch_line", "lines")):
+        schema = env.typed_schema(fixture(spark, sf, name))
+        rows += [("dbo", tbl, f.name, i + 1) for i, f in enumerate(schema.fields)]
+    cols = spark.createDataFrame(rows, "schema_name string, table_name string, column_name string, ordinal int")
+    pkc = spark.createDataFrame([("dbo", "users", "user_id")], "schema_name string, table_name string, column_name string")
+    tgt = spark.createDataFrame(
+        [("dbo", "lines", "l_linenumber", 2), ("dbo", "lines", "l_orderkey", 1)],
+        "schema_name string, table_name string, column_name string, ordinal int",
+    )
+    return cols, pkc, tgt
+
+
+# ------------------------------------------------------------ keyed merge ---------
+
+_LINE_COLS = ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice"]
+LATEST_LINE_SQL = """latest_line AS (select * from (
+  select *, row_number() over (partition by l_orderkey, l_linenumber order by lsn_no desc, seqval desc, op desc) as rn
+  from ch_line where op in (1, 2, 4)) t where rn = 1 and op <> 1)
+"""
+
+
+@register(
+    "split_applicable",
+    oracle_with("ch_user")
+    + """select coalesce(case when op = 3 then 'before_image' when op not in (1, 2, 4) or op is null then 'unknown_op'
+   when op in (2, 4) and user_id is null then 'null_key' end, 'applied') as reject_reason, count(*) as changes
+from ch_user group by 1
+""",
+)
+def q_split_applicable(spark, sf):
+    """Changes per reject reason ('applied' = kept)."""
+    tagged = merge.tag_applicable(fixture(spark, sf, "ch_user"), ["user_id"])
+    return tagged.groupBy(F.coalesce("reject_reason", F.lit("applied")).alias("reject_reason")).agg(
+        F.count(F.lit(1)).alias("changes")
+    )
+
+
+@register(
+    "upsert",
+    oracle_with("ch_line").rstrip() + ",\n" + LATEST_LINE_SQL
+    + "select l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice from latest_line\n",
+)
+def q_upsert(spark, sf):
+    """Table as of LSN 1200, then the rest of the changelog upserted onto it (= one full run)."""
+    ch = fixture(spark, sf, "ch_line")
+    pk = FIXTURE_PK["ch_line"]
+    cut = lsn_from_number(F.lit(1200))
+    base = merge.table_columns(merge.snapshot_as_of(ch, pk, cut)).select(*_LINE_COLS)
+    return merge.upsert(base, ch.where(F.col("lsn") > cut), pk)
+
+
+@register(
+    "snapshot_as_of",
+    oracle_with("ch_line")
+    + """select l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice from (
+  select *, row_number() over (partition by l_orderkey, l_linenumber order by lsn_no desc, seqval desc, op desc) as rn
+  from ch_line where op in (1, 2, 4) and lsn_no <= 1500) t where rn = 1 and op <> 1
+""",
+)
+def q_snapshot_as_of(spark, sf):
+    """Table state at LSN 1500."""
+    ch = fixture(spark, sf, "ch_line")
+    snap = merge.snapshot_as_of(ch, FIXTURE_PK["ch_line"], lsn_from_number(F.lit(1500)))
+    return snap.select(*_LINE_COLS)
+
+
+@register(
+    "insert_ignore",
+    oracle_with("ch_user")
+    + """select user_id, event_type from (
+  select *, row_number() over (partition by user_id, event_type order by lsn_no desc, seqval desc, op desc) as rn
+  from ch_user where op in (1, 2, 4) and user_id is not null and event_type is not null) t where rn = 1 and op <> 1
+""",
+)
+def q_insert_ignore(spark, sf):
+    """All-key table (user_id, event_type): inserts of present keys do nothing, deletes remove."""
+    ch = fixture(spark, sf, "ch_user").select("lsn", "seqval", "op", "user_id", "event_type")
+    empty = ch.select("user_id", "event_type").limit(0)
+    return merge.insert_ignore(empty, ch, ["user_id", "event_type"])
+
+
+ROWS_ORACLE = (
+    oracle_with("ch_user")
+    + """, a AS (select *, lag(op) over (partition by user_id order by lsn_no, seqval, op) as prev_op
+  from ch_user where op in (1, 2, 4))
+"""
+)
+
+
+@register(
+    "rows_affected",
+    ROWS_ORACLE
+    + """select op, count(*) as changes,
+  cast(sum(case when op = 1 then (case when prev_op in (2, 4) then 1 else 0 end) else 1 end) as bigint) as rows_affected
+from a group by op
+""",
+)
+def q_rows_affected(spark, sf):
+    """Rows reported per operation when ``ch_user`` is upserted into an empty table."""
+    ra = merge.rows_affected(fixture(spark, sf, "ch_user"), None, ["user_id"], mode="upsert")
+    return ra.groupBy("op").agg(
+        F.count(F.lit(1)).alias("changes"), F.sum("rows_affected").cast("bigint").alias("rows_affected")
+    )
+
+
+@register(
+    "append_conflicts",
+    oracle_with("ch_line")
+    + f"""select l_orderkey, l_linenumber, {_hex('lsn_no')} as lsn, seqval, op from (
+  select *, lag(op) over (partition by l_orderkey, l_linenumber order by lsn_no, seqval, op) as prev_op
+  from ch_line where op in (1, 2, 4)) t
+where op in (2, 4) and prev_op in (2, 4)
+""",
+)
+def q_append_conflicts(spark, sf):
+    """Non-idempotent apply of ``ch_line``: inserts of keys that are live at that moment."""
+    ch = fixture(spark, sf, "ch_line")
+    empty = ch.select(*_LINE_COLS).limit(0)
+    _table, conflicts = merge.append(empty, ch, FIXTURE_PK["ch_line"])
+    return lsns_to_hex(conflicts.select("l_orderkey", "l_linenumber", "lsn", "seqval", "op"), "lsn")
+
+
+@register(
+    "delete_by_key",
+    oracle_with("ch_line")
+    + """select l_orderkey, l_linenumber, l_partkey, l_quantity from lineitem t
+where not exists (select 1 from ch_line d where d.op = 1 and d.l_orderkey = t.l_orderkey
+  and d.l_linenumber = t.l_linenumber)
+""",
+)
+def q_delete_by_key(spark, sf):
+    """Every delete of ``ch_line`` applied to the lineitem rows (key equality)."""
+    target = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+    return merge.delete_by_key(target, fixture(spark, sf, "ch_line"), FIXTURE_PK["ch_line"])
+
+
+@register(
+    "check_foreign_keys",
+    oracle_with("ch_line", "ch_order").rstrip() + ",\n" + LATEST_LINE_SQL
+    + """, latest_order AS (select * from (
+  select *, row_number() over (partition by o_orderkey order by lsn_no desc, seqval desc, op desc) as rn
+  from ch_order where op in (1, 2, 4)) t where rn = 1 and op <> 1)
+select l.l_orderkey, l.l_linenumber from latest_line l
+where l.l_orderkey is not null and not exists (select 1 from latest_order o where o.o_orderkey = l.l_orderkey)
+""",
+)
+def q_check_foreign_keys(spark, sf):
+    """Live lines whose order is not live after both changelogs are applied (orphans)."""
+    lines = merge.latest_per_key(fixture(spark, sf, "ch_line"), FIXTURE_PK["ch_line"])
+    orders = merge.latest_per_key(fixture(spark, sf, "ch_order"), FIXTURE_PK["ch_order"])
+    return merge.check_foreign_keys(lines, orders, ["l_orderkey"], ["o_orderkey"]).select(
+        "l_orderkey", "l_linenumber"
+    )
+
+
+@register(
+    "dedupe_replays",
+    _with_changelog()
+    + f"select source, schema_name, table_name, {_hex('lsn_no')} as lsn, seqval, op from changelog\n",
+)
+def q_dedupe_replays(spark, sf):
+    """The MyDB changes delivered twice (a replay), deduplicated to one copy."""
+    log = changelog(spark, sf)
+    replayed = log.unionByName(log.where(F.col("source") == "MyDB"))
+    return _out(merge.dedupe_replays(replayed))
+
+
+# ------------------------------------------------------ batches / acks ------------
+
+
+@register(
+    "assign_batches",
+    _with_changelog()
+    + f""", per AS (select source, lsn_no, count(*) as n from changelog group by source, lsn_no),
+b AS (select source, lsn_no, cast(floor(coalesce(sum(n) over (partition by source order by lsn_no
+   rows between unbounded preceding and 1 preceding), 0) / 1000.0) as bigint) as batch_no from per),
+ids AS (select source, batch_no, sha256(concat_ws('|', source, {_hex('min(lsn_no)')}, {_hex('max(lsn_no)')})) as batch_id
+  from b group by source, batch_no)
+select c.source, c.table_name, {_hex('c.lsn_no')} as lsn, c.seqval, c.op, b.batch_no, ids.batch_id
+from changelog c join b on c.source = b.source and c.lsn_no = b.lsn_no
+join ids on b.source = ids.source and b.batch_no = ids.batch_no
+""",
+)
+def q_assign_batches(spark, sf):
+    """Batch number and deterministic id for every change (1000 rows per batch, whole LSNs)."""
+    out = batches.assign_batches(changelog(spark, sf), 1000)
+    return _out(out, ["source", "table_name", "lsn", "seqval", "op", "batch_no", "batch_id"])
+
+
+ISLANDS_SQL = (
+    oracle_with("batch_log")
+    + """, f AS (select *, case when lag(batch_id) over (order by pos) is distinct from batch_id
+    or row_number() over (order by pos) = 1 then 1 else 0 end as s from batch_log),
+i AS (select *, cast(sum(s) over (order by pos rows between unbounded preceding and current row) as bigint) as island_no,
+    last_value(nullif(lsn, '') ignore nulls) over (order by pos rows between unbounded preceding and current row) as carried
+  from f)
+"""
+)
+
+
+@register(
+    "batch_boundaries",
+    ISLANDS_SQL
+    + """select island_no, batch_id, min(pos) as first_pos, max(pos) as last_pos, count(*) as changes
+from i group by island_no, batch_id
+""",
+)
+def q_batch_boundaries(spark, sf):
+    """Batches of an arrival log: a new one whenever the id changes (ids recur later)."""
+    return batches.batch_boundaries(fixture(spark, sf, "batch_log"))
+
+
+@register(
+    "build_acks",
+    ISLANDS_SQL
+    + """select island_no, batch_id, arg_max(carried, pos) as lsn, arg_max(seq, pos) as last_seq,
+  count(*) as changes, 'OK' as status
+from i group by island_no, batch_id
+""",
+)
+def q_build_acks(spark, sf):
+    """One ack per received batch: last non-empty LSN, last sequence, size."""
+    return batches.build_acks(fixture(spark, sf, "batch_log"))
+
+
+@register(
+    "errors_by_class",
+    oracle_with("errors")
+    + """select case when lower(message) like '%connection%' or lower(message) like '%timeout%'
+    or lower(message) like '%temporarily unavailable%' then 'RETRY'
+  when lower(message) like '%column%' or lower(message) like '%type%' or lower(message) like '%schema%'
+    then 'SCHEMA_MISMATCH' else 'FAILED' end as status, count(*) as errors
+from errors group by 1
+""",
+)
+def q_errors_by_class(spark, sf):
+    """Ack status per error message, counted per status."""
+    return batches.errors_by_class(fixture(spark, sf, "errors"))
+
+
+def _acks(spark, sf):
+    return fixture(spark, sf, "acks").withColumn("lsn", lsn_from_number("lsn_no")).drop("lsn_no")
+
+
+@register(
+    "fold_cursors",
+    oracle_with("acks")
+    + f"""select source,
+  {_hex("arg_max(lsn_no, batch_no) filter (where status in ('OK', 'PARTIAL'))")} as cursor_lsn,
+  {_hex("arg_max(lsn_no, batch_no) filter (where status in ('OK', 'PARTIAL'))")} as last_acked_lsn,
+  cast(coalesce(sum(rows_processed) filter (where status in ('OK', 'PARTIAL')), 0) as bigint) as rows_processed,
+  count(*) filter (where status in ('OK', 'PARTIAL')) as acked_batches,
+  count(*) filter (where status = 'RETRY') as retries,
+  count(*) filter (where status in ('FAILED', 'SCHEMA_MISMATCH')) as failures,
+  arg_max(status, batch_no) as last_status,
+  arg_max(status, batch_no) filter (where status in ('FAILED', 'SCHEMA_MISMATCH')) as last_error
+from acks group by source
+""",
+)
+def q_fold_cursors(spark, sf):
+    """Each source's cursor after folding its acknowledgements in order."""
+    return lsns_to_hex(batches.fold_cursors(_acks(spark, sf)), "cursor_lsn", "last_acked_lsn")
+
+
+@register(
+    "start_positions",
+    oracle_with("acks")
+    + f"""select source, {_hex("arg_max(lsn_no, batch_no) filter (where status in ('OK', 'PARTIAL'))")} as start_after_lsn,
+  arg_max(lsn_no, batch_no) filter (where status in ('OK', 'PARTIAL')) is null as from_beginning
+from acks group by source
+""",
+)
+def q_start_positions(spark, sf):
+    """Where each source's next poll starts, from the folded cursors."""
+    cur = batches.fold_cursors(_acks(spark, sf))
+    return lsns_to_hex(batches.start_positions(cur), "start_after_lsn")
+
+
+@register(
+    "pending_batches",
+    oracle_with("sent", "acks")
+    + """select s.source, s.batch_no, s.n, s.lsn_no, s.sent_at from sent s
+where not exists (select 1 from acks a where a.source = s.source and a.batch_no = s.batch_no
+  and a.status in ('OK', 'PARTIAL'))
+""",
+)
+def q_pending_batches(spark, sf):
+    """Sent batches not (yet) settled by an OK/PARTIAL acknowledgement."""
+    return batches.pending_batches(fixture(spark, sf, "sent"), fixture(spark, sf, "acks"))
+
+
+@register(
+    "unacknowledged_batches",
+    oracle_with("sent", "acks")
+    + """select s.source, s.batch_no, s.n, s.lsn_no, s.sent_at from sent s
+where not exists (select 1 from acks a where a.source = s.source and a.batch_no = s.batch_no)
+""",
+)
+def q_unacknowledged_batches(spark, sf):
+    """Sent batches that never got any acknowledgement."""
+    return batches.pending_batches(fixture(spark, sf, "sent"), fixture(spark, sf, "acks"), settling=None)
+
+
+@register(
+    "sync_metrics",
+    oracle_with("sent", "acks")
+    + """select s.source,
+  cast(coalesce(sum(a.rows_processed) filter (where a.status in ('OK', 'PARTIAL')), 0) as bigint) as changes_processed,
+  count(*) as batches_sent,
+  count(*) filter (where a.status in ('OK', 'PARTIAL')) as batches_acked,
+  count(*) filter (where a.status is not null and a.status not in ('OK', 'PARTIAL')) as errors,
+  max(s.sent_at) filter (where a.status in ('OK', 'PARTIAL')) as last_sync_ts
+from sent s left join acks a on s.source = a.source and s.batch_no = a.batch_no group by s.source
+""",
+)
+def q_sync_metrics(spark, sf):
+    """Per-source delivery metrics from the sent and ack logs."""
+    return batches.sync_metrics(fixture(spark, sf, "sent"), fixture(spark, sf, "acks"))
+
+
+# ------------------------------------------------------ change analytics ----------
+
+PAIRS_SQL = (
+    oracle_with("ch_user")
+    + """, a AS (select * from ch_user where op = 4), b AS (select * from ch_user where op = 3)
+"""
+)
+
+
+@register(
+    "pair_updates",
+    PAIRS_SQL
+    + f"""select a.user_id, {_hex('a.lsn_no')} as lsn, a.seqval, b.value as old_value, a.value as new_value,
+  b.seqval is null as missing_before
+from a left join b on a.lsn_no = b.lsn_no and a.seqval = b.seqval
+""",
+)
+def q_pair_updates(spark, sf):
+    """Before-image attached to each after-image of ``ch_user``."""
+    p = analytics.pair_updates(fixture(spark, sf, "ch_user"))
+    return lsns_to_hex(
+        p.select(
+            F.col("new.user_id").alias("user_id"),
+            "lsn",
+            "seqval",
+            F.col("old.value").alias("old_value"),
+            F.col("new.value").alias("new_value"),
+            "missing_before",
+        ),
+        "lsn",
+    )
+
+
+@register(
+    "changed_columns",
+    PAIRS_SQL
+    + f"""select a.user_id, {_hex('a.lsn_no')} as lsn, a.seqval,
+  concat_ws(',', case when b.user_id is distinct from a.user_id then 'user_id' end,
+    case when b.value is distinct from a.value then 'value' end,
+    case when b.event_type is distinct from a.event_type then 'event_type' end,
+    case when b.ts is distinct from a.ts then 'ts' end) as changed
+from a left join b on a.lsn_no = b.lsn_no and a.seqval = b.seqval
+""",
+)
+def q_changed_columns(spark, sf):
+    """Which columns each ``ch_user`` update changed."""
+    p = analytics.pair_updates(fixture(spark, sf, "ch_user"))
+    c = analytics.changed_columns(p, ["user_id", "value", "event_type", "ts"])
+    return lsns_to_hex(
+        c.select(
+            F.col("new.user_id").alias("user_id"),
+            "lsn",
+            "seqval",
+            F.concat_ws(",", "changed").alias("changed"),
+        ),
+        "lsn",
+    )
+
+
+@register(
+    "net_changes",
+    oracle_with("ch_user")
+    + f""", g AS (select user_id, arg_min(op, (lsn_no, seqval, op)) as first_op,
+    arg_max(op, (lsn_no, seqval, op)) as last_op, arg_max(value, (lsn_no, seqval, op)) as value,
+    arg_max(lsn_no, (lsn_no, seqval, op)) as last_lsn
+  from ch_user where op in (1, 2, 4) and user_id is not null and lsn_no between 1 and 400 group by user_id)
+select user_id, case when first_op = 2 and last_op = 1 then 'none' when first_op = 2 then 'insert'
+  when last_op = 1 then 'delete' else 'update' end as net_op, value, {_hex('last_lsn')} as lsn
+from g
+""",
+)
+def q_net_changes(spark, sf):
+    """Net change per user over LSNs 1–400."""
+    n = analytics.net_changes(
+        fixture(spark, sf, "ch_user"), ["user_id"], lsn_from_number(F.lit(1)), lsn_from_number(F.lit(400))
+    )
+    return lsns_to_hex(n.select("user_id", "net_op", "value", "lsn"), "lsn")
+
+
+@register(
+    "reconcile",
+    oracle_with("ch_line")
+    + """, s AS (select * from (select *, row_number() over (partition by l_orderkey, l_linenumber
+    order by lsn_no desc, seqval desc, op desc) as rn from ch_line where op in (1, 2, 4) and lsn_no <= 1500) t
+    where rn = 1 and op <> 1),
+t AS (select * from (select *, row_number() over (partition by l_orderkey, l_linenumber
+    order by lsn_no desc, seqval desc, op desc) as rn from ch_line where op in (1, 2, 4)) t where rn = 1 and op <> 1),
+j AS (select coalesce(s.l_orderkey, t.l_orderkey) as l_orderkey, coalesce(s.l_linenumber, t.l_linenumber) as l_linenumber,
+    case when t.l_orderkey is null then 'missing' when s.l_orderkey is null then 'extra'
+      when s.l_partkey is distinct from t.l_partkey or s.l_quantity is distinct from t.l_quantity
+        or s.l_extendedprice is distinct from t.l_extendedprice then 'different' end as status,
+    concat_ws(',', case when s.l_partkey is distinct from t.l_partkey then 'l_partkey' end,
+      case when s.l_quantity is distinct from t.l_quantity then 'l_quantity' end,
+      case when s.l_extendedprice is distinct from t.l_extendedprice then 'l_extendedprice' end) as d
+  from s full outer join t on s.l_orderkey = t.l_orderkey and s.l_linenumber = t.l_linenumber)
+select l_orderkey, l_linenumber, status, case when status = 'different' then d end as diff_cols
+from j where status is not null
+""",
+)
+def q_reconcile(spark, sf):
+    """Differences between the table at LSN 1500 (source) and the latest table (target)."""
+    ch = fixture(spark, sf, "ch_line")
+    pk = FIXTURE_PK["ch_line"]
+    src = merge.snapshot_as_of(ch, pk, lsn_from_number(F.lit(1500)))
+    tgt = merge.latest_per_key(ch, pk)
+    r = analytics.reconcile(src, tgt, pk, ["l_partkey", "l_quantity", "l_extendedprice"])
+    return r.select("l_orderkey", "l_linenumber", "status", "diff_cols")
+
+
+
 def queries() -> dict[str, QueryFn]:
     return {k: q.run for k, q in REGISTRY.items()}
 

@@ -88,14 +88,17 @@ def applicable(changes: DataFrame, pk: Sequence[str] = ()) -> DataFrame:
     return split_applicable(changes, pk)[0]
 
 
-def dedupe_replays(changes: DataFrame, key: Sequence[str] | None = None) -> DataFrame:
-    """Drop re-delivered changes: one row per (source, table, lsn, seqval, op)."""
+def dedupe_replays(
+    changes: DataFrame, key: Sequence[str] | None = None, pk: Sequence[str] = ()
+) -> DataFrame:
+    """Drop re-delivered changes: one row per (source, table, lsn, seqval, op, key).
+
+    The change's own key (``pk_json`` in the envelope, else ``pk``) is part of the
+    identity: two keys may share a position, a replay repeats both.
+    """
     if key is None:
-        key = [
-            c
-            for c in ("source", "schema_name", "table_name", *ORDER_COLS)
-            if c in changes.columns
-        ]
+        ident = ("source", "schema_name", "table_name", *ORDER_COLS, "pk_json", *pk)
+        key = [c for c in ident if c in changes.columns]
     return changes.dropDuplicates(list(key))
 
 
