@@ -860,6 +860,96 @@ def q_reconcile(spark, sf):
 
 
 
+
+# ------------------------------------------------------------- streaming ----------
+
+
+def _write_files(df: DataFrame, path: str, files: int = 8) -> None:
+    """Stage a changelog as several files, so the stream sees several micro-batches."""
+    df.repartitionByRange(files, "lsn").write.mode("overwrite").parquet(path)
+
+
+@register(
+    "stream_apply",
+    oracle_with("ch_line").rstrip() + ",\n" + LATEST_LINE_SQL
+    + "select l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice from latest_line\n",
+)
+def q_stream_apply(spark, sf):
+    """``ch_line`` streamed two files per micro-batch through the exactly-once apply
+    (per-batch deltas + commit markers); the table read back equals one batch run."""
+    from tidemark.session import scratch_dir
+    from tidemark.streaming.apply import TableSpec, TableStore
+    from tidemark.streaming.source import start_apply, stream_changes
+
+    ch = fixture(spark, sf, "ch_line")
+    root = scratch_dir(spark, "stream_apply")
+    _write_files(ch, f"{root}/changelog")
+    store = TableStore(spark, f"{root}/store", {"lines": TableSpec("lines", FIXTURE_PK["ch_line"])})
+    q = start_apply(
+        stream_changes(spark, f"{root}/changelog", ch.schema, max_files_per_trigger=2),
+        store,
+        f"{root}/checkpoint",
+    )
+    q.awaitTermination()
+    return store.read_table("lines").select(*_LINE_COLS)
+
+
+@register(
+    "stream_apply_envelope",
+    oracle_with("ch_user")
+    + """select user_id, value, event_type, date_trunc('second', ts) as ts from (
+  select *, row_number() over (partition by user_id order by lsn_no desc, seqval desc, op desc) as rn
+  from ch_user where op in (1, 2, 4) and user_id is not null) t
+where rn = 1 and op <> 1
+""",
+)
+def q_stream_apply_envelope(spark, sf):
+    """The MyDB envelope stream (users + orders) decoded per target table and applied;
+    ``users`` read back (timestamps travel at second precision in the envelope)."""
+    from tidemark.session import scratch_dir
+    from tidemark.streaming.apply import TableSpec, TableStore
+    from tidemark.streaming.source import start_apply, stream_changes
+
+    log = changelog(spark, sf).where(F.col("source") == "MyDB")
+    root = scratch_dir(spark, "stream_env")
+    _write_files(log, f"{root}/changelog")
+    specs = {
+        "users": TableSpec("users", ("user_id",), env.typed_schema(fixture(spark, sf, "ch_user")), "dbo", "users"),
+        "orders": TableSpec(
+            "orders", ("o_orderkey",), env.typed_schema(fixture(spark, sf, "ch_order")), "dbo", "orders"
+        ),
+    }
+    store = TableStore(spark, f"{root}/store", specs)
+    q = start_apply(
+        stream_changes(spark, f"{root}/changelog", log.schema, max_files_per_trigger=3),
+        store,
+        f"{root}/checkpoint",
+    )
+    q.awaitTermination()
+    return store.read_table("users").select("user_id", "value", "event_type", "ts")
+
+
+@register(
+    "stream_cursors",
+    REGISTRY["fold_cursors"].sql,
+)
+def q_stream_cursors(spark, sf):
+    """Acknowledgements streamed in several micro-batches; cursors kept by a stateful
+    streaming aggregation equal the batch fold."""
+    from tidemark.session import scratch_dir
+    from tidemark.streaming.source import start_cursor_fold, stream_changes
+
+    acks = _acks(spark, sf)
+    root = scratch_dir(spark, "stream_cursors")
+    acks.repartition(6).write.mode("overwrite").parquet(f"{root}/acks")
+    q = start_cursor_fold(
+        stream_changes(spark, f"{root}/acks", acks.schema, max_files_per_trigger=2),
+        f"{root}/cursors",
+        f"{root}/checkpoint",
+    )
+    q.awaitTermination()
+    return lsns_to_hex(spark.read.parquet(f"{root}/cursors"), "cursor_lsn", "last_acked_lsn")
+
 def queries() -> dict[str, QueryFn]:
     return {k: q.run for k, q in REGISTRY.items()}
 

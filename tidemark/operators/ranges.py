@@ -119,7 +119,8 @@ def limit_batch(changes: DataFrame, n: int, by: Sequence[str] = ("source",)) ->
     The LSNs are taken in order while the running row total stays ``<= n``; the first
     LSN is always taken, even when it alone holds more than ``n`` rows.
     """
-    cuts = bounded_broadcast(_cuts(changes, n, by).select(*by, "cut_lsn"))
+    # one row per group; AQE turns this into a broadcast once the size is known
+    cuts = _cuts(changes, n, by).select(*by, "cut_lsn")
     return changes.join(cuts, list(by)).where(F.col("lsn") <= F.col("cut_lsn")).drop("cut_lsn")
 
 
@@ -158,7 +159,7 @@ def poll_per_capture(
     """Per-capture bounded read, trimmed to the safe high-water mark (no capture loses
     changes below the mark; everything above it is read again next poll)."""
     pending = after_cursor(changes, cursors)
-    hw = bounded_broadcast(safe_high_water(changes, cursors, batch_size).select("source", "high_water_lsn"))
+    hw = safe_high_water(changes, cursors, batch_size).select("source", "high_water_lsn")
     return pending.join(hw, "source").where(F.col("lsn") <= F.col("high_water_lsn")).drop(
         "high_water_lsn"
     )
