@@ -322,7 +322,7 @@ from changelog
 )
 def q_assign_sequence(spark, sf):
     """0-based sequence per (source, table) in (lsn, seqval, op) order."""
-    seq = assign_sequence(changelog(spark, sf))
+    seq = assign_sequence(changelog(spark, sf).select(*ENV_COLS))
     return _out(seq, ["source", "table_name", "lsn", "seqval", "op", "sequence_number"])
 
 

@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -91,7 +92,12 @@ def ordered_scan(
     )
     # Reliable checkpoint: the sampled range bounds are fixed once, every later read sees
     # the same block ids, and a lost executor recomputes from the checkpoint files.
-    ranged = ranged.checkpoint(eager=True)
+    # Persisting first lets the checkpoint write reuse the computed blocks instead of
+    # recomputing them; the in-memory copy is dropped once the files exist.
+    ranged.persist(StorageLevel.MEMORY_AND_DISK)
+    checkpointed = ranged.checkpoint(eager=True)
+    ranged.unpersist()
+    ranged = checkpointed
 
     # -- step 2: carry into each block's first group, from at most 2 rows per block ----
     edges = ranged.groupBy(BLK).agg(
@@ -110,7 +116,6 @@ def ordered_scan(
             per_edge_aggs.append(F.max_by(v, F.when(v.isNotNull(), order_struct)).alias(f"_tm_e{i}"))
         else:
             per_edge_aggs.append(F.max_by(F.struct(v.alias("v")), order_struct).alias(f"_tm_e{i}"))
-    per_edge_aggs.append(F.min(order_struct).alias("_tm_min_ord"))
     edge_tot = edge_rows.groupBy(BLK, GKEY).agg(*per_edge_aggs)
 
     wg = Window.partitionBy(GKEY).orderBy(BLK)
