@@ -165,7 +165,9 @@ def insert_ignore(target: DataFrame, changes: DataFrame, pk: Sequence[str]) -> D
 def delete_by_key(target: DataFrame, changes: DataFrame, pk: Sequence[str]) -> DataFrame:
     """Remove target rows whose key equals a delete's key (``=``: a NULL key matches nothing)."""
     pk = list(pk)
-    deletes = changes.where(F.col("op") == OP_DELETE).select(*pk)
+    # distinct first: a key deleted many times is reduced map-side, so the build side
+    # of the anti-join carries each key once (no skew on the side AQE cannot split)
+    deletes = changes.where(F.col("op") == OP_DELETE).select(*pk).distinct()
     return target.join(deletes, on=pk, how="left_anti")
 
 
