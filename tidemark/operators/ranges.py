@@ -7,7 +7,8 @@ high-water mark only moves past positions every capture has fully delivered.
 Scale notes: ``limit_batch`` needs only the first ``n`` LSNs of each source, so it
 ranks per-LSN counts with ``row_number() <= n`` (Spark's window group limit trims each
 map partition to ``n`` rows before the shuffle) and never sorts the full log; the cut
-table has one row per source/capture and is joined back with a broadcast.
+table (one row per source/capture) is materialised, size-checked and broadcast, so the
+log itself is filtered in place and never shuffled on the low-cardinality source key.
 """
 
 from __future__ import annotations
@@ -119,8 +120,9 @@ def limit_batch(changes: DataFrame, n: int, by: Sequence[str] = ("source",)) ->
     The LSNs are taken in order while the running row total stays ``<= n``; the first
     LSN is always taken, even when it alone holds more than ``n`` rows.
     """
-    # one row per group; AQE turns this into a broadcast once the size is known
-    cuts = _cuts(changes, n, by).select(*by, "cut_lsn")
+    # One row per source (or capture): materialised, size-checked and broadcast, so
+    # the log is only filtered, never shuffled on the low-cardinality group key.
+    cuts = bounded_broadcast(_cuts(changes, n, by).select(*by, "cut_lsn"), materialize=True)
     return changes.join(cuts, list(by)).where(F.col("lsn") <= F.col("cut_lsn")).drop("cut_lsn")
 
 
@@ -159,7 +161,10 @@ def poll_per_capture(
     """Per-capture bounded read, trimmed to the safe high-water mark (no capture loses
     changes below the mark; everything above it is read again next poll)."""
     pending = after_cursor(changes, cursors)
-    hw = safe_high_water(changes, cursors, batch_size).select("source", "high_water_lsn")
+    hw = bounded_broadcast(
+        safe_high_water(changes, cursors, batch_size).select("source", "high_water_lsn"),
+        materialize=True,
+    )
     return pending.join(hw, "source").where(F.col("lsn") <= F.col("high_water_lsn")).drop(
         "high_water_lsn"
     )

@@ -29,6 +29,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.envelope import decode_rows
 from tidemark.model import ORDER_COLS
+from tidemark.plans.joins import bounded_broadcast
 from tidemark.operators.merge import (
     check_foreign_keys,
     dedupe_replays,
@@ -149,7 +150,9 @@ class TableStore:
             parts.append(self.spark.read.parquet(f"{self._base(name)}/covered={covered}"))
         if self._exists(self._delta(name)):
             d = self.spark.read.parquet(self._delta(name))
-            ok = self.committed_epochs(extra_epoch)
+            # one row per published micro-batch: broadcast behind a row check, so the
+            # deltas are filtered in place instead of shuffled on the epoch number
+            ok = bounded_broadcast(self.committed_epochs(extra_epoch))
             parts.append(
                 d.where(F.col("epoch") > covered).join(ok, "epoch", "left_semi").drop("epoch")
             )
