@@ -154,3 +154,24 @@ def test_errors_classification_order(spark):
     )
     got = [r.s for r in df.select(classify_error("m").alias("s")).collect()]
     assert got == ["RETRY", "SCHEMA_MISMATCH", "RETRY", "FAILED", "RETRY"]
+
+
+def test_map_payload_keys(spark):
+    df = spark.createDataFrame([('{"a":1,"b":"x"}',)], "j string")
+    out = df.select(routing.map_payload_keys("j", {"a": "alpha"}).alias("o")).first().o
+    assert out == '{"alpha":"1","b":"x"}'
+
+
+def test_pair_update_json(spark):
+    from tidemark.operators import analytics
+
+    rows = [
+        ("s", "dbo", "t", 1, 0, 3, '{"k":1,"v":"old"}'),
+        ("s", "dbo", "t", 1, 0, 4, '{"k":1,"v":"new"}'),
+        ("s", "dbo", "t", 2, 0, 2, '{"k":2,"v":"ins"}'),
+    ]
+    df = spark.createDataFrame(
+        rows, "source string, schema_name string, table_name string, n long, seqval long, op int, row_json string"
+    ).withColumn("lsn", lsn_from_number("n")).withColumn("old_row_json", F.lit(None).cast("string"))
+    out = sorted((r.op, r.old_row_json) for r in analytics.pair_update_json(df).collect())
+    assert out == [(2, None), (4, '{"k":1,"v":"old"}')]

@@ -250,6 +250,21 @@ def q_safe_high_water(spark, sf):
     return lsns_to_hex(out, "high_water_lsn")
 
 
+@register(
+    "poll_per_capture",
+    REGISTRY["safe_high_water"].sql.split("select c.source, ")[0]
+    + f""", hw AS (select c.source, coalesce(min(case when c.cut < t.top then c.cut end), max(t.top)) as hw
+  from cut c join tops t using (source, schema_name, table_name) group by c.source)
+select p.source, p.schema_name, p.table_name, {_hex('p.lsn_no')} as lsn, p.seqval, p.op
+from pend p join hw on p.source = hw.source where p.lsn_no <= hw.hw
+""",
+)
+def q_poll_per_capture(spark, sf):
+    """Each capture read up to 1000 rows (whole LSNs) after the cursor, trimmed to the
+    safe high-water mark so no capture skips changes below it."""
+    return _out(ranges.poll_per_capture(changelog(spark, sf), cursors(spark), 1000))
+
+
 # ----------------------------------------------------------- envelope -------------
 
 

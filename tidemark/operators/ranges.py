@@ -97,9 +97,9 @@ def after_cursor(changes: DataFrame, cursors: DataFrame | None) -> DataFrame:
     return joined.where(keep).drop("cursor_lsn")
 
 
-def _cuts(changes: DataFrame, n: int, by: Sequence[str]) -> DataFrame:
+def _cuts(changes: DataFrame, n: int, by: Sequence[str], with_max: bool = False) -> DataFrame:
     """Per group: last LSN of the longest LSN prefix with at most ``n`` rows (at least
-    the first LSN), and the group's max LSN."""
+    the first LSN), and with ``with_max`` the group's max LSN."""
     by = list(by)
     per_lsn = changes.groupBy(*by, "lsn").agg(F.count(F.lit(1)).alias("_tm_n"))
     w = Window.partitionBy(*by).orderBy("lsn")
@@ -110,6 +110,8 @@ def _cuts(changes: DataFrame, n: int, by: Sequence[str]) -> DataFrame:
     cut = run.where((F.col("_tm_run") <= n) | (F.col("_tm_rn") == 1)).groupBy(*by).agg(
         F.max("lsn").alias("cut_lsn")
     )
+    if not with_max:
+        return cut
     tops = changes.groupBy(*by).agg(F.max("lsn").alias("max_lsn"))
     return cut.join(tops, by)
 
@@ -145,7 +147,7 @@ def safe_high_water(
     Returns (source, high_water_lsn, truncated_captures).
     """
     pending = after_cursor(changes, cursors)
-    cuts = _cuts(pending, batch_size, CAPTURE)
+    cuts = _cuts(pending, batch_size, CAPTURE, with_max=True)
     truncated = F.col("cut_lsn") < F.col("max_lsn")
     return cuts.groupBy("source").agg(
         F.coalesce(F.min(F.when(truncated, F.col("cut_lsn"))), F.max("max_lsn")).alias(

@@ -5,7 +5,7 @@
 included). ``apply_batch`` is the ``foreachBatch`` function:
 
 1. persist the micro-batch (it is read once per target table);
-2. per table: drop replayed changes (position + key), keep applicable changes, reduce to the last change per key
+2. per table: keep applicable changes (replayed copies collapse in the next step), reduce to the last change per key
    (``max_by`` with partial aggregation) and overwrite ``delta/epoch=N``; a replayed
    epoch rewrites the same directory, so re-delivery is idempotent;
 3. optionally check foreign keys across the new state (a deferred constraint);
@@ -30,11 +30,7 @@ from pyspark.sql import types as T
 from tidemark.functions.envelope import decode_rows
 from tidemark.model import ORDER_COLS
 from tidemark.plans.joins import bounded_broadcast
-from tidemark.operators.merge import (
-    check_foreign_keys,
-    dedupe_replays,
-    latest_per_key,
-)
+from tidemark.operators.merge import check_foreign_keys, latest_per_key
 
 
 class ForeignKeyViolation(RuntimeError):
@@ -100,8 +96,9 @@ class TableStore:
         batch = batch.persist()
         try:
             for name, spec in self.tables.items():
-                changes = dedupe_replays(self._table_changes(batch, spec), pk=spec.pk)
-                d = latest_per_key(changes, spec.pk, keep_deletes=True)
+                # Re-delivered copies of a change share its position, key and image, so
+                # the last-change-per-key reduction absorbs them; no separate dedupe pass.
+                d = latest_per_key(self._table_changes(batch, spec), spec.pk, keep_deletes=True)
                 d.write.mode("overwrite").parquet(f"{self._delta(name)}/epoch={epoch}")
             for fk in self.foreign_keys:
                 child = self._resolve(fk.child, extra_epoch=epoch)
