@@ -522,7 +522,7 @@ def q_snapshot_as_of(spark, sf):
 def q_insert_ignore(spark, sf):
     """All-key table (user_id, event_type): inserts of present keys do nothing, deletes remove."""
     ch = fixture(spark, sf, "ch_user").select("lsn", "seqval", "op", "user_id", "event_type")
-    empty = ch.select("user_id", "event_type").limit(0)
+    empty = spark.createDataFrame([], ch.select("user_id", "event_type").schema)
     return merge.insert_ignore(empty, ch, ["user_id", "event_type"])
 
 
@@ -562,7 +562,7 @@ where op in (2, 4) and prev_op in (2, 4)
 def q_append_conflicts(spark, sf):
     """Non-idempotent apply of ``ch_line``: inserts of keys that are live at that moment."""
     ch = fixture(spark, sf, "ch_line")
-    empty = ch.select(*_LINE_COLS).limit(0)
+    empty = spark.createDataFrame([], ch.select(*_LINE_COLS).schema)
     _table, conflicts = merge.append(empty, ch, FIXTURE_PK["ch_line"])
     return lsns_to_hex(conflicts.select("l_orderkey", "l_linenumber", "lsn", "seqval", "op"), "lsn")
 
@@ -783,11 +783,11 @@ from a left join b on a.lsn_no = b.lsn_no and a.seqval = b.seqval
 """,
 )
 def q_pair_updates(spark, sf):
-    """Before-image attached to each after-image of ``ch_user``."""
-    p = analytics.pair_updates(fixture(spark, sf, "ch_user"))
+    """Before-image attached to each after-image of ``ch_user`` (paired on position and key)."""
+    p = analytics.pair_updates(fixture(spark, sf, "ch_user"), pk=["user_id"])
     return lsns_to_hex(
         p.select(
-            F.col("new.user_id").alias("user_id"),
+            "user_id",
             "lsn",
             "seqval",
             F.col("old.value").alias("old_value"),
@@ -811,11 +811,11 @@ from a left join b on a.lsn_no = b.lsn_no and a.seqval = b.seqval
 )
 def q_changed_columns(spark, sf):
     """Which columns each ``ch_user`` update changed."""
-    p = analytics.pair_updates(fixture(spark, sf, "ch_user"))
+    p = analytics.pair_updates(fixture(spark, sf, "ch_user"), pk=["user_id"])
     c = analytics.changed_columns(p, ["user_id", "value", "event_type", "ts"])
     return lsns_to_hex(
         c.select(
-            F.col("new.user_id").alias("user_id"),
+            "user_id",
             "lsn",
             "seqval",
             F.concat_ws(",", "changed").alias("changed"),

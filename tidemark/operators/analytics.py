@@ -1,7 +1,7 @@
 """Questions about the changes themselves: update pairs, changed columns, net changes
 over a range, and source/target reconciliation.
 
-Pairing groups on (table, lsn, seqval) — two rows per group, uniformly hashed; net
+Pairing groups on (table, lsn, seqval, key) — two rows per group, uniformly hashed; net
 changes aggregate per key with ``min_by``/``max_by`` (partial aggregation, so a hot key
 is reduced map-side); reconciliation is one full outer join on the key.
 """
@@ -28,20 +28,25 @@ def _ident(df: DataFrame) -> list[str]:
     return [c for c in ENVELOPE_KEY if c in df.columns]
 
 
-def pair_updates(changes: DataFrame, payload: Sequence[str] | None = None) -> DataFrame:
+def pair_updates(
+    changes: DataFrame, pk: Sequence[str] = (), payload: Sequence[str] | None = None
+) -> DataFrame:
     """Attach each update's before-image (op 3) to its after-image (op 4).
 
-    Both images share (table, lsn, seqval). Returns one row per after-image with the
+    Both images share (table, lsn, seqval) and the row key (an update that changes the
+    key arrives as delete + insert instead), so pairs are grouped on all of them:
+    several keys may share a position. Returns one row per after-image with the
     structs ``old`` and ``new`` and ``missing_before``.
     """
     ident = _ident(changes)
     if payload is None:
         payload = [c for c in changes.columns if c not in (*ORDER_COLS, *ident, "batch_id")]
+    key = [c for c in ("pk_json", *pk) if c in changes.columns]
     op = F.col("op")
     img = F.struct(*[F.col(c) for c in payload])
     pairs = (
         changes.where(op.isin(OP_UPDATE_BEFORE, OP_UPDATE_AFTER))
-        .groupBy(*ident, "lsn", "seqval")
+        .groupBy(*ident, "lsn", "seqval", *key)
         .agg(
             F.first(F.when(op == OP_UPDATE_BEFORE, img), ignorenulls=True).alias("old"),
             F.first(F.when(op == OP_UPDATE_AFTER, img), ignorenulls=True).alias("new"),
@@ -56,11 +61,10 @@ def pair_update_json(changes: DataFrame) -> DataFrame:
     before-images are consumed, all other changes pass through."""
     ident = _ident(changes)
     op = F.col("op")
-    before = changes.where(op == OP_UPDATE_BEFORE).select(
-        *ident, "lsn", "seqval", F.col("row_json").alias("_tm_old")
-    )
+    key = [*ident, "lsn", "seqval", *[c for c in ("pk_json",) if c in changes.columns]]
+    before = changes.where(op == OP_UPDATE_BEFORE).select(*key, F.col("row_json").alias("_tm_old"))
     after = changes.where(op == OP_UPDATE_AFTER).drop("old_row_json")
-    paired = after.join(before, [*ident, "lsn", "seqval"], "left").withColumnRenamed(
+    paired = after.join(before, key, "left").withColumnRenamed(
         "_tm_old", "old_row_json"
     )
     rest = changes.where(~op.isin(OP_UPDATE_BEFORE, OP_UPDATE_AFTER) | op.isNull())
