@@ -9,7 +9,7 @@ from tidemark.plans.scan import Lag, Last, Sum, ordered_scan
 
 rows_st = st.lists(
     st.tuples(
-        st.sampled_from([0, 0, 0, 0, 1, 2, 3]),  # group 0 is hot
+        st.sampled_from([0, 0, 0, 0, 1, 2, 3, None]),  # group 0 is hot, None is a null group
         st.integers(0, 10_000),
         st.one_of(st.none(), st.integers(-5, 50)),
     ),
@@ -41,17 +41,19 @@ def scanned(df, group, order, blocks):
     )
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(rows=rows_st, blocks=st.integers(1, 9), grouped=st.booleans())
 def test_scan_matches_window(spark, rows, blocks, grouped):
     df = spark.createDataFrame(rows, "g int, o int, v int")
     group = ["g"] if grouped else []
-    want = sorted(tuple(r) for r in reference(df, group, ["o"] if grouped else ["g", "o"]).collect())
+    key = lambda t: tuple((x is None, x) for x in t)  # noqa: E731  (None-safe sort)
+    want = sorted((tuple(r) for r in reference(df, group, ["o"] if grouped else ["g", "o"]).collect()), key=key)
     got = sorted(
-        tuple(r)
+        (tuple(r)
         for r in scanned(df, group, ["o"] if grouped else ["g", "o"], blocks)
         .select("g", "o", "v", "s_in", "s_ex", "l", "lg")
-        .collect()
+        .collect()),
+        key=key,
     )
     assert got == want
 

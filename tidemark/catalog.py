@@ -919,8 +919,9 @@ where rn = 1 and op <> 1
 """,
 )
 def q_stream_apply_envelope(spark, sf):
-    """The MyDB envelope stream (users + orders) decoded per target table and applied;
-    ``users`` read back (timestamps travel at second precision in the envelope)."""
+    """The MyDB envelope stream (users + orders) applied for both tables in one job per
+    micro-batch; ``users`` read back and decoded with its schema (timestamps travel at
+    second precision in the envelope)."""
     from tidemark.session import scratch_dir
     from tidemark.streaming.apply import TableSpec, TableStore
     from tidemark.streaming.source import start_apply, stream_changes

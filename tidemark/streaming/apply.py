@@ -2,10 +2,13 @@
 
 ``TableStore`` keeps each target table as a compacted ``base`` plus per-micro-batch
 ``delta/epoch=N`` directories holding that batch's net change per key (tombstones
-included). ``apply_batch`` is the ``foreachBatch`` function:
+included). Envelope streams (``row_json``) are reduced for ALL tables in one job and
+stored partitioned by table, still as envelope rows; they are decoded with the table's
+schema when read, so a source with thousands of tables costs one job per micro-batch.
+``apply_batch`` is the ``foreachBatch`` function:
 
-1. persist the micro-batch (it is read once per target table);
-2. per table: keep applicable changes (replayed copies collapse in the next step), reduce to the last change per key
+1. persist the micro-batch;
+2. keep applicable changes (replayed copies collapse in the next step), reduce to the last change per key
    (``max_by`` with partial aggregation) and overwrite ``delta/epoch=N``; a replayed
    epoch rewrites the same directory, so re-delivery is idempotent;
 3. optionally check foreign keys across the new state (a deferred constraint);
@@ -79,25 +82,46 @@ class TableStore:
         p = jvm.org.apache.hadoop.fs.Path(path)
         return p.getFileSystem(conf).exists(p)
 
+    def _env_delta(self) -> str:
+        return f"{self.root}/envelope/delta"
+
+    def _is_envelope(self, name: str) -> bool:
+        return self.tables[name].schema is not None
+
     # -------------------------------------------------------------- writing -------
     def _table_changes(self, batch: DataFrame, spec: TableSpec) -> DataFrame:
-        if "row_json" not in batch.columns:
-            return batch
-        cond = F.lit(True)
-        if spec.source_schema is not None:
-            cond = cond & (F.col("schema_name") == spec.source_schema)
-        if spec.source_table is not None:
-            cond = cond & (F.col("table_name") == spec.source_table)
-        good, _bad = decode_rows(batch.where(cond), spec.schema, keep=ORDER_COLS)
-        return good
+        """A typed batch feeding the typed table ``spec`` (hook for custom routing)."""
+        return batch
+
+    def _targets(self) -> DataFrame:
+        rows = [
+            (spec.source_schema or "", spec.source_table or name, name)
+            for name, spec in self.tables.items()
+            if self._is_envelope(name)
+        ]
+        # one row per configured table: the bound is the table list itself
+        return F.broadcast(
+            self.spark.createDataFrame(rows, "schema_name string, table_name string, target string")
+        )
+
+    def _write_envelope(self, batch: DataFrame, epoch: int) -> None:
+        routed = batch.join(self._targets(), ["schema_name", "table_name"]).select(
+            "target", *ORDER_COLS, "pk_json", "row_json"
+        )
+        # Re-delivered copies of a change share its position, key and image, so the
+        # last-change-per-key reduction absorbs them; no separate dedupe pass.
+        d = latest_per_key(routed, ["target", "pk_json"], keep_deletes=True)
+        d.write.mode("overwrite").partitionBy("target").parquet(f"{self._env_delta()}/epoch={epoch}")
 
     def apply_batch(self, batch: DataFrame, epoch: int) -> None:
         """``foreachBatch`` body: write every table's delta, then the commit marker."""
         batch = batch.persist()
         try:
+            if "row_json" in batch.columns:
+                self._write_envelope(batch, epoch)
             for name, spec in self.tables.items():
-                # Re-delivered copies of a change share its position, key and image, so
-                # the last-change-per-key reduction absorbs them; no separate dedupe pass.
+                if self._is_envelope(name):
+                    continue
                 d = latest_per_key(self._table_changes(batch, spec), spec.pk, keep_deletes=True)
                 d.write.mode("overwrite").parquet(f"{self._delta(name)}/epoch={epoch}")
             for fk in self.foreign_keys:
@@ -145,8 +169,12 @@ class TableStore:
         parts = []
         if versions:
             parts.append(self.spark.read.parquet(f"{self._base(name)}/covered={covered}"))
-        if self._exists(self._delta(name)):
-            d = self.spark.read.parquet(self._delta(name))
+        env = self._is_envelope(name)
+        delta_root = self._env_delta() if env else self._delta(name)
+        if self._exists(delta_root):
+            d = self.spark.read.parquet(delta_root)
+            if env:  # partition pruning on the table directory
+                d = d.where(F.col("target") == name).drop("target")
             # one row per published micro-batch: broadcast behind a row check, so the
             # deltas are filtered in place instead of shuffled on the epoch number
             ok = bounded_broadcast(self.committed_epochs(extra_epoch))
@@ -160,11 +188,20 @@ class TableStore:
             out = out.unionByName(p)
         return out
 
-    def _resolve(self, name: str, extra_epoch: int | None = None) -> DataFrame:
+    def _latest(self, name: str, extra_epoch: int | None = None) -> DataFrame:
+        """Last change per key, still in storage form (envelope or typed)."""
         changes = self._changes(name, extra_epoch)
         if changes is None:
             raise FileNotFoundError(f"no data for table {name}")
-        return latest_per_key(changes, self.tables[name].pk)
+        pk = ["pk_json"] if self._is_envelope(name) else list(self.tables[name].pk)
+        return latest_per_key(changes, pk)
+
+    def _resolve(self, name: str, extra_epoch: int | None = None) -> DataFrame:
+        latest = self._latest(name, extra_epoch)
+        if not self._is_envelope(name):
+            return latest
+        typed, _bad = decode_rows(latest, self.tables[name].schema, keep=ORDER_COLS)
+        return typed
 
     def read_table(self, name: str, with_meta: bool = False) -> DataFrame:
         """The table as of the last committed micro-batch."""
@@ -177,6 +214,6 @@ class TableStore:
         top = self.committed_epochs().agg(F.max("epoch")).first()[0]
         if top is None:
             return -1
-        table = self._resolve(name)
+        table = self._latest(name)
         table.write.mode("overwrite").parquet(f"{self._base(name)}/covered={int(top)}")
         return int(top)
