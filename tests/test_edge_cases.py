@@ -175,3 +175,24 @@ def test_pair_update_json(spark):
     ).withColumn("lsn", lsn_from_number("n")).withColumn("old_row_json", F.lit(None).cast("string"))
     out = sorted((r.op, r.old_row_json) for r in analytics.pair_update_json(df).collect())
     assert out == [(2, None), (4, '{"k":1,"v":"old"}')]
+
+
+def test_fold_cursors_with_poll_events(spark):
+    rows = [
+        ("s", 1, "OK", 10, 5),
+        ("s", 2, "RETRY", 20, 0),
+        ("s", 3, "EMPTY_POLL", 30, 0),
+        ("s", 4, "FAILED", 40, 0),
+        ("t", 1, "SKIPPED", 7, 0),
+    ]
+    ev = spark.createDataFrame(rows, "source string, batch_no long, status string, lsn_no long, rows_processed long")
+    ev = ev.withColumn("lsn", lsn_from_number("lsn_no"))
+    got = {r.source: r for r in batches.fold_cursors(ev).collect()}
+    s = got["s"]
+    assert int(bytes(s.cursor_lsn).hex(), 16) == 30 and int(bytes(s.last_acked_lsn).hex(), 16) == 10
+    assert (s.rows_processed, s.acked_batches, s.retries, s.failures, s.last_status, s.last_error) == (
+        5, 1, 1, 1, "FAILED", "FAILED")
+    t = got["t"]
+    assert int(bytes(t.cursor_lsn).hex(), 16) == 7 and t.last_acked_lsn is None
+    starts = {r.source: r.from_beginning for r in batches.start_positions(batches.fold_cursors(ev)).collect()}
+    assert starts == {"s": False, "t": True}

@@ -63,6 +63,9 @@ def test_replayed_epoch_is_idempotent_and_compaction(spark):
     assert store.compact("t") == 0
     store.apply_batch(second, 1)
     store.apply_batch(second.unionByName(second), 1)  # replay with duplicated rows
+    acks = sorted((r.epoch, r.changes, r.status) for r in store.acks().collect())
+    assert acks == [(0, 30, "OK"), (1, 60, "OK")]
+    assert all(r.apply_ms >= 0 for r in store.acks().collect())
     got = sorted(tuple(r) for r in store.read_table("t").collect())
     want = sorted(tuple(r) for r in merge.table_columns(merge.latest_per_key(ch, ["k"])).collect())
     assert got == want

@@ -15,10 +15,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import envelope as env
 from tidemark.functions.lsn import lsn_from_number, lsns_to_hex
-from tidemark.model import ORDER_COLS
 from tidemark.operators import analytics, batches, ranges, routing
 from tidemark.operators import merge
-from tidemark.plans.scan import Sum, ordered_scan
 from tidemark.sources.fixtures import FIXTURE_PK, FIXTURE_SQL, fixture, oracle_with, table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -337,17 +335,10 @@ from changelog
 )
 def q_assign_sequence(spark, sf):
     """0-based sequence per (source, table) in (lsn, seqval, op) order."""
-    seq = assign_sequence(changelog(spark, sf).select(*ENV_COLS))
+    seq = batches.assign_sequence(changelog(spark, sf).select(*ENV_COLS))
     return _out(seq, ["source", "table_name", "lsn", "seqval", "op", "sequence_number"])
 
 
-def assign_sequence(changes: DataFrame, within=("source", "schema_name", "table_name")) -> DataFrame:
-    """0-based ordinal per ``within`` group in change order (block-wise running count)."""
-    return ordered_scan(
-        changes, list(within), list(ORDER_COLS), [Sum(F.lit(1), "sequence_number", inclusive=False)]
-    )
-
-
 @register(
     "map_columns",
     oracle_with("ch_line")

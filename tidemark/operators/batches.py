@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.errors import classify_error
 from tidemark.functions.lsn import lsn_hex
-from tidemark.model import ACK_OK, ACK_PARTIAL, ACK_RETRY, ADVANCING_STATUSES
+from tidemark.model import ACK_OK, ACK_RETRY, ADVANCING_STATUSES, ORDER_COLS
 from tidemark.plans.scan import Lag, Last, Sum, ordered_scan
 
 # ---- fixed values: cursor events that are not acknowledgements ---------------------
@@ -25,6 +25,22 @@ SKIPPED = "SKIPPED"  # every change was untracked: move to the batch's last LSN
 CURSOR_MOVES = (*ADVANCING_STATUSES, EMPTY_POLL, SKIPPED)
 
 
+def assign_sequence(
+    changes: DataFrame,
+    within: Sequence[str] = ("source", "schema_name", "table_name"),
+    blocks: int | None = None,
+) -> DataFrame:
+    """0-based ``sequence_number`` per ``within`` group in (lsn, seqval, op) order.
+
+    Per table by default; add ``batch_id`` to ``within`` for a per-poll numbering. A
+    block-wise running count, so a table holding most of the log is still split.
+    """
+    within = [c for c in within if c in changes.columns]
+    return ordered_scan(
+        changes, within, list(ORDER_COLS), [Sum(F.lit(1), "sequence_number", inclusive=False)], blocks
+    )
+
+
 def assign_batches(
     changes: DataFrame, n: int, by: Sequence[str] = ("source",), blocks: int | None = None
 ) -> DataFrame:

@@ -23,6 +23,7 @@ All paths are on the store root the caller gives (shared storage on a cluster).
 
 from __future__ import annotations
 
+import time
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.envelope import decode_rows
-from tidemark.model import ORDER_COLS
+from tidemark.model import ACK_OK, ORDER_COLS
 from tidemark.plans.joins import bounded_broadcast
 from tidemark.operators.merge import check_foreign_keys, latest_per_key
 
@@ -114,7 +115,12 @@ class TableStore:
         d.write.mode("overwrite").partitionBy("target").parquet(f"{self._env_delta()}/epoch={epoch}")
 
     def apply_batch(self, batch: DataFrame, epoch: int) -> None:
-        """``foreachBatch`` body: write every table's delta, then the commit marker."""
+        """``foreachBatch`` body: write every table's delta, then the commit marker.
+
+        The marker is this micro-batch's acknowledgement: its change count and the time
+        spent applying (not receiving) it.
+        """
+        started = time.monotonic()
         batch = batch.persist()
         try:
             if "row_json" in batch.columns:
@@ -130,9 +136,11 @@ class TableStore:
                 if check_foreign_keys(child, parent, fk.fk, fk.ref).limit(1).count() > 0:
                     raise ForeignKeyViolation(f"epoch {epoch}: orphans in {fk.child}")
             rows = batch.count()
-            self.spark.createDataFrame([(int(epoch), int(rows))], "epoch long, changes long").coalesce(
-                1
-            ).write.mode("overwrite").json(f"{self._commits()}/epoch={epoch}")
+            apply_ms = int((time.monotonic() - started) * 1000)
+            self.spark.createDataFrame(
+                [(int(epoch), int(rows), apply_ms, ACK_OK)],
+                "epoch long, changes long, apply_ms long, status string",
+            ).coalesce(1).write.mode("overwrite").json(f"{self._commits()}/epoch={epoch}")
         finally:
             batch.unpersist()
 
@@ -147,6 +155,14 @@ class TableStore:
             ok = ok.unionByName(self.spark.createDataFrame([(int(extra_epoch),)], "epoch long"))
         return ok
 
+    def acks(self) -> DataFrame:
+        """Acknowledgements of the published micro-batches (epoch, changes, apply_ms, status)."""
+        if not self._exists(self._commits()):
+            return self.spark.createDataFrame([], "epoch long, changes long, apply_ms long, status string")
+        return self.spark.read.schema(
+            "epoch long, changes long, apply_ms long, status string"
+        ).json(self._commits())
+
     def _base_versions(self, name: str) -> list[int]:
         root = self._base(name)
         if not self._exists(root):
