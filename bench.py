@@ -48,7 +48,8 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     names = sys.argv[1:] or HEADLINE
     runs = max(1, int(os.environ.get("BENCH_RUNS", "2")))
-    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=max(8, 2 * cpus))
+    parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(max(8, 2 * cpus))))
+    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=parts)
     # warm-up on the smallest data set (JIT, class loading); not timed
     catalog.REGISTRY["latest_per_key"].run(spark, "/root/testdata/sf0.001").write.format("noop").mode(
         "overwrite"
