@@ -27,7 +27,7 @@ import time
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -121,21 +121,26 @@ class TableStore:
         spent applying (not receiving) it.
         """
         started = time.monotonic()
-        batch = batch.persist()
+        # the change count rides along the first write job instead of a separate pass
+        seen = Observation(f"tidemark_batch_{epoch}")
+        batch = batch.observe(seen, F.count(F.lit(1)).alias("changes")).persist()
+        wrote = False
         try:
             if "row_json" in batch.columns:
                 self._write_envelope(batch, epoch)
+                wrote = True
             for name, spec in self.tables.items():
                 if self._is_envelope(name):
                     continue
                 d = latest_per_key(self._table_changes(batch, spec), spec.pk, keep_deletes=True)
                 d.write.mode("overwrite").parquet(f"{self._delta(name)}/epoch={epoch}")
+                wrote = True
             for fk in self.foreign_keys:
                 child = self._resolve(fk.child, extra_epoch=epoch)
                 parent = self._resolve(fk.parent, extra_epoch=epoch)
                 if check_foreign_keys(child, parent, fk.fk, fk.ref).limit(1).count() > 0:
                     raise ForeignKeyViolation(f"epoch {epoch}: orphans in {fk.child}")
-            rows = batch.count()
+            rows = seen.get["changes"] if wrote else batch.count()
             apply_ms = int((time.monotonic() - started) * 1000)
             self.spark.createDataFrame(
                 [(int(epoch), int(rows), apply_ms, ACK_OK)],
