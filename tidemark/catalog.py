@@ -263,6 +263,45 @@ def q_poll_per_capture(spark, sf):
     return _out(ranges.poll_per_capture(changelog(spark, sf), cursors(spark), 1000))
 
 
+CURSORS2_SQL = (
+    "cursors AS (select * from (values ('MyDB', cast(900 as bigint)), ('Archive', cast(100000 as bigint)))"
+    " as t(source, cursor_no))\n"
+)
+
+
+@register(
+    "poll_cursor",
+    _with_changelog()
+    + ", "
+    + CURSORS2_SQL
+    + f""", pend AS (
+  select c.* from changelog c left join cursors k on c.source = k.source
+  where k.cursor_no is null or c.lsn_no > k.cursor_no),
+per AS (select source, lsn_no, count(*) as n from pend group by source, lsn_no),
+run AS (select source, lsn_no,
+    sum(n) over (partition by source order by lsn_no rows between unbounded preceding and current row) as r,
+    row_number() over (partition by source order by lsn_no) as rn from per),
+cut AS (select source, max(lsn_no) as cut from run where r <= 1000 or rn = 1 group by source),
+pmax AS (select source, max(lsn_no) as pmax from pend group by source),
+polled AS (select p.source, count(*) as polled from pend p join cut on p.source = cut.source
+  where p.lsn_no <= cut.cut group by p.source),
+tops AS (select source, max(lsn_no) as top from changelog group by source)
+select t.source, coalesce(pl.polled, 0) as polled,
+  {_hex('case when cut.cut is null then greatest(t.top, coalesce(k.cursor_no, t.top)) else cut.cut end')} as next_cursor_lsn,
+  coalesce(cut.cut < pmax.pmax, false) as truncated, cut.cut is null as empty_poll
+from tops t left join cursors k on t.source = k.source left join cut on t.source = cut.source
+  left join pmax on t.source = pmax.source left join polled pl on t.source = pl.source
+""",
+)
+def q_poll_cursor(spark, sf):
+    """Next cursor per source after one 1000-row poll; Archive's cursor lies past its
+    log, so its poll is empty and its cursor stays (never moves backwards)."""
+    cur = spark.createDataFrame([("MyDB", 900), ("Archive", 100000)], "source string, cursor_no bigint").select(
+        "source", lsn_from_number("cursor_no").alias("cursor_lsn")
+    )
+    return lsns_to_hex(ranges.poll_cursor(changelog(spark, sf), cur, 1000), "next_cursor_lsn")
+
+
 # ----------------------------------------------------------- envelope -------------
 
 

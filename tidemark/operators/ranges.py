@@ -170,3 +170,38 @@ def poll_per_capture(
     return pending.join(hw, "source").where(F.col("lsn") <= F.col("high_water_lsn")).drop(
         "high_water_lsn"
     )
+
+
+def poll_cursor(
+    changes: DataFrame, cursors: DataFrame | None, batch_size: int
+) -> DataFrame:
+    """Where each source's cursor goes after one ``poll_changes``.
+
+    A poll takes whole LSNs up to its cut, so the next cursor is that cut; a source with
+    nothing after its cursor (an empty poll) moves to its max LSN, never backwards.
+    Returns (source, polled, next_cursor_lsn, truncated, empty_poll).
+    """
+    pending = after_cursor(changes, cursors)
+    cuts = _cuts(pending, batch_size, ["source"], with_max=True)
+    polled = (
+        pending.join(bounded_broadcast(cuts.select("source", "cut_lsn"), materialize=True), "source")
+        .where(F.col("lsn") <= F.col("cut_lsn"))
+        .groupBy("source")
+        .agg(F.count(F.lit(1)).alias("polled"))
+    )
+    tops = changes.groupBy("source").agg(F.max("lsn").alias("_tm_top"))
+    if cursors is not None:
+        tops = tops.join(bounded_broadcast(cursors.select("source", "cursor_lsn")), "source", "left")
+    else:
+        tops = tops.withColumn("cursor_lsn", F.lit(None).cast("binary"))
+    j = tops.join(cuts, "source", "left").join(polled, "source", "left")
+    empty = F.col("cut_lsn").isNull()
+    return j.select(
+        "source",
+        F.coalesce(F.col("polled"), F.lit(0)).alias("polled"),
+        F.when(empty, F.greatest(F.col("_tm_top"), F.coalesce(F.col("cursor_lsn"), F.col("_tm_top"))))
+        .otherwise(F.col("cut_lsn"))
+        .alias("next_cursor_lsn"),
+        F.coalesce(F.col("cut_lsn") < F.col("max_lsn"), F.lit(False)).alias("truncated"),
+        empty.alias("empty_poll"),
+    )
