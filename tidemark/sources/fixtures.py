@@ -8,7 +8,6 @@ rows in the schemas the jobs expect and do none of the jobs' work.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidemark.functions.lsn import lsn_from_number
 
