@@ -14,9 +14,10 @@ schema when read, so a source with thousands of tables costs one job per micro-b
 3. optionally check foreign keys across the new state (a deferred constraint);
 4. publish the commit marker ``_commits/epoch=N`` last.
 
-Readers take base ∪ committed deltas and resolve them with the same last-change-per-key
-rule, so a batch is visible in all its tables at once or not at all. Compaction writes
-a new base version and records which epochs it covers.
+Readers upsert the committed deltas onto the latest base version (the base keeps one
+live row per key, so it is scanned and anti-joined, never re-aggregated), so a batch is
+visible in all its tables at once or not at all. Compaction writes a new base version
+and records which epochs it covers.
 
 All paths are on the store root the caller gives (shared storage on a cluster).
 """
@@ -34,7 +35,7 @@ from pyspark.sql import types as T
 from tidemark.functions.envelope import decode_rows
 from tidemark.model import ACK_OK, ORDER_COLS
 from tidemark.plans.joins import bounded_broadcast
-from tidemark.operators.merge import check_foreign_keys, latest_per_key
+from tidemark.operators.merge import check_foreign_keys, latest_per_key, upsert
 
 
 class ForeignKeyViolation(RuntimeError):
@@ -183,15 +184,19 @@ class TableStore:
                 out.append(int(nm.split("=", 1)[1]))
         return sorted(out)
 
-    def _changes(self, name: str, extra_epoch: int | None = None) -> DataFrame | None:
-        """Base (latest compacted version) ∪ committed deltas newer than it."""
+    def _key(self, name: str) -> list[str]:
+        return ["pk_json"] if self._is_envelope(name) else list(self.tables[name].pk)
+
+    def _base_and_deltas(
+        self, name: str, extra_epoch: int | None = None
+    ) -> tuple[DataFrame | None, DataFrame | None]:
+        """Latest compacted base version and the committed deltas newer than it."""
         versions = self._base_versions(name)
         covered = versions[-1] if versions else -1
-        parts = []
-        if versions:
-            parts.append(self.spark.read.parquet(f"{self._base(name)}/covered={covered}"))
+        base = self.spark.read.parquet(f"{self._base(name)}/covered={covered}") if versions else None
         env = self._is_envelope(name)
         delta_root = self._env_delta() if env else self._delta(name)
+        deltas = None
         if self._exists(delta_root):
             d = self.spark.read.parquet(delta_root)
             if env:  # partition pruning on the table directory
@@ -199,23 +204,26 @@ class TableStore:
             # one row per published micro-batch: broadcast behind a row check, so the
             # deltas are filtered in place instead of shuffled on the epoch number
             ok = bounded_broadcast(self.committed_epochs(extra_epoch))
-            parts.append(
-                d.where(F.col("epoch") > covered).join(ok, "epoch", "left_semi").drop("epoch")
-            )
-        if not parts:
-            return None
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p)
-        return out
+            deltas = d.where(F.col("epoch") > covered).join(ok, "epoch", "left_semi").drop("epoch")
+        return base, deltas
 
     def _latest(self, name: str, extra_epoch: int | None = None) -> DataFrame:
-        """Last change per key, still in storage form (envelope or typed)."""
-        changes = self._changes(name, extra_epoch)
-        if changes is None:
+        """Last change per key, still in storage form (envelope or typed).
+
+        The base already holds one live row per key, so it is never re-aggregated: the
+        deltas are reduced to their last change per key and upserted onto it (an
+        anti-join on the delta keys, broadcast by AQE when the deltas are small). The
+        base is scanned, not shuffled, however large it grows.
+        """
+        base, deltas = self._base_and_deltas(name, extra_epoch)
+        if base is None and deltas is None:
             raise FileNotFoundError(f"no data for table {name}")
-        pk = ["pk_json"] if self._is_envelope(name) else list(self.tables[name].pk)
-        return latest_per_key(changes, pk)
+        key = self._key(name)
+        if deltas is None:
+            return base
+        if base is None:
+            return latest_per_key(deltas, key)
+        return upsert(base, deltas, key)
 
     def _resolve(self, name: str, extra_epoch: int | None = None) -> DataFrame:
         latest = self._latest(name, extra_epoch)
