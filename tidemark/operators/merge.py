@@ -179,10 +179,14 @@ def key_history(
 ) -> DataFrame:
     """Applied changes with ``prev_op`` and ``live_before`` (key present just before).
 
-    The first change of a key falls back to the key's presence in ``target``.
+    The first change of a key falls back to the key's presence in ``target``. Only the
+    key, the position ``(lsn, seqval, op)`` and the change's routing columns (source,
+    table, batch) are carried: the per-key scan checkpoints what it is given, so the
+    row images stay out of it; join back on (key, position) when they are needed.
     """
     pk = list(pk)
-    applied = applicable(changes, pk)
+    carry = [c for c in ("source", "schema_name", "table_name", "batch_id") if c in changes.columns]
+    applied = applicable(changes, pk).select(*carry, *pk, *ORDER_COLS)
     scanned = ordered_scan(applied, pk, list(ORDER_COLS), [Lag("op", "prev_op")], blocks=blocks)
     if target is None:
         in_target = F.lit(False)
@@ -207,7 +211,8 @@ def rows_affected(
     mode: str = "upsert",
     blocks: int | None = None,
 ) -> DataFrame:
-    """Per applied change, the rows the target statement would report.
+    """Per applied change (key, position, routing columns), the rows the target
+    statement would report.
 
     ``upsert``: insert-or-update reports 1; ``insert_ignore``: 0 on a live key;
     a delete reports 1 only when the key is live at that moment.
@@ -230,9 +235,10 @@ def append(
 ) -> tuple[DataFrame, DataFrame]:
     """Non-idempotent apply: inserts and after-images become plain inserts.
 
-    Returns ``(table, conflicts)``. A conflict is an insert of a key that is live at
-    that moment (delete then insert is fine); any conflict fails the whole batch, so
-    the caller must check ``conflicts`` is empty before publishing ``table``.
+    Returns ``(table, conflicts)``. A conflict (key, position) is an insert of a key
+    that is live at that moment (delete then insert is fine); any conflict fails the
+    whole batch, so the caller must check ``conflicts`` is empty before publishing
+    ``table``.
     """
     pk = list(pk)
     hist = key_history(changes, target, pk, blocks=blocks)
