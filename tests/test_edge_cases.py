@@ -46,7 +46,7 @@ def test_malformed_and_empty_json(spark):
     reasons = {
         r.lsn_no: r.reject_reason for r in merge.tag_applicable(df).collect()
     }
-    assert reasons == {1: None, 2: None, 3: "empty_row", 4: "empty_key"}
+    assert reasons == {1: None, 2: "malformed_row", 3: "empty_row", 4: "empty_key"}
     good, bad = env.decode_rows(df, spark.createDataFrame([], "k long, v string").schema)
     assert sorted(r.k for r in good.collect() if r.k is not None) == [1, 4]
     assert [r.lsn_no for r in bad.select(F.conv(F.hex("lsn"), 16, 10).cast("long").alias("lsn_no")).collect()] == [2]

@@ -123,3 +123,22 @@ def test_envelope_store_one_job_replay_and_compaction(spark):
         got = sorted(tuple(r) for r in store.read_table(name).select("k", "v").collect())
         want = sorted(tuple(r) for r in merge.latest_per_key(src, ["k"]).select("k", "v").collect())
         assert got == want, name
+
+
+def test_malformed_latest_change_keeps_previous_version(spark):
+    from tidemark.functions.lsn import lsn_from_number as lfn
+
+    root = tempfile.mkdtemp(prefix="tm-bad-")
+    rows = [
+        ("db", "dbo", "a", 1, 0, 2, '{"k":1}', '{"k":1,"v":"good"}'),
+        ("db", "dbo", "a", 2, 0, 4, '{"k":1}', '{"k":1,"v":'),  # truncated JSON
+        ("db", "dbo", "a", 2, 1, 2, '{"k":2}', '{"k":2,"v":"two"}'),
+    ]
+    log = spark.createDataFrame(
+        rows, "source string, schema_name string, table_name string, n long, seqval long, op int, pk_json string, row_json string"
+    ).withColumn("lsn", lfn("n")).drop("n")
+    schema = spark.createDataFrame([], "k long, v string").schema
+    store = TableStore(spark, f"{root}/store", {"ta": TableSpec("ta", ("k",), schema, "dbo", "a")})
+    store.apply_batch(log, 0)
+    assert sorted(tuple(r) for r in store.read_table("ta").collect()) == [(1, "good"), (2, "two")]
+    assert [(r.changes, r.rejected) for r in store.acks().collect()] == [(3, 1)]

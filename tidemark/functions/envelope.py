@@ -19,6 +19,7 @@ from tidemark.model import OP_NAMES, ORDER_COLS
 
 RFC3339 = "yyyy-MM-dd'T'HH:mm:ssXXX"
 CORRUPT = "_corrupt_record"
+MALFORMED_ROW = "malformed_row"
 ENVELOPE_COLUMNS = (
     "source",
     "schema_name",
@@ -154,7 +155,7 @@ def decode_rows(
     tagged = changes.select(*kept, *cols, json_col, malformed.alias("_tm_bad"))
     good = tagged.where(~F.col("_tm_bad")).drop("_tm_bad", json_col)
     bad = tagged.where(F.col("_tm_bad")).drop("_tm_bad").withColumn(
-        "reject_reason", F.lit("malformed_row")
+        "reject_reason", F.lit(MALFORMED_ROW)
     )
     return good, bad
 

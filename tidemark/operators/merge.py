@@ -38,6 +38,9 @@ REJECT_EMPTY_ROW = "empty_row"
 REJECT_EMPTY_KEY = "empty_key"
 REJECT_NULL_KEY = "null_key"
 REJECT_NO_PRIMARY_KEY = "no_primary_key"
+REJECT_MALFORMED_ROW = "malformed_row"
+# reasons that are data errors (before-images and unknown codes are skipped by design)
+DATA_ERRORS = (REJECT_EMPTY_ROW, REJECT_EMPTY_KEY, REJECT_NULL_KEY, REJECT_MALFORMED_ROW)
 
 _EMPTY_JSON = r"^\s*\{\s*\}\s*$"
 
@@ -53,8 +56,9 @@ def reject_reason(changes: DataFrame, pk: Sequence[str] = ()) -> Column:
     """Why a change is skipped (null = applied).
 
     Before-images are never applied; unknown operation codes are skipped; in the
-    envelope form an upsert with an empty row and a delete with an empty key are
-    skipped; an upsert whose key has a null part cannot be keyed.
+    envelope form an upsert with an empty or unparsable row and a delete with an empty
+    key are skipped (so a bad change never replaces a key's last good version); an
+    upsert whose key has a null part cannot be keyed.
     """
     op = F.col("op")
     reason = F.when(op == OP_UPDATE_BEFORE, F.lit(REJECT_BEFORE_IMAGE)).when(
@@ -63,6 +67,8 @@ def reject_reason(changes: DataFrame, pk: Sequence[str] = ()) -> Column:
     if "row_json" in changes.columns:
         row_empty = F.col("row_json").isNull() | F.col("row_json").rlike(_EMPTY_JSON)
         reason = reason.when(op.isin(*UPSERT_OPS) & row_empty, F.lit(REJECT_EMPTY_ROW))
+        unparsable = F.from_json(F.col("row_json"), "map<string,string>").isNull()
+        reason = reason.when(op.isin(*UPSERT_OPS) & unparsable, F.lit(REJECT_MALFORMED_ROW))
     if "pk_json" in changes.columns:
         key_empty = F.col("pk_json").isNull() | F.col("pk_json").rlike(_EMPTY_JSON)
         reason = reason.when((op == OP_DELETE) & key_empty, F.lit(REJECT_EMPTY_KEY))

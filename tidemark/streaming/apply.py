@@ -35,7 +35,15 @@ from pyspark.sql import types as T
 from tidemark.functions.envelope import decode_rows
 from tidemark.model import ACK_OK, ORDER_COLS
 from tidemark.plans.joins import bounded_broadcast
-from tidemark.operators.merge import check_foreign_keys, latest_per_key, upsert
+from tidemark.operators.merge import (
+    DATA_ERRORS,
+    check_foreign_keys,
+    latest_per_key,
+    reject_reason,
+    upsert,
+)
+
+ACK_SCHEMA = "epoch long, changes long, rejected long, apply_ms long, status string"
 
 
 class ForeignKeyViolation(RuntimeError):
@@ -118,13 +126,19 @@ class TableStore:
     def apply_batch(self, batch: DataFrame, epoch: int) -> None:
         """``foreachBatch`` body: write every table's delta, then the commit marker.
 
-        The marker is this micro-batch's acknowledgement: its change count and the time
-        spent applying (not receiving) it.
+        The marker is this micro-batch's acknowledgement: its change count, how many
+        changes were rejected as data errors, and the time spent applying (not
+        receiving) it.
         """
         started = time.monotonic()
         # the change count rides along the first write job instead of a separate pass
         seen = Observation(f"tidemark_batch_{epoch}")
-        batch = batch.observe(seen, F.count(F.lit(1)).alias("changes")).persist()
+        errors = reject_reason(batch).isin(*DATA_ERRORS)
+        batch = batch.observe(
+            seen,
+            F.count(F.lit(1)).alias("changes"),
+            F.count(F.when(errors, F.lit(1))).alias("rejected"),
+        ).persist()
         wrote = False
         try:
             if "row_json" in batch.columns:
@@ -141,11 +155,14 @@ class TableStore:
                 parent = self._resolve(fk.parent, extra_epoch=epoch)
                 if check_foreign_keys(child, parent, fk.fk, fk.ref).limit(1).count() > 0:
                     raise ForeignKeyViolation(f"epoch {epoch}: orphans in {fk.child}")
-            rows = seen.get["changes"] if wrote else batch.count()
+            if wrote:
+                rows, rejected = seen.get["changes"], seen.get["rejected"]
+            else:
+                rows, rejected = batch.count(), batch.where(errors).count()
             apply_ms = int((time.monotonic() - started) * 1000)
             self.spark.createDataFrame(
-                [(int(epoch), int(rows), apply_ms, ACK_OK)],
-                "epoch long, changes long, apply_ms long, status string",
+                [(int(epoch), int(rows), int(rejected), apply_ms, ACK_OK)],
+                ACK_SCHEMA,
             ).coalesce(1).write.mode("overwrite").json(f"{self._commits()}/epoch={epoch}")
         finally:
             batch.unpersist()
@@ -162,12 +179,11 @@ class TableStore:
         return ok
 
     def acks(self) -> DataFrame:
-        """Acknowledgements of the published micro-batches (epoch, changes, apply_ms, status)."""
+        """Acknowledgements of the published micro-batches: epoch, changes, rejected
+        (data errors kept out of the tables), apply_ms, status."""
         if not self._exists(self._commits()):
-            return self.spark.createDataFrame([], "epoch long, changes long, apply_ms long, status string")
-        return self.spark.read.schema(
-            "epoch long, changes long, apply_ms long, status string"
-        ).json(self._commits())
+            return self.spark.createDataFrame([], ACK_SCHEMA)
+        return self.spark.read.schema(ACK_SCHEMA).json(self._commits())
 
     def _base_versions(self, name: str) -> list[int]:
         root = self._base(name)
