@@ -28,12 +28,12 @@ import time
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.envelope import decode_rows
-from tidemark.model import ACK_OK, ORDER_COLS
+from tidemark.functions.envelope import decode_json, decode_rows
+from tidemark.model import ACK_OK, ORDER_COLS, UPSERT_OPS
 from tidemark.plans.joins import bounded_broadcast
 from tidemark.operators.merge import (
     DATA_ERRORS,
@@ -75,6 +75,10 @@ class TableStore:
     root: str
     tables: Mapping[str, TableSpec]
     foreign_keys: Sequence[ForeignKey] = field(default_factory=tuple)
+    # envelope rows are type-checked against their table's schema at write time (one
+    # CASE over the tables) up to this many tables; beyond it, rows whose values do
+    # not fit the schema surface at read time through ``read_rejected``
+    validate_max_tables: int = 64
 
     # ---------------------------------------------------------------- paths -------
     def _delta(self, name: str) -> str:
@@ -114,14 +118,35 @@ class TableStore:
             self.spark.createDataFrame(rows, "schema_name string, table_name string, target string")
         )
 
-    def _write_envelope(self, batch: DataFrame, epoch: int) -> None:
+    def _type_errors(self) -> Column:
+        """Upserts whose (parsable) row JSON does not fit the target table's schema."""
+        specs = [(n, sp) for n, sp in self.tables.items() if self._is_envelope(n)]
+        if not specs or len(specs) > self.validate_max_tables:
+            return F.lit(False)
+        bad = None
+        for name, spec in specs:
+            _cols, b = decode_json(F.col("row_json"), spec.schema)
+            cond = F.col("target") == name
+            bad = F.when(cond, b) if bad is None else bad.when(cond, b)
+        parsable = F.from_json(F.col("row_json"), "map<string,string>").isNotNull()
+        return F.col("op").isin(*UPSERT_OPS) & parsable & F.coalesce(bad, F.lit(False))
+
+    def _write_envelope(self, batch: DataFrame, epoch: int) -> Observation:
         routed = batch.join(self._targets(), ["schema_name", "table_name"]).select(
             "target", *ORDER_COLS, "pk_json", "row_json"
         )
+        # a change that does not fit its table is rejected before the reduction, so it
+        # never replaces the key's last good version; counted in the same job
+        typed = Observation(f"tidemark_types_{epoch}")
+        flagged = routed.withColumn("_tm_type_error", self._type_errors()).observe(
+            typed, F.count(F.when(F.col("_tm_type_error"), F.lit(1))).alias("type_errors")
+        )
+        valid = flagged.where(~F.col("_tm_type_error")).drop("_tm_type_error")
         # Re-delivered copies of a change share its position, key and image, so the
         # last-change-per-key reduction absorbs them; no separate dedupe pass.
-        d = latest_per_key(routed, ["target", "pk_json"], keep_deletes=True)
+        d = latest_per_key(valid, ["target", "pk_json"], keep_deletes=True)
         d.write.mode("overwrite").partitionBy("target").parquet(f"{self._env_delta()}/epoch={epoch}")
+        return typed
 
     def apply_batch(self, batch: DataFrame, epoch: int) -> None:
         """``foreachBatch`` body: write every table's delta, then the commit marker.
@@ -140,9 +165,10 @@ class TableStore:
             F.count(F.when(errors, F.lit(1))).alias("rejected"),
         ).persist()
         wrote = False
+        typed = None
         try:
             if "row_json" in batch.columns:
-                self._write_envelope(batch, epoch)
+                typed = self._write_envelope(batch, epoch)
                 wrote = True
             for name, spec in self.tables.items():
                 if self._is_envelope(name):
@@ -159,6 +185,8 @@ class TableStore:
                 rows, rejected = seen.get["changes"], seen.get["rejected"]
             else:
                 rows, rejected = batch.count(), batch.where(errors).count()
+            if typed is not None:
+                rejected += typed.get["type_errors"]
             apply_ms = int((time.monotonic() - started) * 1000)
             self.spark.createDataFrame(
                 [(int(epoch), int(rows), int(rejected), apply_ms, ACK_OK)],
@@ -248,6 +276,14 @@ class TableStore:
         typed, _bad = decode_rows(latest, self.tables[name].schema, keep=ORDER_COLS)
         return typed
 
+    def read_rejected(self, name: str) -> DataFrame:
+        """Stored rows of an envelope table whose values do not fit its schema (only
+        possible when write-time type checks were skipped, see ``validate_max_tables``)."""
+        if not self._is_envelope(name):
+            return self.spark.createDataFrame([], "pk_json string")
+        _good, bad = decode_rows(self._latest(name), self.tables[name].schema, keep=ORDER_COLS)
+        return bad
+
     def read_table(self, name: str, with_meta: bool = False) -> DataFrame:
         """The table as of the last committed micro-batch."""
         out = self._resolve(name)
