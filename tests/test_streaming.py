@@ -166,3 +166,28 @@ def test_type_mismatch_is_rejected_at_write(spark):
     loose = TableStore(spark, f"{root2}/store", {"ta": TableSpec("ta", ("k",), schema, "dbo", "a")}, validate_max_tables=0)
     loose.apply_batch(log, 0)
     assert loose.read_rejected("ta").count() == 1
+
+
+def test_dedupe_stream_within_watermark(spark):
+    import datetime as dt
+
+    from tidemark.streaming.source import dedupe_stream
+
+    root = tempfile.mkdtemp(prefix="tm-dd-")
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [("s", "dbo", "t", bytearray(i.to_bytes(10, "big")), i, 2, f'{{"k":{i}}}', t0 + dt.timedelta(seconds=i)) for i in range(20)]
+    schema = "source string, schema_name string, table_name string, lsn binary, seqval long, op int, pk_json string, source_ts timestamp"
+    first = spark.createDataFrame(rows, schema)
+    first.write.parquet(f"{root}/log/part=1")
+    first.where("seqval < 10").write.parquet(f"{root}/log/part=2")  # re-delivery
+    from pyspark.sql.types import IntegerType, StructField, StructType
+
+    part_schema = StructType([*first.schema.fields, StructField("part", IntegerType())])
+    src = stream_changes(spark, f"{root}/log", part_schema, max_files_per_trigger=1)
+    q = (
+        dedupe_stream(src, "source_ts", "1 hour")
+        .writeStream.format("memory").queryName("tm_dedupe_out")
+        .option("checkpointLocation", f"{root}/ckpt").trigger(availableNow=True).start()
+    )
+    q.awaitTermination()
+    assert spark.sql("select count(*) as n from tm_dedupe_out").first().n == 20
