@@ -61,6 +61,12 @@ def capture_bounds(changes: DataFrame) -> DataFrame:
     )
 
 
+def _one_cursor_per_source(cursors: DataFrame) -> DataFrame:
+    """Cursor table reduced to one row per source (the furthest position), broadcast
+    behind a row check: a duplicated cursor row must never duplicate changes."""
+    return bounded_broadcast(cursors.groupBy("source").agg(F.max("cursor_lsn").alias("cursor_lsn")))
+
+
 def effective_start(changes: DataFrame, cursors: DataFrame) -> DataFrame:
     """Per capture: where the next read starts.
 
@@ -69,8 +75,7 @@ def effective_start(changes: DataFrame, cursors: DataFrame) -> DataFrame:
     without a cursor); ``gap`` flags a capture whose retained history begins beyond the
     cursor, i.e. changes in between may have been purged.
     """
-    cur = bounded_broadcast(cursors.select("source", "cursor_lsn"))
-    joined = changes.join(cur, "source", "left")
+    joined = changes.join(_one_cursor_per_source(cursors), "source", "left")
     after = F.col("cursor_lsn").isNull() | (F.col("lsn") > F.col("cursor_lsn"))
     return joined.groupBy(*CAPTURE).agg(
         F.min("lsn").alias("capture_min_lsn"),
@@ -91,8 +96,7 @@ def after_cursor(changes: DataFrame, cursors: DataFrame | None) -> DataFrame:
     """Changes strictly after each source's cursor (all changes of a source without one)."""
     if cursors is None:
         return changes
-    cur = bounded_broadcast(cursors.select("source", "cursor_lsn"))
-    joined = changes.join(cur, "source", "left")
+    joined = changes.join(_one_cursor_per_source(cursors), "source", "left")
     keep = F.col("cursor_lsn").isNull() | (F.col("lsn") > F.col("cursor_lsn"))
     return joined.where(keep).drop("cursor_lsn")
 
@@ -191,7 +195,7 @@ def poll_cursor(
     )
     tops = changes.groupBy("source").agg(F.max("lsn").alias("_tm_top"))
     if cursors is not None:
-        tops = tops.join(bounded_broadcast(cursors.select("source", "cursor_lsn")), "source", "left")
+        tops = tops.join(_one_cursor_per_source(cursors), "source", "left")
     else:
         tops = tops.withColumn("cursor_lsn", F.lit(None).cast("binary"))
     j = tops.join(cuts, "source", "left").join(polled, "source", "left")
