@@ -55,14 +55,18 @@ def main() -> None:
         "overwrite"
     ).save()
     times = {}
+    failed = {}
     for name in names:
         best = None
-        for _ in range(runs):
-            t0 = time.perf_counter()
-            catalog.REGISTRY[name].run(spark, sf_dir).write.format("noop").mode("overwrite").save()
-            took = time.perf_counter() - t0
-            best = took if best is None else min(best, took)
-        times[name] = round(best, 3)
+        try:
+            for _ in range(runs):
+                t0 = time.perf_counter()
+                catalog.REGISTRY[name].run(spark, sf_dir).write.format("noop").mode("overwrite").save()
+                took = time.perf_counter() - t0
+                best = took if best is None else min(best, took)
+            times[name] = round(best, 3)
+        except Exception as e:  # report and go on: one failure must not hide the rest
+            failed[name] = f"{type(e).__name__}: {str(e)[:200]}"
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(
         json.dumps(
@@ -72,6 +76,7 @@ def main() -> None:
                 "unit": "sec",
                 "queries": times,
                 "sf": float(m.group(1)) if m else sf_dir,
+                **({"failed": failed} if failed else {}),
             }
         )
     )

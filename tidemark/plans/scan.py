@@ -69,8 +69,10 @@ def ordered_scan(
     order_cols: list[str] | tuple[str, ...],
     specs: list[Sum | Last | Lag],
     blocks: int | None = None,
+    keep_block: bool = False,
 ) -> DataFrame:
-    """Add the scan outputs of ``specs`` to ``df``; rows keep all their columns.
+    """Add the scan outputs of ``specs`` to ``df``; rows keep all their columns
+    (plus the block number ``_tm_blk`` with ``keep_block``, for diagnostics).
 
     ``order_cols`` must give a total order inside each group for ``Lag``/``Last`` to be
     deterministic (use the change order ``(lsn, seqval, op)`` plus keys if needed).
@@ -159,5 +161,5 @@ def ordered_scan(
             outs[s.out] = F.coalesce(wv, cv)
         else:
             outs[s.out] = F.when(F.col("_tm_first"), cv.getField("v")).otherwise(wv)
-    keep = [windowed[c] for c in df.columns]
+    keep = [windowed[c] for c in df.columns] + ([windowed[BLK]] if keep_block else [])
     return joined.select(*keep, *[e.alias(k) for k, e in outs.items()])
