@@ -66,6 +66,8 @@ def test_replayed_epoch_is_idempotent_and_compaction(spark):
     acks = sorted((r.epoch, r.changes, r.status) for r in store.acks().collect())
     assert acks == [(0, 30, "OK"), (1, 60, "OK")]
     assert all(r.apply_ms >= 0 for r in store.acks().collect())
+    m = store.metrics().first()
+    assert (m.changes_processed, m.rejected, m.batches_acked, m.last_epoch) == (90, 0, 2, 1)
     got = sorted(tuple(r) for r in store.read_table("t").collect())
     want = sorted(tuple(r) for r in merge.table_columns(merge.latest_per_key(ch, ["k"])).collect())
     assert got == want

@@ -213,6 +213,17 @@ class TableStore:
             return self.spark.createDataFrame([], ACK_SCHEMA)
         return self.spark.read.schema(ACK_SCHEMA).json(self._commits())
 
+    def metrics(self) -> DataFrame:
+        """Delivery metrics of the stream so far (one row): changes, rejected, batches,
+        total apply time and the last published epoch."""
+        return self.acks().agg(
+            F.coalesce(F.sum("changes"), F.lit(0)).cast("bigint").alias("changes_processed"),
+            F.coalesce(F.sum("rejected"), F.lit(0)).cast("bigint").alias("rejected"),
+            F.count(F.lit(1)).alias("batches_acked"),
+            F.coalesce(F.sum("apply_ms"), F.lit(0)).cast("bigint").alias("apply_ms"),
+            F.max("epoch").alias("last_epoch"),
+        )
+
     def _base_versions(self, name: str) -> list[int]:
         root = self._base(name)
         if not self._exists(root):
