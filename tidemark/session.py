@@ -51,7 +51,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, creating a local one only when unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared (HDFS/object store) folder and
-    is used as is. Only a session without it (tests, local runs) gets a fresh temp dir.
+    is used as is; a cluster session without it is an error, because a machine-local
+    folder is not shared by the executors. Only a local-mode session without it (tests,
+    local runs) gets a fresh temp dir.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -61,6 +63,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: give the cluster a shared checkpoint folder"
+            )
         configured = tempfile.mkdtemp(prefix="tidemark-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
