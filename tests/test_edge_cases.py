@@ -196,3 +196,21 @@ def test_fold_cursors_with_poll_events(spark):
     assert int(bytes(t.cursor_lsn).hex(), 16) == 7 and t.last_acked_lsn is None
     starts = {r.source: r.from_beginning for r in batches.start_positions(batches.fold_cursors(ev)).collect()}
     assert starts == {"s": False, "t": True}
+
+
+def test_safe_high_water_over_truncated_captures(spark):
+    # capture A: LSNs 1..5, one row each; capture B: LSNs 1..2, three rows each
+    rows = [("s", "dbo", "A", n, 0, 2, n, "a") for n in range(1, 6)]
+    rows += [("s", "dbo", "B", n, i, 2, 10 * n + i, "b") for n in (1, 2) for i in range(3)]
+    df = spark.createDataFrame(
+        rows, "source string, schema_name string, table_name string, n long, seqval long, op int, k long, v string"
+    ).withColumn("lsn", lsn_from_number("n"))
+    hw = ranges.safe_high_water(df, None, 2).first()
+    # A is cut after LSN 2, B after LSN 1 (its first LSN alone exceeds the batch):
+    # only LSN 1 is complete in every capture
+    assert int(bytes(hw.high_water_lsn).hex(), 16) == 1 and hw.truncated_captures == 2
+    polled = sorted((r.table_name, r.n) for r in ranges.poll_per_capture(df, None, 2).collect())
+    assert polled == [("A", 1), ("B", 1), ("B", 1), ("B", 1)]
+    # with room for everything nothing is truncated and the mark is the max LSN
+    hw_all = ranges.safe_high_water(df, None, 100).first()
+    assert int(bytes(hw_all.high_water_lsn).hex(), 16) == 5 and hw_all.truncated_captures == 0
