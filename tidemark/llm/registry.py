@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from tidemark.llm import mixing, rules
+from tidemark.llm import links, mixing, rules, secrets
 
 MODULES = {
+    "op3_secret_scan": secrets,
     "op5_mix_sources": mixing,
+    "op6_url_filter": links,
     "op9_quality_rules": rules,
 }
 
