@@ -97,12 +97,10 @@ def shingles(h: np.ndarray, size: int) -> np.ndarray:
     if n == 0:
         return h
     if n < size:
-        k = np.uint64(0x9E3779B97F4A7C15) * np.uint64(n)
-        out = np.uint64(0)
-        with np.errstate(over="ignore"):
-            for x in h:
-                out = mix64(np.array([out * np.uint64(31) + x + k]))[0]
-        return np.array([out], dtype=np.uint64)
+        out = np.array([n], dtype=np.uint64)  # the length sets it apart from full windows
+        for x in h:
+            out = mix64(out * np.uint64(31) + x)
+        return out
     with np.errstate(over="ignore"):
         acc = np.zeros(n - size + 1, dtype=np.uint64)
         for i in range(size):

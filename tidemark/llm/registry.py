@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from tidemark.llm import links, mixing, rules, secrets
+from tidemark.llm import links, mixing, quality, rules, secrets, toxicity
 
 MODULES = {
+    "op2_quality_classifier": quality,
     "op3_secret_scan": secrets,
     "op5_mix_sources": mixing,
     "op6_url_filter": links,
     "op9_quality_rules": rules,
+    "op10_toxicity": toxicity,
 }
 
 
