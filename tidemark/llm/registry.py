@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tidemark.llm import links, mixing, quality, rules, secrets, toxicity
+from tidemark.llm import links, mixing, neardup, quality, rules, secrets, toxicity
 
 MODULES = {
+    "op1_minhash_neardup": neardup,
     "op2_quality_classifier": quality,
     "op3_secret_scan": secrets,
     "op5_mix_sources": mixing,
