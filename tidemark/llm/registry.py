@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import decontam, linededup, links, mixing, neardup, quality, rules, secrets, toxicity
+from tidemark.llm import ctw, decontam, linededup, links, mixing, neardup, quality, rules, secrets, toxicity
 
 MODULES = {
     "op1_minhash_neardup": neardup,
@@ -10,6 +10,7 @@ MODULES = {
     "op3_secret_scan": secrets,
     "op5_mix_sources": mixing,
     "op6_url_filter": links,
+    "op4_ctw_score": ctw,
     "op7_decontaminate": decontam,
     "op8_line_dedup": linededup,
     "op9_quality_rules": rules,
