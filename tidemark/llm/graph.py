@@ -44,20 +44,25 @@ def components(edges: DataFrame) -> DataFrame:
     )
 
 
-def spanning_edges(adjacent: np.ndarray) -> list[tuple[int, int]]:
-    """A spanning forest (pairs of indices) of a symmetric boolean adjacency matrix."""
-    n = len(adjacent)
-    open_ = np.ones(n, dtype=bool)
-    out: list[tuple[int, int]] = []
+def star_edges(adjacent: np.ndarray, ids: np.ndarray) -> tuple[list[int], list[int]]:
+    """Edges (least id, other id) that connect each component of a symmetric adjacency matrix.
+
+    The least id is the centre, so blocks that overlap mostly give the same edges.
+    """
+    open_ = np.ones(len(adjacent), dtype=bool)
+    centres: list[int] = []
+    others: list[int] = []
     for start in np.flatnonzero(adjacent.any(axis=1)):
         if not open_[start]:
             continue
         open_[start] = False
-        todo = [int(start)]
+        reached, todo = [int(start)], [int(start)]
         while todo:
-            x = todo.pop()
-            new = np.flatnonzero(adjacent[x] & open_)
+            new = np.flatnonzero(adjacent[todo.pop()] & open_)
             open_[new] = False
-            out.extend((x, int(y)) for y in new)
-            todo.extend(int(y) for y in new)
-    return out
+            reached.extend(map(int, new))
+            todo.extend(map(int, new))
+        own = np.unique(ids[reached])
+        centres.extend([int(own[0])] * (len(own) - 1))
+        others.extend(map(int, own[1:]))
+    return centres, others

@@ -14,7 +14,7 @@ other occurrences are taken out of their texts, repeats inside a document includ
    come from one running polynomial hash.
 3. One aggregation finds the keys that hold two different lines. Keys with two lines are
    pairs; longer ones are cut into blocks, compared by block pairs inside tasks, and
-   give spanning forests only. Every pair is verified by the banded bit-parallel edit
+   give connecting stars only. Every pair is verified by the banded bit-parallel edit
    distance on the whole lines.
 4. Components of the verified links choose the line that stays.
 
@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import materialise, mix64, table, text_bytes
 from tidemark.llm.editdist import within
-from tidemark.llm.graph import components, spanning_edges
+from tidemark.llm.graph import components, star_edges
 from tidemark.llm.neardup import cross, edge_batch, members_of
 from tidemark.plans.joins import bounded_broadcast
 
@@ -216,7 +216,7 @@ def near_lines(docs: DataFrame, edits: int = EDITS) -> DataFrame:
         .mapInArrow(pairs, "a long, b long")
     )
 
-    def forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out_a, out_b = [], []
             for i in range(b.num_rows):
@@ -228,9 +228,9 @@ def near_lines(docs: DataFrame, edits: int = EDITS) -> DataFrame:
                 else:
                     adj = block_pairs(x, x, edits)
                     np.fill_diagonal(adj, False)
-                for p, q in spanning_edges(adj):
-                    out_a.append(int(ids[p]))
-                    out_b.append(int(ids[q]))
+                centres, others = star_edges(adj, ids)
+                out_a += centres
+                out_b += others
             yield edge_batch(out_a, out_b)
 
     blocks = materialise(
@@ -245,7 +245,7 @@ def near_lines(docs: DataFrame, edits: int = EDITS) -> DataFrame:
     alone = blocks.select("m", F.lit(None).cast(blocks.schema["m"].dataType).alias("m2"))
     split = blocks.where("of > 1")
     two = split.join(split.select("key", F.col("blk").alias("blk2"), F.col("m").alias("m2")), "key").where("blk < blk2")
-    return twos.union(alone.union(two.select("m", "m2")).mapInArrow(forests, "a long, b long"))
+    return twos.union(alone.union(two.select("m", "m2")).mapInArrow(stars, "a long, b long"))
 
 
 def block_pairs(x: list[bytes], y: list[bytes], edits: int) -> np.ndarray:

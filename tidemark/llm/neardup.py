@@ -13,9 +13,9 @@ two signatures is the number of symbols that differ.
    with probability 1e-4, by the binomial tail.
 3. Keys with two classes are pairs straight from one aggregation. Keys with more are cut
    into blocks of about ``BLOCK`` classes; block pairs are compared inside tasks, and each
-   emits a spanning forest of its pairs within the radius, never all pairs.
+   emits stars that connect what its pairs within the radius connect, never all pairs.
 4. The connected candidates form clusters. Inside a cluster similarity is computed on
-   the full sets, again by blocks, emitting spanning forests of true links. A cluster of
+   the full sets, again by blocks, emitting stars that connect what true links connect. A cluster of
    several blocks is first compared with one of its classes: those linked to it need no
    comparison among each other, and by the triangle inequality of the Jaccard distance
    only neighbouring distance bands can hold links.
@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import WordHash, materialise, mix64, shingles, table, text_bytes
-from tidemark.llm.graph import components, spanning_edges
+from tidemark.llm.graph import components, star_edges
 
 SHINGLE = 5
 SYMBOLS, BITS = 40, 16
@@ -181,7 +181,7 @@ def near_pairs(classes: DataFrame) -> DataFrame:
     )
     blocks = materialise(blocks, "near-blocks")
 
-    def forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out_a, out_b = [], []
             for i in range(b.num_rows):
@@ -194,15 +194,15 @@ def near_pairs(classes: DataFrame) -> DataFrame:
                 else:
                     adj = far_symbols(sa, sa) <= RADIUS
                     np.fill_diagonal(adj, False)
-                for x, y in spanning_edges(adj):
-                    out_a.append(int(ids[x]))
-                    out_b.append(int(ids[y]))
+                centres, others = star_edges(adj, ids)
+                out_a += centres
+                out_b += others
             yield edge_batch(out_a, out_b)
 
     alone = blocks.select("m", F.lit(None).cast(blocks.schema["m"].dataType).alias("m2"))
     left, right = blocks.where("of > 1"), blocks.where("of > 1").select("key", F.col("blk").alias("blk2"), F.col("m").alias("m2"))
     two = left.join(right, "key").where("blk < blk2").select("m", "m2")
-    return twos.union(alone.union(two).mapInArrow(forests, "a long, b long"))
+    return twos.union(alone.union(two).mapInArrow(stars, "a long, b long"))
 
 
 def overlaps(sets: list[np.ndarray]) -> np.ndarray:
@@ -275,7 +275,7 @@ def true_links(docs: DataFrame, classes: DataFrame, clusters: DataFrame) -> Data
         sets.join(inside.select("cid", "cluster"), "cid").join(stats, "cluster"), "near-sets"
     )
 
-    def forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out_a, out_b = [], []
             for i in range(b.num_rows):
@@ -286,15 +286,15 @@ def true_links(docs: DataFrame, classes: DataFrame, clusters: DataFrame) -> Data
                     ids = np.concatenate([ids, other])
                 else:
                     adj = linked(as_sets(raw))
-                for x, y in spanning_edges(adj):
-                    out_a.append(int(ids[x]))
-                    out_b.append(int(ids[y]))
+                centres, others = star_edges(adj, ids)
+                out_a += centres
+                out_b += others
             yield edge_batch(out_a, out_b)
 
     pack = F.collect_list(F.struct("cid", "hashes")).alias("m")
     small = sets.where("of = 1").groupBy("cluster").agg(pack)
     empty = F.lit(None).cast(small.schema["m"].dataType).alias("m2")
-    small_links = small.select("m", empty).mapInArrow(forests, "a long, b long")
+    small_links = small.select("m", empty).mapInArrow(stars, "a long, b long")
 
     # clusters of several blocks: one comparison with the leader, then only what may still link
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -341,7 +341,7 @@ def true_links(docs: DataFrame, classes: DataFrame, clusters: DataFrame) -> Data
     )
     rest = loaded.select(
         "m", F.when(F.col("p") != F.col("q"), F.col("m2")).alias("m2")
-    ).mapInArrow(forests, "a long, b long")
+    ).mapInArrow(stars, "a long, b long")
     return small_links.union(star).union(rest)
 
 
@@ -368,6 +368,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """``docs`` without near duplicates: the least doc_id of each component, repeated rows once."""
+    kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_id")).distinct()
+    rows = docs.select(
+        F.struct(*[docs[c] for c in docs.columns]).alias("doc"), docs["doc_id"].alias("id"), F.xxhash64(docs["text"]).alias("same")
+    )
+    one = rows.join(kept, rows["id"].eqNullSafe(kept["_id"]), "left_semi").dropDuplicates(["id", "same"])
+    return one.select(*[F.col("doc").getField(c).alias(c) for c in docs.columns])
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents."""
     return near_duplicates(table(spark, sf_dir, "documents"))
