@@ -28,8 +28,13 @@ SEED = "mix-1"
 
 
 def sized(docs: DataFrame) -> DataFrame:
-    """doc_id, source, size (words of the text)."""
-    return docs.select("doc_id", "source", F.size(word_list(F.col("text"))).cast("long").alias("size"))
+    """doc_id, source, size (words of the text), key (hash of the whole row)."""
+    return docs.select(
+        "doc_id",
+        "source",
+        F.size(word_list(F.col("text"))).cast("long").alias("size"),
+        F.xxhash64(*[docs[c] for c in docs.columns]).alias("key"),
+    )
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
@@ -79,7 +84,7 @@ def offset(source) -> F.Column:
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
-    """doc_id, source, size, source_size, target, copies, taken: one row per document."""
+    """doc_id, source, size, key, source_size, target, copies, taken: one row per document."""
     sizes = materialise(sized(docs), "mix-sizes")
     targets = source_targets(sizes, weights, cap)
     # a hot source spans many blocks of the scan: no task holds a whole source
@@ -95,22 +100,27 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) ->
     upto = lambda k: F.floor(F.col("_r") * k + F.col("_u"))
     out = joined.withColumn("copies", (upto(F.col("nth")) - upto(F.col("nth") - 1)).cast("long"))
     return out.select(
-        "doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken")
+        "doc_id", "source", "size", "key", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken")
     )
 
 
 def emit(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
-    """The mix itself: each document as many times as it is taken, numbered by ``copy``.
+    """The mix itself: each document as many times as it is taken.
 
-    Rows keep their own columns; ``doc_id`` names a document here, and repeated ids share
-    the copies of their rows in any order.
+    Rows keep their own columns and get ``copy``, numbered from 1 (named ``copy_`` if the
+    documents have a ``copy``). Rows are found again by a hash of all their columns, so
+    only equal rows can share one; those are written as one row with their copies together.
     """
     taken = mix(docs, weights, cap).where("copies > 0")
-    names = docs.columns
-    per_id = taken.groupBy(F.col("doc_id").alias("_id")).agg(F.sum("copies").alias("_copies"), F.count("*").alias("_rows"))
-    many = docs.join(per_id, F.col("doc_id").eqNullSafe(F.col("_id")))
-    return many.select(
-        *[docs[c] for c in names], F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("copy")
+    per_row = taken.groupBy(F.col("key").alias("_key")).agg(F.sum("copies").alias("_copies"))
+    rows = docs.select(
+        F.struct(*[docs[c] for c in docs.columns]).alias("doc"), F.xxhash64(*[docs[c] for c in docs.columns]).alias("key")
+    )
+    found = rows.join(per_row, F.col("key") == F.col("_key")).dropDuplicates(["key"])
+    number = "copy_" if "copy" in docs.columns else "copy"
+    return found.select(
+        *[F.col("doc").getField(c).alias(c) for c in docs.columns],
+        F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))).alias(number),
     )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from tidemark.llm import ctw, decontam, linededup, links, mixing, neardup, quality, rules, secrets, toxicity
 
 MODULES = {
@@ -19,8 +20,9 @@ MODULES = {
 
 
 def queries():
-    return {name: m.query for name, m in MODULES.items()}
+    return {name: m.query for name, m in MODULES.items()} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: m.SQL for name, m in MODULES.items() if getattr(m, "SQL", None)}
+    sql = {name: m.SQL for name, m in MODULES.items() if getattr(m, "SQL", None)}
+    return sql | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})

@@ -121,8 +121,8 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic"):
     return train(positive, unlabelled, prior) if positive and unlabelled else None
 
 
-def score(docs: DataFrame, model) -> DataFrame:
-    """doc_id, score of every document."""
+def score(docs: DataFrame, model, carry: list[str] | None = None) -> DataFrame:
+    """doc (the ``carry`` columns, doc_id by default), score: one row per document."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # at most BUCKETS weights
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,19 +137,29 @@ def score(docs: DataFrame, model) -> DataFrame:
             if weights is not None:
                 z = np.array([weights[word_set(t.as_py(), buckets)].sum() + bias for t in b.column("_text")])
                 out = 1 / (1 + np.exp(-np.clip(z, -500, 500)))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(out, pa.float64())], names=["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([b.column("doc"), pa.array(out, pa.float64())], names=["doc", "score"])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", text_bytes().alias("_text")).mapInArrow(run, f"doc_id {kind}, score double")
+    names = carry or ["doc_id"]
+    rows = docs.select(F.struct(*[docs[c] for c in names]).alias("doc"), text_bytes().alias("_text"))
+    return rows.mapInArrow(run, f"doc {rows.schema['doc'].dataType.simpleString()}, score double")
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted."""
     return score(docs, fit(docs, labels)).select(
-        "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted")
+        F.col("doc.doc_id").alias("doc_id"),
+        held_out("doc.doc_id").alias("held_out"),
+        "score",
+        (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
     )
 
 
+def not_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The documents scoring under ``THRESHOLD``, with their own columns."""
+    kept = score(docs, fit(docs, labels), docs.columns).where(F.col("score") < THRESHOLD)
+    return kept.select(*[F.col("doc").getField(c).alias(c) for c in docs.columns])
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every whole document text."""
     return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
