@@ -24,59 +24,91 @@ def _changes(spark, n=60):
 class CrashOnce(TableStore):
     crashed = False
 
-    def apply_batch(self, batch, epoch):
-        if epoch == 1 and not CrashOnce.crashed:
-            for name, spec in self.tables.items():
-                d = merge.latest_per_key(batch, spec.pk, keep_deletes=True)
-                d.write.mode("overwrite").parquet(f"{self._delta(name)}/epoch={epoch}")
+    def _acknowledge(self, query, epoch, folder, seen, started, status, error):
+        if epoch == 1 and status == "OK" and not CrashOnce.crashed:
             CrashOnce.crashed = True
-            raise RuntimeError("executor lost before the commit marker")
-        super().apply_batch(batch, epoch)
+            raise RuntimeError("driver lost after the files, before the acknowledgement")
+        super()._acknowledge(query, epoch, folder, seen, started, status, error)
+
+
+def latest(ch, pk=("k",)):
+    return sorted(tuple(r) for r in merge.table_columns(merge.latest_per_key(ch, list(pk))).collect())
+
+
+def rows(store, name="t"):
+    return sorted(tuple(r) for r in store.read_table(name).collect())
 
 
 def test_crash_before_commit_then_restart(spark):
     root = tempfile.mkdtemp(prefix="tm-stream-")
     ch = _changes(spark)
     ch.repartitionByRange(6, "lsn").write.parquet(f"{root}/log")
-    specs = {"t": TableSpec("t", ("k",))}
-    store = CrashOnce(spark, f"{root}/store", specs)
-    src = stream_changes(spark, f"{root}/log", ch.schema, max_files_per_trigger=2)
-    q = start_apply(src, store, f"{root}/ckpt")
+    store = CrashOnce(spark, f"{root}/store", {"t": TableSpec("t", ("k",))})
+    start = lambda: start_apply(
+        stream_changes(spark, f"{root}/log", ch.schema, max_files_per_trigger=2), store, f"{root}/ckpt"
+    )
     with pytest.raises(Exception):
-        q.awaitTermination()
+        start().awaitTermination()
     # the half-written epoch is invisible: only epoch 0 is committed
     assert [r.epoch for r in store.committed_epochs().collect()] == [0]
-    q2 = start_apply(stream_changes(spark, f"{root}/log", ch.schema, max_files_per_trigger=2), store, f"{root}/ckpt")
-    q2.awaitTermination()
-    got = sorted(tuple(r) for r in store.read_table("t").collect())
-    want = sorted(tuple(r) for r in merge.table_columns(merge.latest_per_key(ch, ["k"])).collect())
-    assert got == want
+    start().awaitTermination()
+    assert rows(store) == latest(ch)
+    assert store.committed_epochs().count() == store.committed_epochs().select("epoch").distinct().count()
 
 
-def test_replayed_epoch_is_idempotent_and_compaction(spark):
+def test_published_epoch_is_skipped_and_compaction(spark):
     root = tempfile.mkdtemp(prefix="tm-replay-")
     ch = _changes(spark)
     store = TableStore(spark, f"{root}/store", {"t": TableSpec("t", ("k",))})
     first, second = ch.where(F.col("seqval") < 30), ch.where(F.col("seqval") >= 30)
     store.apply_batch(first, 0)
-    store.apply_batch(first, 0)  # replay of the same epoch
-    assert store.compact("t") == 0
-    store.apply_batch(second, 1)
-    store.apply_batch(second.unionByName(second), 1)  # replay with duplicated rows
+    store.apply_batch(first, 0)  # replay of a published epoch
+    assert store.compact("t") == 1
+    store.apply_batch(second.unionByName(second), 1)  # duplicated rows
     acks = sorted((r.epoch, r.changes, r.status) for r in store.acks().collect())
     assert acks == [(0, 30, "OK"), (1, 60, "OK")]
-    assert all(r.apply_ms >= 0 for r in store.acks().collect())
     m = store.metrics().first()
     assert (m.changes_processed, m.rejected, m.batches_acked, m.last_epoch) == (90, 0, 2, 1)
-    got = sorted(tuple(r) for r in store.read_table("t").collect())
-    want = sorted(tuple(r) for r in merge.table_columns(merge.latest_per_key(ch, ["k"])).collect())
-    assert got == want
+    assert rows(store) == latest(ch)
+    assert store.compact("t") == 2
+    assert store.vacuum() == 2
+    assert rows(store) == latest(ch)
+
+
+def test_fresh_checkpoint_and_late_redelivery_change_nothing(spark):
+    root = tempfile.mkdtemp(prefix="tm-late-")
+    ch = _changes(spark)
+    cut = F.col("seqval") >= 20
+    store = TableStore(spark, f"{root}/store", {"t": TableSpec("t", ("k",))})
+    store.apply_batch(ch.where(cut), 0, "first")
+    assert store.compact("t") == 1
+    store.apply_batch(ch.where(~cut), 0, "second")  # another query's epoch 0, older positions
+    store.apply_batch(ch, 1, "second")
+    assert rows(store) == latest(ch)
+    store.compact("t")
+    store.apply_batch(ch.where(~cut), 0, "third")  # deleted keys stay deleted after compaction
+    assert rows(store) == latest(ch)
+
+
+def test_failed_batch_is_acknowledged_and_publishes_nothing(spark):
+    root = tempfile.mkdtemp(prefix="tm-fail-")
+    store = TableStore(spark, f"{root}/store", {"t": TableSpec("t", ("k",))})
+    ch = _changes(spark, 6)
+    bad = ch.withColumn("v", F.raise_error(F.lit("connection reset by peer")))
+    with pytest.raises(Exception):
+        store.apply_batch(bad, 0)
+    (ack,) = store.acks().collect()
+    assert (ack.status, ack.rows_processed) == ("RETRY", 0) and "connection reset" in ack.error
+    store.apply_batch(ch, 0)
+    assert rows(store) == latest(ch)
 
 
 def test_foreign_key_violation_blocks_commit(spark):
     root = tempfile.mkdtemp(prefix="tm-fk-")
-    parent = spark.createDataFrame([(1, 0, 2, 1, "p")], SCHEMA)
-    child = spark.createDataFrame([(1, 1, 2, 10, "c")], SCHEMA)
+
+    def batch(*changes):
+        df = spark.createDataFrame(list(changes), "table_name string, " + SCHEMA + ", fk long")
+        return df.withColumn("lsn", lsn_from_number("lsn_no")).drop("lsn_no")
 
     store = TableStore(
         spark,
@@ -84,24 +116,80 @@ def test_foreign_key_violation_blocks_commit(spark):
         {"p": TableSpec("p", ("k",)), "c": TableSpec("c", ("k",))},
         foreign_keys=[ForeignKey("c", ("fk",), "p", ("k",))],
     )
+    store.apply_batch(batch(("c", 1, 1, 2, 10, "c", 1), ("p", 1, 2, 2, 1, "p", None), ("p", 1, 3, 2, 2, "p2", None)), 0)
+    with pytest.raises(ForeignKeyViolation):  # a child of an unknown parent
+        store.apply_batch(batch(("c", 2, 0, 2, 11, "c2", 99)), 1)
+    with pytest.raises(ForeignKeyViolation):  # the parent of a child goes
+        store.apply_batch(batch(("p", 2, 0, 1, 1, "p", None)), 2)
+    store.apply_batch(batch(("p", 2, 0, 1, 2, "p2", None)), 3)  # a parent without children may go
+    assert [r.epoch for r in store.committed_epochs().orderBy("epoch").collect()] == [0, 3]
+    assert [r.k for r in store.read_table("c").collect()] == [10]
+    assert [r.k for r in store.read_table("p").collect()] == [1]
+    assert sorted(r.status for r in store.acks().collect()) == ["FAILED", "FAILED", "OK", "OK"]
 
-    def typed(df, fk):
-        return df.withColumn("lsn", lsn_from_number("lsn_no")).drop("lsn_no").withColumn("fk", F.lit(fk).cast("long"))
 
-    ok_batch = typed(parent, None).unionByName(typed(child, 1))
+def test_typed_tables_are_routed_or_refused(spark):
+    root = tempfile.mkdtemp(prefix="tm-route-")
+    store = TableStore(spark, f"{root}/store", {"a": TableSpec("a", ("k",)), "b": TableSpec("b", ("k",))})
+    with pytest.raises(ValueError):
+        store.apply_batch(_changes(spark, 4), 0)
 
-    # rows go to the table named by their value's first letter
-    store._table_changes = lambda batch, spec: batch.where(F.col("v").startswith(spec.name))
-    store.apply_batch(ok_batch, 0)
-    assert [r.epoch for r in store.committed_epochs().collect()] == [0]
-    bad = typed(spark.createDataFrame([(2, 0, 2, 11, "c2")], SCHEMA), 99)
-    with pytest.raises(ForeignKeyViolation):
-        store.apply_batch(bad, 1)
-    assert [r.epoch for r in store.committed_epochs().collect()] == [0]
-    assert sorted(r.k for r in store.read_table("c").collect()) == [10]
+
+ENV = "source string, schema_name string, table_name string, n long, seqval long, op int, pk_json string, row_json string"
+
+
+def envelope(spark, rows_):
+    return spark.createDataFrame(rows_, ENV).withColumn("lsn", lsn_from_number("n")).drop("n")
+
+
+def test_envelope_keys_sources_and_untracked(spark):
+    """Spelling of the key JSON, sources, null and empty keys, untracked tables."""
+    root = tempfile.mkdtemp(prefix="tm-keys-")
+    schema = spark.createDataFrame([], "k long, v string").schema
+    log = envelope(
+        spark,
+        [
+            ("s1", "dbo", "a", 1, 0, 2, '{"k": 1}', '{"k": 1, "v": "s1"}'),
+            ("s2", "dbo", "a", 2, 0, 2, '{"k":1}', '{"k":1,"v":"s2"}'),
+            ("s1", "dbo", "a", 3, 0, 4, '{"k":1}', '{"k":1,"v":"s1 again"}'),
+            ("s1", "dbo", "a", 4, 0, 2, '{"k":null}', '{"k":null,"v":"x"}'),
+            ("s1", "dbo", "a", 5, 0, 2, "{}", '{"k":7,"v":"seven"}'),
+            ("s1", "dbo", "a", 5, 1, 2, "{}", '{"k":8,"v":"eight"}'),
+            ("s1", "dbo", "zzz", 6, 0, 2, '{"k":9}', '{"k":9,"v":"lost"}'),
+        ],
+    )
+    store = TableStore(spark, f"{root}/store", {"ta": TableSpec("ta", ("k",), schema, "dbo", "a")})
+    store.apply_batch(log, 0)
+    got = sorted((r.source, r.k, r.v) for r in store.read_table("ta").collect())
+    assert got == [("s1", 1, "s1 again"), ("s1", 7, "seven"), ("s1", 8, "eight"), ("s2", 1, "s2")]
+    (ack,) = store.acks().collect()
+    assert (ack.changes, ack.rows_processed, ack.rejected, ack.untracked) == (7, 5, 1, 1)
+    assert [r.reject_reason for r in store.rejects().collect()] == ["null_key"]
+    # a target of one source takes that source only
+    one = TableStore(spark, f"{root}/one", {"ta": TableSpec("ta", ("k",), schema, "dbo", "a", "s2")})
+    one.apply_batch(log, 0)
+    assert rows(one, "ta") == [(1, "s2")]
+    assert one.acks().first().untracked == 6
+
+
+def test_many_tables_are_all_checked(spark):
+    root = tempfile.mkdtemp(prefix="tm-many-")
+    schema = spark.createDataFrame([], "k long, n long").schema
+    specs = {f"t{i}": TableSpec(f"t{i}", ("k",), schema, "dbo", f"a{i}", "db") for i in range(66)}
+    log = envelope(
+        spark,
+        [
+            ("db", "dbo", "a65", 1, 0, 2, '{"k":1}', '{"k":1,"n":5}'),
+            ("db", "dbo", "a65", 2, 0, 4, '{"k":1}', '{"k":1,"n":"not a number"}'),
+        ],
+    )
+    store = TableStore(spark, f"{root}/store", specs)
+    store.apply_batch(log, 0)
+    assert rows(store, "t65") == [(1, 5)]
+    assert [(r.changes, r.rejected) for r in store.acks().collect()] == [(2, 1)]
 
 
-def test_envelope_store_one_job_replay_and_compaction(spark):
+def test_envelope_store_replay_and_compaction(spark):
     from tidemark.functions.envelope import encode_changes, typed_schema
     from tidemark.operators.routing import union_sources
 
@@ -112,15 +200,14 @@ def test_envelope_store_one_job_replay_and_compaction(spark):
         {"db": encode_changes(a, "dbo", "a", ["k"]).unionByName(encode_changes(b, "dbo", "b", ["k"]))}
     )
     specs = {
-        "ta": TableSpec("ta", ("k",), typed_schema(a), "dbo", "a"),
-        "tb": TableSpec("tb", ("k",), typed_schema(b), "dbo", "b"),
+        "ta": TableSpec("ta", ("k",), typed_schema(a), "dbo", "a", "db"),
+        "tb": TableSpec("tb", ("k",), typed_schema(b), "dbo", "b", "db"),
     }
     store = TableStore(spark, f"{root}/store", specs)
     first, second = log.where(F.col("seqval") < 20), log.where(F.col("seqval") >= 20)
     store.apply_batch(first, 0)
-    assert store.compact("ta") == 0
-    store.apply_batch(second, 1)
-    store.apply_batch(second.unionByName(second), 1)  # replay
+    assert store.compact("ta") == 1
+    store.apply_batch(second.unionByName(second), 1)  # duplicated rows
     for name, src in (("ta", a), ("tb", b)):
         got = sorted(tuple(r) for r in store.read_table(name).select("k", "v").collect())
         want = sorted(tuple(r) for r in merge.latest_per_key(src, ["k"]).select("k", "v").collect())
@@ -128,68 +215,65 @@ def test_envelope_store_one_job_replay_and_compaction(spark):
 
 
 def test_malformed_latest_change_keeps_previous_version(spark):
-    from tidemark.functions.lsn import lsn_from_number as lfn
-
     root = tempfile.mkdtemp(prefix="tm-bad-")
-    rows = [
-        ("db", "dbo", "a", 1, 0, 2, '{"k":1}', '{"k":1,"v":"good"}'),
-        ("db", "dbo", "a", 2, 0, 4, '{"k":1}', '{"k":1,"v":'),  # truncated JSON
-        ("db", "dbo", "a", 2, 1, 2, '{"k":2}', '{"k":2,"v":"two"}'),
-    ]
-    log = spark.createDataFrame(
-        rows, "source string, schema_name string, table_name string, n long, seqval long, op int, pk_json string, row_json string"
-    ).withColumn("lsn", lfn("n")).drop("n")
-    schema = spark.createDataFrame([], "k long, v string").schema
-    store = TableStore(spark, f"{root}/store", {"ta": TableSpec("ta", ("k",), schema, "dbo", "a")})
+    log = envelope(
+        spark,
+        [
+            ("db", "dbo", "a", 1, 0, 2, '{"k":1}', '{"k":1,"v":"good","ts":"2024-01-01T00:00:00.5Z"}'),
+            ("db", "dbo", "a", 2, 0, 4, '{"k":1}', '{"k":1,"v":'),  # truncated JSON
+            ("db", "dbo", "a", 2, 1, 4, '{"k":1}', '{"k":1,"v":"x","ts":"garbage"}'),
+            ("db", "dbo", "a", 2, 2, 2, '{"k":2}', '{"k":2,"v":"two"}'),
+        ],
+    )
+    schema = spark.createDataFrame([], "k long, v string, ts timestamp").schema
+    store = TableStore(spark, f"{root}/store", {"ta": TableSpec("ta", ("k",), schema, "dbo", "a", "db")})
     store.apply_batch(log, 0)
-    assert sorted(tuple(r) for r in store.read_table("ta").collect()) == [(1, "good"), (2, "two")]
-    assert [(r.changes, r.rejected) for r in store.acks().collect()] == [(3, 1)]
+    assert sorted((r.k, r.v) for r in store.read_table("ta").collect()) == [(1, "good"), (2, "two")]
+    assert [(r.changes, r.rejected) for r in store.acks().collect()] == [(4, 2)]
 
 
-def test_type_mismatch_is_rejected_at_write(spark):
-    from tidemark.functions.lsn import lsn_from_number as lfn
+def test_cursor_fold_keeps_a_readable_version(spark):
+    from tidemark.streaming.source import read_cursors, start_cursor_fold
 
-    root = tempfile.mkdtemp(prefix="tm-type-")
-    rows = [
-        ("db", "dbo", "a", 1, 0, 2, '{"k":1}', '{"k":1,"n":5}'),
-        ("db", "dbo", "a", 2, 0, 4, '{"k":1}', '{"k":1,"n":"not a number"}'),
-    ]
-    log = spark.createDataFrame(
-        rows, "source string, schema_name string, table_name string, x long, seqval long, op int, pk_json string, row_json string"
-    ).withColumn("lsn", lfn("x")).drop("x")
-    schema = spark.createDataFrame([], "k long, n long").schema
-    store = TableStore(spark, f"{root}/store", {"ta": TableSpec("ta", ("k",), schema, "dbo", "a")})
-    store.apply_batch(log, 0)
-    assert [tuple(r) for r in store.read_table("ta").collect()] == [(1, 5)]
-    assert [(r.changes, r.rejected) for r in store.acks().collect()] == [(2, 1)]
-    assert store.read_rejected("ta").count() == 0
-    # with write-time checks off, the bad row is stored and surfaces through read_rejected
-    root2 = tempfile.mkdtemp(prefix="tm-type2-")
-    loose = TableStore(spark, f"{root2}/store", {"ta": TableSpec("ta", ("k",), schema, "dbo", "a")}, validate_max_tables=0)
-    loose.apply_batch(log, 0)
-    assert loose.read_rejected("ta").count() == 1
+    root = tempfile.mkdtemp(prefix="tm-cur-")
+    schema = "source string, batch_no long, status string, n long, rows_processed long, at long"
+    acks = spark.createDataFrame(
+        [("s", 1, "OK", 10, 5, 1), ("s", 2, "FAILED", 20, 0, 2), ("s", 3, "OK", 30, 5, 3)], schema
+    ).withColumn("lsn", lsn_from_number("n")).drop("n")
+    acks.repartitionByRange(3, "at").write.parquet(f"{root}/acks")
+    start_cursor_fold(
+        stream_changes(spark, f"{root}/acks", acks.schema, max_files_per_trigger=1), f"{root}/cur", f"{root}/ckpt"
+    ).awaitTermination()
+    (c,) = read_cursors(spark, f"{root}/cur").collect()
+    assert int.from_bytes(c.cursor_lsn, "big") == 10  # batch 2 is open: resuming delivers it again
 
 
-def test_dedupe_stream_within_watermark(spark):
+def test_dedupe_stream_drops_no_first_delivery(spark):
     import datetime as dt
 
     from tidemark.streaming.source import dedupe_stream
 
     root = tempfile.mkdtemp(prefix="tm-dd-")
     t0 = dt.datetime(2024, 1, 1)
-    rows = [("s", "dbo", "t", bytearray(i.to_bytes(10, "big")), i, 2, f'{{"k":{i}}}', t0 + dt.timedelta(seconds=i)) for i in range(20)]
     schema = "source string, schema_name string, table_name string, lsn binary, seqval long, op int, pk_json string, source_ts timestamp"
-    first = spark.createDataFrame(rows, schema)
-    first.write.parquet(f"{root}/log/part=1")
-    first.where("seqval < 10").write.parquet(f"{root}/log/part=2")  # re-delivery
-    from pyspark.sql.types import IntegerType, StructField, StructType
 
-    part_schema = StructType([*first.schema.fields, StructField("part", IntegerType())])
-    src = stream_changes(spark, f"{root}/log", part_schema, max_files_per_trigger=1)
+    def part(n, source, back):
+        data = [
+            (source, "dbo", "t", bytearray(i.to_bytes(10, "big")), i, 2, f'{{"k":{i}}}', t0 + dt.timedelta(seconds=i) - back)
+            for i in range(20)
+        ]
+        df = spark.createDataFrame(data, schema)
+        df.write.parquet(f"{root}/log/part={n}")
+        return df
+
+    first = part(1, "a", dt.timedelta(0))
+    part(2, "a", dt.timedelta(0))  # re-delivery
+    part(3, "b", dt.timedelta(hours=1))  # an hour behind
+    src = stream_changes(spark, f"{root}/log/part=*", first.schema, max_files_per_trigger=1)
     q = (
-        dedupe_stream(src, "source_ts", "1 hour")
-        .writeStream.format("memory").queryName("tm_dedupe_out")
+        dedupe_stream(src).writeStream.format("memory").queryName("tm_dedupe_out")
         .option("checkpointLocation", f"{root}/ckpt").trigger(availableNow=True).start()
-    )
+    )
     q.awaitTermination()
-    assert spark.sql("select count(*) as n from tm_dedupe_out").first().n == 20
+    got = spark.sql("select source, count(*) as n from tm_dedupe_out group by source").collect()
+    assert {r.source: r.n for r in got} == {"a": 20, "b": 20}

@@ -20,20 +20,8 @@ from tidemark.model import OP_NAMES, ORDER_COLS
 RFC3339 = "yyyy-MM-dd'T'HH:mm:ssXXX"
 CORRUPT = "_corrupt_record"
 MALFORMED_ROW = "malformed_row"
-ENVELOPE_COLUMNS = (
-    "source",
-    "schema_name",
-    "table_name",
-    "lsn",
-    "seqval",
-    "op",
-    "operation",
-    "pk_json",
-    "row_json",
-    "old_row_json",
-    "source_ts",
-    "batch_id",
-)
+EMPTY_ROW = "empty_row"
+EMPTY_KEY = "empty_key"
 JSON_OPTS = {"ignoreNullFields": "false"}
 
 
@@ -109,20 +97,30 @@ def _wire_type(t: T.DataType) -> T.DataType:
     return t
 
 
+# RFC3339 with an optional fraction of up to six digits
+RFC3339_TEXT = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{1,6})?(Z|[+-]\d{2}:\d{2})$"
+_EMPTY_JSON = r"^\s*\{\s*\}\s*$"
+
+
 def _from_wire(c: Column, t: T.DataType) -> Column:
+    """The wire text as ``t``; text that is not one gives null (never an error)."""
     if isinstance(t, T.BinaryType):
-        return F.unbase64(c)
-    if isinstance(t, T.TimestampType):
-        return F.to_timestamp(c, RFC3339)
-    if isinstance(t, T.TimestampNTZType):
-        return F.to_timestamp(c, RFC3339).cast(T.TimestampNTZType())
-    if isinstance(t, T.DateType):
-        return F.to_timestamp(c, RFC3339).cast(T.DateType())
+        return F.try_to_binary(c, F.lit("base64"))
+    if isinstance(t, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        ts = F.when(c.rlike(RFC3339_TEXT), c.try_cast(T.TimestampType()))
+        return ts if isinstance(t, T.TimestampType) else ts.cast(t)
+    if isinstance(t, T.DecimalType):
+        return c.try_cast(t)
     return c.cast(t)
 
 
 def decode_json(json_col: str | Column, schema: T.StructType, prefix: str = "") -> tuple[list[Column], Column]:
-    """Columns typed by ``schema`` from a JSON text column, plus a malformed flag."""
+    """Columns typed by ``schema`` from a JSON text column, plus a malformed flag.
+
+    Malformed: unparsable JSON, a value of another JSON type, or text that is not a
+    value of its column's type (a bad timestamp, decimal or base64). Writers and readers
+    share this rule, so what was accepted can be read.
+    """
     wire = T.StructType(
         [T.StructField(f.name, _wire_type(f.dataType), True) for f in schema.fields]
         + [T.StructField(CORRUPT, T.StringType(), True)]
@@ -131,11 +129,13 @@ def decode_json(json_col: str | Column, schema: T.StructType, prefix: str = "")
     parsed = F.from_json(
         src, wire, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     )
-    cols = [
-        _from_wire(parsed.getField(f.name), f.dataType).alias(prefix + f.name) for f in schema.fields
-    ]
-    malformed = src.isNotNull() & (parsed.isNull() | parsed.getField(CORRUPT).isNotNull())
-    return cols, malformed
+    values = {f.name: _from_wire(parsed.getField(f.name), f.dataType) for f in schema.fields}
+    unfit = F.lit(False)
+    for f in schema.fields:
+        if _wire_type(f.dataType) != f.dataType:
+            unfit = unfit | (parsed.getField(f.name).isNotNull() & values[f.name].isNull())
+    malformed = src.isNotNull() & (parsed.isNull() | parsed.getField(CORRUPT).isNotNull() | unfit)
+    return [v.alias(prefix + n) for n, v in values.items()], F.coalesce(malformed, F.lit(True))
 
 
 def decode_rows(
@@ -144,20 +144,21 @@ def decode_rows(
     json_col: str = "row_json",
     keep: Sequence[str] = ("source", "schema_name", "table_name", *ORDER_COLS),
 ) -> tuple[DataFrame, DataFrame]:
-    """Envelope → (typed rows, malformed rows). Deletes decode their key JSON instead."""
-    cols, malformed = decode_json(
-        F.when(F.col("op") == 1, F.coalesce(F.col(json_col), F.col("pk_json"))).otherwise(
-            F.col(json_col)
-        ),
-        schema,
-    )
+    """Envelope → (typed rows, rejected rows with ``reject_reason``).
+
+    Deletes decode their key JSON when they carry no row. A change without any JSON to
+    decode (null or ``{}``) is rejected as empty, one that does not fit as malformed.
+    """
+    src = F.when(F.col("op") == 1, F.coalesce(F.col(json_col), F.col("pk_json"))).otherwise(F.col(json_col))
+    cols, malformed = decode_json(src, schema)
+    empty = src.isNull() | src.rlike(_EMPTY_JSON)
+    reason = F.when(
+        empty, F.when(F.col("op") == 1, F.lit(EMPTY_KEY)).otherwise(F.lit(EMPTY_ROW))
+    ).when(malformed, F.lit(MALFORMED_ROW))
     kept = [c for c in keep if c in changes.columns]
-    tagged = changes.select(*kept, *cols, json_col, malformed.alias("_tm_bad"))
-    good = tagged.where(~F.col("_tm_bad")).drop("_tm_bad", json_col)
-    bad = tagged.where(F.col("_tm_bad")).drop("_tm_bad").withColumn(
-        "reject_reason", F.lit(MALFORMED_ROW)
-    )
-    return good, bad
+    tagged = changes.select(*kept, *cols, json_col, reason.alias("reject_reason"))
+    good = tagged.where(F.col("reject_reason").isNull()).drop("reject_reason", json_col)
+    return good, tagged.where(F.col("reject_reason").isNotNull())
 
 
 def typed_schema(df: DataFrame, meta: Sequence[str] = ORDER_COLS) -> T.StructType:

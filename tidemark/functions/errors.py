@@ -27,3 +27,11 @@ def classify_error(message: str | Column) -> Column:
         .when(_any_contains(msg, SCHEMA_MARKERS), F.lit(ACK_SCHEMA_MISMATCH))
         .otherwise(F.lit(ACK_FAILED))
     )
+
+
+def error_status(message: str) -> str:
+    """The same classes for one message in Python (an apply attempt's own error)."""
+    text = message.lower()
+    if any(m in text for m in RETRY_MARKERS):
+        return ACK_RETRY
+    return ACK_SCHEMA_MISMATCH if any(m in text for m in SCHEMA_MARKERS) else ACK_FAILED

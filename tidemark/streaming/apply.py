@@ -1,23 +1,29 @@
 """Exactly-once application of a change stream to keyed tables.
 
-``TableStore`` keeps each target table as a compacted ``base`` plus per-micro-batch
-``delta/epoch=N`` directories holding that batch's net change per key (tombstones
-included). Envelope streams (``row_json``) are reduced for ALL tables in one job and
-stored partitioned by table, still as envelope rows; they are decoded with the table's
-schema when read, so a source with thousands of tables costs one job per micro-batch.
-``apply_batch`` is the ``foreachBatch`` function:
-
-1. persist the micro-batch;
-2. keep applicable changes (replayed copies collapse in the next step), reduce to the last change per key
-   (``max_by`` with partial aggregation) and overwrite ``delta/epoch=N``; a replayed
-   epoch rewrites the same directory, so re-delivery is idempotent;
-3. optionally check foreign keys across the new state (a deferred constraint);
-4. publish the commit marker ``_commits/epoch=N`` last.
-
-Readers upsert the committed deltas onto the latest base version (the base keeps one
-live row per key, so it is scanned and anti-joined, never re-aggregated), so a batch is
-visible in all its tables at once or not at all. Compaction writes a new base version
-and records which epochs it covers.
+``TableStore`` keeps each target table as a compacted base plus one delta folder per
+published micro-batch. ``apply_batch`` is the ``foreachBatch`` function:
+
+1. a (query, epoch) that the log already shows as applied is skipped, so a replay never
+   touches published files; every attempt writes a folder of its own, named by query,
+   epoch and attempt, so neither a crash nor a new streaming checkpoint can overwrite one;
+2. each change is routed by (source, schema, table) to its target; changes of no target
+   are counted as untracked;
+3. changes that cannot be applied (bad JSON, values that do not fit the target's schema,
+   empty rows or keys, NULL key parts) are written to ``rejects`` with their reason,
+   before the reduction, so a bad change never replaces a key's last good version;
+4. the rest is reduced to the last change per key (``max_by`` with partial aggregation;
+   re-delivered copies share their position and vanish here) and written, tombstones
+   included; the key is the target's primary key read with its types, from the row for
+   upserts and from the key JSON for deletes;
+5. foreign keys are checked, as a constraint deferred to the commit: the batch's child
+   rows, and the children of parents that the batch deletes;
+6. the acknowledgement is written last. A failed attempt is acknowledged too, with its
+   status, error text and time, and publishes nothing.
+
+Readers merge the base with the deltas by position: the later (lsn, seqval, op) wins
+wherever it is stored, so an old change that is delivered again after compaction neither
+overwrites a row nor revives a deleted key (the base keeps tombstones until ``compact``
+is told that no change below a position can still arrive).
 
 All paths are on the store root the caller gives (shared storage on a cluster).
 """
@@ -25,6 +31,7 @@ All paths are on the store root the caller gives (shared storage on a cluster).
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -32,18 +39,28 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.envelope import decode_json, decode_rows
-from tidemark.model import ACK_OK, ORDER_COLS, UPSERT_OPS
-from tidemark.plans.joins import bounded_broadcast
+from tidemark.functions.envelope import decode_json
+from tidemark.functions.errors import error_status
+from tidemark.model import ACK_OK, OP_DELETE, ORDER_COLS, UPSERT_OPS
 from tidemark.operators.merge import (
     DATA_ERRORS,
-    check_foreign_keys,
+    REJECT_EMPTY_KEY,
+    REJECT_MALFORMED_ROW,
+    REJECT_NULL_KEY,
+    _any_null,
     latest_per_key,
     reject_reason,
-    upsert,
+    table_columns,
 )
+from tidemark.plans.joins import bounded_broadcast
 
-ACK_SCHEMA = "epoch long, changes long, rejected long, apply_ms long, status string"
+ACK_SCHEMA = (
+    "query string, epoch long, folder string, changes long, rows_processed long, rejected long, "
+    "untracked long, apply_ms long, status string, error string"
+)
+REJECT_COLS = ["source", "schema_name", "table_name", *ORDER_COLS, "pk_json", "row_json", "reject_reason"]
+TARGETS_PER_JOB = 32  # envelope targets written by one job: bounds the size of one plan
+ADHOC = "adhoc"
 
 
 class ForeignKeyViolation(RuntimeError):
@@ -52,13 +69,19 @@ class ForeignKeyViolation(RuntimeError):
 
 @dataclass(frozen=True)
 class TableSpec:
-    """A target table: its key and, for envelope streams, its row schema."""
+    """A target table: its key and, for envelope streams, its row schema.
+
+    ``source`` / ``source_schema`` / ``source_table`` pick the captured table. Without
+    ``source`` the target takes that table of every source, and the source is part of
+    its key, so rows of different sources never replace each other.
+    """
 
     name: str
     pk: tuple[str, ...]
     schema: T.StructType | None = None
-    source_schema: str | None = None  # envelope (schema_name, table_name) to pick
+    source_schema: str | None = None
     source_table: str | None = None
+    source: str | None = None
 
 
 @dataclass(frozen=True)
@@ -75,237 +98,369 @@ class TableStore:
     root: str
     tables: Mapping[str, TableSpec]
     foreign_keys: Sequence[ForeignKey] = field(default_factory=tuple)
-    # envelope rows are type-checked against their table's schema at write time (one
-    # CASE over the tables) up to this many tables; beyond it, rows whose values do
-    # not fit the schema surface at read time through ``read_rejected``
-    validate_max_tables: int = 64
 
     # ---------------------------------------------------------------- paths -------
-    def _delta(self, name: str) -> str:
-        return f"{self.root}/tables/{name}/delta"
+    def _folder(self, query: str, epoch: int, attempt: str) -> str:
+        return f"query={query}/epoch={epoch}/attempt={attempt}"
 
-    def _base(self, name: str) -> str:
-        return f"{self.root}/tables/{name}/base"
+    def _delta(self, folder: str, name: str) -> str:
+        return f"{self.root}/deltas/{folder}/{name}"
 
-    def _commits(self) -> str:
-        return f"{self.root}/_commits"
+    def _log(self) -> str:
+        return f"{self.root}/log"
 
-    def _exists(self, path: str) -> bool:
+    def _base(self, name: str) -> str:
+        return f"{self.root}/base/{name}"
+
+    def _fs(self, path: str):
         jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         p = jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(conf).exists(p)
+        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
 
-    def _env_delta(self) -> str:
-        return f"{self.root}/envelope/delta"
+    def _exists(self, path: str) -> bool:
+        fs, p = self._fs(path)
+        return fs.exists(p)
 
     def _is_envelope(self, name: str) -> bool:
         return self.tables[name].schema is not None
 
-    # -------------------------------------------------------------- writing -------
+    def _keeps_source(self, name: str) -> bool:
+        return self._is_envelope(name) and self.tables[name].source is None
+
+    def _key(self, name: str) -> list[str]:
+        return [*(["source"] if self._keeps_source(name) else []), *self.tables[name].pk]
+
+    # -------------------------------------------------------------- routing -------
     def _table_changes(self, batch: DataFrame, spec: TableSpec) -> DataFrame:
-        """A typed batch feeding the typed table ``spec`` (hook for custom routing)."""
-        return batch
+        """The rows of a typed batch that feed ``spec`` (hook for custom routing).
+
+        A batch that names its tables is filtered by the spec's source, schema and table;
+        one that does not can feed a single typed table only.
+        """
+        wanted = {"source": spec.source, "schema_name": spec.source_schema, "table_name": spec.source_table or spec.name}
+        if "table_name" not in batch.columns:
+            if sum(not self._is_envelope(n) for n in self.tables) > 1:
+                raise ValueError("several typed tables, but the changes carry no table_name to route by")
+            return batch
+        out = batch
+        for col, value in wanted.items():
+            if value is not None and col in batch.columns:
+                out = out.where(F.col(col) == value)
+        return out
 
     def _targets(self) -> DataFrame:
         rows = [
-            (spec.source_schema or "", spec.source_table or name, name)
-            for name, spec in self.tables.items()
+            (sp.source, sp.source_schema or "", sp.source_table or name, name)
+            for name, sp in self.tables.items()
             if self._is_envelope(name)
         ]
-        # one row per configured table: the bound is the table list itself
-        return F.broadcast(
-            self.spark.createDataFrame(rows, "schema_name string, table_name string, target string")
-        )
+        t = self.spark.createDataFrame(rows, "_src string, _sch string, _tbl string, target string")
+        return bounded_broadcast(t)
 
-    def _type_errors(self) -> Column:
-        """Upserts whose (parsable) row JSON does not fit the target table's schema."""
-        specs = [(n, sp) for n, sp in self.tables.items() if self._is_envelope(n)]
-        if not specs or len(specs) > self.validate_max_tables:
-            return F.lit(False)
-        bad = None
-        for name, spec in specs:
-            _cols, b = decode_json(F.col("row_json"), spec.schema)
-            cond = F.col("target") == name
-            bad = F.when(cond, b) if bad is None else bad.when(cond, b)
-        parsable = F.from_json(F.col("row_json"), "map<string,string>").isNotNull()
-        return F.col("op").isin(*UPSERT_OPS) & parsable & F.coalesce(bad, F.lit(False))
-
-    def _write_envelope(self, batch: DataFrame, epoch: int) -> Observation:
-        routed = batch.join(self._targets(), ["schema_name", "table_name"]).select(
-            "target", *ORDER_COLS, "pk_json", "row_json"
-        )
-        # a change that does not fit its table is rejected before the reduction, so it
-        # never replaces the key's last good version; counted in the same job
-        typed = Observation(f"tidemark_types_{epoch}")
-        flagged = routed.withColumn("_tm_type_error", self._type_errors()).observe(
-            typed, F.count(F.when(F.col("_tm_type_error"), F.lit(1))).alias("type_errors")
+    def _routed(self, batch: DataFrame) -> DataFrame:
+        """Envelope changes with their ``target`` (null: untracked).
+
+        A target of the change's own source wins over one that takes every source.
+        """
+        cols = [c for c in REJECT_COLS if c != "reject_reason"]
+        b = batch.select(*[F.col(c) if c in batch.columns else F.lit(None).cast("string").alias(c) for c in cols])
+        t = self._targets()
+        own = t.where(F.col("_src").isNotNull())
+        any_ = t.where(F.col("_src").isNull()).select("_sch", "_tbl", F.col("target").alias("_any"))
+        x = b.join(
+            own, (b["source"] == own["_src"]) & (b["schema_name"] == own["_sch"]) & (b["table_name"] == own["_tbl"]), "left"
+        ).select(*[b[c] for c in cols], F.col("target").alias("_own"))
+        x = x.join(any_, (x["schema_name"] == any_["_sch"]) & (x["table_name"] == any_["_tbl"]), "left")
+        return x.select(*cols, F.coalesce("_own", "_any").alias("target"))
+
+    # -------------------------------------------------------------- decoding ------
+    def _key_schema(self, spec: TableSpec) -> T.StructType:
+        return T.StructType([spec.schema[k] for k in spec.pk])
+
+    def _decoded(self, routed: DataFrame, name: str) -> DataFrame:
+        """The changes of one target: its typed columns and ``reject_reason`` (null: apply)."""
+        spec = self.tables[name]
+        mine = routed.where(F.col("target") == name)
+        cols, bad = decode_json("row_json", spec.schema, prefix="_r_")
+        key, bad_key = decode_json("pk_json", self._key_schema(spec), prefix="_k_")
+        flat = mine.select(*mine.columns, *cols, *key, bad.alias("_bad"), bad_key.alias("_bad_key"))
+        is_delete = F.col("op") == OP_DELETE
+        of = {
+            f.name: F.when(is_delete, F.col(f"_k_{f.name}")).otherwise(F.col(f"_r_{f.name}"))
+            if f.name in spec.pk
+            else F.col(f"_r_{f.name}")
+            for f in spec.schema.fields
+        }
+        no_key = F.lit(False)
+        for k in spec.pk:
+            no_key = no_key | of[k].isNull()
+        reason = F.coalesce(
+            reject_reason(flat),
+            F.when(F.col("op").isin(*UPSERT_OPS) & F.col("_bad"), F.lit(REJECT_MALFORMED_ROW)),
+            F.when(is_delete & F.col("_bad_key"), F.lit(REJECT_EMPTY_KEY)),
+            F.when(no_key, F.lit(REJECT_NULL_KEY)),
         )
-        valid = flagged.where(~F.col("_tm_type_error")).drop("_tm_type_error")
-        # Re-delivered copies of a change share its position, key and image, so the
-        # last-change-per-key reduction absorbs them; no separate dedupe pass.
-        d = latest_per_key(valid, ["target", "pk_json"], keep_deletes=True)
-        d.write.mode("overwrite").partitionBy("target").parquet(f"{self._env_delta()}/epoch={epoch}")
-        return typed
-
-    def apply_batch(self, batch: DataFrame, epoch: int) -> None:
-        """``foreachBatch`` body: write every table's delta, then the commit marker.
-
-        The marker is this micro-batch's acknowledgement: its change count, how many
-        changes were rejected as data errors, and the time spent applying (not
-        receiving) it.
+        fields = F.struct(*[of[f.name].alias(f.name) for f in spec.schema.fields])
+        return flat.select(*mine.columns, reason.alias("reject_reason"), fields.alias("_row"))
+
+    # -------------------------------------------------------------- writing -------
+    def _write_envelope(self, batch: DataFrame, folder: str, seen: dict[str, int]) -> None:
+        routed = self._routed(batch).persist()
+        try:
+            untracked = Observation()
+            lost = routed.where(F.col("target").isNull()).observe(untracked, F.count(F.lit(1)).alias("n"))
+            lost.write.format("noop").mode("overwrite").save()
+            seen["untracked"] += untracked.get["n"]
+            names = [n for n in self.tables if self._is_envelope(n)]
+            for lo in range(0, len(names), TARGETS_PER_JOB):
+                rejects = None
+                for name in names[lo : lo + TARGETS_PER_JOB]:
+                    d = self._decoded(routed, name)
+                    good = d.where(F.col("reject_reason").isNull())
+                    counted = Observation()
+                    good = good.observe(counted, F.count(F.lit(1)).alias("n")).select("source", *ORDER_COLS, "_row.*")
+                    key = self._key(name)
+                    if not self._keeps_source(name):
+                        good = good.drop("source")
+                    latest = latest_per_key(good, key, keep_deletes=True)
+                    latest.write.parquet(self._delta(folder, name))
+                    seen["rows"] += counted.get["n"]
+                    bad = d.where(F.col("reject_reason").isin(*DATA_ERRORS)).select(*REJECT_COLS)
+                    rejects = bad if rejects is None else rejects.unionByName(bad)
+                if rejects is not None:
+                    n = Observation()
+                    rejects.observe(n, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(
+                        f"{self.root}/rejects/{folder}"
+                    )
+                    seen["rejected"] += n.get["n"]
+        finally:
+            routed.unpersist()
+
+    def _write_typed(self, batch: DataFrame, folder: str, seen: dict[str, int]) -> None:
+        for name, spec in self.tables.items():
+            if self._is_envelope(name):
+                continue
+            mine = self._table_changes(batch, spec)
+            reason = reject_reason(mine, spec.pk)
+            n = Observation()
+            counted = mine.observe(
+                n,
+                F.count(F.when(reason.isin(*DATA_ERRORS), F.lit(1))).alias("bad"),
+                F.count(F.when(reason.isNull(), F.lit(1))).alias("rows"),
+            )
+            d = latest_per_key(counted, spec.pk, keep_deletes=True)
+            d.write.parquet(self._delta(folder, name))
+            seen["rejected"] += n.get["bad"]
+            seen["rows"] += n.get["rows"]
+
+    def apply_batch(self, batch: DataFrame, epoch: int, query: str | None = None) -> None:
+        """``foreachBatch`` body: write every table's delta, then the acknowledgement.
+
+        ``query`` names the delivering query; by default the streaming query's own id
+        (epochs are numbered per query and checkpoint).
         """
+        query = query or self.spark.sparkContext.getLocalProperty("sql.streaming.queryId") or ADHOC
+        if self._applied(query, epoch):
+            return
+        folder = self._folder(query, int(epoch), uuid.uuid4().hex[:12])
         started = time.monotonic()
-        # the change count rides along the first write job instead of a separate pass
-        seen = Observation(f"tidemark_batch_{epoch}")
-        errors = reject_reason(batch).isin(*DATA_ERRORS)
-        batch = batch.observe(
-            seen,
-            F.count(F.lit(1)).alias("changes"),
-            F.count(F.when(errors, F.lit(1))).alias("rejected"),
-        ).persist()
-        wrote = False
-        typed = None
+        seen = {"changes": 0, "rows": 0, "rejected": 0, "untracked": 0}
+        batch = batch.persist()
         try:
+            seen["changes"] = batch.count()
             if "row_json" in batch.columns:
-                typed = self._write_envelope(batch, epoch)
-                wrote = True
-            for name, spec in self.tables.items():
-                if self._is_envelope(name):
-                    continue
-                d = latest_per_key(self._table_changes(batch, spec), spec.pk, keep_deletes=True)
-                d.write.mode("overwrite").parquet(f"{self._delta(name)}/epoch={epoch}")
-                wrote = True
+                self._write_envelope(batch, folder, seen)
+            else:
+                self._write_typed(batch, folder, seen)
             for fk in self.foreign_keys:
-                child = self._resolve(fk.child, extra_epoch=epoch)
-                parent = self._resolve(fk.parent, extra_epoch=epoch)
-                if check_foreign_keys(child, parent, fk.fk, fk.ref).limit(1).count() > 0:
+                if self._orphans(fk, folder).limit(1).count() > 0:
                     raise ForeignKeyViolation(f"epoch {epoch}: orphans in {fk.child}")
-            if wrote:
-                rows, rejected = seen.get["changes"], seen.get["rejected"]
-            else:
-                rows, rejected = batch.count(), batch.where(errors).count()
-            if typed is not None:
-                rejected += typed.get["type_errors"]
-            apply_ms = int((time.monotonic() - started) * 1000)
-            self.spark.createDataFrame(
-                [(int(epoch), int(rows), int(rejected), apply_ms, ACK_OK)],
-                ACK_SCHEMA,
-            ).coalesce(1).write.mode("overwrite").json(f"{self._commits()}/epoch={epoch}")
+        except Exception as e:
+            self._acknowledge(query, epoch, folder, seen, started, error_status(str(e)), f"{type(e).__name__}: {e}"[:2000])
+            raise
         finally:
             batch.unpersist()
+        self._acknowledge(query, epoch, folder, seen, started, ACK_OK, None)
+
+    def _acknowledge(self, query, epoch, folder, seen, started, status, error) -> None:
+        ms = int((time.monotonic() - started) * 1000)
+        row = (
+            query, int(epoch), folder, int(seen["changes"]), int(seen["rows"]) if status == ACK_OK else 0,
+            int(seen["rejected"]), int(seen["untracked"]), ms, status, error,
+        )
+        self.spark.createDataFrame([row], ACK_SCHEMA).coalesce(1).write.json(f"{self._log()}/{folder}")
+
+    def _applied(self, query: str, epoch: int) -> bool:
+        path = f"{self._log()}/query={query}/epoch={int(epoch)}"
+        if not self._exists(path):
+            return False
+        acks = self.spark.read.schema(ACK_SCHEMA).option("recursiveFileLookup", "true").json(path)
+        return acks.where(F.col("status") == ACK_OK).limit(1).count() > 0
+
+    # ------------------------------------------------------------ foreign keys ----
+    def _orphans(self, fk: ForeignKey, folder: str) -> DataFrame:
+        """Child rows left without a parent by the batch in ``folder``.
+
+        Only the batch's own child rows, and children of parents it deletes, can have
+        become orphans; both tables are looked up for those keys alone.
+        """
+        keys = list(fk.fk)
+        child = self._typed(fk.child, folder)
+        suspects = None
+        if self._has(fk.child, folder):
+            own = self._read_delta(fk.child, [folder]).where(F.col("op") != OP_DELETE)
+            suspects = own.select(*keys).where(~_any_null(keys))
+        if self._has(fk.parent, folder):
+            dead = self._read_delta(fk.parent, [folder]).where(F.col("op") == OP_DELETE)
+            dead = dead.select(*[F.col(r).alias(k) for r, k in zip(fk.ref, fk.fk)])
+            suspects = dead if suspects is None else suspects.unionByName(dead)
+        if suspects is None:
+            return child.limit(0)
+        suspects = suspects.distinct()
+        parent = self._typed(fk.parent, folder).select(*[F.col(r).alias(k) for r, k in zip(fk.ref, fk.fk)])
+        missing = suspects.join(parent, keys, "left_anti")
+        return child.join(missing, keys, "left_semi")
 
     # -------------------------------------------------------------- reading -------
-    def committed_epochs(self, extra_epoch: int | None = None) -> DataFrame:
-        """One row per published micro-batch (plus ``extra_epoch`` while it commits)."""
-        if self._exists(self._commits()):
-            ok = self.spark.read.json(self._commits()).select(F.col("epoch").cast("long"))
-        else:
-            ok = self.spark.createDataFrame([], "epoch long")
-        if extra_epoch is not None:
-            ok = ok.unionByName(self.spark.createDataFrame([(int(extra_epoch),)], "epoch long"))
-        return ok
-
     def acks(self) -> DataFrame:
-        """Acknowledgements of the published micro-batches: epoch, changes, rejected
-        (data errors kept out of the tables), apply_ms, status."""
-        if not self._exists(self._commits()):
+        """Every attempt's acknowledgement: query, epoch, folder, changes, rows_processed
+        (applied), rejected (data errors), untracked, apply_ms, status, error."""
+        if not self._exists(self._log()):
             return self.spark.createDataFrame([], ACK_SCHEMA)
-        return self.spark.read.schema(ACK_SCHEMA).json(self._commits())
+        return self.spark.read.schema(ACK_SCHEMA).option("recursiveFileLookup", "true").json(self._log())
+
+    def committed_epochs(self) -> DataFrame:
+        """One row per published micro-batch: query, epoch, folder."""
+        return self.acks().where(F.col("status") == ACK_OK).select("query", "epoch", "folder")
+
+    def rejects(self) -> DataFrame:
+        """Rejected envelope changes of the published micro-batches, with their reason."""
+        paths = [p for f in self._folders() if self._exists(p := f"{self.root}/rejects/{f}")]
+        if not paths:
+            return self.spark.createDataFrame([], ", ".join(f"{c} string" for c in REJECT_COLS))
+        return self.spark.read.parquet(*paths)
 
     def metrics(self) -> DataFrame:
-        """Delivery metrics of the stream so far (one row): changes, rejected, batches,
-        total apply time and the last published epoch."""
-        return self.acks().agg(
-            F.coalesce(F.sum("changes"), F.lit(0)).cast("bigint").alias("changes_processed"),
-            F.coalesce(F.sum("rejected"), F.lit(0)).cast("bigint").alias("rejected"),
+        """Delivery metrics of the published micro-batches (one row): changes, rejected,
+        untracked, batches, total apply time and the last published epoch."""
+        ok = self.acks().where(F.col("status") == ACK_OK)
+        total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+        return ok.agg(
+            total("changes").alias("changes_processed"),
+            total("rejected").alias("rejected"),
+            total("untracked").alias("untracked"),
             F.count(F.lit(1)).alias("batches_acked"),
-            F.coalesce(F.sum("apply_ms"), F.lit(0)).cast("bigint").alias("apply_ms"),
+            total("apply_ms").alias("apply_ms"),
             F.max("epoch").alias("last_epoch"),
         )
 
-    def _base_versions(self, name: str) -> list[int]:
+    def _folders(self) -> list[str]:
+        """Folders of published micro-batches (one short row per batch since ``vacuum``)."""
+        return [r["folder"] for r in self.committed_epochs().select("folder").distinct().collect()]
+
+    def _has(self, name: str, folder: str) -> bool:
+        return self._exists(self._delta(folder, name))
+
+    def _versions(self, name: str) -> tuple[str | None, set[str]]:
+        """Path of the latest finished base of ``name`` and the folders it covers."""
         root = self._base(name)
         if not self._exists(root):
-            return []
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        p = jvm.org.apache.hadoop.fs.Path(root)
-        fs = p.getFileSystem(conf)
-        out = []
-        for st in fs.listStatus(p):
-            nm = st.getPath().getName()
-            if nm.startswith("covered=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                out.append(int(nm.split("=", 1)[1]))
-        return sorted(out)
+            return None, set()
+        fs, p = self._fs(root)
+        done = [
+            (int(n.split("=")[1]), n)
+            for n in (s.getPath().getName() for s in fs.listStatus(p))
+            if n.startswith("v=") and self._exists(f"{root}/{n}/covered/_SUCCESS")
+        ]
+        if not done:
+            return None, set()
+        path = f"{root}/{max(done)[1]}"
+        covered = self.spark.read.schema("folder string").json(f"{path}/covered")
+        return f"{path}/rows", {r["folder"] for r in covered.collect()}
 
-    def _key(self, name: str) -> list[str]:
-        return ["pk_json"] if self._is_envelope(name) else list(self.tables[name].pk)
-
-    def _base_and_deltas(
-        self, name: str, extra_epoch: int | None = None
-    ) -> tuple[DataFrame | None, DataFrame | None]:
-        """Latest compacted base version and the committed deltas newer than it."""
-        versions = self._base_versions(name)
-        covered = versions[-1] if versions else -1
-        base = self.spark.read.parquet(f"{self._base(name)}/covered={covered}") if versions else None
-        env = self._is_envelope(name)
-        delta_root = self._env_delta() if env else self._delta(name)
-        deltas = None
-        if self._exists(delta_root):
-            d = self.spark.read.parquet(delta_root)
-            if env:  # partition pruning on the table directory
-                d = d.where(F.col("target") == name).drop("target")
-            # one row per published micro-batch: broadcast behind a row check, so the
-            # deltas are filtered in place instead of shuffled on the epoch number
-            ok = bounded_broadcast(self.committed_epochs(extra_epoch))
-            deltas = d.where(F.col("epoch") > covered).join(ok, "epoch", "left_semi").drop("epoch")
-        return base, deltas
-
-    def _latest(self, name: str, extra_epoch: int | None = None) -> DataFrame:
-        """Last change per key, still in storage form (envelope or typed).
-
-        The base already holds one live row per key, so it is never re-aggregated: the
-        deltas are reduced to their last change per key and upserted onto it (an
-        anti-join on the delta keys, broadcast by AQE when the deltas are small). The
-        base is scanned, not shuffled, however large it grows.
+    def _read_delta(self, name: str, folders: Sequence[str]) -> DataFrame:
+        return self.spark.read.parquet(*[self._delta(f, name) for f in folders])
+
+    def _latest(self, name: str, extra: str | None = None) -> DataFrame:
+        """Last change per key by position, tombstones included.
+
+        The base is neither re-aggregated nor shuffled: the deltas, reduced per key, are
+        joined to it on the key (broadcast by AQE when small) and the later position
+        wins; keys the base does not have are added.
         """
-        base, deltas = self._base_and_deltas(name, extra_epoch)
-        if base is None and deltas is None:
+        base_path, covered = self._versions(name)
+        folders = [f for f in [*self._folders(), *([extra] if extra else [])] if f not in covered and self._has(name, f)]
+        base = self.spark.read.parquet(base_path) if base_path else None
+        if base is None and not folders:
             raise FileNotFoundError(f"no data for table {name}")
-        key = self._key(name)
-        if deltas is None:
+        if not folders:
             return base
+        key = self._key(name)
+        deltas = self._read_delta(name, folders)
+        new = last_position(deltas, key)
         if base is None:
-            return latest_per_key(deltas, key)
-        return upsert(base, deltas, key)
-
-    def _resolve(self, name: str, extra_epoch: int | None = None) -> DataFrame:
-        latest = self._latest(name, extra_epoch)
-        if not self._is_envelope(name):
-            return latest
-        typed, _bad = decode_rows(latest, self.tables[name].schema, keep=ORDER_COLS)
-        return typed
-
-    def read_rejected(self, name: str) -> DataFrame:
-        """Stored rows of an envelope table whose values do not fit its schema (only
-        possible when write-time type checks were skipped, see ``validate_max_tables``)."""
-        if not self._is_envelope(name):
-            return self.spark.createDataFrame([], "pk_json string")
-        _good, bad = decode_rows(self._latest(name), self.tables[name].schema, keep=ORDER_COLS)
-        return bad
+            return new
+        order = F.struct(*[F.col(c) for c in ORDER_COLS])
+        touched = new.select(*key, order.alias("_at"), F.struct(*new.columns).alias("_new"))
+        merged = base.select(*key, order.alias("_b_at"), F.struct(*new.columns).alias("_old")).join(touched, key, "left")
+        kept = merged.select(
+            F.when(F.col("_at") > F.col("_b_at"), F.col("_new")).otherwise(F.col("_old")).alias("_row")
+        ).select("_row.*")
+        known = base.select(*key).join(new.select(*key), key, "left_semi")
+        return kept.unionByName(new.join(known, key, "left_anti"))
+
+    def _typed(self, name: str, extra: str | None = None) -> DataFrame:
+        return self._latest(name, extra).where(F.col("op") != OP_DELETE)
 
     def read_table(self, name: str, with_meta: bool = False) -> DataFrame:
-        """The table as of the last committed micro-batch."""
-        out = self._resolve(name)
-        return out if with_meta else out.drop(*ORDER_COLS)
-
-    def compact(self, name: str) -> int:
-        """Write the resolved table (with its change order) as a new base version that
-        covers every committed epoch; later reads skip the deltas it covers."""
-        top = self.committed_epochs().agg(F.max("epoch")).first()[0]
-        if top is None:
-            return -1
-        table = self._latest(name)
-        table.write.mode("overwrite").parquet(f"{self._base(name)}/covered={int(top)}")
-        return int(top)
+        """The table as of the last published micro-batch."""
+        out = self._typed(name)
+        return out if with_meta else table_columns(out)
+
+    # ----------------------------------------------------------- maintenance ------
+    def compact(self, name: str, settled: Column | None = None) -> int:
+        """Write the table as a new base covering every published micro-batch.
+
+        Tombstones stay, so that a later re-delivery cannot revive a key; those below
+        ``settled`` (an LSN below which nothing can arrive any more) are dropped.
+        Returns the number of micro-batches covered.
+        """
+        folders = self._folders()
+        if not folders:
+            return 0
+        rows = self._latest(name)
+        if settled is not None:
+            rows = rows.where((F.col("op") != OP_DELETE) | (F.col("lsn") >= settled))
+        path = f"{self._base(name)}/v={time.time_ns()}"
+        rows.write.parquet(f"{path}/rows")
+        covered = self.spark.createDataFrame([(f,) for f in sorted(folders)], "folder string")
+        covered.coalesce(1).write.json(f"{path}/covered")  # written last: publishes the base
+        return len(folders)
+
+    def vacuum(self) -> int:
+        """Delete delta folders that the current base of every table covers, and older bases.
+
+        Not to run beside readers that began before the last compaction. Returns the
+        number of folders deleted.
+        """
+        current = {n: self._versions(n) for n in self.tables}
+        covered = set.intersection(*[c for _, c in current.values()]) if current else set()
+        n = 0
+        for f in sorted(covered):
+            fs, p = self._fs(f"{self.root}/deltas/{f}")
+            n += bool(fs.delete(p, True))
+        for name, (path, _) in current.items():
+            if path:
+                fs, p = self._fs(self._base(name))
+                for s in fs.listStatus(p):
+                    if s.getPath().getName() != path.split("/")[-2]:
+                        fs.delete(s.getPath(), True)
+        return n
+
+
+def last_position(rows: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Per key the row with the greatest position, deletes included."""
+    rest = [c for c in rows.columns if c not in key]
+    order = F.struct(*[F.col(c) for c in ORDER_COLS])
+    best = rows.groupBy(*key).agg(F.max_by(F.struct(*rest), order).alias("_last"))
+    return best.select(*key, "_last.*").select(*rows.columns)
