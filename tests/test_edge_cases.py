@@ -49,7 +49,34 @@ def test_malformed_and_empty_json(spark):
     assert reasons == {1: None, 2: "malformed_row", 3: "empty_row", 4: "empty_key"}
     good, bad = env.decode_rows(df, spark.createDataFrame([], "k long, v string").schema)
     assert sorted(r.k for r in good.collect() if r.k is not None) == [1, 4]
-    assert [r.lsn_no for r in bad.select(F.conv(F.hex("lsn"), 16, 10).cast("long").alias("lsn_no")).collect()] == [2]
+    got = {int(bytes(r.lsn).hex(), 16): r.reject_reason for r in bad.collect()}
+    assert got == {2: "malformed_row", 3: "empty_row"}
+    # an insert without any row, and a delete with neither row nor key, are no good rows
+    none = df.withColumns({"row_json": F.lit(None).cast("string"), "pk_json": F.lit(None).cast("string")})
+    good, bad = env.decode_rows(none, spark.createDataFrame([], "k long, v string").schema)
+    assert good.count() == 0
+    assert sorted(r.reject_reason for r in bad.collect()) == ["empty_key", "empty_row", "empty_row", "empty_row"]
+
+
+def test_values_that_do_not_fit_never_fail_the_read(spark):
+    schema = spark.createDataFrame([], "id long, ts timestamp, dt date, d decimal(6,2), b binary").schema
+    rows = [
+        (1, '{"id":1,"ts":"2024-01-01T00:00:00.5Z","dt":"2024-02-03T00:00:00Z","d":"1.50","b":"YQ=="}'),
+        (2, '{"id":2,"ts":"garbage"}'),
+        (3, '{"id":3,"d":"abc"}'),
+        (4, '{"id":4,"d":"123456.00"}'),  # does not fit decimal(6,2)
+        (5, '{"id":5,"b":"%%%"}'),
+        (6, '{"id":6,"dt":"2024"}'),
+        (7, '{"id":7,"ts":null}'),
+    ]
+    df = spark.createDataFrame(rows, "n long, row_json string").withColumns(
+        {"op": F.lit(2), "pk_json": F.lit(None).cast("string")}
+    )
+    good, bad = env.decode_rows(df, schema, keep=("n",))
+    assert sorted(r.n for r in good.collect()) == [1, 7]
+    assert sorted((r.n, r.reject_reason) for r in bad.collect()) == [(n, "malformed_row") for n in (2, 3, 4, 5, 6)]
+    one = good.where("n = 1").first()
+    assert one.ts.microsecond == 500000 and str(one.d) == "1.50" and bytes(one.b) == b"a" and str(one.dt) == "2024-02-03"
 
 
 def test_one_lsn_larger_than_batch(spark):
@@ -65,20 +92,18 @@ def test_one_lsn_larger_than_batch(spark):
 
 
 def test_capture_minimum_above_cursor(spark):
-    rows = [(50, 0, 2, 1, "a"), (60, 0, 2, 2, "b")]
-    ch = changes(spark, rows).withColumns(
-        {"source": F.lit("s"), "schema_name": F.lit("dbo"), "table_name": F.lit("t")}
-    )
-    cur = spark.createDataFrame([("s", 10)], "source string, c long").select(
-        "source", lsn_from_number("c").alias("cursor_lsn")
-    )
-    r = ranges.effective_start(ch, cur).collect()[0]
-    assert r.gap is True and r.start_lsn == r.capture_min_lsn
-    cur2 = spark.createDataFrame([("s", 55)], "source string, c long").select(
+    caps = spark.createDataFrame(
+        [("s", "dbo", "purged", 50), ("s", "dbo", "quiet", 5), ("n", "dbo", "new", 7)],
+        "source string, schema_name string, table_name string, c long",
+    ).withColumn("capture_min_lsn", lsn_from_number("c"))
+    cur = spark.createDataFrame([("s", 10), ("s", 8)], "source string, c long").select(
         "source", lsn_from_number("c").alias("cursor_lsn")
     )
-    r2 = ranges.effective_start(ch, cur2).collect()[0]
-    assert r2.gap is False and int(bytes(r2.start_lsn).hex(), 16) == 60
+    got = {
+        r.table_name: (r.gap, int(bytes(r.start_lsn).hex(), 16)) for r in ranges.effective_start(caps, cur).collect()
+    }
+    # a capture whose retained history begins beyond the cursor has a gap, a quiet one has none
+    assert got == {"purged": (True, 50), "quiet": (False, 10), "new": (False, 7)}
 
 
 def test_all_key_table_insert_ignore(spark):
@@ -177,25 +202,109 @@ def test_pair_update_json(spark):
     assert out == [(2, None), (4, '{"k":1,"v":"old"}')]
 
 
+EVENTS = "source string, batch_no long, status string, lsn_no long, rows_processed long, at long"
+
+
+def _fold(spark, rows, sent=None):
+    ev = spark.createDataFrame(rows, EVENTS).withColumn("lsn", lsn_from_number("lsn_no"))
+    return {r.source: r for r in batches.fold_cursors(ev, sent).collect()}
+
+
+def _no(lsn):
+    return None if lsn is None else int(bytes(lsn).hex(), 16)
+
+
 def test_fold_cursors_with_poll_events(spark):
-    rows = [
-        ("s", 1, "OK", 10, 5),
-        ("s", 2, "RETRY", 20, 0),
-        ("s", 3, "EMPTY_POLL", 30, 0),
-        ("s", 4, "FAILED", 40, 0),
-        ("t", 1, "SKIPPED", 7, 0),
-    ]
-    ev = spark.createDataFrame(rows, "source string, batch_no long, status string, lsn_no long, rows_processed long")
-    ev = ev.withColumn("lsn", lsn_from_number("lsn_no"))
-    got = {r.source: r for r in batches.fold_cursors(ev).collect()}
+    got = _fold(
+        spark,
+        [
+            ("s", 1, "OK", 10, 5, 1),
+            ("s", 2, "RETRY", 20, 0, 2),
+            ("s", 2, "OK", 20, 5, 3),
+            ("s", 2, "OK", 20, 5, 4),  # a copy of the acknowledgement
+            ("s", None, "EMPTY_POLL", 30, 0, 5),
+            ("s", 4, "FAILED", 40, 0, 6),
+            ("s", 5, "OK", 50, 9, 7),
+            ("t", 1, "SKIPPED", 7, 0, 1),
+            ("u", 1, "FAILED", 3, 0, 1),
+        ],
+    )
     s = got["s"]
-    assert int(bytes(s.cursor_lsn).hex(), 16) == 30 and int(bytes(s.last_acked_lsn).hex(), 16) == 10
+    # batch 4 is open: the cursor stays before it, whatever came later
+    assert (_no(s.cursor_lsn), _no(s.last_acked_lsn)) == (30, 50)
     assert (s.rows_processed, s.acked_batches, s.retries, s.failures, s.last_status, s.last_error) == (
-        5, 1, 1, 1, "FAILED", "FAILED")
-    t = got["t"]
-    assert int(bytes(t.cursor_lsn).hex(), 16) == 7 and t.last_acked_lsn is None
-    starts = {r.source: r.from_beginning for r in batches.start_positions(batches.fold_cursors(ev)).collect()}
-    assert starts == {"s": False, "t": True}
+        19, 3, 1, 1, "OK", "FAILED")
+    assert (_no(got["t"].cursor_lsn), got["t"].last_acked_lsn) == (7, None)
+    assert got["u"].cursor_lsn is None
+    ev = spark.createDataFrame([("t", 1, "SKIPPED", 7, 0, 1), ("u", 1, "FAILED", 3, 0, 1)], EVENTS)
+    cur = batches.fold_cursors(ev.withColumn("lsn", lsn_from_number("lsn_no")))
+    starts = {r.source: (r.from_beginning, _no(r.cursor_lsn)) for r in batches.start_positions(cur).collect()}
+    assert starts == {"t": (False, 7), "u": (True, None)}
+
+
+def test_sent_but_never_acknowledged_holds_the_cursor(spark):
+    sent = spark.createDataFrame([("s", n, 10 * n) for n in (1, 2, 3)], "source string, batch_no long, n long")
+    sent = sent.withColumn("lsn", lsn_from_number("n"))
+    rows = [("s", 1, "OK", 10, 1, 1), ("s", 3, "OK", 30, 1, 2)]
+    assert _no(_fold(spark, rows)["s"].cursor_lsn) == 30
+    assert _no(_fold(spark, rows, sent)["s"].cursor_lsn) == 10
+
+
+def test_islands_and_acks_with_errors(spark):
+    log = spark.createDataFrame(
+        [(i, b, i, "" if i == 3 else f"{i:020d}", 2) for i, b in enumerate("aabbaacc")],
+        "pos long, batch_id string, seq long, lsn string, ms long",
+    )
+    errors = spark.createDataFrame([(3, "bad column"), (7, "connection lost"), (6, "oops, a type")], "pos long, message string")
+    got = sorted(
+        (r.island_no, r.batch_id, r.lsn, r.changes, r.status, r.error, r.rows_processed, r.apply_ms)
+        for r in batches.build_acks(log, errors=errors, ms_col="ms", blocks=3).collect()
+    )
+    z = lambda n: f"{n:020d}"
+    assert got == [
+        (1, "a", z(1), 2, "OK", None, 2, 4),
+        (2, "b", z(2), 2, "SCHEMA_MISMATCH", "bad column", 0, 4),
+        (3, "a", z(5), 2, "OK", None, 2, 4),
+        (4, "c", z(7), 2, "SCHEMA_MISMATCH", "oops, a type", 0, 4),
+    ]
+
+
+def test_sync_loop_resumes_and_retries(spark):
+    import tempfile
+
+    from tidemark.streaming.apply import TableSpec, TableStore
+    from tidemark.streaming.loop import sync
+
+    rows = [
+        (src, "dbo", "t", n, 0, 2 if n < 5 else 4, f'{{"k":{n % 5}}}', f'{{"k":{n % 5},"v":"{src}{n}"}}')
+        for src, top in (("a", 12), ("b", 4))
+        for n in range(1, top + 1)
+    ]
+    log = spark.createDataFrame(
+        rows, "source string, schema_name string, table_name string, n long, seqval long, op int, pk_json string, row_json string"
+    ).withColumn("lsn", lsn_from_number("n")).drop("n")
+    schema = spark.createDataFrame([], "k long, v string").schema
+
+    class Flaky(TableStore):
+        calls = 0
+
+        def _write_envelope(self, *a):
+            Flaky.calls += 1
+            if Flaky.calls == 2:
+                raise TimeoutError("timeout while writing")
+            super()._write_envelope(*a)
+
+    store = Flaky(spark, tempfile.mkdtemp(prefix="tm-loop-"), {"t": TableSpec("t", ("k",), schema, "dbo", "t")})
+    cur, events = sync(log, store, 5)
+    assert {r.source: _no(r.cursor_lsn) for r in cur.collect()} == {"a": 12, "b": 4}
+    got = sorted((r.source, r.k, r.v) for r in store.read_table("t").collect())
+    want = {(src, n % 5): f"{src}{n}" for src, top in (("a", 12), ("b", 4)) for n in range(1, top + 1)}
+    assert got == sorted((s, k, v) for (s, k), v in want.items())
+    assert sorted({r.status for r in store.acks().collect()}) == ["OK", "RETRY"]
+    # resuming from the folded cursors finds nothing more
+    again, more = sync(log, store, 5, cursors=cur)
+    assert {r.status for r in more.collect()} == {"EMPTY_POLL"}
+    assert {r.source: _no(r.cursor_lsn) for r in again.collect()} == {"a": 12, "b": 4}
 
 
 def test_safe_high_water_over_truncated_captures(spark):

@@ -1,218 +1,131 @@
-"""The users/orders change script (FIXTURES.md §A), with hand-computed expectations.
-
-The changelog is generated from the script's statements: one LSN per statement, one
-row per inserted/deleted row, a before/after pair per updated row.
+"""A lending library's changelog with hand-computed results.
+
+Two branches (sources ``north`` and ``south``) keep the tables ``member`` and ``loan``.
+North's log, position by position:
+
+ 1  member 1 Ada, member 2 Bo, member 3 Cy join
+ 2  loan 11 (member 1, fee 0.50), loan 12 (member 3, fee 1.25)
+ 3  Bo moves to tier gold
+ 4  Cy's card is renumbered: member 3 goes, member 30 comes, at one position
+ 5  loan 12 is moved to member 30, fee 2.00
+ 6  loan 11 is returned (deleted)
+ 7  loan 13 (member 2, fee 0.75) and, in the same position, member 4 Di joins
+ 8  Di leaves again
+ 9  loan 14 (member 4, fee 3.00): its member is gone, an orphan
+
+South has a member 1 of its own (Eve), who moves to tier gold at position 2.
 """
 
-import datetime as dt
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions.lsn import lsn_from_number
-from tidemark.operators import merge
-
-T0 = dt.datetime(2024, 1, 1)
-USER_COLS = ["id", "username", "email", "first_name", "last_name", "created_at", "updated_at", "is_active"]
-ORDER_COLS_ = ["id", "user_id", "order_number", "total_amount", "status", "created_at", "updated_at"]
-USER_SCHEMA = (
-    "lsn_no long, seqval long, op int, id int, username string, email string, first_name string, "
-    "last_name string, created_at timestamp, updated_at timestamp, is_active boolean"
-)
-ORDER_SCHEMA = (
-    "lsn_no long, seqval long, op int, id int, user_id int, order_number string, "
-    "total_amount decimal(10,2), status string, created_at timestamp, updated_at timestamp"
-)
-
-SEED_USERS = [
-    (1, "johndoe", "john.doe@example.com", "John", "Doe", T0, T0, True),
-    (2, "janedoe", "jane.doe@example.com", "Jane", "Doe", T0, T0, True),
-    (3, "bobsmith", "bob.smith@example.com", "Bob", "Smith", T0, T0, True),
-    (4, "alicejones", "alice.jones@example.com", "Alice", "Jones", T0, T0, False),
-    (5, "charliebrwn", "charlie.brown@example.com", "Charlie", "Brown", T0, T0, True),
+from tidemark.operators import analytics, merge
+from tidemark.operators.routing import union_sources
+
+MEMBER = "n long, seqval long, op int, id int, name string, tier string"
+LOAN = "n long, seqval long, op int, loan int, member int, fee decimal(6,2)"
+GONE, NEW, BEFORE, AFTER = 1, 2, 3, 4
+
+NORTH_MEMBER = [
+    (1, 0, NEW, 1, "Ada", "basic"),
+    (1, 1, NEW, 2, "Bo", "basic"),
+    (1, 2, NEW, 3, "Cy", "basic"),
+    (3, 0, BEFORE, 2, "Bo", "basic"),
+    (3, 0, AFTER, 2, "Bo", "gold"),
+    (4, 0, GONE, 3, "Cy", "basic"),
+    (4, 0, NEW, 30, "Cy", "basic"),
+    (7, 1, NEW, 4, "Di", "basic"),
+    (8, 0, GONE, 4, "Di", "basic"),
+]
+NORTH_LOAN = [
+    (2, 0, NEW, 11, 1, Decimal("0.50")),
+    (2, 1, NEW, 12, 3, Decimal("1.25")),
+    (5, 0, BEFORE, 12, 3, Decimal("1.25")),
+    (5, 0, AFTER, 12, 30, Decimal("2.00")),
+    (6, 0, GONE, 11, 1, Decimal("0.50")),
+    (7, 0, NEW, 13, 2, Decimal("0.75")),
+    (9, 0, NEW, 14, 4, Decimal("3.00")),
 ]
-SEED_ORDERS = [
-    (1, 1, "ORD-001", Decimal("150.00"), "completed", T0, T0),
-    (2, 1, "ORD-002", Decimal("75.50"), "pending", T0, T0),
-    (3, 2, "ORD-003", Decimal("200.00"), "completed", T0, T0),
-    (4, 3, "ORD-004", Decimal("45.99"), "shipped", T0, T0),
-    (5, 3, "ORD-005", Decimal("320.00"), "pending", T0, T0),
-    (6, 4, "ORD-006", Decimal("89.99"), "cancelled", T0, T0),
-    (7, 5, "ORD-007", Decimal("560.00"), "completed", T0, T0),
+SOUTH_MEMBER = [
+    (1, 0, NEW, 1, "Eve", "basic"),
+    (2, 0, BEFORE, 1, "Eve", "basic"),
+    (2, 0, AFTER, 1, "Eve", "gold"),
 ]
 
 
-class Script:
-    """Turns statements into change rows (test helper, plain Python on tiny data)."""
-
-    def __init__(self):
-        self.lsn = 100
-        self.users = {r[0]: list(r) for r in SEED_USERS}
-        self.orders = {r[0]: list(r) for r in SEED_ORDERS}
-        self.rows = {"users": [], "orders": []}
-        self.sections = []
-        self.next_id = {"users": 6, "orders": 8}
-
-    def _state(self, table):
-        return self.users if table == "users" else self.orders
-
-    def _emit(self, table, op, seq, row):
-        self.rows[table].append((self.lsn, seq, op, *row))
-
-    def insert(self, table, *rows):
-        self.lsn += 1
-        for seq, vals in enumerate(rows):
-            rid = self.next_id[table]
-            self.next_id[table] += 1
-            row = [rid, *vals]
-            self._state(table)[rid] = row
-            self._emit(table, 2, seq, row)
-
-    def update(self, table, pred, **changes):
-        self.lsn += 1
-        cols = USER_COLS if table == "users" else ORDER_COLS_
-        st = self._state(table)
-        for seq, rid in enumerate(sorted(k for k, r in st.items() if pred(r))):
-            before = list(st[rid])
-            after = list(before)
-            for c, v in changes.items():
-                after[cols.index(c)] = v
-            st[rid] = after
-            self._emit(table, 3, seq, before)
-            self._emit(table, 4, seq, after)
-
-    def delete(self, table, pred):
-        self.lsn += 1
-        st = self._state(table)
-        for seq, rid in enumerate(sorted(k for k, r in st.items() if pred(r))):
-            self._emit(table, 1, seq, st.pop(rid))
-
-    def mark(self, name):
-        self.sections.append((name, self.lsn, len(self.rows["users"]), len(self.rows["orders"])))
-
-
-def build_script():
-    s = Script()
-    T1 = dt.datetime(2024, 1, 2)
-    un = USER_COLS.index("username")
-    on = ORDER_COLS_.index("order_number")
-    s.insert(
-        "users",
-        ["testuser1", "testuser1@example.com", "Test", "User1", T1, T1, True],
-        ["testuser2", "testuser2@example.com", "Test", "User2", T1, T1, True],
-        ["testuser3", "testuser3@example.com", "Test", "User3", T1, T1, False],
-    )
-    s.insert(
-        "orders",
-        [1, "ORD-TEST-001", Decimal("99.99"), "pending", T1, T1],
-        [2, "ORD-TEST-002", Decimal("149.50"), "pending", T1, T1],
-        [1, "ORD-TEST-003", Decimal("250.00"), "pending", T1, T1],
-    )
-    s.mark("inserts")
-    s.update("users", lambda r: r[un] == "testuser1", first_name="Updated", last_name="Name")
-    s.update("users", lambda r: r[un] == "testuser2", is_active=False)
-    s.update("users", lambda r: r[un] == "testuser3", email="newemail@example.com")
-    s.update("orders", lambda r: r[on] == "ORD-TEST-001", status="shipped")
-    s.update("orders", lambda r: r[on] == "ORD-TEST-002", status="completed", total_amount=Decimal("155.00"))
-    s.mark("updates")
-    s.delete("orders", lambda r: r[on] == "ORD-TEST-003")
-    s.delete("users", lambda r: r[un] == "testuser3")
-    s.mark("deletes")
-    s.insert("users", ["mixeduser", "mixed@example.com", "Mixed", "User", T1, T1, True])
-    s.update("users", lambda r: r[un] == "mixeduser", first_name="MixedUpdated")
-    s.insert("orders", [9, "ORD-MIXED-001", Decimal("500.00"), "pending", T1, T1])
-    s.update("orders", lambda r: r[on] == "ORD-MIXED-001", status="processing")
-    s.delete("orders", lambda r: r[on] == "ORD-MIXED-001")
-    s.delete("users", lambda r: r[un] == "mixeduser")
-    s.mark("mixed")
-    s.delete("orders", lambda r: r[on].startswith("ORD-TEST-"))
-    s.delete("users", lambda r: r[un].startswith("testuser"))
-    s.mark("cleanup")
-    return s
+def frame(spark, rows, schema):
+    return spark.createDataFrame(rows, schema).withColumn("lsn", lsn_from_number("n")).drop("n")
 
 
 @pytest.fixture(scope="module")
-def golden(spark):
-    s = build_script()
-
-    def frame(table, schema):
-        df = spark.createDataFrame(s.rows[table], schema)
-        return df.withColumn("lsn", lsn_from_number("lsn_no")).drop("lsn_no")
-
-    users = frame("users", USER_SCHEMA)
-    orders = frame("orders", ORDER_SCHEMA)
-    seed_u = spark.createDataFrame(SEED_USERS, ", ".join(USER_SCHEMA.split(", ")[3:]))
-    seed_o = spark.createDataFrame(SEED_ORDERS, ", ".join(ORDER_SCHEMA.split(", ")[3:]))
-    return s, users, orders, seed_u, seed_o
-
-
-EXPECTED = {
-    # section: (raw users, raw orders, rows users, rows orders, user ids added, order ids added)
-    "inserts": (3, 3, 3, 3, {6, 7, 8}, {8, 9, 10}),
-    "updates": (9, 7, 6, 5, {6, 7, 8}, {8, 9, 10}),
-    "deletes": (10, 8, 7, 6, {6, 7}, {8, 9}),
-    "mixed": (14, 12, 10, 9, {6, 7}, {8, 9}),
-    "cleanup": (16, 14, 12, 11, set(), set()),
-}
-
-
-@pytest.mark.parametrize("section", list(EXPECTED))
-def test_sections(golden, section):
-    s, users, orders, seed_u, seed_o = golden
-    _, lsn_no, nu, no = next(x for x in s.sections if x[0] == section)
-    upto = F.col("lsn") <= lsn_from_number(F.lit(lsn_no))
-    u, o = users.where(upto), orders.where(upto)
-    raw_u, raw_o, ra_u, ra_o, ids_u, ids_o = EXPECTED[section]
-    assert (u.count(), o.count()) == (raw_u, raw_o) == (nu, no)
-    got_ra_u = merge.rows_affected(u, seed_u, ["id"]).agg(F.sum("rows_affected")).first()[0]
-    got_ra_o = merge.rows_affected(o, seed_o, ["id"]).agg(F.sum("rows_affected")).first()[0]
-    assert (got_ra_u, got_ra_o) == (ra_u, ra_o)
-    tu = merge.upsert(seed_u, u, ["id"])
-    to = merge.upsert(seed_o, o, ["id"])
-    assert {r.id for r in tu.collect()} == {1, 2, 3, 4, 5} | ids_u
-    assert {r.id for r in to.collect()} == set(range(1, 8)) | ids_o
-    # foreign keys hold with the seed loaded
-    assert merge.check_foreign_keys(to, tu, ["user_id"], ["id"]).count() == 0
-
-
-def test_updated_values(golden):
-    s, users, orders, seed_u, seed_o = golden
-    _, lsn_no, _, _ = next(x for x in s.sections if x[0] == "updates")
-    upto = F.col("lsn") <= lsn_from_number(F.lit(lsn_no))
-    tu = {r.id: r for r in merge.upsert(seed_u, users.where(upto), ["id"]).collect()}
-    to = {r.id: r for r in merge.upsert(seed_o, orders.where(upto), ["id"]).collect()}
-    assert (tu[6].first_name, tu[6].last_name) == ("Updated", "Name")
-    assert tu[7].is_active is False
-    assert tu[8].email == "newemail@example.com"
-    assert to[8].status == "shipped"
-    assert (to[9].status, to[9].total_amount) == ("completed", Decimal("155.00"))
-
-
-def test_orphans_without_seed(golden, spark):
-    s, users, orders, seed_u, seed_o = golden
-    _, lsn_no, _, _ = next(x for x in s.sections if x[0] == "mixed")
-    upto = F.col("lsn") <= lsn_from_number(F.lit(lsn_no))
-    tu = merge.latest_per_key(users.where(upto), ["id"])
-    to = merge.latest_per_key(orders.where(upto), ["id"])
-    orphans = merge.check_foreign_keys(to, tu, ["user_id"], ["id"]).collect()
-    assert sorted((r.id, r.user_id) for r in orphans) == [(8, 1), (9, 2)]
-
-
-def test_changed_columns_of_updates(golden):
-    from tidemark.operators import analytics
-
-    s, users, orders, *_ = golden
-    pairs = analytics.pair_updates(users)
-    ch = analytics.changed_columns(pairs, USER_COLS)
-    got = sorted((r.new.id, tuple(r.changed)) for r in ch.collect())
-    assert got == [(6, ("first_name", "last_name")), (7, ("is_active",)), (8, ("email",)), (9, ("first_name",))]
-
-
-def test_net_changes_whole_script(golden):
-    from tidemark.operators import analytics
-
-    s, users, orders, *_ = golden
-    net = {r.id: r.net_op for r in analytics.net_changes(users, ["id"]).collect()}
-    # every test user is inserted and deleted again by the end
-    assert net == {6: "none", 7: "none", 8: "none", 9: "none"}
+def logs(spark):
+    return frame(spark, NORTH_MEMBER, MEMBER), frame(spark, NORTH_LOAN, LOAN), frame(spark, SOUTH_MEMBER, MEMBER)
+
+
+def upto(n):
+    return F.col("lsn") <= lsn_from_number(F.lit(n))
+
+
+def members(df):
+    return {(r.id, r.name, r.tier) for r in df.collect()}
+
+
+@pytest.mark.parametrize(
+    ("position", "expected"),
+    [
+        (1, {(1, "Ada", "basic"), (2, "Bo", "basic"), (3, "Cy", "basic")}),
+        (3, {(1, "Ada", "basic"), (2, "Bo", "gold"), (3, "Cy", "basic")}),
+        (4, {(1, "Ada", "basic"), (2, "Bo", "gold"), (30, "Cy", "basic")}),
+        (7, {(1, "Ada", "basic"), (2, "Bo", "gold"), (30, "Cy", "basic"), (4, "Di", "basic")}),
+        (9, {(1, "Ada", "basic"), (2, "Bo", "gold"), (30, "Cy", "basic")}),
+    ],
+)
+def test_member_table_at_each_position(logs, position, expected):
+    assert members(merge.snapshot_as_of(logs[0], ["id"], lsn_from_number(F.lit(position)))) == expected
+
+
+def test_loans_and_their_orphan(logs):
+    member, loan, _ = logs
+    m, ln = merge.latest_per_key(member, ["id"]), merge.latest_per_key(loan, ["loan"])
+    assert {(r.loan, r.member, str(r.fee)) for r in ln.collect()} == {(12, 30, "2.00"), (13, 2, "0.75"), (14, 4, "3.00")}
+    assert [r.loan for r in merge.check_foreign_keys(ln, m, ["member"], ["id"]).collect()] == [14]
+    # before the card was renumbered in the loans, loan 12 was an orphan for one position
+    at4 = merge.snapshot_as_of(loan, ["loan"], lsn_from_number(F.lit(4)))
+    m4 = merge.snapshot_as_of(member, ["id"], lsn_from_number(F.lit(4)))
+    assert [r.loan for r in merge.check_foreign_keys(at4, m4, ["member"], ["id"]).collect()] == [12]
+
+
+def test_rows_affected_and_replay(logs):
+    member = logs[0]
+    ra = merge.rows_affected(member, None, ["id"])
+    assert ra.agg(F.sum("rows_affected")).first()[0] == 8  # every applied change meets what it expects
+    twice = member.unionByName(member.where(upto(4)))
+    assert members(merge.latest_per_key(twice, ["id"])) == members(merge.latest_per_key(member, ["id"]))
+    assert merge.dedupe_replays(twice, pk=["id"]).count() == member.count()
+
+
+def test_late_part_of_the_log_changes_nothing(logs):
+    """Positions 5-9 applied first, 1-4 delivered afterwards."""
+    member = logs[0]
+    late, early = member.where(~upto(4)), member.where(upto(4))
+    both = late.unionByName(early)
+    assert members(merge.latest_per_key(both, ["id"])) == {(1, "Ada", "basic"), (2, "Bo", "gold"), (30, "Cy", "basic")}
+
+
+def test_sources_stay_apart(logs):
+    both = union_sources({"north": logs[0], "south": logs[2]})
+    got = {(r.source, r.id, r.name, r.tier) for r in merge.latest_per_key(both, ["source", "id"]).collect()}
+    assert {g for g in got if g[1] == 1} == {("north", 1, "Ada", "basic"), ("south", 1, "Eve", "gold")}
+
+
+def test_changed_columns_and_net_changes(logs):
+    member, loan, _ = logs
+    pairs = analytics.changed_columns(analytics.pair_updates(loan, ["loan"]), ["loan", "member", "fee"])
+    assert [(r.loan, list(r.changed)) for r in pairs.collect()] == [(12, ["member", "fee"])]
+    net = {r.id: r.net_op for r in analytics.net_changes(member, ["id"]).collect()}
+    assert net == {1: "insert", 2: "insert", 3: "none", 30: "insert", 4: "none"}
+    with pytest.raises(ValueError):
+        analytics.pair_updates(loan)

@@ -12,9 +12,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions import envelope as env
-from tidemark.functions.lsn import lsn_from_number, lsns_to_hex
+from tidemark.functions.lsn import lsn_from_number, lsn_literal, lsns_to_hex
 from tidemark.operators import analytics, batches, ranges, routing
 from tidemark.operators import merge
 from tidemark.sources.fixtures import FIXTURE_PK, FIXTURE_SQL, fixture, oracle_with, table
@@ -96,6 +97,28 @@ def changelog(spark: SparkSession, sf: str) -> DataFrame:
     return routing.union_sources({"MyDB": users.unionByName(orders), "Archive": lines})
 
 
+_STORED: dict[tuple[str, str], str] = {}
+
+
+def stored_log(spark: SparkSession, sf: str) -> str:
+    """The changelog as stored by ``write_changelog``: written once per application."""
+    from tidemark.session import scratch_dir
+    from tidemark.sources.changelog import write_changelog
+
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _STORED:
+        path = scratch_dir(spark, "changelog")
+        write_changelog(changelog(spark, sf), path)
+        _STORED[key] = path
+    return _STORED[key]
+
+
+def read_log(spark: SparkSession, sf: str, **kw) -> DataFrame:
+    from tidemark.sources.changelog import read_changelog
+
+    return read_changelog(spark, stored_log(spark, sf), **kw)
+
+
 def cursors(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([("MyDB", 900)], "source string, cursor_no bigint").select(
         "source", lsn_from_number("cursor_no").alias("cursor_lsn")
@@ -118,10 +141,11 @@ from ch_line where lsn_no between 700 and 1900
 """,
 )
 def q_read_changes(spark, sf):
-    """Changes of one capture in a closed LSN range (predicate on the bare lsn column)."""
-    ch = fixture(spark, sf, "ch_line")
-    out = ranges.read_changes(ch, lsn_from_number(F.lit(700)), lsn_from_number(F.lit(1900)))
-    return lsns_to_hex(out, "lsn")
+    """Changes of one capture in a closed LSN range, from the stored log (directory pruned,
+    range pushed into the scan), decoded."""
+    out = read_log(spark, sf, from_lsn=lsn_literal(700), to_lsn=lsn_literal(1900), tables=[("dbo", "lines")])
+    good, _ = env.decode_rows(out, env.typed_schema(fixture(spark, sf, "ch_line")))
+    return lsns_to_hex(good.select("lsn", "seqval", "op", *_LINE_COLS), "lsn")
 
 
 POLL_ORACLE = (
@@ -149,7 +173,7 @@ from pend p join cut on p.source = cut.source where p.lsn_no <= cut.cut
 )
 def q_poll_changes(spark, sf):
     """Multi-table poll after each source's cursor, 1000 rows per source by whole LSNs."""
-    return _out(ranges.poll_changes(changelog(spark, sf), cursors(spark), 1000))
+    return _out(ranges.poll_changes(read_log(spark, sf), cursors(spark), 1000))
 
 
 @register(
@@ -166,7 +190,7 @@ from changelog p join cut on p.source = cut.source where p.lsn_no <= cut.cut
 )
 def q_limit_batch(spark, sf):
     """First 1000 changes per source over all captures, cut only between LSNs."""
-    return _out(ranges.limit_batch(changelog(spark, sf), 1000))
+    return _out(ranges.limit_batch(read_log(spark, sf), 1000))
 
 
 @register(
@@ -183,21 +207,21 @@ def q_lsn_range(spark, sf):
 
 @register(
     "effective_start",
-    _with_changelog()
-    + ", "
+    oracle_with("ch_line", "ch_order", "captures").rstrip()
+    + ",\n"
     + CURSORS_SQL
-    + f"""select c.source, c.schema_name, c.table_name,
-  {_hex('min(c.lsn_no)')} as capture_min_lsn,
-  {_hex('max(k.cursor_no)')} as cursor_lsn,
-  {_hex('min(case when k.cursor_no is null or c.lsn_no > k.cursor_no then c.lsn_no end)')} as start_lsn,
-  coalesce(max(k.cursor_no) is not null and min(c.lsn_no) > max(k.cursor_no), false) as gap
-from changelog c left join cursors k on c.source = k.source
-group by c.source, c.schema_name, c.table_name
+    + f"""select c.source, c.schema_name, c.table_name, {_hex('c.min_no')} as capture_min_lsn,
+  {_hex('k.cursor_no')} as cursor_lsn,
+  {_hex('case when k.cursor_no > c.min_no then k.cursor_no else c.min_no end')} as start_lsn,
+  k.cursor_no is not null and c.min_no > k.cursor_no as gap
+from captures c left join cursors k on c.source = k.source
 """,
 )
 def q_effective_start(spark, sf):
-    """Per capture: first change after the cursor, capture minimum and purge gap flag."""
-    out = ranges.effective_start(changelog(spark, sf), cursors(spark))
+    """Per capture: the later of cursor and retained minimum; orders were purged beyond the
+    cursor (a gap), users are merely quiet or not (no gap)."""
+    caps = fixture(spark, sf, "captures").withColumn("capture_min_lsn", lsn_from_number("min_no")).drop("min_no")
+    out = ranges.effective_start(caps, cursors(spark))
     return lsns_to_hex(out, "capture_min_lsn", "cursor_lsn", "start_lsn")
 
 
@@ -244,7 +268,7 @@ from cut c join tops t using (source, schema_name, table_name) group by c.source
 )
 def q_safe_high_water(spark, sf):
     """Per source: furthest LSN below which every capture was fully read (1000 rows per capture)."""
-    out = ranges.safe_high_water(changelog(spark, sf), cursors(spark), 1000)
+    out = ranges.safe_high_water(read_log(spark, sf), cursors(spark), 1000)
     return lsns_to_hex(out, "high_water_lsn")
 
 
@@ -260,7 +284,7 @@ from pend p join hw on p.source = hw.source where p.lsn_no <= hw.hw
 def q_poll_per_capture(spark, sf):
     """Each capture read up to 1000 rows (whole LSNs) after the cursor, trimmed to the
     safe high-water mark so no capture skips changes below it."""
-    return _out(ranges.poll_per_capture(changelog(spark, sf), cursors(spark), 1000))
+    return _out(ranges.poll_per_capture(read_log(spark, sf), cursors(spark), 1000))
 
 
 CURSORS2_SQL = (
@@ -299,7 +323,7 @@ def q_poll_cursor(spark, sf):
     cur = spark.createDataFrame([("MyDB", 900), ("Archive", 100000)], "source string, cursor_no bigint").select(
         "source", lsn_from_number("cursor_no").alias("cursor_lsn")
     )
-    return lsns_to_hex(ranges.poll_cursor(changelog(spark, sf), cur, 1000), "next_cursor_lsn")
+    return lsns_to_hex(ranges.poll_cursor(read_log(spark, sf), cur, 1000), "next_cursor_lsn")
 
 
 # ----------------------------------------------------------- envelope -------------
@@ -364,6 +388,47 @@ def q_decode_rows_time(spark, sf):
     return lsns_to_hex(good.select("lsn", "seqval", "op", "user_id", "value", "event_type", "ts"), "lsn")
 
 
+DECODE_SQL = """raw AS (select event_id, event_id % 8 as k, case event_id % 8
+    when 0 then '{"id":' || cast(event_id as varchar(20)) || ',"ts":"garbage","d":"1.50","b":"YQ=="}'
+    when 1 then '{"id":' || cast(event_id as varchar(20)) || ',"ts":"2024-01-01T00:00:00Z","d":"abc","b":"YQ=="}'
+    when 2 then '{"id":' || cast(event_id as varchar(20)) || ',"ts":"2024-01-01T00:00:00Z","d":"1.50","b":"%%%"}'
+    when 3 then cast(null as varchar(20))
+    when 4 then '{"id":' || cast(event_id as varchar(20)) || ',"ts":"2024-01-01T00:00:00.5Z","d":"1.50","b":"YQ=="}'
+    when 5 then '{}'
+    when 6 then '{"id":' || cast(event_id as varchar(20)) || ',"ts":"2024-01-01T0'
+    else '{"id":' || cast(event_id as varchar(20)) || ',"ts":"2024-01-01T02:00:00+02:00","d":null,"b":null}' end as row_json
+  from events)
+"""
+
+
+@register(
+    "decode_rejects",
+    "WITH "
+    + DECODE_SQL
+    + """select event_id, case when k in (3, 5) then 'empty_row' when k in (0, 1, 2, 6) then 'malformed_row' end as reject_reason,
+  case when k in (4, 7) then event_id end as id, case k when 4 then 1704067200500 when 7 then 1704067200000 end as ts_ms,
+  case when k = 4 then 1.5 end as d, case when k = 4 then '61' end as b from raw
+""",
+)
+def q_decode_rejects(spark, sf):
+    """Row JSON with bad timestamps, decimals and base64, truncated, empty and null rows:
+    each is rejected with its reason; fractions and offsets are read."""
+    from tidemark.sources.fixtures import register_tables
+
+    register_tables(spark, sf, ("events",))
+    raw = spark.sql("WITH " + DECODE_SQL + "select event_id, row_json from raw").withColumns(
+        {"op": F.lit(2), "pk_json": F.lit(None).cast("string")}
+    )
+    schema = T.StructType.fromDDL("id bigint, ts timestamp, d decimal(10,2), b binary")
+    good, bad = env.decode_rows(raw, schema, keep=("event_id",))
+    out = good.select(
+        "event_id", F.lit(None).cast("string").alias("reject_reason"), "id", F.unix_millis("ts").alias("ts_ms"),
+        F.col("d").cast("double").alias("d"), F.hex("b").alias("b"),
+    )
+    none = [F.lit(None).cast(f.dataType).alias(f.name) for f in out.schema.fields[2:]]
+    return out.unionByName(bad.select("event_id", "reject_reason", *none))
+
+
 @register(
     "assign_sequence",
     _with_changelog()
@@ -451,20 +516,21 @@ def q_map_schema(spark, sf):
 @register(
     "resolve_primary_key",
     _with_changelog()
-    + f""", keys AS (select * from (values ('dbo', 'users', 'user_id'), ('dbo', 'lines', 'l_orderkey,l_linenumber'))
-   as t(schema_name, table_name, pk_cols))
+    + f""", keys AS (select * from (values ('MyDB', 'dbo', 'users', 'event_type,user_id'), ('Archive', 'dbo', 'lines', 'l_orderkey,l_linenumber'))
+   as t(source, schema_name, table_name, pk_cols))
 select c.source, c.schema_name, c.table_name, {_hex('c.lsn_no')} as lsn, c.seqval, c.op, k.pk_cols,
   case when k.pk_cols is null then 'no_primary_key' end as reject_reason
-from changelog c left join keys k on c.schema_name = k.schema_name and c.table_name = k.table_name
+from changelog c left join keys k on c.source = k.source and c.schema_name = k.schema_name and c.table_name = k.table_name
 """,
 )
 def q_resolve_primary_key(spark, sf):
-    """Key columns per table from source catalogue, else target catalogue; joined to the
-    changes, tables without a key rejected. Column lists come from the change tables'
-    own schemas; users has a source key, lines only a target key, orders none."""
-    cols, pkc, tgt = _key_metadata(spark, sf)
-    keys = routing.resolve_primary_key(cols, pkc, tgt)
-    att = routing.attach_primary_key(changelog(spark, sf), keys)
+    """Key columns per (source, table): a declared override (listed twice) wins over the source
+    catalogue for users, lines have only a target key, orders none; joined to the changes,
+    tables without a key rejected. Column lists come from the change tables' own schemas."""
+    cols, pkc, tgt, over = _key_metadata(spark, sf)
+    tk = ("source", "schema_name", "table_name")
+    keys = routing.resolve_primary_key(cols, pkc, tgt, over, table_key=tk)
+    att = routing.attach_primary_key(changelog(spark, sf), keys, table_key=tk)
     return _out(
         att.withColumn("pk_cols", F.concat_ws(",", "pk_cols")).withColumn(
             "pk_cols", F.when(F.col("pk_cols") != "", F.col("pk_cols"))
@@ -475,16 +541,18 @@ def q_resolve_primary_key(spark, sf):
 
 def _key_metadata(spark, sf):
     rows = []
-    for name, tbl in (("ch_user", "users"), ("ch_order", "orders"), ("ch_line", "lines")):
+    for name, src, tbl in (("ch_user", "MyDB", "users"), ("ch_order", "MyDB", "orders"), ("ch_line", "Archive", "lines")):
         schema = env.typed_schema(fixture(spark, sf, name))
-        rows += [("dbo", tbl, f.name, i + 1) for i, f in enumerate(schema.fields)]
-    cols = spark.createDataFrame(rows, "schema_name string, table_name string, column_name string, ordinal int")
-    pkc = spark.createDataFrame([("dbo", "users", "user_id")], "schema_name string, table_name string, column_name string")
+        rows += [(src, "dbo", tbl, f.name, i + 1) for i, f in enumerate(schema.fields)]
+    tk = "source string, schema_name string, table_name string, "
+    cols = spark.createDataFrame(rows, tk + "column_name string, ordinal int")
+    pkc = spark.createDataFrame([("MyDB", "dbo", "users", "user_id")], tk + "column_name string")
     tgt = spark.createDataFrame(
-        [("dbo", "lines", "l_linenumber", 2), ("dbo", "lines", "l_orderkey", 1)],
-        "schema_name string, table_name string, column_name string, ordinal int",
+        [("Archive", "dbo", "lines", "l_linenumber", 2), ("Archive", "dbo", "lines", "l_orderkey", 1)],
+        tk + "column_name string, ordinal int",
     )
-    return cols, pkc, tgt
+    over = spark.createDataFrame([("MyDB", "dbo", "users", ["event_type", "user_id"])] * 2, tk + "pk_cols array<string>")
+    return cols, pkc, tgt, over
 
 
 # ------------------------------------------------------------ keyed merge ---------
@@ -550,10 +618,12 @@ def q_snapshot_as_of(spark, sf):
 """,
 )
 def q_insert_ignore(spark, sf):
-    """All-key table (user_id, event_type): inserts of present keys do nothing, deletes remove."""
+    """All-key table (user_id, event_type) as of LSN 100, the later changes applied to it:
+    inserts of present keys do nothing, deletes remove."""
     ch = fixture(spark, sf, "ch_user").select("lsn", "seqval", "op", "user_id", "event_type")
-    empty = spark.createDataFrame([], ch.select("user_id", "event_type").schema)
-    return merge.insert_ignore(empty, ch, ["user_id", "event_type"])
+    key, cut = ["user_id", "event_type"], lsn_from_number(F.lit(100))
+    target = merge.table_columns(merge.snapshot_as_of(ch, key, cut))
+    return merge.insert_ignore(target, ch.where(F.col("lsn") > cut), key)
 
 
 ROWS_ORACLE = (
@@ -568,35 +638,64 @@ ROWS_ORACLE = (
     "rows_affected",
     ROWS_ORACLE
     + """select op, count(*) as changes,
-  cast(sum(case when op = 1 then (case when prev_op in (2, 4) then 1 else 0 end) else 1 end) as bigint) as rows_affected
-from a group by op
+  cast(sum(case when op = 1 then (case when prev_op in (2, 4) then 1 else 0 end) else 1 end) as bigint) as rows_affected,
+  cast(sum(case when op = 1 or prev_op in (2, 4) then 0 else 1 end) as bigint) as inserted
+from a where lsn_no > 100 group by op
 """,
 )
 def q_rows_affected(spark, sf):
-    """Rows reported per operation when ``ch_user`` is upserted into an empty table."""
-    ra = merge.rows_affected(fixture(spark, sf, "ch_user"), None, ["user_id"], mode="upsert")
-    return ra.groupBy("op").agg(
-        F.count(F.lit(1)).alias("changes"), F.sum("rows_affected").cast("bigint").alias("rows_affected")
+    """Rows reported per operation when the changes after LSN 100 meet the users of LSN 100,
+    as upserts and as plain inserts that ignore present keys."""
+    ch = fixture(spark, sf, "ch_user")
+    cut = lsn_from_number(F.lit(100))
+    target, later = merge.snapshot_as_of(ch, ["user_id"], cut), ch.where(F.col("lsn") > cut)
+    up = merge.rows_affected(later, target, ["user_id"], mode="upsert")
+    ign = merge.rows_affected(later, target, ["user_id"], mode="insert_ignore")
+    both = up.select("op", "rows_affected", F.lit(0).cast("bigint").alias("inserted"), F.lit(1).alias("n")).unionByName(
+        ign.select("op", F.lit(0).cast("bigint").alias("rows_affected"), F.when(F.col("op") != 1, F.col("rows_affected")).otherwise(0).alias("inserted"), F.lit(0).alias("n"))
+    )
+    return both.groupBy("op").agg(
+        F.sum("n").cast("bigint").alias("changes"),
+        F.sum("rows_affected").cast("bigint").alias("rows_affected"),
+        F.sum("inserted").cast("bigint").alias("inserted"),
     )
 
 
+def _append(spark, sf):
+    ch = fixture(spark, sf, "ch_line")
+    cut = lsn_from_number(F.lit(1200))
+    pk = FIXTURE_PK["ch_line"]
+    target = merge.table_columns(merge.snapshot_as_of(ch, pk, cut)).select(*_LINE_COLS)
+    return merge.append(target, ch.where(F.col("lsn") > cut), pk)
+
+
 @register(
     "append_conflicts",
     oracle_with("ch_line")
     + f"""select l_orderkey, l_linenumber, {_hex('lsn_no')} as lsn, seqval, op from (
   select *, lag(op) over (partition by l_orderkey, l_linenumber order by lsn_no, seqval, op) as prev_op
   from ch_line where op in (1, 2, 4)) t
-where op in (2, 4) and prev_op in (2, 4)
+where op in (2, 4) and prev_op in (2, 4) and lsn_no > 1200
 """,
 )
 def q_append_conflicts(spark, sf):
-    """Non-idempotent apply of ``ch_line``: inserts of keys that are live at that moment."""
-    ch = fixture(spark, sf, "ch_line")
-    empty = spark.createDataFrame([], ch.select(*_LINE_COLS).schema)
-    _table, conflicts = merge.append(empty, ch, FIXTURE_PK["ch_line"])
+    """Non-idempotent apply after LSN 1200 to the lines of LSN 1200: inserts of keys that are
+    live at that moment, in the target or by an earlier change."""
+    _table, conflicts = _append(spark, sf)
     return lsns_to_hex(conflicts.select("l_orderkey", "l_linenumber", "lsn", "seqval", "op"), "lsn")
 
 
+@register(
+    "append_table",
+    oracle_with("ch_line").rstrip() + ",\n" + LATEST_LINE_SQL
+    + "select l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice from latest_line\n",
+)
+def q_append_table(spark, sf):
+    """The table that the same apply gives (published only without conflicts)."""
+    table_, _conflicts = _append(spark, sf)
+    return table_
+
+
 @register(
     "delete_by_key",
     oracle_with("ch_line")
@@ -689,15 +788,24 @@ def q_batch_boundaries(spark, sf):
 
 @register(
     "build_acks",
-    ISLANDS_SQL
-    + """select island_no, batch_id, arg_max(carried, pos) as lsn, arg_max(seq, pos) as last_seq,
-  count(*) as changes, 'OK' as status
-from i group by island_no, batch_id
+    ISLANDS_SQL.replace(oracle_with("batch_log").rstrip(), oracle_with("batch_log", "errors", "batch_errors").rstrip())
+    + """, e AS (select i.island_no, arg_min(b.message, b.pos) as error from i join batch_errors b on i.pos = b.pos group by i.island_no),
+g AS (select island_no, batch_id, arg_max(carried, pos) as lsn, arg_max(seq, pos) as last_seq,
+  count(*) as changes, sum(pos % 5) as apply_ms from i group by island_no, batch_id)
+select g.island_no, batch_id, lsn, last_seq, changes, error, cast(apply_ms as bigint) as apply_ms,
+  case when error is null then 'OK'
+    when lower(error) like '%connection%' or lower(error) like '%timeout%' or lower(error) like '%temporarily unavailable%' then 'RETRY'
+    when lower(error) like '%column%' or lower(error) like '%type%' or lower(error) like '%schema%' then 'SCHEMA_MISMATCH'
+    else 'FAILED' end as status,
+  case when error is null then changes else 0 end as rows_processed
+from g left join e on g.island_no = e.island_no
 """,
 )
 def q_build_acks(spark, sf):
-    """One ack per received batch: last non-empty LSN, last sequence, size."""
-    return batches.build_acks(fixture(spark, sf, "batch_log"))
+    """One ack per received batch: last non-empty LSN, last sequence, size, time, and the
+    status, text and rows of batches that failed at one of their changes."""
+    log = fixture(spark, sf, "batch_log").withColumn("ms", F.col("pos") % 5)
+    return batches.build_acks(log, errors=fixture(spark, sf, "batch_errors"), ms_col="ms")
 
 
 @register(
@@ -715,48 +823,92 @@ def q_errors_by_class(spark, sf):
     return batches.errors_by_class(fixture(spark, sf, "errors"))
 
 
+@register(
+    "errors_per_batch",
+    oracle_with("errors")
+    + """select concat('s', cast(event_id % 3 as varchar)) as source, cast(floor(event_id / 25.0) as bigint) as batch_no,
+  case when lower(message) like '%connection%' or lower(message) like '%timeout%'
+    or lower(message) like '%temporarily unavailable%' then 'RETRY'
+  when lower(message) like '%column%' or lower(message) like '%type%' or lower(message) like '%schema%'
+    then 'SCHEMA_MISMATCH' else 'FAILED' end as status, count(*) as errors
+from errors group by 1, 2, 3
+""",
+)
+def q_errors_per_batch(spark, sf):
+    """Ack status per error message, counted per source, batch and status."""
+    e = fixture(spark, sf, "errors").select(
+        F.concat(F.lit("s"), (F.col("event_id") % 3).cast("string")).alias("source"),
+        F.floor(F.col("event_id") / 25).cast("bigint").alias("batch_no"),
+        "message",
+    )
+    return batches.errors_by_class(e, by=("source", "batch_no"))
+
+
 def _acks(spark, sf):
     return fixture(spark, sf, "acks").withColumn("lsn", lsn_from_number("lsn_no")).drop("lsn_no")
 
 
-@register(
-    "fold_cursors",
-    oracle_with("acks")
-    + f"""select source,
-  {_hex("arg_max(lsn_no, batch_no) filter (where status in ('OK', 'PARTIAL'))")} as cursor_lsn,
-  {_hex("arg_max(lsn_no, batch_no) filter (where status in ('OK', 'PARTIAL'))")} as last_acked_lsn,
-  cast(coalesce(sum(rows_processed) filter (where status in ('OK', 'PARTIAL')), 0) as bigint) as rows_processed,
-  count(*) filter (where status in ('OK', 'PARTIAL')) as acked_batches,
-  count(*) filter (where status = 'RETRY') as retries,
-  count(*) filter (where status in ('FAILED', 'SCHEMA_MISMATCH')) as failures,
-  arg_max(status, batch_no) as last_status,
-  arg_max(status, batch_no) filter (where status in ('FAILED', 'SCHEMA_MISMATCH')) as last_error
-from acks group by source
-""",
-)
+def _sent(spark, sf):
+    return fixture(spark, sf, "sent").withColumn("lsn", lsn_from_number("lsn_no"))
+
+
+def _fold_sql(with_sent: bool) -> str:
+    """The cursor rule stated on rows: the furthest move that no open batch precedes."""
+    unsent = """ union all select s.source, s.lsn_no from sent s
+  where not exists (select 1 from acks a where a.source = s.source and a.batch_no = s.batch_no)""" if with_sent else ""
+    return (
+        oracle_with("sent", "acks").rstrip()
+        + f""",
+moves AS (select source, batch_no, lsn_no from acks where status in ('OK', 'PARTIAL', 'SKIPPED', 'EMPTY_POLL')),
+open AS (select distinct a.source, a.lsn_no from acks a where a.batch_no is not null and not exists (
+    select 1 from moves m where m.source = a.source and m.batch_no = a.batch_no){unsent}),
+cur AS (select m.source, max(m.lsn_no) as cursor_no from moves m
+  where not exists (select 1 from open o where o.source = m.source and o.lsn_no <= m.lsn_no) group by m.source),
+rows_once AS (select source, batch_no, arg_max(rows_processed, ack_at) as n from acks
+  where status in ('OK', 'PARTIAL') group by source, batch_no),
+done AS (select source, cast(sum(n) as bigint) as n, count(*) as c from rows_once group by source),
+agg AS (select source, max(lsn_no) filter (where status in ('OK', 'PARTIAL')) as acked,
+    count(*) filter (where status = 'RETRY') as retries,
+    count(*) filter (where status in ('FAILED', 'SCHEMA_MISMATCH')) as failures,
+    arg_max(status, ack_at) as last_status,
+    arg_max(status, ack_at) filter (where status in ('FAILED', 'SCHEMA_MISMATCH')) as last_error
+  from acks group by source)
+"""
+    )
+
+
+def _fold_select(with_sent: bool) -> str:
+    return _fold_sql(with_sent) + f"""select a.source, {_hex('c.cursor_no')} as cursor_lsn, {_hex('a.acked')} as last_acked_lsn,
+  coalesce(d.n, 0) as rows_processed, coalesce(d.c, 0) as acked_batches, a.retries, a.failures, a.last_status, a.last_error
+from agg a left join cur c on a.source = c.source left join done d on a.source = d.source
+"""
+
+
+@register("fold_cursors", _fold_select(True))
 def q_fold_cursors(spark, sf):
-    """Each source's cursor after folding its acknowledgements in order."""
-    return lsns_to_hex(batches.fold_cursors(_acks(spark, sf)), "cursor_lsn", "last_acked_lsn")
+    """Each source's cursor: the furthest settled position before the first batch that is
+    still open (failed, retried, or sent and never acknowledged)."""
+    f = batches.fold_cursors(_acks(spark, sf), _sent(spark, sf), at_col="ack_at")
+    return lsns_to_hex(f, "cursor_lsn", "last_acked_lsn")
 
 
 @register(
     "start_positions",
-    oracle_with("acks")
-    + f"""select source, {_hex("arg_max(lsn_no, batch_no) filter (where status in ('OK', 'PARTIAL'))")} as start_after_lsn,
-  arg_max(lsn_no, batch_no) filter (where status in ('OK', 'PARTIAL')) is null as from_beginning
-from acks group by source
+    _fold_sql(True)
+    + f"""select a.source, {_hex('c.cursor_no')} as cursor_lsn, c.cursor_no is null as from_beginning
+from agg a left join cur c on a.source = c.source
 """,
 )
 def q_start_positions(spark, sf):
     """Where each source's next poll starts, from the folded cursors."""
-    cur = batches.fold_cursors(_acks(spark, sf))
-    return lsns_to_hex(batches.start_positions(cur), "start_after_lsn")
+    cur = batches.fold_cursors(_acks(spark, sf), _sent(spark, sf), at_col="ack_at")
+    return lsns_to_hex(batches.start_positions(cur), "cursor_lsn")
 
 
 @register(
     "pending_batches",
     oracle_with("sent", "acks")
-    + """select s.source, s.batch_no, s.n, s.lsn_no, s.sent_at from sent s
+    + """select s.source, s.batch_no, s.n, s.lsn_no, s.sent_at, s.bytes from sent s
 where not exists (select 1 from acks a where a.source = s.source and a.batch_no = s.batch_no
   and a.status in ('OK', 'PARTIAL'))
 """,
@@ -769,7 +921,7 @@ def q_pending_batches(spark, sf):
 @register(
     "unacknowledged_batches",
     oracle_with("sent", "acks")
-    + """select s.source, s.batch_no, s.n, s.lsn_no, s.sent_at from sent s
+    + """select s.source, s.batch_no, s.n, s.lsn_no, s.sent_at, s.bytes from sent s
 where not exists (select 1 from acks a where a.source = s.source and a.batch_no = s.batch_no)
 """,
 )
@@ -780,19 +932,20 @@ def q_unacknowledged_batches(spark, sf):
 
 @register(
     "sync_metrics",
-    oracle_with("sent", "acks")
-    + """select s.source,
-  cast(coalesce(sum(a.rows_processed) filter (where a.status in ('OK', 'PARTIAL')), 0) as bigint) as changes_processed,
-  count(*) as batches_sent,
-  count(*) filter (where a.status in ('OK', 'PARTIAL')) as batches_acked,
-  count(*) filter (where a.status is not null and a.status not in ('OK', 'PARTIAL')) as errors,
-  max(s.sent_at) filter (where a.status in ('OK', 'PARTIAL')) as last_sync_ts
-from sent s left join acks a on s.source = a.source and s.batch_no = a.batch_no group by s.source
+    oracle_with("sent", "acks").rstrip()
+    + """,
+ok AS (select source, batch_no, arg_max(rows_processed, ack_at) as n from acks where status in ('OK', 'PARTIAL') group by source, batch_no),
+bad AS (select source, batch_no, count(*) as c from acks where status in ('RETRY', 'FAILED', 'SCHEMA_MISMATCH') group by source, batch_no)
+select s.source, cast(coalesce(sum(ok.n), 0) as bigint) as changes_processed, count(*) as batches_sent,
+  count(ok.batch_no) as batches_acked, cast(coalesce(sum(bad.c), 0) as bigint) as errors,
+  max(case when ok.batch_no is not null then s.sent_at end) as last_sync_ts, cast(sum(s.bytes) as bigint) as bytes_transferred
+from sent s left join ok on s.source = ok.source and s.batch_no = ok.batch_no
+left join bad on s.source = bad.source and s.batch_no = bad.batch_no group by s.source
 """,
 )
 def q_sync_metrics(spark, sf):
-    """Per-source delivery metrics from the sent and ack logs."""
-    return batches.sync_metrics(fixture(spark, sf, "sent"), fixture(spark, sf, "acks"))
+    """Per-source delivery metrics from the sent and ack logs (several acks per batch)."""
+    return batches.sync_metrics(fixture(spark, sf, "sent"), fixture(spark, sf, "acks"), at_col="ack_at")
 
 
 # ------------------------------------------------------ change analytics ----------
@@ -828,6 +981,30 @@ def q_pair_updates(spark, sf):
     )
 
 
+@register(
+    "pair_update_json",
+    PAIRS_SQL
+    + f"""select user_id, lsn, seqval, op, old_value, new_value from (
+  select a.user_id, {_hex('a.lsn_no')} as lsn, a.seqval, 4 as op, b.value as old_value, a.value as new_value
+  from a left join b on a.lsn_no = b.lsn_no and a.seqval = b.seqval
+  union all select user_id, {_hex('lsn_no')} as lsn, seqval, op, null, value from ch_user where op not in (3, 4)) t
+""",
+)
+def q_pair_update_json(spark, sf):
+    """The envelope's old row filled in from the before-images; every pair delivered twice."""
+    e = env.encode_changes(fixture(spark, sf, "ch_user"), "dbo", "users", ["user_id"], time_col="ts")
+    twice = e.unionByName(e.where(F.col("op").isin(3, 4)))
+    p = analytics.pair_update_json(twice)
+    get = lambda c: F.get_json_object(c, "$.value").cast("double")
+    return lsns_to_hex(
+        p.select(
+            F.get_json_object("pk_json", "$.user_id").cast("bigint").alias("user_id"), "lsn", "seqval", "op",
+            get("old_row_json").alias("old_value"), get("row_json").alias("new_value"),
+        ),
+        "lsn",
+    )
+
+
 @register(
     "changed_columns",
     PAIRS_SQL
@@ -909,92 +1086,275 @@ def q_reconcile(spark, sf):
 # ------------------------------------------------------------- streaming ----------
 
 
-def _write_files(df: DataFrame, path: str, files: int = 8) -> None:
-    """Stage a changelog as several files, so the stream sees several micro-batches."""
-    df.repartitionByRange(files, "lsn").write.mode("overwrite").parquet(path)
+def _write_files(df: DataFrame, path: str, files: int | None = None) -> None:
+    """Stage a changelog as files by LSN range, so the stream sees several micro-batches."""
+    out = df.repartitionByRange(files, "lsn", "seqval") if files else df.repartitionByRange("lsn", "seqval")
+    out.write.mode("overwrite").parquet(path)
 
 
-@register(
-    "stream_apply",
+def _staged_stream(spark, df: DataFrame, name: str, files: int = 8, per_trigger: int = 2):
+    """(scratch root, stream over ``df`` staged as ``files`` LSN ranges)."""
+    from tidemark.session import scratch_dir
+    from tidemark.streaming.source import stream_changes
+
+    root = scratch_dir(spark, name)
+    _write_files(df, f"{root}/changelog", files)
+    return root, stream_changes(spark, f"{root}/changelog", df.schema, max_files_per_trigger=per_trigger)
+
+
+LATEST_LINES_QUERY = (
     oracle_with("ch_line").rstrip() + ",\n" + LATEST_LINE_SQL
-    + "select l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice from latest_line\n",
+    + "select l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice from latest_line\n"
 )
+
+
+@register("stream_apply", LATEST_LINES_QUERY)
 def q_stream_apply(spark, sf):
-    """``ch_line`` streamed two files per micro-batch through the exactly-once apply
-    (per-batch deltas + commit markers); the table read back equals one batch run."""
-    from tidemark.session import scratch_dir
+    """``ch_line`` streamed in several micro-batches through the exactly-once apply; the
+    table read back equals one batch run."""
+    from tidemark.streaming.apply import TableSpec, TableStore
+    from tidemark.streaming.source import start_apply
+
+    root, stream = _staged_stream(spark, fixture(spark, sf, "ch_line"), "stream_apply")
+    store = TableStore(spark, f"{root}/store", {"lines": TableSpec("lines", FIXTURE_PK["ch_line"])})
+    start_apply(stream, store, f"{root}/checkpoint").awaitTermination()
+    return store.read_table("lines").select(*_LINE_COLS)
+
+
+@register("stream_apply_late", LATEST_LINES_QUERY)
+def q_stream_apply_late(spark, sf):
+    """The changes after LSN 1200 are applied and compacted first, then a second query with a
+    fresh checkpoint delivers the older ones, and a third all of them again: the later
+    positions win wherever they are stored, deleted keys stay deleted."""
     from tidemark.streaming.apply import TableSpec, TableStore
-    from tidemark.streaming.source import start_apply, stream_changes
+    from tidemark.streaming.source import start_apply
 
     ch = fixture(spark, sf, "ch_line")
-    root = scratch_dir(spark, "stream_apply")
-    _write_files(ch, f"{root}/changelog")
+    cut = lsn_from_number(F.lit(1200))
+    root, late = _staged_stream(spark, ch.where(F.col("lsn") > cut), "stream_late", 4)
     store = TableStore(spark, f"{root}/store", {"lines": TableSpec("lines", FIXTURE_PK["ch_line"])})
-    q = start_apply(
-        stream_changes(spark, f"{root}/changelog", ch.schema, max_files_per_trigger=2),
-        store,
-        f"{root}/checkpoint",
-    )
-    q.awaitTermination()
+    start_apply(late, store, f"{root}/checkpoint").awaitTermination()
+    store.compact("lines")
+    for n, part in enumerate((ch.where(F.col("lsn") <= cut), ch)):
+        root2, stream = _staged_stream(spark, part, "stream_late", 4)
+        start_apply(stream, store, f"{root2}/checkpoint").awaitTermination()
+        if n == 0:
+            store.compact("lines")
+            store.vacuum()
     return store.read_table("lines").select(*_LINE_COLS)
 
 
+def _two_sources(spark, sf) -> DataFrame:
+    """users and orders of two sources: the second has every other key, with other values."""
+    u, o = fixture(spark, sf, "ch_user"), fixture(spark, sf, "ch_order")
+    enc = lambda a, b: env.encode_changes(a, "dbo", "users", ["user_id"], time_col="ts").unionByName(
+        env.encode_changes(b, "dbo", "orders", ["o_orderkey"])
+    )
+    u2 = u.where(F.col("user_id") % 2 == 0).withColumn("value", F.col("value") * 2)
+    o2 = o.where(F.col("o_orderkey") % 2 == 0).withColumn("o_custkey", F.col("o_custkey") + 1)
+    return routing.union_sources({"MyDB": enc(u, o), "Branch": enc(u2, o2)})
+
+
+def _user_order_specs(spark, sf, source=None):
+    from tidemark.streaming.apply import TableSpec
+
+    return {
+        "users": TableSpec("users", ("user_id",), env.typed_schema(fixture(spark, sf, "ch_user")), "dbo", "users", source),
+        "orders": TableSpec("orders", ("o_orderkey",), env.typed_schema(fixture(spark, sf, "ch_order")), "dbo", "orders", source),
+    }
+
+
+def _user_order_rows(store) -> DataFrame:
+    u = store.read_table("users").select("source", F.lit("users").alias("tbl"), F.col("user_id").alias("id"), "value", F.lit(None).cast("bigint").alias("custkey"))
+    o = store.read_table("orders").select(
+        "source", F.lit("orders").alias("tbl"), F.col("o_orderkey").alias("id"), F.lit(None).cast("double").alias("value"), F.col("o_custkey").cast("bigint").alias("custkey")
+    )
+    return u.unionByName(o)
+
+
+TWO_SOURCES_SQL = """two_users AS (select 'MyDB' as source, * from ch_user union all
+  select 'Branch' as source, * replace (value * 2 as value) from ch_user where user_id % 2 = 0),
+two_orders AS (select 'MyDB' as source, * from ch_order union all
+  select 'Branch' as source, * replace (o_custkey + 1 as o_custkey) from ch_order where o_orderkey % 2 = 0),
+lu AS (select * from (select *, row_number() over (partition by source, user_id order by lsn_no desc, seqval desc, op desc) as rn
+  from two_users where op in (1, 2, 4) and user_id is not null) t where rn = 1 and op <> 1),
+lo AS (select * from (select *, row_number() over (partition by source, o_orderkey order by lsn_no desc, seqval desc, op desc) as rn
+  from two_orders where op in (1, 2, 4)) t where rn = 1 and op <> 1)
+"""
+
+
+@register(
+    "stream_apply_sources",
+    oracle_with("ch_user", "ch_order").rstrip() + ",\n" + TWO_SOURCES_SQL
+    + """select source, 'users' as tbl, user_id as id, value, cast(null as bigint) as custkey from lu
+union all select source, 'orders', o_orderkey, null, cast(o_custkey as bigint) from lo
+""",
+)
+def q_stream_apply_sources(spark, sf):
+    """Two sources with the same tables streamed into one store: rows of one never replace
+    the other's; both tables read back, the lines of a third source counted as untracked."""
+    from tidemark.streaming.apply import TableStore
+    from tidemark.streaming.source import start_apply
+
+    lines = env.encode_changes(fixture(spark, sf, "ch_line"), "dbo", "lines", ["l_orderkey", "l_linenumber"])
+    log = _two_sources(spark, sf).unionByName(routing.union_sources({"Archive": lines}))
+    root, stream = _staged_stream(spark, log, "stream_sources", 6, 3)
+    store = TableStore(spark, f"{root}/store", _user_order_specs(spark, sf))
+    start_apply(stream, store, f"{root}/checkpoint").awaitTermination()
+    return _user_order_rows(store)
+
+
 @register(
     "stream_apply_envelope",
-    oracle_with("ch_user")
-    + """select user_id, value, event_type, date_trunc('second', ts) as ts from (
-  select *, row_number() over (partition by user_id order by lsn_no desc, seqval desc, op desc) as rn
-  from ch_user where op in (1, 2, 4) and user_id is not null) t
-where rn = 1 and op <> 1
+    oracle_with("ch_user", "ch_order", "ch_line").rstrip() + ",\n" + TWO_SOURCES_SQL
+    + """select 'users' as tbl, user_id as id, value, event_type, date_trunc('second', ts) as ts, cast(null as bigint) as untracked
+  from lu where source = 'MyDB'
+union all select 'orders', o_orderkey, cast(o_totalprice as double), null, null, null from lo where source = 'MyDB'
+union all select 'untracked', null, null, null, null, (select count(*) from ch_line)
 """,
 )
 def q_stream_apply_envelope(spark, sf):
-    """The MyDB envelope stream (users + orders) applied for both tables in one job per
-    micro-batch; ``users`` read back and decoded with its schema (timestamps travel at
-    second precision in the envelope)."""
-    from tidemark.session import scratch_dir
+    """The whole envelope stream applied for users and orders; both read back and decoded
+    (timestamps travel at second precision), changes of untracked tables counted."""
+    from tidemark.streaming.apply import TableStore
+    from tidemark.streaming.source import start_apply
+
+    root, stream = _staged_stream(spark, changelog(spark, sf), "stream_env", 6, 3)
+    store = TableStore(spark, f"{root}/store", _user_order_specs(spark, sf, "MyDB"))
+    start_apply(stream, store, f"{root}/checkpoint").awaitTermination()
+    none = lambda t, c: F.lit(None).cast(t).alias(c)
+    u = store.read_table("users").select(F.lit("users").alias("tbl"), F.col("user_id").alias("id"), "value", "event_type", "ts", none("bigint", "untracked"))
+    o = store.read_table("orders").select(
+        F.lit("orders").alias("tbl"), F.col("o_orderkey").alias("id"), F.col("o_totalprice").cast("double").alias("value"),
+        none("string", "event_type"), none("timestamp", "ts"), none("bigint", "untracked"),
+    )
+    m = store.metrics().select(
+        F.lit("untracked").alias("tbl"), none("bigint", "id"), none("double", "value"), none("string", "event_type"),
+        none("timestamp", "ts"), "untracked",
+    )
+    return u.unionByName(o).unionByName(m)
+
+
+BROKEN_SQL = """broken AS (select *, o_orderkey % 12 as k from ch_order),
+judged AS (select *, case when op in (2, 4) then case k when 0 then 'malformed_row' when 1 then 'empty_row' when 2 then 'empty_row'
+      when 3 then 'malformed_row' when 4 then 'null_key' end
+    when op = 1 and k = 5 then 'empty_key' when op = 1 and k = 6 then 'null_key' end as reason from broken)
+"""
+
+
+@register(
+    "stream_rejects",
+    oracle_with("ch_order").rstrip() + ",\n" + BROKEN_SQL
+    + """select reason as reject_reason, count(*) as n from judged where reason is not null group by reason
+union all select 'live_rows', count(*) from (select *, row_number() over (partition by o_orderkey order by lsn_no desc, seqval desc, op desc) as rn
+  from judged where reason is null and op in (1, 2, 4)) t where rn = 1 and op <> 1
+union all select 'acked_rejects', count(*) from judged where reason is not null
+""",
+)
+def q_stream_rejects(spark, sf):
+    """Orders with bad decimals, null, empty and truncated rows, null and empty keys streamed
+    into the store: every reject is kept with its reason and counted in the
+    acknowledgements, and none replaces a good version."""
     from tidemark.streaming.apply import TableSpec, TableStore
-    from tidemark.streaming.source import start_apply, stream_changes
-
-    log = changelog(spark, sf).where(F.col("source") == "MyDB")
-    root = scratch_dir(spark, "stream_env")
-    _write_files(log, f"{root}/changelog")
-    specs = {
-        "users": TableSpec("users", ("user_id",), env.typed_schema(fixture(spark, sf, "ch_user")), "dbo", "users"),
-        "orders": TableSpec(
-            "orders", ("o_orderkey",), env.typed_schema(fixture(spark, sf, "ch_order")), "dbo", "orders"
-        ),
-    }
-    store = TableStore(spark, f"{root}/store", specs)
-    q = start_apply(
-        stream_changes(spark, f"{root}/changelog", log.schema, max_files_per_trigger=3),
-        store,
-        f"{root}/checkpoint",
+    from tidemark.streaming.source import start_apply
+
+    raw = fixture(spark, sf, "ch_order")
+    e = env.encode_changes(raw, "dbo", "orders", ["o_orderkey"])
+    k = F.get_json_object("pk_json", "$.o_orderkey").cast("bigint") % 12
+    upsert, gone = F.col("op").isin(2, 4), F.col("op") == 1
+    row = F.col("row_json")
+    broken = e.withColumns(
+        {
+            "row_json": F.when(upsert & (k == 0), F.regexp_replace(row, '"o_totalprice":"[^"]*"', '"o_totalprice":"abc"'))
+            .when(upsert & (k == 1), F.lit(None))
+            .when(upsert & (k == 2), F.lit("{ }"))
+            .when(upsert & (k == 3), F.expr("substr(row_json, 1, length(row_json) - 4)"))
+            .when(upsert & (k == 4), F.regexp_replace(row, '"o_orderkey":[0-9]+', '"o_orderkey":null'))
+            .otherwise(row),
+            "pk_json": F.when(gone & (k == 5), F.lit("{}")).when(gone & (k == 6), F.lit('{"o_orderkey":null}')).otherwise(F.col("pk_json")),
+        }
     )
+    root, stream = _staged_stream(spark, routing.union_sources({"MyDB": broken}), "stream_rejects", 4)
+    store = TableStore(spark, f"{root}/store", {"orders": TableSpec("orders", ("o_orderkey",), env.typed_schema(raw), "dbo", "orders")})
+    start_apply(stream, store, f"{root}/checkpoint").awaitTermination()
+    n = lambda c: F.count(F.lit(1)).alias(c)
+    live = store.read_table("orders").agg(n("n")).select(F.lit("live_rows").alias("reject_reason"), "n")
+    acked = store.metrics().select(F.lit("acked_rejects").alias("reject_reason"), F.col("rejected").alias("n"))
+    return store.rejects().groupBy("reject_reason").agg(n("n")).unionByName(live).unionByName(acked)
+
+
+@register(
+    "stream_dedupe",
+    _with_changelog()
+    + f"select source, schema_name, table_name, {_hex('lsn_no')} as lsn, seqval, op from changelog\n",
+)
+def q_stream_dedupe(spark, sf):
+    """Two sources, one delivered long after the other and far behind it in time, MyDB twice:
+    the stream keeps the first delivery of every change and nothing else."""
+    from tidemark.session import scratch_dir
+    from tidemark.streaming.source import dedupe_stream, stream_changes
+
+    log = changelog(spark, sf)
+    root = scratch_dir(spark, "stream_dedupe")
+    late = log.withColumn("source_ts", F.when(F.col("source") == "Archive", F.timestamp_seconds(F.lit(0))).otherwise(F.col("source_ts")))
+    for n, part in enumerate((late.where("source = 'MyDB'"), late.where("source = 'Archive'"), late.where("source = 'MyDB'"))):
+        part.withColumn("delivery", F.lit(n)).repartitionByRange("lsn", "seqval").write.parquet(f"{root}/changelog/part={n}")
+    schema = late.withColumn("delivery", F.lit(0)).schema
+    stream = stream_changes(spark, f"{root}/changelog/part=*", schema, max_files_per_trigger=4)
+    q = (
+        dedupe_stream(stream).writeStream.format("parquet").option("path", f"{root}/out")
+        .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
+    )
     q.awaitTermination()
-    return store.read_table("users").select("user_id", "value", "event_type", "ts")
+    return _out(spark.read.schema(schema).parquet(f"{root}/out"))
 
 
 @register(
-    "stream_cursors",
-    REGISTRY["fold_cursors"].sql,
+    "sync_loop",
+    oracle_with("ch_user", "ch_order").rstrip() + ",\n" + TWO_SOURCES_SQL
+    + f"""select source, 'users' as tbl, user_id as id, value, cast(null as bigint) as custkey, cast(null as varchar) as cursor_lsn from lu
+union all select source, 'orders', o_orderkey, null, cast(o_custkey as bigint), null from lo
+union all select source, 'cursor', null, null, null, {_hex('max(n)')} from (
+  select source, lsn_no as n from two_users union all select source, lsn_no from two_orders) t group by source
+""",
 )
+def q_sync_loop(spark, sf):
+    """Poll, apply, acknowledge, fold, poll again from the folded cursors until a poll is dry:
+    the tables equal one batch run, the cursors stand at each source's last position."""
+    from tidemark.session import scratch_dir
+    from tidemark.sources.changelog import read_changelog, write_changelog
+    from tidemark.streaming.apply import TableStore
+    from tidemark.streaming.loop import sync
+
+    root = scratch_dir(spark, "sync_loop")
+    write_changelog(_two_sources(spark, sf), f"{root}/changelog")
+    log = read_changelog(spark, f"{root}/changelog")
+    most = log.groupBy("source").count().agg(F.max("count")).first()[0]
+    store = TableStore(spark, f"{root}/store", _user_order_specs(spark, sf))
+    cur, _events = sync(log, store, batch_size=most // 2 + 1)
+    ends = lsns_to_hex(cur, "cursor_lsn").select(
+        "source", F.lit("cursor").alias("tbl"), F.lit(None).cast("bigint").alias("id"), F.lit(None).cast("double").alias("value"),
+        F.lit(None).cast("bigint").alias("custkey"), "cursor_lsn",
+    )
+    return _user_order_rows(store).withColumn("cursor_lsn", F.lit(None).cast("string")).unionByName(ends)
+
+
+@register("stream_cursors", _fold_select(False))
 def q_stream_cursors(spark, sf):
     """Acknowledgements streamed in several micro-batches; cursors kept by a stateful
     streaming aggregation equal the batch fold."""
     from tidemark.session import scratch_dir
-    from tidemark.streaming.source import start_cursor_fold, stream_changes
+    from tidemark.streaming.source import read_cursors, start_cursor_fold, stream_changes
 
-    acks = _acks(spark, sf)
+    acks = _acks(spark, sf).withColumnRenamed("ack_at", "at")
     root = scratch_dir(spark, "stream_cursors")
-    acks.repartition(6).write.mode("overwrite").parquet(f"{root}/acks")
+    acks.repartitionByRange("at").write.mode("overwrite").parquet(f"{root}/acks")
     q = start_cursor_fold(
-        stream_changes(spark, f"{root}/acks", acks.schema, max_files_per_trigger=2),
-        f"{root}/cursors",
-        f"{root}/checkpoint",
+        stream_changes(spark, f"{root}/acks", acks.schema, max_files_per_trigger=2), f"{root}/cursors", f"{root}/checkpoint"
     )
     q.awaitTermination()
-    return lsns_to_hex(spark.read.parquet(f"{root}/cursors"), "cursor_lsn", "last_acked_lsn")
+    return lsns_to_hex(read_cursors(spark, f"{root}/cursors"), "cursor_lsn", "last_acked_lsn")
+
 
 def queries() -> dict[str, QueryFn]:
     return {k: q.run for k, q in REGISTRY.items()}

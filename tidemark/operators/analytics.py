@@ -35,9 +35,12 @@ def pair_updates(
 
     Both images share (table, lsn, seqval) and the row key (an update that changes the
     key arrives as delete + insert instead), so pairs are grouped on all of them:
-    several keys may share a position. Returns one row per after-image with the
-    structs ``old`` and ``new`` and ``missing_before``.
+    several keys may share a position. The key must therefore be given (``pk``, or the
+    envelope's ``pk_json``). Returns one row per after-image with the structs ``old`` and
+    ``new`` and ``missing_before``.
     """
+    if not pk and "pk_json" not in changes.columns:
+        raise ValueError("pair_updates needs the key: give pk, or changes with pk_json")
     ident = _ident(changes)
     if payload is None:
         payload = [c for c in changes.columns if c not in (*ORDER_COLS, *ident, "batch_id")]
@@ -58,17 +61,26 @@ def pair_updates(
 
 def pair_update_json(changes: DataFrame) -> DataFrame:
     """Envelope form: after-images get ``old_row_json`` from their before-image;
-    before-images are consumed, all other changes pass through."""
-    ident = _ident(changes)
+    before-images are consumed, all other changes pass through.
+
+    One aggregation per (table, position, key): a pair that was delivered again comes
+    out once.
+    """
     op = F.col("op")
-    key = [*ident, "lsn", "seqval", *[c for c in ("pk_json",) if c in changes.columns]]
-    before = changes.where(op == OP_UPDATE_BEFORE).select(*key, F.col("row_json").alias("_tm_old"))
-    after = changes.where(op == OP_UPDATE_AFTER).drop("old_row_json")
-    paired = after.join(before, key, "left").withColumnRenamed(
-        "_tm_old", "old_row_json"
+    key = [*_ident(changes), "lsn", "seqval", *[c for c in ("pk_json",) if c in changes.columns]]
+    rest = [c for c in changes.columns if c not in (*key, "old_row_json")]
+    pairs = (
+        changes.where(op.isin(OP_UPDATE_BEFORE, OP_UPDATE_AFTER))
+        .groupBy(*key)
+        .agg(
+            F.max(F.when(op == OP_UPDATE_AFTER, F.struct(*rest))).alias("_tm_new"),
+            F.max(F.when(op == OP_UPDATE_BEFORE, F.col("row_json"))).alias("old_row_json"),
+        )
+        .where(F.col("_tm_new").isNotNull())
+        .select(*key, "old_row_json", "_tm_new.*")
     )
-    rest = changes.where(~op.isin(OP_UPDATE_BEFORE, OP_UPDATE_AFTER) | op.isNull())
-    return rest.unionByName(paired.select(*changes.columns))
+    other = changes.where(~op.isin(OP_UPDATE_BEFORE, OP_UPDATE_AFTER) | op.isNull())
+    return other.unionByName(pairs.select(*changes.columns))
 
 
 def changed_columns(pairs: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -11,33 +11,46 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.errors import classify_error
 from tidemark.functions.lsn import lsn_hex
-from tidemark.model import ACK_OK, ACK_RETRY, ADVANCING_STATUSES, ORDER_COLS
-from tidemark.plans.scan import Lag, Last, Sum, ordered_scan
+from tidemark.model import (
+    ACK_FAILED,
+    ACK_OK,
+    ACK_RETRY,
+    ACK_SCHEMA_MISMATCH,
+    ADVANCING_STATUSES,
+    ORDER_COLS,
+)
+from tidemark.plans.joins import bounded_broadcast
+from tidemark.plans.scan import BLK, Lag, Last, Sum, ordered_scan
 
 # ---- fixed values: cursor events that are not acknowledgements ---------------------
 EMPTY_POLL = "EMPTY_POLL"  # a clean poll found nothing: move to the max LSN
 SKIPPED = "SKIPPED"  # every change was untracked: move to the batch's last LSN
 CURSOR_MOVES = (*ADVANCING_STATUSES, EMPTY_POLL, SKIPPED)
+FAILING_STATUSES = (ACK_RETRY, ACK_FAILED, ACK_SCHEMA_MISMATCH)
 
 
 def assign_sequence(
     changes: DataFrame,
     within: Sequence[str] = ("source", "schema_name", "table_name"),
     blocks: int | None = None,
+    pk: Sequence[str] = (),
 ) -> DataFrame:
     """0-based ``sequence_number`` per ``within`` group in (lsn, seqval, op) order.
 
-    Per table by default; add ``batch_id`` to ``within`` for a per-poll numbering. A
-    block-wise running count, so a table holding most of the log is still split.
+    Per table by default; add ``batch_id`` to ``within`` for a per-poll numbering. Keys
+    that share a position are told apart by ``pk_json`` or the ``pk`` columns, so the
+    numbering is stable. A block-wise running count: a table holding most of the log is
+    still split.
     """
     within = [c for c in within if c in changes.columns]
+    ties = [c for c in ("pk_json", *pk) if c in changes.columns and c not in within]
     return ordered_scan(
-        changes, within, list(ORDER_COLS), [Sum(F.lit(1), "sequence_number", inclusive=False)], blocks
+        changes, within, [*ORDER_COLS, *ties], [Sum(F.lit(1), "sequence_number", inclusive=False)], blocks
     )
 
 
@@ -64,7 +77,10 @@ def assign_batches(
             "batch_id"
         ),
     )
-    lsn_map = numbered.select(*by, "lsn", "batch_no").join(ids, [*by, "batch_no"])
+    # one row per LSN, written once: broadcast within the row bound, so the log is not shuffled
+    lsn_map = bounded_broadcast(
+        numbered.select(*by, "lsn", "batch_no").join(ids, [*by, "batch_no"]), materialize=True
+    )
     return changes.drop("batch_id").join(lsn_map, [*by, "lsn"])
 
 
@@ -84,7 +100,7 @@ def mark_islands(
     specs = [Lag(F.struct(F.col(batch_col).alias("b")), "_tm_prev")]
     if lsn_col:
         specs.append(Last(F.when(F.length(lsn_col) > 0, F.col(lsn_col)), "carried_lsn"))
-    first = ordered_scan(log, [], [order_col], specs, blocks)
+    first = ordered_scan(log, [], [order_col], specs, blocks, keep_block=True)
     flagged = first.withColumn(
         "_tm_new",
         F.when(
@@ -93,7 +109,19 @@ def mark_islands(
             F.lit(1),
         ).otherwise(F.lit(0)),
     ).drop("_tm_prev")
-    return ordered_scan(flagged, [], [order_col], [Sum("_tm_new", "island_no")], blocks).drop("_tm_new")
+    # the rows are still in their blocks: islands are numbered inside each, plus the islands
+    # that began in earlier blocks (one row per block)
+    per_block = flagged.groupBy(BLK).agg(F.sum("_tm_new").alias("_tm_n"))
+    before = Window.partitionBy(F.col(BLK) < 0).orderBy(BLK).rowsBetween(Window.unboundedPreceding, -1)
+    carry = per_block.select(
+        F.col(BLK).alias("_tm_b"), F.coalesce(F.sum("_tm_n").over(before), F.lit(0)).alias("_tm_carry")
+    )
+    here = Window.partitionBy(BLK).orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
+    numbered = flagged.withColumn("island_no", F.sum("_tm_new").over(here))
+    joined = numbered.join(F.broadcast(carry), F.col(BLK) == F.col("_tm_b"))
+    return joined.withColumn("island_no", F.col("island_no") + F.col("_tm_carry")).drop(
+        "_tm_new", "_tm_b", "_tm_carry", BLK
+    )
 
 
 def batch_boundaries(
@@ -114,21 +142,39 @@ def build_acks(
     batch_col: str = "batch_id",
     lsn_col: str = "lsn",
     seq_col: str = "seq",
+    errors: DataFrame | None = None,
+    ms_col: str | None = None,
     blocks: int | None = None,
 ) -> DataFrame:
     """One acknowledgement per received batch (island).
 
     ``lsn``: last non-empty LSN received up to the batch's end (carried over from
-    earlier batches when a batch has none); ``last_seq``: sequence number of the
-    batch's last change; ``changes``: its size; status OK.
+    earlier batches when a batch has none); ``last_seq``: sequence number of the batch's
+    last change; ``changes``: its size. ``errors`` (order_col, message) are the errors
+    raised while applying a change: the first one of a batch fails it as a whole (its
+    status by ``classify_error``, its text, nothing processed); a batch without errors
+    is OK with all its rows processed. ``ms_col``: time spent per change, summed.
     """
     marked = mark_islands(log, order_col, batch_col, lsn_col=lsn_col, blocks=blocks)
-    last = F.struct(*[F.col(order_col)])
-    return marked.groupBy("island_no", batch_col).agg(
+    if errors is None:
+        marked = marked.withColumn("_tm_error", F.lit(None).cast("string"))
+    else:
+        e = errors.groupBy(order_col).agg(F.min("message").alias("_tm_error"))
+        marked = marked.join(e, order_col, "left")
+    last = F.col(order_col)
+    acks = marked.groupBy("island_no", batch_col).agg(
         F.max_by("carried_lsn", last).alias("lsn"),
         F.max_by(seq_col, last).alias("last_seq"),
         F.count(F.lit(1)).alias("changes"),
-        F.lit(ACK_OK).alias("status"),
+        F.min_by("_tm_error", F.when(F.col("_tm_error").isNotNull(), last)).alias("error"),
+        *([F.sum(ms_col).cast("bigint").alias("apply_ms")] if ms_col else []),
+    )
+    ok = F.col("error").isNull()
+    return acks.withColumns(
+        {
+            "status": F.when(ok, F.lit(ACK_OK)).otherwise(classify_error("error")),
+            "rows_processed": F.when(ok, F.col("changes")).otherwise(F.lit(0)).cast("bigint"),
+        }
     )
 
 
@@ -143,41 +189,77 @@ def errors_by_class(
     )
 
 
-def fold_cursors(
-    events: DataFrame, order_col: str = "batch_no", lsn_col: str = "lsn"
-) -> DataFrame:
-    """Fold acknowledgements (and poll events) into each source's cursor.
+def settle_batches(events: DataFrame, at_col: str = "at", lsn_col: str = "lsn") -> DataFrame:
+    """Acknowledgements and poll events reduced to one row per (source, batch).
 
-    OK and PARTIAL move the cursor to the ack's LSN and count its rows; RETRY holds
-    the cursor without error; FAILED / SCHEMA_MISMATCH hold it with an error. An
-    ``EMPTY_POLL`` (max LSN) or ``SKIPPED`` (all changes untracked) event moves it too.
+    A batch is settled by an OK, PARTIAL or SKIPPED event, an ``EMPTY_POLL`` (no batch) is
+    settled by itself. The rows of a batch acknowledged several times count once (those
+    of the last settling event in time). RETRY and failures are counted one by one.
     """
-    st = F.col("status")
-    ordk = F.col(order_col)
-    moves = st.isin(*CURSOR_MOVES)
-    acked = st.isin(*ADVANCING_STATUSES)
+    st, at = F.col("status"), F.col(at_col)
+    moves, acked = st.isin(*CURSOR_MOVES), st.isin(*ADVANCING_STATUSES)
     is_error = ~moves & (st != ACK_RETRY)
     rows = F.col("rows_processed") if "rows_processed" in events.columns else F.lit(0)
-    return events.groupBy("source").agg(
-        F.max_by(F.col(lsn_col), F.when(moves, ordk)).alias("cursor_lsn"),
-        F.max_by(F.col(lsn_col), F.when(acked, ordk)).alias("last_acked_lsn"),
-        F.coalesce(F.sum(F.when(acked, rows)), F.lit(0)).cast("bigint").alias("rows_processed"),
-        F.count(F.when(acked, F.lit(1))).alias("acked_batches"),
+    return events.groupBy("source", "batch_no").agg(
+        F.max(moves).alias("settled"),
+        F.max(acked).alias("acked"),
+        F.max(F.when(moves, F.col(lsn_col))).alias("moved_lsn"),
+        F.max(F.when(acked, F.col(lsn_col))).alias("acked_lsn"),
+        F.max(lsn_col).alias("lsn"),
+        F.coalesce(F.max_by(rows, F.when(acked, at)), F.lit(0)).cast("bigint").alias("rows"),
         F.count(F.when(st == ACK_RETRY, F.lit(1))).alias("retries"),
         F.count(F.when(is_error, F.lit(1))).alias("failures"),
-        F.max_by(st, ordk).alias("last_status"),
-        F.max_by(st, F.when(is_error, ordk)).alias("last_error"),
+        F.max(F.struct(at.alias("at"), st.alias("status"))).alias("last"),
+        F.max(F.when(is_error, F.struct(at.alias("at"), st.alias("status")))).alias("last_error"),
     )
 
 
-def start_positions(cursors: DataFrame) -> DataFrame:
-    """Where each source's next poll starts (exclusive): last acked LSN, else last
-    processed LSN, else the beginning (``from_beginning``)."""
-    processed = (
-        F.col("last_processed_lsn") if "last_processed_lsn" in cursors.columns else F.lit(None)
+def cursors_of(settled: DataFrame, sent: DataFrame | None = None) -> DataFrame:
+    """Each source's cursor from ``settle_batches``.
+
+    The cursor is the furthest settled LSN before the first batch that is not settled:
+    resuming there delivers that batch again, so none is lost. ``sent`` (source,
+    batch_no, lsn) adds the batches that were never acknowledged at all.
+    """
+    open_ = settled.where(~F.col("settled")).select("source", "lsn")
+    if sent is not None:
+        done = settled.select("source", "batch_no")
+        open_ = open_.unionByName(sent.join(done, ["source", "batch_no"], "left_anti").select("source", "lsn"))
+    # one row per source, size-checked before it is broadcast
+    stop = bounded_broadcast(open_.groupBy("source").agg(F.min("lsn").alias("_tm_stop")))
+    j = settled.join(stop, "source", "left")
+    free = F.col("_tm_stop").isNull()
+    return j.groupBy("source").agg(
+        F.max(F.when(free | (F.col("moved_lsn") < F.col("_tm_stop")), F.col("moved_lsn"))).alias("cursor_lsn"),
+        F.max("acked_lsn").alias("last_acked_lsn"),
+        F.sum("rows").cast("bigint").alias("rows_processed"),
+        F.count(F.when(F.col("acked"), F.lit(1))).alias("acked_batches"),
+        F.sum("retries").cast("bigint").alias("retries"),
+        F.sum("failures").cast("bigint").alias("failures"),
+        F.max("last").getField("status").alias("last_status"),
+        F.max("last_error").getField("status").alias("last_error"),
     )
-    start = F.coalesce(F.col("last_acked_lsn"), processed)
-    return cursors.select("source", start.alias("start_after_lsn"), start.isNull().alias("from_beginning"))
+
+
+def fold_cursors(
+    events: DataFrame, sent: DataFrame | None = None, at_col: str = "at", lsn_col: str = "lsn"
+) -> DataFrame:
+    """Fold acknowledgements and poll events (source, batch_no, status, lsn,
+    rows_processed, at) into each source's cursor.
+
+    OK and PARTIAL settle a batch and count its rows once; RETRY holds the cursor without
+    error, FAILED / SCHEMA_MISMATCH hold it with an error; ``SKIPPED`` (all changes
+    untracked) and ``EMPTY_POLL`` (max LSN) move it too. The cursor stops before the first
+    batch that is not settled, whatever was acknowledged after it. ``last_status`` and
+    ``last_error`` are by event time.
+    """
+    return cursors_of(settle_batches(events, at_col, lsn_col), sent)
+
+
+def start_positions(cursors: DataFrame) -> DataFrame:
+    """Where each source's next poll starts: (source, cursor_lsn, from_beginning), the
+    cursor being exclusive and in the form ``poll_changes`` takes."""
+    return cursors.select("source", "cursor_lsn", F.col("cursor_lsn").isNull().alias("from_beginning"))
 
 
 def pending_batches(
@@ -192,20 +274,27 @@ def pending_batches(
     return sent.join(a.select("source", "batch_no"), ["source", "batch_no"], "left_anti")
 
 
-def sync_metrics(sent: DataFrame, acks: DataFrame) -> DataFrame:
+def sync_metrics(sent: DataFrame, acks: DataFrame, at_col: str = "at") -> DataFrame:
     """Per source: changes processed, batches sent / acknowledged, errors, bytes (when
-    ``sent`` has a ``bytes`` column) and the send time of the last acknowledged batch."""
-    acked = F.col("status").isin(*ADVANCING_STATUSES)
-    a = acks.select(
-        "source", "batch_no", "status", F.col("rows_processed").alias("_tm_rows")
+    ``sent`` has a ``bytes`` column) and the send time of the last acknowledged batch.
+
+    Acknowledgements are first reduced to one row per batch, so a batch that was retried
+    or acknowledged twice counts once; every failing acknowledgement counts as an error.
+    """
+    status = F.col("status")
+    acked = status.isin(*ADVANCING_STATUSES)
+    a = acks.groupBy("source", "batch_no").agg(
+        F.max(acked).alias("_tm_acked"),
+        F.max_by("rows_processed", F.when(acked, F.col(at_col))).alias("_tm_rows"),
+        F.count(F.when(status.isin(*FAILING_STATUSES), F.lit(1))).alias("_tm_errors"),
     )
     j = sent.join(a, ["source", "batch_no"], "left")
     aggs: list[Column] = [
-        F.coalesce(F.sum(F.when(acked, F.col("_tm_rows"))), F.lit(0)).cast("bigint").alias("changes_processed"),
+        F.coalesce(F.sum(F.when(F.col("_tm_acked"), F.col("_tm_rows"))), F.lit(0)).cast("bigint").alias("changes_processed"),
         F.count(F.lit(1)).alias("batches_sent"),
-        F.count(F.when(acked, F.lit(1))).alias("batches_acked"),
-        F.count(F.when(F.col("status").isNotNull() & ~acked, F.lit(1))).alias("errors"),
-        F.max(F.when(acked, F.col("sent_at"))).alias("last_sync_ts"),
+        F.count(F.when(F.col("_tm_acked"), F.lit(1))).alias("batches_acked"),
+        F.coalesce(F.sum("_tm_errors"), F.lit(0)).cast("bigint").alias("errors"),
+        F.max(F.when(F.col("_tm_acked"), F.col("sent_at"))).alias("last_sync_ts"),
     ]
     if "bytes" in sent.columns:
         aggs.append(F.sum("bytes").cast("bigint").alias("bytes_transferred"))

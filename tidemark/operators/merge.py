@@ -30,6 +30,7 @@ from tidemark.model import (
     UPSERT_OPS,
 )
 from tidemark.plans.scan import Lag, ordered_scan
+from tidemark.session import ensure_checkpoint_dir
 
 # ---- fixed values: reasons a change is not applied ---------------------------------
 REJECT_BEFORE_IMAGE = "before_image"
@@ -150,10 +151,12 @@ def upsert(target: DataFrame, changes: DataFrame, pk: Sequence[str]) -> DataFram
     """Insert, or overwrite every non-key column on key conflict; deletes remove.
 
     ``target`` rows whose key was touched are replaced by the key's last change (or
-    removed when that is a delete); all other target rows pass through unchanged.
+    removed when that is a delete); all other target rows pass through unchanged. The
+    changes are reduced once, to a checkpoint that both the key and the row side read.
     """
     pk = list(pk)
-    latest = latest_per_key(changes, pk, keep_deletes=True)
+    ensure_checkpoint_dir(changes.sparkSession)
+    latest = latest_per_key(changes, pk, keep_deletes=True).checkpoint()
     kept = target.join(latest.select(*pk), on=pk, how="left_anti")
     new_rows = latest.where(F.col("op") != OP_DELETE).select(*target.columns)
     return kept.unionByName(new_rows)

@@ -6,13 +6,14 @@ high-water mark only moves past positions every capture has fully delivered.
 
 Scale notes: ``limit_batch`` needs only the first ``n`` LSNs of each source, so it
 ranks per-LSN counts with ``row_number() <= n`` (Spark's window group limit trims each
-map partition to ``n`` rows before the shuffle) and never sorts the full log; the cut
-table (one row per source/capture) is materialised, size-checked and broadcast, so the
-log itself is filtered in place and never shuffled on the low-cardinality source key.
+map partition to ``n`` rows before the shuffle) and never sorts the full log; cursors and
+cuts (one row per source) become constant predicates of the scan, so a poll reads what
+lies between them and the log is never shuffled on the low-cardinality source key.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -20,9 +21,11 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.lsn import lsn_literal
 from tidemark.plans.joins import bounded_broadcast
+from tidemark.session import ensure_checkpoint_dir
 
 CAPTURE = ("source", "schema_name", "table_name")
 ZERO_LSN = 0
+MAX_BRANCHES = 64
 
 
 def read_changes(
@@ -55,55 +58,72 @@ def lsn_range(changes: DataFrame, by: Sequence[str] = ("source",)) -> DataFrame:
     )
 
 
-def capture_bounds(changes: DataFrame) -> DataFrame:
-    return changes.groupBy(*CAPTURE).agg(
-        F.min("lsn").alias("capture_min_lsn"), F.max("lsn").alias("capture_max_lsn")
-    )
-
-
 def _one_cursor_per_source(cursors: DataFrame) -> DataFrame:
-    """Cursor table reduced to one row per source (the furthest position), broadcast
-    behind a row check: a duplicated cursor row must never duplicate changes."""
-    return bounded_broadcast(cursors.groupBy("source").agg(F.max("cursor_lsn").alias("cursor_lsn")))
+    """Cursor table reduced to one row per source (the furthest position): a duplicated
+    cursor row must never duplicate changes."""
+    return cursors.groupBy("source").agg(F.max("cursor_lsn").alias("cursor_lsn"))
 
 
-def effective_start(changes: DataFrame, cursors: DataFrame) -> DataFrame:
+def effective_start(captures: DataFrame, cursors: DataFrame) -> DataFrame:
     """Per capture: where the next read starts.
 
-    ``cursors`` has (source, cursor_lsn): the last position already applied (exclusive).
-    ``start_lsn`` is the first retained change after the cursor (``capture_min_lsn``
-    without a cursor); ``gap`` flags a capture whose retained history begins beyond the
-    cursor, i.e. changes in between may have been purged.
+    ``captures`` has CAPTURE + capture_min_lsn, the lowest position the source still
+    retains for the capture; ``cursors`` (source, cursor_lsn) the last position already
+    applied. ``start_lsn`` is the later of the two, and ``gap`` says that the retained
+    history begins beyond the cursor, i.e. that changes in between may have been purged.
+    A capture that is merely quiet has no gap.
     """
-    joined = changes.join(_one_cursor_per_source(cursors), "source", "left")
-    after = F.col("cursor_lsn").isNull() | (F.col("lsn") > F.col("cursor_lsn"))
-    return joined.groupBy(*CAPTURE).agg(
-        F.min("lsn").alias("capture_min_lsn"),
-        F.first("cursor_lsn", ignorenulls=True).alias("cursor_lsn"),
-        F.min(F.when(after, F.col("lsn"))).alias("start_lsn"),
-    ).select(
+    c = bounded_broadcast(_one_cursor_per_source(cursors))
+    j = captures.select(*CAPTURE, "capture_min_lsn").join(c, "source", "left")
+    return j.select(
         *CAPTURE,
         "capture_min_lsn",
         "cursor_lsn",
-        "start_lsn",
-        (F.col("cursor_lsn").isNotNull() & (F.col("capture_min_lsn") > F.col("cursor_lsn"))).alias(
-            "gap"
-        ),
+        F.greatest("capture_min_lsn", "cursor_lsn").alias("start_lsn"),
+        F.coalesce(F.col("capture_min_lsn") > F.col("cursor_lsn"), F.lit(False)).alias("gap"),
     )
 
 
+def _bounded(changes: DataFrame, bounds: DataFrame, col: str, after: bool, others: bool) -> DataFrame:
+    """Changes after (or up to) each source's bound, pushed into the scan.
+
+    ``bounds`` has one small row per source. Up to ``MAX_BRANCHES`` sources become one
+    branch each, with constant predicates on ``source`` and ``lsn``: the stored log prunes
+    the other sources' directories and skips row groups by LSN, and every directory is
+    still read once. With more sources the bounds are joined, and the loosest one is
+    pushed as a constant. ``others``: keep sources without a bound.
+    """
+    rows = bounds.select("source", col).where(F.col("source").isNotNull()).limit(MAX_BRANCHES + 1).collect()
+    lsn, source = F.col("lsn"), F.col("source")
+    past = (lambda v: lsn > v) if after else (lambda v: lsn <= v)
+    if len(rows) <= MAX_BRANCHES:
+        known = [r["source"] for r in rows if r[col] is not None]
+        out = [changes.where(source == r["source"]).where(past(lsn_literal(bytes(r[col])))) for r in rows if r[col] is not None]
+        if others:
+            out.append(changes.where(~source.isin(known) | source.isNull()) if known else changes)
+        return functools.reduce(DataFrame.unionByName, out) if out else changes.where(F.lit(False))
+    j = changes.join(bounded_broadcast(bounds.select("source", col)), "source", "left" if others else "inner")
+    keep = past(F.col(col))
+    if others:
+        return j.where(F.col(col).isNull() | keep).drop(col)
+    loosest = bounds.agg((F.min if after else F.max)(col).alias("b")).first()["b"]
+    return j.where(keep).where(past(lsn_literal(bytes(loosest)))).drop(col)
+
+
 def after_cursor(changes: DataFrame, cursors: DataFrame | None) -> DataFrame:
     """Changes strictly after each source's cursor (all changes of a source without one)."""
     if cursors is None:
         return changes
-    joined = changes.join(_one_cursor_per_source(cursors), "source", "left")
-    keep = F.col("cursor_lsn").isNull() | (F.col("lsn") > F.col("cursor_lsn"))
-    return joined.where(keep).drop("cursor_lsn")
+    return _bounded(changes, _one_cursor_per_source(cursors), "cursor_lsn", after=True, others=True)
 
 
 def _cuts(changes: DataFrame, n: int, by: Sequence[str], with_max: bool = False) -> DataFrame:
     """Per group: last LSN of the longest LSN prefix with at most ``n`` rows (at least
-    the first LSN), and with ``with_max`` the group's max LSN."""
+    the first LSN), its row count, and with ``with_max`` the group's max LSN.
+
+    The log is reduced to counts per LSN before anything is ranked, and the ranking is
+    trimmed to ``n`` LSNs per map task before its shuffle.
+    """
     by = list(by)
     per_lsn = changes.groupBy(*by, "lsn").agg(F.count(F.lit(1)).alias("_tm_n"))
     w = Window.partitionBy(*by).orderBy("lsn")
@@ -112,7 +132,7 @@ def _cuts(changes: DataFrame, n: int, by: Sequence[str], with_max: bool = False)
         "_tm_run", F.sum("_tm_n").over(w.rowsBetween(Window.unboundedPreceding, 0))
     )
     cut = run.where((F.col("_tm_run") <= n) | (F.col("_tm_rn") == 1)).groupBy(*by).agg(
-        F.max("lsn").alias("cut_lsn")
+        F.max("lsn").alias("cut_lsn"), F.max("_tm_run").alias("polled")
     )
     if not with_max:
         return cut
@@ -120,23 +140,33 @@ def _cuts(changes: DataFrame, n: int, by: Sequence[str], with_max: bool = False)
     return cut.join(tops, by)
 
 
+def _written(small: DataFrame) -> DataFrame:
+    """A small derived table (one row per source or capture), computed once."""
+    ensure_checkpoint_dir(small.sparkSession)
+    return small.checkpoint()
+
+
 def limit_batch(changes: DataFrame, n: int, by: Sequence[str] = ("source",)) -> DataFrame:
     """The first changes of each source, at most ``n`` rows, cut only between LSNs.
 
     The LSNs are taken in order while the running row total stays ``<= n``; the first
     LSN is always taken, even when it alone holds more than ``n`` rows.
     """
-    # One row per source (or capture): materialised, size-checked and broadcast, so
-    # the log is only filtered, never shuffled on the low-cardinality group key.
-    cuts = bounded_broadcast(_cuts(changes, n, by).select(*by, "cut_lsn"), materialize=True)
-    return changes.join(cuts, list(by)).where(F.col("lsn") <= F.col("cut_lsn")).drop("cut_lsn")
+    cuts = _written(_cuts(changes, n, by).select(*by, "cut_lsn"))
+    if list(by) == ["source"]:
+        return _bounded(changes, cuts, "cut_lsn", after=False, others=False)
+    return changes.join(bounded_broadcast(cuts), list(by)).where(F.col("lsn") <= F.col("cut_lsn")).drop("cut_lsn")
 
 
 def poll_changes(
     changes: DataFrame, cursors: DataFrame | None, batch_size: int | None = None
 ) -> DataFrame:
-    """One poll over all captures: changes after each source's cursor, in one scan,
-    bounded to ``batch_size`` rows per source by whole LSNs."""
+    """One poll over all captures: changes after each source's cursor, bounded to
+    ``batch_size`` rows per source by whole LSNs.
+
+    Two reads of a stored log, both pruned: one of the positions after the cursors, to
+    find the cuts, and one of the rows between cursor and cut.
+    """
     pending = after_cursor(changes, cursors)
     return pending if batch_size is None else limit_batch(pending, batch_size)
 
@@ -167,13 +197,8 @@ def poll_per_capture(
     """Per-capture bounded read, trimmed to the safe high-water mark (no capture loses
     changes below the mark; everything above it is read again next poll)."""
     pending = after_cursor(changes, cursors)
-    hw = bounded_broadcast(
-        safe_high_water(changes, cursors, batch_size).select("source", "high_water_lsn"),
-        materialize=True,
-    )
-    return pending.join(hw, "source").where(F.col("lsn") <= F.col("high_water_lsn")).drop(
-        "high_water_lsn"
-    )
+    hw = _written(safe_high_water(changes, cursors, batch_size).select("source", "high_water_lsn"))
+    return _bounded(pending, hw, "high_water_lsn", after=False, others=False)
 
 
 def poll_cursor(
@@ -187,18 +212,12 @@ def poll_cursor(
     """
     pending = after_cursor(changes, cursors)
     cuts = _cuts(pending, batch_size, ["source"], with_max=True)
-    polled = (
-        pending.join(bounded_broadcast(cuts.select("source", "cut_lsn"), materialize=True), "source")
-        .where(F.col("lsn") <= F.col("cut_lsn"))
-        .groupBy("source")
-        .agg(F.count(F.lit(1)).alias("polled"))
-    )
     tops = changes.groupBy("source").agg(F.max("lsn").alias("_tm_top"))
     if cursors is not None:
-        tops = tops.join(_one_cursor_per_source(cursors), "source", "left")
+        tops = tops.join(bounded_broadcast(_one_cursor_per_source(cursors)), "source", "left")
     else:
         tops = tops.withColumn("cursor_lsn", F.lit(None).cast("binary"))
-    j = tops.join(cuts, "source", "left").join(polled, "source", "left")
+    j = tops.join(cuts, "source", "left")
     empty = F.col("cut_lsn").isNull()
     return j.select(
         "source",

@@ -162,7 +162,8 @@ def resolve_primary_key(
         out = out.join(tgt, on=tk, how="full")
         chain.append(F.col("_tm_tgt_pk"))
     if overrides is not None:
-        ov = overrides.select(*tk, F.col("pk_cols").alias("_tm_ov_pk"))
+        # one row per table: a duplicated override must not multiply the changes
+        ov = overrides.groupBy(*tk).agg(F.max("pk_cols").alias("_tm_ov_pk"))
         out = out.join(ov, on=tk, how="full")
         chain.insert(0, F.when(F.size("_tm_ov_pk") > 0, F.col("_tm_ov_pk")))
     return out.select(*tk, F.coalesce(*chain).alias("pk_cols"))

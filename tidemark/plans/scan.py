@@ -13,7 +13,8 @@ computes the same values in three bounded steps:
 3. an ordinary window partitioned by (block, group), corrected by the carry table,
    which is joined with an explicit broadcast: its size is bounded by ``blocks``.
 
-A hot group simply spans many blocks; no task ever holds more than one block.
+A hot group simply spans many blocks; the block number is the window's partition number,
+so no task ever holds more than one block.
 """
 
 from __future__ import annotations
@@ -98,12 +99,15 @@ def ordered_scan(
     ranged = ranged.checkpoint(eager=True)
 
     # -- step 2: carry into each block's first group, from at most 2 rows per block ----
-    edges = ranged.groupBy(BLK).agg(
-        F.min(GKEY).alias("_tm_first_g"), F.max(GKEY).alias("_tm_last_g")
-    )
-    edge_rows = ranged.join(F.broadcast(edges), BLK).where(
-        F.col(GKEY).eqNullSafe(F.col("_tm_first_g")) | F.col(GKEY).eqNullSafe(F.col("_tm_last_g"))
-    )
+    if group_cols:
+        edges = ranged.groupBy(BLK).agg(
+            F.min(GKEY).alias("_tm_first_g"), F.max(GKEY).alias("_tm_last_g")
+        )
+        edge_rows = ranged.join(F.broadcast(edges), BLK).where(
+            F.col(GKEY).eqNullSafe(F.col("_tm_first_g")) | F.col(GKEY).eqNullSafe(F.col("_tm_last_g"))
+        )
+    else:  # one group: every block is summed as a whole, no look for its edges
+        edge_rows = ranged
     order_struct = F.struct(*[F.col(c) for c in order_cols])
     per_edge_aggs = []
     for i, s in enumerate(specs):
@@ -145,7 +149,9 @@ def ordered_scan(
             inblock[f"_tm_w{i}"] = F.last(v, ignorenulls=True).over(upto)
         else:
             inblock[f"_tm_w{i}"] = F.lag(v).over(w)
-    windowed = ranged.withColumns(inblock)
+    # the block number is the partition number: blocks never share a task, and the window
+    # needs no further exchange
+    windowed = ranged.repartitionById(n, F.col(BLK)).withColumns(inblock)
     joined = windowed.join(
         F.broadcast(carry),
         (windowed[BLK] == carry[BLK]) & windowed[GKEY].eqNullSafe(carry["_tm_cg"]),

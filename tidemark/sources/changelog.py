@@ -19,19 +19,19 @@ PARTITION_COLS = ("source", "schema_name", "table_name")
 
 
 def write_changelog(
-    changes: DataFrame, path: str, mode: str = "append", files_per_table: int | None = None
+    changes: DataFrame, path: str, mode: str = "append", files: int | None = None
 ) -> None:
-    """Append a changelog, one directory per captured table, files sorted by order.
+    """Append a changelog, one directory per captured table, files by LSN range.
 
-    Sorting inside each file by ``(lsn, seqval, op)`` keeps row-group LSN ranges narrow,
-    which is what makes range reads skip data.
+    Rows are range-partitioned on (table, lsn, seqval): each file holds one stretch of
+    one or a few tables, so its min/max LSN skips it in range reads, and a large LSN or
+    table spans files. ``files`` defaults to the session's shuffle partitions, which AQE
+    reduces to the data's size.
     """
     parts = [c for c in PARTITION_COLS if c in changes.columns]
-    out = changes
-    if files_per_table:
-        out = out.repartition(files_per_table, *parts, F.col("lsn"))
-    out = out.sortWithinPartitions(*parts, *ORDER_COLS)
-    out.write.mode(mode).partitionBy(*parts).parquet(path)
+    keys = [*parts, "lsn", "seqval"]
+    out = changes.repartitionByRange(files, *keys) if files else changes.repartitionByRange(*keys)
+    out.sortWithinPartitions(*parts, *ORDER_COLS).write.mode(mode).partitionBy(*parts).parquet(path)
 
 
 def read_changelog(

@@ -48,20 +48,44 @@ select event_id as pos, cast(floor(event_id / 25.0) as bigint) % 7 as batch_id,
 from events
 """,
     "sent": """
-select concat('s', cast(b % 5 as varchar(10))) as source, b as batch_no, n, lsn_no, sent_at from (
+select concat('s', cast(b % 5 as varchar(10))) as source, b as batch_no, n, lsn_no, sent_at, n * 100 as bytes from (
   select cast(floor(event_id / 25.0) as bigint) as b, count(*) as n,
     max(cast(floor(event_id / 4.0) as bigint) + 1) as lsn_no, max(ts) as sent_at
   from events group by cast(floor(event_id / 25.0) as bigint)) t
 """,
+    # several attempts per batch, failures before success, batches never settled or never
+    # acknowledged, copies of an acknowledgement, skipped batches and empty polls
     "acks": """
-select concat('s', cast(b % 5 as varchar(10))) as source, b as batch_no, lsn_no,
-  case b % 6 when 1 then 'OK' when 2 then 'PARTIAL' when 3 then 'RETRY' when 4 then 'FAILED' else 'SCHEMA_MISMATCH' end as status,
-  case when b % 6 in (1, 2) then n else 0 end as rows_processed
-from (
-  select cast(floor(event_id / 25.0) as bigint) as b, count(*) as n,
-    max(cast(floor(event_id / 4.0) as bigint) + 1) as lsn_no
-  from events group by cast(floor(event_id / 25.0) as bigint)) t
-where b % 6 <> 0
+select * from (
+  select concat('s', cast(b % 5 as varchar(10))) as source, b as batch_no, lsn_no, b * 10 + attempt as ack_at,
+    case when b % 41 = 35 then null
+      when b % 37 = 30 then case attempt when 1 then 'FAILED' when 2 then 'RETRY' end
+      when b % 6 = 0 then case attempt when 1 then 'OK' end
+      when b % 6 = 1 then case attempt when 1 then 'RETRY' when 2 then 'OK' end
+      when b % 6 = 2 then case attempt when 1 then 'PARTIAL' end
+      when b % 6 = 3 then case attempt when 1 then 'FAILED' when 2 then 'SCHEMA_MISMATCH' when 3 then 'OK' end
+      when b % 6 = 4 then case attempt when 1 then 'SKIPPED' end
+      else case attempt when 1 then 'OK' when 2 then 'OK' end end as status,
+    case when b % 6 = 3 and attempt < 3 then 0 when b % 6 = 1 and attempt < 2 then 0 when b % 6 = 4 then 0 else n end as rows_processed
+  from (
+    select cast(floor(event_id / 25.0) as bigint) as b, count(*) as n,
+      max(cast(floor(event_id / 4.0) as bigint) + 1) as lsn_no
+    from events group by cast(floor(event_id / 25.0) as bigint)) t
+  cross join (select * from (values (1), (2), (3)) as v(attempt)) v) x
+where status is not null
+union all
+select concat('s', cast(k as varchar(10))) as source, cast(null as bigint) as batch_no, top + 7 as lsn_no, top * 100 as ack_at,
+  'EMPTY_POLL' as status, cast(0 as bigint) as rows_processed
+from (select max(cast(floor(event_id / 4.0) as bigint)) as top from events) m
+cross join (select * from (values (1), (2), (4)) as w(k)) w
+""",
+    "captures": """
+select 'MyDB' as source, 'dbo' as schema_name, 'users' as table_name, cast(1 as bigint) as min_no
+union all select 'MyDB', 'dbo', 'orders', min(lsn_no) + 1000 from ch_order
+union all select 'Archive', 'dbo', 'lines', min(lsn_no) from ch_line
+""",
+    "batch_errors": """
+select event_id as pos, message from errors where event_id % 40 in (7, 9)
 """,
     "errors": """
 select event_id, case event_id % 6
@@ -87,11 +111,16 @@ FIXTURE_INPUTS = {
     "batch_log": ("events",),
     "sent": ("events",),
     "acks": ("events",),
+    "captures": (),
+    "batch_errors": (),
     "errors": ("events",),
     "routes": (),
     "schema_map": (),
 }
 
+# fixture → fixtures its SQL reads
+FIXTURE_USES = {"captures": ("ch_order", "ch_line"), "batch_errors": ("errors",)}
+
 # key columns of the typed change fixtures
 FIXTURE_PK = {
     "ch_user": ("user_id",),
@@ -113,6 +142,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The named fixture; change fixtures get a binary ``lsn`` in place of ``lsn_no``."""
     register_tables(spark, sf_dir, FIXTURE_INPUTS[name])
+    for other in FIXTURE_USES.get(name, ()):
+        register_tables(spark, sf_dir, FIXTURE_INPUTS[other])
+        spark.sql(FIXTURE_SQL[other]).createOrReplaceTempView(other)
     df = spark.sql(FIXTURE_SQL[name])
     if name in FIXTURE_PK:
         df = df.withColumn("lsn", lsn_from_number("lsn_no")).drop("lsn_no")
