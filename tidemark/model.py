@@ -31,10 +31,8 @@ ACK_SCHEMA_MISMATCH = "SCHEMA_MISMATCH"
 # statuses after which the cursor moves to the acknowledged LSN
 ADVANCING_STATUSES = (ACK_OK, ACK_PARTIAL)
 
-# ---- fixed values: client defaults (limits the reference declares) -----------------
-DEFAULT_BATCH_SIZE = 1000
+# ---- fixed value: idle poll interval -----------------------------------------------
 DEFAULT_POLL_INTERVAL_MS = 1000
-DEFAULT_ACK_TIMEOUT_S = 30
 
 LSN_BYTES = 10
 ORDER_COLS = ("lsn", "seqval", "op")

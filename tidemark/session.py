@@ -69,12 +69,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             )
         configured = tempfile.mkdtemp(prefix="tidemark-ckpt-")
     sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+    own = sc.getCheckpointDir() or configured  # a folder of this application's own
+    delete_on_exit(spark, own)
+    return own
+
+
+def delete_on_exit(spark: SparkSession, path: str) -> None:
+    """Remove ``path`` when the driver's JVM ends."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(p)
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A sub-folder of the shared checkpoint folder for written intermediate tables."""
+    """A sub-folder of the shared checkpoint folder for written intermediate tables; it
+    goes when the application ends."""
     import uuid
 
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    delete_on_exit(spark, path)
+    return path
