@@ -91,6 +91,14 @@ def test_one_lsn_larger_than_batch(spark):
     assert nos == {1: 0, 2: 1, 3: 2}
 
 
+def test_large_polls_give_the_same_cuts(spark, monkeypatch):
+    rows = [(n, i, 2, 10 * n + i, "a") for n in range(1, 40) for i in range(n % 4 + 1)]
+    ch = changes(spark, rows).withColumn("source", F.when(F.col("k") % 3 == 0, "s").otherwise("t"))
+    few = {n: sorted(r.k for r in ranges.limit_batch(ch, n).collect()) for n in (1, 7, 30, 500)}
+    monkeypatch.setattr(ranges, "TOP_N_LSNS", 0)
+    assert {n: sorted(r.k for r in ranges.limit_batch(ch, n).collect()) for n in few} == few
+
+
 def test_capture_minimum_above_cursor(spark):
     caps = spark.createDataFrame(
         [("s", "dbo", "purged", 50), ("s", "dbo", "quiet", 5), ("n", "dbo", "new", 7)],

@@ -722,8 +722,9 @@ where l.l_orderkey is not null and not exists (select 1 from latest_order o wher
 )
 def q_check_foreign_keys(spark, sf):
     """Live lines whose order is not live after both changelogs are applied (orphans)."""
-    lines = merge.latest_per_key(fixture(spark, sf, "ch_line"), FIXTURE_PK["ch_line"])
-    orders = merge.latest_per_key(fixture(spark, sf, "ch_order"), FIXTURE_PK["ch_order"])
+    narrow = lambda name: fixture(spark, sf, name).select("lsn", "seqval", "op", *FIXTURE_PK[name])
+    lines = merge.latest_per_key(narrow("ch_line"), FIXTURE_PK["ch_line"])
+    orders = merge.latest_per_key(narrow("ch_order"), FIXTURE_PK["ch_order"])
     return merge.check_foreign_keys(lines, orders, ["l_orderkey"], ["o_orderkey"]).select(
         "l_orderkey", "l_linenumber"
     )
@@ -1086,19 +1087,20 @@ def q_reconcile(spark, sf):
 # ------------------------------------------------------------- streaming ----------
 
 
-def _write_files(df: DataFrame, path: str, files: int | None = None) -> None:
-    """Stage a changelog as files by LSN range, so the stream sees several micro-batches."""
-    out = df.repartitionByRange(files, "lsn", "seqval") if files else df.repartitionByRange("lsn", "seqval")
-    out.write.mode("overwrite").parquet(path)
+def _write_files(df: DataFrame, path: str) -> None:
+    """Stage a changelog as files by LSN range: 100,000 rows each, six at least, so that
+    the stream sees several micro-batches."""
+    files = max(6, df.count() // 100_000)
+    df.repartitionByRange(files, "lsn", "seqval").write.mode("overwrite").parquet(path)
 
 
-def _staged_stream(spark, df: DataFrame, name: str, files: int = 8, per_trigger: int = 2):
-    """(scratch root, stream over ``df`` staged as ``files`` LSN ranges)."""
+def _staged_stream(spark, df: DataFrame, name: str, per_trigger: int = 2):
+    """(scratch root, stream over ``df`` staged as files)."""
     from tidemark.session import scratch_dir
     from tidemark.streaming.source import stream_changes
 
     root = scratch_dir(spark, name)
-    _write_files(df, f"{root}/changelog", files)
+    _write_files(df, f"{root}/changelog")
     return root, stream_changes(spark, f"{root}/changelog", df.schema, max_files_per_trigger=per_trigger)
 
 
@@ -1131,12 +1133,12 @@ def q_stream_apply_late(spark, sf):
 
     ch = fixture(spark, sf, "ch_line")
     cut = lsn_from_number(F.lit(1200))
-    root, late = _staged_stream(spark, ch.where(F.col("lsn") > cut), "stream_late", 4)
+    root, late = _staged_stream(spark, ch.where(F.col("lsn") > cut), "stream_late", 3)
     store = TableStore(spark, f"{root}/store", {"lines": TableSpec("lines", FIXTURE_PK["ch_line"])})
     start_apply(late, store, f"{root}/checkpoint").awaitTermination()
     store.compact("lines")
     for n, part in enumerate((ch.where(F.col("lsn") <= cut), ch)):
-        root2, stream = _staged_stream(spark, part, "stream_late", 4)
+        root2, stream = _staged_stream(spark, part, "stream_late", 3)
         start_apply(stream, store, f"{root2}/checkpoint").awaitTermination()
         if n == 0:
             store.compact("lines")
@@ -1198,7 +1200,7 @@ def q_stream_apply_sources(spark, sf):
 
     lines = env.encode_changes(fixture(spark, sf, "ch_line"), "dbo", "lines", ["l_orderkey", "l_linenumber"])
     log = _two_sources(spark, sf).unionByName(routing.union_sources({"Archive": lines}))
-    root, stream = _staged_stream(spark, log, "stream_sources", 6, 3)
+    root, stream = _staged_stream(spark, log, "stream_sources", 3)
     store = TableStore(spark, f"{root}/store", _user_order_specs(spark, sf))
     start_apply(stream, store, f"{root}/checkpoint").awaitTermination()
     return _user_order_rows(store)
@@ -1219,7 +1221,7 @@ def q_stream_apply_envelope(spark, sf):
     from tidemark.streaming.apply import TableStore
     from tidemark.streaming.source import start_apply
 
-    root, stream = _staged_stream(spark, changelog(spark, sf), "stream_env", 6, 3)
+    root, stream = _staged_stream(spark, changelog(spark, sf), "stream_env", 3)
     store = TableStore(spark, f"{root}/store", _user_order_specs(spark, sf, "MyDB"))
     start_apply(stream, store, f"{root}/checkpoint").awaitTermination()
     none = lambda t, c: F.lit(None).cast(t).alias(c)
@@ -1274,7 +1276,7 @@ def q_stream_rejects(spark, sf):
             "pk_json": F.when(gone & (k == 5), F.lit("{}")).when(gone & (k == 6), F.lit('{"o_orderkey":null}')).otherwise(F.col("pk_json")),
         }
     )
-    root, stream = _staged_stream(spark, routing.union_sources({"MyDB": broken}), "stream_rejects", 4)
+    root, stream = _staged_stream(spark, routing.union_sources({"MyDB": broken}), "stream_rejects", 3)
     store = TableStore(spark, f"{root}/store", {"orders": TableSpec("orders", ("o_orderkey",), env.typed_schema(raw), "dbo", "orders")})
     start_apply(stream, store, f"{root}/checkpoint").awaitTermination()
     n = lambda c: F.count(F.lit(1)).alias(c)

@@ -21,11 +21,13 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.lsn import lsn_literal
 from tidemark.plans.joins import bounded_broadcast
+from tidemark.plans.scan import Sum, ordered_scan
 from tidemark.session import ensure_checkpoint_dir
 
 CAPTURE = ("source", "schema_name", "table_name")
 ZERO_LSN = 0
 MAX_BRANCHES = 64
+TOP_N_LSNS = 1_000_000  # LSNs of one group that a single task ranks
 
 
 def read_changes(
@@ -122,15 +124,21 @@ def _cuts(changes: DataFrame, n: int, by: Sequence[str], with_max: bool = False)
     the first LSN), its row count, and with ``with_max`` the group's max LSN.
 
     The log is reduced to counts per LSN before anything is ranked, and the ranking is
-    trimmed to ``n`` LSNs per map task before its shuffle.
+    trimmed to ``n`` LSNs per map task before its shuffle. A poll of more than
+    ``TOP_N_LSNS`` rows totals the counts by blocks instead, with the same result.
     """
     by = list(by)
     per_lsn = changes.groupBy(*by, "lsn").agg(F.count(F.lit(1)).alias("_tm_n"))
-    w = Window.partitionBy(*by).orderBy("lsn")
-    head = per_lsn.withColumn("_tm_rn", F.row_number().over(w)).where(F.col("_tm_rn") <= n)
-    run = head.withColumn(
-        "_tm_run", F.sum("_tm_n").over(w.rowsBetween(Window.unboundedPreceding, 0))
-    )
+    if n > TOP_N_LSNS:  # too many LSNs per group for one task: running totals by blocks
+        run = ordered_scan(
+            per_lsn, by, ["lsn"], [Sum("_tm_n", "_tm_run"), Sum(F.lit(1).cast("long"), "_tm_rn")]
+        )
+    else:
+        w = Window.partitionBy(*by).orderBy("lsn")
+        head = per_lsn.withColumn("_tm_rn", F.row_number().over(w)).where(F.col("_tm_rn") <= n)
+        run = head.withColumn(
+            "_tm_run", F.sum("_tm_n").over(w.rowsBetween(Window.unboundedPreceding, 0))
+        )
     cut = run.where((F.col("_tm_run") <= n) | (F.col("_tm_rn") == 1)).groupBy(*by).agg(
         F.max("lsn").alias("cut_lsn"), F.max("_tm_run").alias("polled")
     )
