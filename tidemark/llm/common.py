@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,14 +47,20 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_dir(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(p)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def tasks_for(spark: SparkSession) -> int:
-    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+ARROW_BYTES, ARROW_DEFAULT = 8 << 20, 64 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Smaller Arrow batches than Spark's default, for rows that hold whole texts or blocks.
+
+    A limit that the session has set itself is left alone.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key) in (str(ARROW_DEFAULT), f"{ARROW_DEFAULT}b"):
+        spark.conf.set(key, str(ARROW_BYTES))
 
 
 # -- helpers that run inside tasks -------------------------------------------------
@@ -75,7 +80,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
 class WordHash(dict):
     """bytes -> 64-bit hash, remembered for at most ``limit`` distinct words."""
 
-    def __init__(self, limit: int = 1 << 18):
+    def __init__(self, limit: int = 1 << 16):
         super().__init__()
         import xxhash
 
@@ -107,12 +112,3 @@ def shingles(h: np.ndarray, size: int) -> np.ndarray:
             acc = acc * np.uint64(0xD6E8FEB86659FD93) + h[i : n - size + 1 + i]
     return mix64(acc)
 
-
-def binary_array(values: list[bytes]) -> pa.Array:
-    return pa.array(values, type=pa.binary())
-
-
-def offsets_of(lengths: np.ndarray) -> np.ndarray:
-    out = np.zeros(len(lengths) + 1, dtype=np.int64)
-    np.cumsum(lengths, out=out[1:])
-    return out

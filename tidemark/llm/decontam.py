@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WordHash, materialise, mix64, shingles, table, text_bytes
+from tidemark.llm.common import bounded_batches, materialise, mix64, shingles, table, text_bytes, WordHash
 
 SHINGLE = 5
 SIMILAR = 0.8
@@ -201,6 +201,7 @@ def matches(docs: DataFrame, index: Index) -> DataFrame:
 
 def contamination(docs: DataFrame, benchmark: DataFrame, carry: list[str] | None = None, bound: int = PART) -> DataFrame:
     """doc (the ``carry`` columns, all by default), items, similarity, windows, contaminated: one row per document."""
+    bounded_batches(docs.sparkSession)
     benchmark = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text")
     names = docs.columns if carry is None else carry
     rest = docs.select(F.struct(*[docs[c] for c in names]).alias("doc"), F.coalesce(docs["text"].cast("binary"), F.lit(b"")).alias("_text"))

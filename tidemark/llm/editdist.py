@@ -6,6 +6,7 @@ import numpy as np
 
 ONE = np.uint64(1)
 TOP = np.uint64(63)
+PAIRS, CELLS = 4096, 1 << 21  # pairs, and padded bytes, worked at once
 
 
 def padded(rows: list[bytes], width: int, fill: int) -> np.ndarray:
@@ -35,7 +36,9 @@ def within(a: list[bytes], b: list[bytes], limit: int) -> np.ndarray:
     todo = todo[np.argsort(n_long[todo], kind="stable")]
     lo = 0
     while lo < len(todo):
-        hi = lo + max(1, min(len(todo) - lo, (1 << 22) // int(n_long[todo[min(lo + 4095, len(todo) - 1)]])))
+        hi = min(lo + PAIRS, len(todo))
+        while hi > lo + 1 and (hi - lo) * int(n_long[todo[hi - 1]]) > CELLS:  # the longest of the part pads it
+            hi = lo + (hi - lo) // 2
         at = todo[lo:hi]
         out[at] = _band([long[i] for i in at], [short[i] for i in at], n_long[at], n_short[at], limit)
         lo = hi

@@ -28,7 +28,6 @@ along by ``dedup_lines`` and may have any names.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialise, mix64, table, text_bytes
+from tidemark.llm.common import bounded_batches, materialise, mix64, table, text_bytes
 from tidemark.llm.editdist import within
 from tidemark.llm.graph import components, star_edges
 from tidemark.llm.neardup import cross, edge_batch, members_of
@@ -46,7 +45,7 @@ from tidemark.plans.joins import bounded_broadcast
 EDITS = 1
 SHORT = 20
 BLOCK = 256
-PIECE = 4 << 20  # bytes of lines hashed at once
+PIECE = 1 << 20  # bytes of lines hashed at once
 SEEN = 1 << 17  # line hashes a task remembers, to file a repeated line once
 
 IS_SPACE = np.zeros(256, dtype=bool)
@@ -280,6 +279,7 @@ def removals(docs: DataFrame, edits: int = EDITS) -> DataFrame:
 
 def dedup_lines(docs: DataFrame, edits: int = EDITS) -> DataFrame:
     """``docs`` under ``doc`` (all columns), with its new ``text``, n_lines, n_removed, kept."""
+    bounded_batches(docs.sparkSession)
     gone = removals(docs.select("doc_id", "text"), edits)
     whole = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"))
     both = whole.join(gone, F.col("doc.doc_id").eqNullSafe(F.col("_id")), "left")
@@ -329,6 +329,3 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("doc.doc_id").alias("doc_id"), "n_lines", "n_removed", "kept", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256")
     )
 
-
-def digest(text: str | None) -> str:
-    return hashlib.sha256((text or "").encode()).hexdigest()

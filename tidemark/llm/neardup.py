@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WordHash, materialise, mix64, shingles, table, text_bytes
+from tidemark.llm.common import bounded_batches, materialise, mix64, shingles, table, text_bytes, WordHash
 from tidemark.llm.graph import components, star_edges
 
 SHINGLE = 5
@@ -347,6 +347,7 @@ def true_links(docs: DataFrame, classes: DataFrame, clusters: DataFrame) -> Data
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row per document."""
+    bounded_batches(docs.sparkSession)
     drawn = materialise(sketch(docs.select("doc_id", "text")), "near-sketch")
     classes = materialise(
         drawn.where("cid is not null")

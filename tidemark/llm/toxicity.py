@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WordHash, table, text_bytes
+from tidemark.llm.common import bounded_batches, table, text_bytes, WordHash
 from tidemark.llm.samples import gather, held_out, pick, training_labels
 
 POSITIVES = 4096
@@ -123,6 +123,7 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic"):
 
 def score(docs: DataFrame, model, carry: list[str] | None = None) -> DataFrame:
     """doc (the ``carry`` columns, doc_id by default), score: one row per document."""
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # at most BUCKETS weights
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
