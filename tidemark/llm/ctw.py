@@ -40,7 +40,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import id_mod, materialise, table, text_bytes
+from tidemark.llm.common import bounded_batches, id_mod, materialise, table, text_bytes
 
 DEPTH = 4
 BLOCK = 12 << 20
@@ -127,18 +127,18 @@ class Block:
         ends = np.cumsum(n)
         self.texts = [whole[e - k : e] for e, k in zip(ends.tolist(), n.tolist())]
 
-    def strings(self) -> tuple[np.ndarray, np.ndarray]:
-        """(symbols, piece of each symbol or -1): the pieces, each after its context, with ends."""
-        parts, owner = [], []
+    def strings(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(symbols, starts, stops): the pieces, each after its context, with ends; the
+        symbols of piece i that are coded are those from starts[i] to stops[i]."""
+        parts, at, starts, stops = [], 0, [], []
         edge = bytes([EDGE])
-        for i, (t, lead, last) in enumerate(zip(self.texts, self.lead, self.last)):
-            before = (edge * DEPTH + lead)[-DEPTH:]
+        for t, lead, last in zip(self.texts, self.lead, self.last):
             own = t + edge if last else t
-            parts += [before, own]
-            owner += [(-1, len(before)), (i, len(own))]
-        symbols = np.frombuffer(b"".join(parts), np.uint8)
-        which = np.repeat(np.array([o for o, _ in owner], dtype=np.int32), np.array([n for _, n in owner]))
-        return symbols, which
+            parts += [(edge * DEPTH + lead)[-DEPTH:], own]
+            starts.append(at + DEPTH)
+            at += DEPTH + len(own)
+            stops.append(at)
+        return np.frombuffer(b"".join(parts), np.uint8), np.array(starts, dtype=np.int64), np.array(stops, dtype=np.int64)
 
 
 def distinct_strings(symbols: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -149,24 +149,33 @@ def distinct_strings(symbols: np.ndarray, width: int) -> tuple[np.ndarray, np.nd
     shorter start gives; callers do not read them.
     """
     used = np.flatnonzero(np.bincount(symbols, minlength=256))
-    code = np.zeros(256, dtype=np.int64)
-    code[used] = np.arange(len(used))
+    size = len(used)
+    code = np.zeros(256, dtype=np.uint8)
+    code[used] = np.arange(size)
     sym = code[symbols]
-    number, keys = sym.copy(), used.astype(np.int64)
+    number, keys = sym.astype(np.int32), used.astype(np.int64)
     for _ in range(1, width):
-        cell = np.empty_like(number)
-        cell[0] = sym[0]
-        cell[1:] = number[:-1] * len(used) + sym[1:]
-        seen = np.zeros(len(keys) * len(used), dtype=bool)
+        wide = np.int32 if len(keys) * size < 1 << 31 else np.int64
+        cell = sym.astype(wide)
+        cell[1:] += number[:-1].astype(wide, copy=False) * wide(size)
+        seen = np.zeros(len(keys) * size, dtype=bool)
         seen[cell] = True
         there = np.flatnonzero(seen)
         rank = np.zeros(len(seen), dtype=np.int32)
-        rank[there] = np.arange(len(there))
-        number = rank[cell].astype(np.int64)
-        keys = keys[there // len(used)] << 8 | used[there % len(used)]
+        rank[there] = np.arange(len(there), dtype=np.int32)
+        number = rank[cell]
+        keys = keys[there // size] << 8 | used[there % size]
     return keys, number
 
 
+def segment_mask(n: int, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """True inside the given, disjoint and ordered, segments of ``n`` places."""
+    step = np.zeros(n + 1, dtype=np.int8)
+    np.add.at(step, starts, 1)
+    np.add.at(step, stops, -1)
+    return np.cumsum(step[:-1], dtype=np.int8).view(bool)
+
+
 def block_strings(blocks: DataFrame) -> DataFrame:
     """(block, key, n): distinct (DEPTH + 1)-byte strings of each block, n counted over training rows."""
 
@@ -174,12 +183,12 @@ def block_strings(blocks: DataFrame) -> DataFrame:
         for b in batches:
             for row in b.to_pylist():
                 x = Block(row)
-                symbols, which = x.strings()
+                symbols, starts, stops = x.strings()
                 keys, number = distinct_strings(symbols, DEPTH + 1)
-                own = which >= 0
-                train = np.append(np.array(x.train, dtype=bool), False)[which]
-                n = np.bincount(number[own & train], minlength=len(keys))
-                here = np.bincount(number[own], minlength=len(keys)) > 0
+                here = np.zeros(len(keys), dtype=bool)
+                here[number[segment_mask(len(symbols), starts, stops)]] = True
+                train = np.array(x.train, dtype=bool)
+                n = np.bincount(number[segment_mask(len(symbols), starts[train], stops[train])], minlength=len(keys))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(int(here.sum()), row["block"])), pa.array(keys[here]), pa.array(n[here])],
                     names=["block", "key", "n"],
@@ -221,9 +230,8 @@ def block_words(blocks: DataFrame) -> DataFrame:
 
 def log_gamma(x: np.ndarray) -> np.ndarray:
     """ln Gamma(x) for x >= 1/2: Stirling's series after shifting x above 8."""
-    x = np.asarray(x, dtype=np.float64)
-    shift = np.zeros_like(x)
-    y = x.copy()
+    y = np.asarray(x, dtype=np.float64)
+    shift = np.zeros_like(y)
     for _ in range(8):
         small = y < 8
         shift = np.where(small, shift + np.log(np.where(small, y, 1.0)), shift)
@@ -232,6 +240,19 @@ def log_gamma(x: np.ndarray) -> np.ndarray:
     return (y - 0.5) * np.log(y) - y + 0.5 * np.log(2 * np.pi) + series - shift
 
 
+TABLE = 1 << 14
+LOG_PI = float(np.log(np.pi))
+HALF, WHOLE = log_gamma(np.arange(TABLE) + 0.5), log_gamma(np.arange(TABLE) + 1.0)  # small counts, looked up
+
+
+def gamma_of(n: np.ndarray, plus: float, known: np.ndarray) -> np.ndarray:
+    out = known[np.minimum(n, TABLE - 1).astype(np.int64)]
+    big = n >= TABLE
+    if big.any():
+        out[big] = log_gamma(n[big] + plus)
+    return out
+
+
 def decisions(counts: np.ndarray) -> np.ndarray:
     """(contexts, 512): byte counts (contexts, 256) summed up the binary decision tree (heap order)."""
     heap = np.zeros((len(counts), 512), dtype=np.float64)
@@ -242,17 +263,14 @@ def decisions(counts: np.ndarray) -> np.ndarray:
     return heap
 
 
-LOG_PI = float(np.log(np.pi))
-
-
 def log_kt(heap: np.ndarray) -> np.ndarray:
     """ln of the Krichevsky-Trofimov block probability at decision nodes 0 .. 255 (0 unused)."""
     zero, one = heap[:, 0:512:2], heap[:, 1:512:2]
     out = np.zeros((len(heap), 256))
     some = (zero + one) > 0
+    some[:, 0] = False
     a, b = zero[some], one[some]
-    out[some] = log_gamma(a + 0.5) + log_gamma(b + 0.5) - log_gamma(a + b + 1) - LOG_PI
-    out[:, 0] = 0
+    out[some] = gamma_of(a, 0.5, HALF) + gamma_of(b, 0.5, HALF) - gamma_of(a + b, 1.0, WHOLE) - LOG_PI
     return out
 
 
@@ -269,40 +287,44 @@ def kt(heap: np.ndarray, node: np.ndarray, bit: np.ndarray, at: np.ndarray) -> t
     return (np.where(bit == 1, one, zero) + 0.5) / (zero + one + 1), zero + one > 0
 
 
-def byte_counts(context: np.ndarray, symbol: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(contexts, index of each row's context, counts (contexts, 256))."""
-    seen, at = np.unique(context, return_inverse=True)
-    counts = np.bincount(at * 256 + symbol, weights=n, minlength=len(seen) * 256).reshape(len(seen), 256)
-    return seen, at, counts
-
-
 class Subtree:
     """The tree below one two-byte context: levels 2 (itself), 3 and 4, from its strings."""
 
+    LEAVES = 4096  # contexts of level 4 worked at once
+
     def __init__(self, key: np.ndarray, n: np.ndarray):
-        self.symbol = key & 255
-        third, fourth = (key >> 24) & 255, (key >> 32) & 255
-        self.order = np.argsort(third, kind="stable")
-        self.third = third[self.order]
-        self.starts = np.flatnonzero(np.append(True, self.third[1:] != self.third[:-1]))
-        self.fourth, self.n = fourth[self.order], n[self.order]
-        self.symbol = self.symbol[self.order]
-
-    def parts(self) -> Iterator[tuple[slice, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-        """Per third byte: its rows, the leaves' heap and row index, its own heap, the leaves' sum."""
-        ends = np.append(self.starts[1:], len(self.third))
-        for lo, hi in zip(self.starts, ends):
-            rows = slice(lo, hi)
-            _, at, counts = byte_counts(self.fourth[rows], self.symbol[rows], self.n[rows])
+        # by third byte, then fourth: a leaf's rows, and a third byte's leaves, lie together
+        context = ((key >> 24) & 255) << 8 | ((key >> 32) & 255)
+        self.order = np.argsort(context, kind="stable")
+        self.context, self.n, self.symbol = context[self.order], n[self.order], (key & 255)[self.order]
+
+    def parts(self) -> Iterator[tuple[slice, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """Whole third bytes, about ``LEAVES`` leaves at a time: rows, the leaves' heaps, each
+        row's leaf, the thirds' heaps, each row's third, the thirds' sums of ln P_w."""
+        first = np.flatnonzero(np.append(True, self.context[1:] != self.context[:-1]))
+        third = self.context[first] >> 8
+        new_third = np.flatnonzero(np.append(True, third[1:] != third[:-1]))
+        ends = np.append(new_third[1:], len(first))
+        lo = 0
+        while lo < len(new_third):
+            hi = max(lo + 1, int(np.searchsorted(ends, new_third[lo] + self.LEAVES, side="right")))
+            a, b = new_third[lo], ends[hi - 1]
+            rows = slice(first[a], first[b] if b < len(first) else len(self.context))
+            leaf = np.searchsorted(first[a:b], np.arange(rows.start, rows.stop), side="right") - 1
+            counts = np.bincount(leaf * 256 + self.symbol[rows], weights=self.n[rows], minlength=(b - a) * 256).reshape(-1, 256)
+            at = new_third[lo:hi] - a
             leaves = decisions(counts)
-            yield rows, leaves, at, decisions(counts.sum(axis=0, keepdims=True)), log_kt(leaves).sum(axis=0, keepdims=True)
+            thirds = decisions(np.add.reduceat(counts, at, axis=0))
+            below = np.add.reduceat(log_kt(leaves), at, axis=0)
+            yield rows, leaves, leaf, thirds, (np.searchsorted(at, leaf, side="right") - 1), below
+            lo = hi
 
     def up(self) -> tuple[np.ndarray, np.ndarray]:
         """(byte counts, ln P_w) of the two-byte context."""
         counts, below = np.zeros(256), np.zeros((1, 256))
-        for _, _, _, own, leaves in self.parts():
-            counts += own[0, 256:]
-            below += weigh(own, leaves)[0]
+        for _, _, _, thirds, _, leaves in self.parts():
+            counts += thirds[:, 256:].sum(axis=0)
+            below += weigh(thirds, leaves)[0].sum(axis=0)
         return counts, weigh(decisions(counts[None]), below)[0][0]
 
     def score(self, top: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
@@ -310,24 +332,26 @@ class Subtree:
         counts, below = np.zeros(256), np.zeros((1, 256))
         kept = []
         for part in self.parts():
-            counts += part[3][0, 256:]
-            weighed, stop = weigh(part[3], part[4])
-            below += weighed
-            kept.append((part, stop))
+            counts += part[3][:, 256:].sum(axis=0)
+            weighed, stop = weigh(part[3], part[5])
+            below += weighed.sum(axis=0)
+            kept.append((*part[:5], stop))
         own = decisions(counts[None])
         path = [*top, (own, weigh(own, below)[1])]
-        out = np.zeros(len(self.third))
-        for (rows, leaves, at, third, _), stop in kept:
+        out = np.zeros(len(self.context))
+        for rows, leaves, leaf, thirds, third, stop in kept:
             symbol = self.symbol[rows]
             zero = np.zeros(len(symbol), dtype=np.int64)
             total = np.zeros(len(symbol))
+            levels = [(thirds, stop, third), *((heap, weight, zero) for heap, weight in reversed(path))]
             for k in range(8):
                 node = (1 << k) | (symbol >> (8 - k))
                 bit = (symbol >> (7 - k)) & 1
-                p, seen = kt(leaves, node, bit, at)
-                for heap, weight in [(third, stop), *reversed(path)]:
-                    here, seen_here = kt(heap, node, bit, zero)
-                    p = np.where(seen, weight[0, node] * here + (1 - weight[0, node]) * p, here)
+                p, seen = kt(leaves, node, bit, leaf)
+                for heap, weight, at in levels:
+                    here, seen_here = kt(heap, node, bit, at)
+                    share = weight[at, node]
+                    p = np.where(seen, share * here + (1 - share) * p, here)
                     seen = seen_here
                 total += np.log10(p)
             out[rows] = total
@@ -387,6 +411,18 @@ def string_scores(strings: DataFrame, top) -> DataFrame:
 # -- scoring ----------------------------------------------------------------------------
 
 
+class Counts(dict):
+    """word -> its training count, by way of the word's key."""
+
+    def __init__(self, by_key: dict[int, float]):
+        super().__init__()
+        self.by_key = by_key
+
+    def __missing__(self, w: bytes) -> float:
+        c = self[w] = self.by_key[word_key(w)]
+        return c
+
+
 def score_blocks(blocks: DataFrame, looked_up: DataFrame) -> DataFrame:
     """Per piece: row, doc_id, words, known words, sum of log10(c + SMOOTH), log10 probability.
 
@@ -397,24 +433,21 @@ def score_blocks(blocks: DataFrame, looked_up: DataFrame) -> DataFrame:
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         is_word = right["word"].to_numpy()
         key, value = right["key"].to_numpy(), right["value"].to_numpy()
-        count = dict(zip(key[is_word].tolist(), value[is_word].tolist()))
+        count = Counts(dict(zip(key[is_word].tolist(), value[is_word].tolist())))
         order = np.argsort(key[~is_word])
         s_key, s_value = key[~is_word][order], value[~is_word][order]
         out = defaultdict(list)
         for row in left.to_pylist():
             x = Block(row)
-            symbols, which = x.strings()
+            symbols, starts, stops = x.strings()
             keys, number = distinct_strings(symbols, DEPTH + 1)
-            own = which >= 0
             at = np.minimum(np.searchsorted(s_key, keys), max(0, len(s_key) - 1))
             per_key = s_value[at] if len(s_key) else np.zeros(len(keys))
-            out["score"] += np.bincount(which[own], weights=per_key[number[own]], minlength=len(x.rows)).tolist()
-            cache: dict[bytes, float] = {}
+            out["score"] += [float(per_key[number[a:b]].sum()) for a, b in zip(starts.tolist(), stops.tolist())]
+            del symbols, number
             for t in x.texts:
                 words = t.split()
-                for w in set(words).difference(cache):
-                    cache[w] = count[word_key(w)]
-                c = np.fromiter(map(cache.__getitem__, words), np.float64, len(words))
+                c = np.fromiter(map(count.__getitem__, words), np.float64, len(words))
                 out["words"].append(len(c))
                 out["known"].append(int((c > 0).sum()))
                 out["logs"].append(float(np.log10(c + SMOOTH).sum()))
@@ -433,12 +466,13 @@ def score_blocks(blocks: DataFrame, looked_up: DataFrame) -> DataFrame:
 
 def model_scores(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score: one row per document."""
+    bounded_batches(docs.sparkSession)
     blocks = materialise(packed(docs), "ctw-blocks")
-    strings = block_strings(blocks)
+    strings = materialise(block_strings(blocks), "ctw-block-strings")
     corpus = materialise(strings.groupBy("key").agg(F.sum("n").alias("n")), "ctw-strings")
     values = materialise(string_scores(corpus, top_levels(corpus)), "ctw-values")
 
-    words = block_words(blocks)
+    words = materialise(block_words(blocks), "ctw-block-words")
     vocabulary = materialise(words.groupBy("key").agg(F.sum("n").alias("n")), "ctw-words")
     known = vocabulary.agg(F.sum("n").alias("n"), F.count_if(F.col("n") > 0).alias("v")).first()
     ends = docs.where(F.coalesce(id_mod("doc_id", FOLDS) != HELD_OUT, F.lit(True))).count()
