@@ -70,7 +70,7 @@ def test_neighbour_votes_are_exact():
     for row, s in zip(quality.unit(x[200:] @ basis), got):
         cos = known @ row
         at = np.argsort(-cos)[: quality.NEIGHBOURS]
-        w = np.maximum(cos[at], 0).astype(float) ** quality.SHARPNESS
+        w = np.maximum(cos[at], 0).astype(float) ** quality.SHARPNESS * quality.balance(y)[at]
         assert abs((w * y[at]).sum() / w.sum() - s) < 1e-4
     # the basis spans what an exact decomposition spans
     _, sv, _ = np.linalg.svd(x, full_matrices=False)

@@ -6,7 +6,8 @@ repeat an earlier one, together a vector of length one. A truncated SVD of at mo
 labelled texts gives ``DIMS`` latent directions. The labelled vectors, at most SAMPLE x
 DIMS floats, are broadcast; for every document the cosines with all of them are computed
 exactly, a block of documents at a time, and its ``NEIGHBOURS`` nearest vote with weight
-similarity ** ``SHARPNESS``.
+similarity ** ``SHARPNESS``; votes of the rarer label count more, by the square root of the
+labels' odds in the sample.
 
 Labels are learned only from the training split. The SVD is fitted on the same bounded
 sample; every document is scored over its whole text.
@@ -26,13 +27,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WordHash, shingles, table, text_bytes
+from tidemark.llm.common import bounded_batches, shingles, table, text_bytes, WordHash
 from tidemark.llm.samples import gather, held_out, pick, training_labels
 
 SAMPLE = 4096
 DIMS = 48
-NEIGHBOURS = 9
-SHARPNESS = 8
+NEIGHBOURS = 25
+SHARPNESS = 16
 THRESHOLD = 0.3
 BLOCK = 256
 
@@ -108,6 +109,13 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "quality", sample: int
     return basis, unit(x @ basis), y
 
 
+def balance(y: np.ndarray) -> np.ndarray:
+    """Weight of each labelled row's vote: label 0 weighs the root of the odds of label 1."""
+    ones = float(y.sum())
+    odds = ones / (len(y) - ones) if 0 < ones < len(y) else 1.0
+    return np.where(y == 1, 1.0, odds**0.5)
+
+
 def vote(x: np.ndarray, model, k: int = NEIGHBOURS) -> np.ndarray:
     """Scores of a block of text vectors by exact cosines with every labelled vector."""
     basis, known, y = model
@@ -116,12 +124,14 @@ def vote(x: np.ndarray, model, k: int = NEIGHBOURS) -> np.ndarray:
     k = min(k, len(y))
     near = np.argpartition(-cos, k - 1, axis=1)[:, :k] if k < len(y) else np.tile(np.arange(len(y)), (len(z), 1))
     w = np.maximum(np.take_along_axis(cos, near, 1), 0.0).astype(np.float64) ** SHARPNESS
+    w *= balance(y)[near]
     total = w.sum(1)
     return np.where(total > 0, (w * y[near]).sum(1) / np.where(total > 0, total, 1), y.mean(dtype=np.float64))
 
 
 def score(docs: DataFrame, model) -> DataFrame:
     """doc_id, score of every document."""
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # at most (SAMPLE + WIDTH) x DIMS floats
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
