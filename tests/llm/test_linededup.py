@@ -7,7 +7,8 @@ import pytest
 
 from tests.llm.fixtures import corpus, docs, prose, with_clashes
 from tidemark.llm import linededup
-from tidemark.llm.editdist import within
+from tidemark.llm.common import WordHash
+from tidemark.llm.editdist import close, within
 
 
 def distance(a, b):
@@ -139,3 +140,90 @@ def test_stage_columns(spark):
     rows = out.collect()
     assert all(r.n_chars == (len(r.text) if r.text is not None else None) for r in rows)
     assert 2 not in {r.doc_id for r in rows} and {1, 4, 5, 6, 7} <= {r.doc_id for r in rows}
+
+
+def word_distance(x, y):
+    return distance(x.split(), y.split())
+
+
+def test_distance_of_any_limit():
+    rng = random.Random(3)
+    for _ in range(2000):
+        x = [rng.choice("abc") for _ in range(rng.randint(0, 14))]
+        y = [rng.choice("abc") for _ in range(rng.randint(0, 14))] if rng.random() < 0.3 else [c for c in x if rng.random() < 0.8]
+        for limit in (0, 1, 2, 5, 9):
+            assert close(x, y, limit) == (distance(x, y) <= limit)
+
+
+def test_word_edits_share_a_key():
+    """Every two lines within one word edit per ten words file a common key, also long lines."""
+    rng = random.Random(12)
+    for t in range(600):
+        n = rng.choice([10, 11, 19, 20, 21, 29, 30, 39, 40, 41, 50, 89, 90, 91, 150, 400])
+        x = [f"w{rng.randrange(5 if t % 3 == 0 else 5000)}xy" for _ in range(n)]
+        y = list(x)
+        for j in range(n // 10):
+            p, op = (j * len(y) * 10 // n + rng.randrange(3), rng.random()) if t % 2 else (rng.randrange(len(y)), rng.random())
+            p = min(p, len(y) - 1)
+            if op < 0.34:
+                y.insert(p, "new")
+            elif op < 0.67:
+                del y[p]
+            else:
+                y[p] = f"other{j}"
+        a, b = " ".join(x).encode(), " ".join(y).encode()
+        if not linededup.near(a, b, linededup.SHARE):
+            continue
+        which, keys = linededup.all_keys([a, b], 1, linededup.SHARE, WordHash())
+        assert np.intersect1d(keys[which == 0], keys[which == 1]).size, (a, b)
+
+
+def word_brute(rows):
+    """doc_id -> new text when near lines are found by comparing every pair."""
+    lines, first = [], {}
+    for d, t, *_ in rows:
+        for x in t.encode().split(b"\n"):
+            if linededup.has_word(x) and x not in first:
+                first[x] = d
+                lines.append(x)
+    root = {x: x for x in lines}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, x in enumerate(lines):
+        for y in lines[:i]:
+            few = min(len(x.split()), len(y.split())) < 20 and distance(x, y) <= 2
+            more = max(len(x.split()), len(y.split())) // 10
+            if min(len(x), len(y)) >= 20 and (few or (more and word_distance(x, y) <= more)):
+                root[find(x)] = find(y)
+    best = {}
+    for x in lines:
+        k = (first[x], linededup.line_hash(x))
+        best[find(x)] = min(best.get(find(x), k), k)
+    return {
+        d: b"\n".join(x for x in t.encode().split(b"\n") if best[find(x)] == (d, linededup.line_hash(x))).decode() for d, t, *_ in rows
+    }
+
+
+@pytest.mark.parametrize("block", [3, 256])
+def test_word_sized_edits(spark, block, monkeypatch):
+    monkeypatch.setattr(linededup, "BLOCK", block)
+    rng = random.Random(5)
+    bases = [prose(50 + i, n).replace("\n", " ") for i, n in enumerate((4, 9, 12, 25, 47, 120))]
+    rows = [(0, "\n".join(bases), "en", "a", 0)]
+    for d in range(1, 14):
+        out = []
+        for b in bases:
+            w = b.split(" ")
+            for _ in range(rng.randint(0, max(1, len(w) // 7))):
+                w[rng.randrange(len(w))] = rng.choice(["2024", "née", "other", "dates and"])
+            out.append(" ".join(w))
+        out.append(bases[0].replace("a", "é", 1) + f" of document {d}")
+        rows.append((d, "\n".join(out), "en", "a", 0))
+    rows.append((20, bases[3].replace(" ", " 17.5.2024 ", 1) + "\nits own line, found nowhere else", "en", "a", 0))
+    got = {r.doc["doc_id"]: r.text for r in linededup.dedup_lines(docs(spark, rows), share=linededup.SHARE).collect()}
+    assert got == word_brute(rows)
+    assert got[20] == "its own line, found nowhere else"

@@ -80,3 +80,31 @@ def _band(rows: list[bytes], cols: list[bytes], n: np.ndarray, m: np.ndarray, li
             if not live.any():
                 break
     return live & (score <= limit)
+
+
+def close(a, b, limit: int) -> bool:
+    """Is the Levenshtein distance of two sequences at most ``limit``, whatever that is?
+
+    Furthest-reaching rows per diagonal, one more edit a round (Ukkonen, Myers).
+    """
+    n, m = len(a), len(b)
+    if abs(n - m) > limit:
+        return False
+    far = {}  # diagonal (place in b - place in a) -> places of a used up
+    for e in range(limit + 1):
+        new = {}
+        for d in range(-e, e + 1):
+            if e == 0:
+                i = 0
+            else:
+                i = max(far.get(d, -2) + 1, far.get(d - 1, -2), far.get(d + 1, -2) + 1)
+            i = min(i, n, m - d)
+            if i < 0 or i + d < 0:
+                continue
+            while i < n and i + d < m and a[i] == b[i + d]:
+                i += 1
+            if i == n and i + d == m:
+                return True
+            new[d] = i
+        far = new
+    return False

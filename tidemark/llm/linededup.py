@@ -1,21 +1,28 @@
 """Line deduplication by a segment-partition edit join.
 
 Lines are the ``\\n``-separated pieces of a text that hold a word. Equal lines form a
-class; classes whose lines lie within ``EDITS`` edits (Levenshtein distance of the UTF-8
-bytes; lines under ``SHORT`` bytes must be equal) are linked, and of every connected
-group of classes one line stays: the one in the least doc_id, there the first. All
-other occurrences are taken out of their texts, repeats inside a document included.
+class; classes whose lines are near are linked, and of every connected group of classes
+one line stays: the one in the least doc_id, there the first. All other occurrences are
+taken out of their texts, repeats inside a document included. Lines are near when they
+have ``SHORT`` bytes or more and differ by word-sized edits (``near``): at most one
+inserted, deleted or replaced word per ``SHARE`` words of the longer line, or, when one
+of them has fewer than ``2 * SHARE`` words, at most ``FEW`` UTF-8 bytes (Levenshtein). With
+``share=None`` they are near within ``edits`` bytes, whatever their length.
 
 1. Occurrences (document, line hash) are written once and reduced to one row per class.
 2. A line of length l is cut into EDITS + 1 segments; a line within EDITS edits of it
    keeps one of them unchanged, at a position fixed to a few by the lengths. Each line
    therefore files its own segments under (l, segment number, content) and probes those
    of the lengths l - EDITS .. l at the admissible positions only. All of a batch's keys
-   come from one running polynomial hash.
+   come from one running polynomial hash. Word edits: a line of w words has w // SHARE
+   of them at most, so the longer of two near lines shares a run of 5 words or more with
+   the other (8 or more from 40 words on), and both file the least hash of five words in
+   every window that fills such a run (winnowing): near lines always share a key.
 3. One aggregation finds the keys that hold two different lines. Keys with two lines are
    pairs; longer ones are cut into blocks, compared by block pairs inside tasks, and
-   give connecting stars only. Every pair is verified by the banded bit-parallel edit
-   distance on the whole lines.
+   give connecting stars only. Every pair is verified on the whole lines, by the banded
+   bit-parallel edit distance or, with ``share``, by furthest-reaching diagonals. Keys with the
+   same lines are worked once.
 4. Components of the verified links choose the line that stays.
 
 Edge cases: null and empty texts, and texts without a word, pass unchanged (``n_lines`` 0);
@@ -29,6 +36,7 @@ along by ``dedup_lines`` and may have any names.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,14 +44,17 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bounded_batches, materialise, mix64, table, text_bytes
-from tidemark.llm.editdist import within
+from tidemark.llm.common import WordHash, bounded_batches, materialise, mix64, shingles, table, text_bytes
+from tidemark.llm.editdist import close, within
 from tidemark.llm.graph import components, star_edges
 from tidemark.llm.neardup import cross, edge_batch, members_of
 from tidemark.plans.joins import bounded_broadcast
 
 EDITS = 1
 SHORT = 20
+SHARE = 10  # words per word edit
+FEW = 2  # byte edits of lines with few words
+BAG = 64
 BLOCK = 256
 PIECE = 1 << 20  # bytes of lines hashed at once
 SEEN = 1 << 17  # line hashes a task remembers, to file a repeated line once
@@ -117,11 +128,96 @@ def line_keys(lines: list[bytes], edits: int = EDITS) -> tuple[np.ndarray, np.nd
                     tag = of[ok].astype(np.uint64) * np.uint64(64) + np.uint64(i)
                     keys.append(mix64(part ^ mix64(tag)))
                     which.append(ok)
-    which, keys = np.concatenate(which), np.concatenate(keys)
-    if edits > 1:  # nearby positions can hold the same content
-        both = np.unique(np.stack([which.astype(np.uint64), keys], 1), axis=0)
-        which, keys = both[:, 0].astype(np.int64), both[:, 1]
-    return which, keys.view(np.int64)
+    return np.concatenate(which), np.concatenate(keys).view(np.int64)  # a key can come twice: nearby positions, same content
+
+
+def word_keys(lines: list[bytes], share: int, words: WordHash) -> tuple[np.ndarray, np.ndarray]:
+    """(line number, key): the least hash of ``share // 2`` words in every window of each line.
+
+    A line of w words with at most k = w // share word edits keeps a run of at least
+    k * (share - 1) / (k + 1) words, which never gets shorter as w grows. A window fills
+    that run, so the longer of two near lines files a key that the shorter one files too.
+    """
+    gram = share // 2
+    split = [x.split() for x in lines]
+    n = np.array([len(x) for x in split], dtype=np.int64)
+    flat = list(chain.from_iterable(split))
+    if len(flat) < gram:
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+    grams = shingles(words.array(flat), gram)
+    k = n // share
+    wide = np.maximum(1, -(-k * (share - 1) // (k + 1)) - gram + 1)
+    which = np.repeat(np.arange(len(n)), n)[: len(grams)]
+    left = np.repeat(np.cumsum(n), n)[: len(grams)] - np.arange(len(grams)) - gram + 1  # grams up to the line's end
+    least, out, need = grams, grams.copy(), wide[which]
+    for step in range(1, int(wide.max())):
+        ahead = np.full(len(grams), np.iinfo(np.uint64).max, dtype=np.uint64)
+        ahead[:-step] = grams[step:]
+        least = np.minimum(least, ahead)
+        out = np.where(need == step + 1, least, out)
+    ok = np.flatnonzero((left >= need) & (n[which] >= share - 1))
+    which, keys = which[ok], mix64(out[ok] + np.uint64(0xA5A5A5A5A5A5A5A5))
+    new = np.ones(len(keys), dtype=bool)
+    new[1:] = (which[1:] != which[:-1]) | (keys[1:] != keys[:-1])
+    return which[new], keys[new].view(np.int64)
+
+
+def all_keys(lines: list[bytes], edits: int, share: int | None, words: WordHash) -> tuple[np.ndarray, np.ndarray]:
+    """(line number, key) of everything a line files, as ``near`` needs it."""
+    if share is None:
+        return line_keys(lines, edits)
+    big = [i for i, x in enumerate(lines) if len(x) >= SHORT]
+    few = [i for i in big if len(lines[i].split()) < 2 * share + FEW]
+    parts = []
+    for at, (which, keys) in (
+        (few, line_keys([lines[i] for i in few], FEW) if few else NO_KEYS),
+        (big, word_keys([lines[i] for i in big], share, words) if big else NO_KEYS),
+    ):
+        parts.append((np.array(at, dtype=np.int64)[which], keys))
+    return np.concatenate([w for w, _ in parts]), np.concatenate([k for _, k in parts])
+
+
+NO_KEYS = (np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64))
+
+
+def near(x: bytes, y: bytes, share: int) -> bool:
+    """Are two lines of ``SHORT`` bytes or more within word-sized edits?"""
+    return min(len(x), len(y)) >= SHORT and near_words(x, y, x.split(), y.split(), share)
+
+
+def near_words(x: bytes, y: bytes, a: list[bytes], b: list[bytes], share: int) -> bool:
+    if min(len(a), len(b)) < 2 * share and close(x, y, FEW):
+        return True
+    k = max(len(a), len(b)) // share
+    return k > 0 and close(a, b, k)
+
+
+def links(ids: np.ndarray, lines: list[bytes], share: int) -> tuple[list[int], list[int]]:
+    """Edges that connect what near lines of a block connect: who is reached is not compared again.
+
+    Counts of words by hash leave out pairs that cannot be near: one word edit changes the
+    counts by 2 at most, one byte edit by 3 (a word cut in two).
+    """
+    words = WordHash()
+    split = [x.split() for x in lines]
+    size = np.array([len(x) for x in lines], dtype=np.int64)
+    n = np.array([len(x) for x in split], dtype=np.int64)
+    bags = np.stack([np.bincount((words.array(x) & np.uint64(BAG - 1)).astype(np.int64), minlength=BAG) for x in split]).astype(np.int32)
+    rest = np.flatnonzero(size >= SHORT)
+    out_a, out_b = [], []
+    while len(rest):
+        queue, rest = [rest[-1]], rest[:-1]
+        while queue and len(rest):
+            at = queue.pop()
+            off = np.abs(bags[rest] - bags[at]).sum(axis=1)
+            may = off <= 2 * (np.maximum(n[rest], n[at]) // share)
+            may |= (np.minimum(n[rest], n[at]) < 2 * share) & (np.abs(size[rest] - size[at]) <= FEW) & (off <= 3 * FEW)
+            may[may] = [near_words(lines[at], lines[i], split[at], split[i], share) for i in rest[may]]
+            out_a += [int(ids[at])] * int(may.sum())
+            out_b += ids[rest[may]].tolist()
+            queue += rest[may].tolist()
+            rest = rest[~may]
+    return out_a, out_b
 
 
 def pieces(texts: Iterator[bytes]) -> Iterator[tuple[list[bytes], list[int]]]:
@@ -166,12 +262,13 @@ def occurrences(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", text_bytes().alias("_text")).mapInArrow(run, f"doc_id {kind}, line long")
 
 
-def filed(docs: DataFrame, edits: int) -> DataFrame:
+def filed(docs: DataFrame, edits: int, share: int | None) -> DataFrame:
     """(key, line): segments filed and probed, a repeated line once per task or more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = WordHash()
         for lines, hashes in pieces(texts_of(batches)):
-            which, keys = line_keys(lines, edits)
+            which, keys = all_keys(lines, edits, share, words)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys), pa.array(np.array(hashes, dtype=np.int64)[which])], names=["key", "line"]
             )
@@ -190,27 +287,31 @@ def line_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return every.join(bounded_broadcast(wanted, 500_000), "line", "left_semi").dropDuplicates(["line"])
 
 
-def near_lines(docs: DataFrame, edits: int = EDITS) -> DataFrame:
-    """Edges (a, b) of line hashes that connect every two lines within ``edits`` edits."""
-    keys = filed(docs, edits)
+def near_lines(docs: DataFrame, edits: int = EDITS, share: int | None = None) -> DataFrame:
+    """Edges (a, b) of line hashes that connect every two near lines: within ``edits`` bytes, or by ``share``."""
+    keys = filed(docs, edits, share)
     shared = materialise(
         keys.groupBy("key").agg(F.min("line").alias("a"), F.max("line").alias("b")).where("a <> b").select("key"),
         "line-keys",
     )
     members = materialise(keys.join(shared, "key").distinct(), "line-members")
-    counted = members.groupBy("key").agg(F.count("*").alias("n"), F.min("line").alias("a"), F.max("line").alias("b"))
+    counted = members.groupBy("key").agg(
+        F.count("*").alias("n"), F.min("line").alias("a"), F.max("line").alias("b"), F.bit_xor(F.xxhash64("line")).alias("same")
+    )
+    counted = materialise(counted.groupBy("n", "a", "b", "same").agg(F.min("key").alias("key")), "line-groups")
     texts = materialise(line_texts(docs, members.select("line").distinct()), "line-texts")
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            hit = within(b.column("ta").to_pylist(), b.column("tb").to_pylist(), edits)
+            ta, tb = b.column("ta").to_pylist(), b.column("tb").to_pylist()
+            hit = within(ta, tb, edits) if share is None else [near(x, y, share) for x, y in zip(ta, tb)]
             yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], names=["a", "b"]).filter(pa.array(hit))
 
     twos = (
         counted.where("n = 2").select("a", "b").distinct()
         .join(texts.select(F.col("line").alias("a"), F.col("bytes").alias("ta")), "a")
         .join(texts.select(F.col("line").alias("b"), F.col("bytes").alias("tb")), "b")
-        .where(F.abs(F.length("ta") - F.length("tb")) <= edits)
+        .where(F.abs(F.length("ta") - F.length("tb")) <= edits if share is None else F.lit(True))
         .select("a", "b", "ta", "tb")
         .mapInArrow(pairs, "a long, b long")
     )
@@ -220,6 +321,14 @@ def near_lines(docs: DataFrame, edits: int = EDITS) -> DataFrame:
             out_a, out_b = [], []
             for i in range(b.num_rows):
                 ids, x = members_of(b.column("m"), i)
+                if share is not None:
+                    if b.column("m2")[i].is_valid:
+                        other, y = members_of(b.column("m2"), i)
+                        ids, x = np.concatenate([ids, other]), x + y
+                    centres, others = links(ids, x, share)
+                    out_a += centres
+                    out_b += others
+                    continue
                 if b.column("m2")[i].is_valid:
                     other, y = members_of(b.column("m2"), i)
                     adj = cross(block_pairs(x, y, edits))
@@ -258,11 +367,11 @@ def block_pairs(x: list[bytes], y: list[bytes], edits: int) -> np.ndarray:
     return out
 
 
-def removals(docs: DataFrame, edits: int = EDITS) -> DataFrame:
+def removals(docs: DataFrame, edits: int = EDITS, share: int | None = None) -> DataFrame:
     """(doc_id, gone): the line hashes that leave each document altogether."""
     seen = materialise(occurrences(docs), "line-seen")
     classes = seen.groupBy("line").agg(F.min("doc_id").alias("first"), F.count("*").alias("docs"))
-    roots = components(near_lines(docs, edits))
+    roots = components(near_lines(docs, edits, share))
     grouped = classes.join(roots, classes["line"] == roots["id"], "left").where("docs > 1 OR root IS NOT NULL")
     grouped = materialise(
         grouped.select("line", "first", F.coalesce("root", "line").alias("root")), "line-classes"
@@ -277,10 +386,10 @@ def removals(docs: DataFrame, edits: int = EDITS) -> DataFrame:
     return gone.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_set("line").alias("gone"))
 
 
-def dedup_lines(docs: DataFrame, edits: int = EDITS) -> DataFrame:
+def dedup_lines(docs: DataFrame, edits: int = EDITS, share: int | None = None) -> DataFrame:
     """``docs`` under ``doc`` (all columns), with its new ``text``, n_lines, n_removed, kept."""
     bounded_batches(docs.sparkSession)
-    gone = removals(docs.select("doc_id", "text"), edits)
+    gone = removals(docs.select("doc_id", "text"), edits, share)
     whole = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"))
     both = whole.join(gone, F.col("doc.doc_id").eqNullSafe(F.col("_id")), "left")
 
@@ -313,9 +422,9 @@ def dedup_lines(docs: DataFrame, edits: int = EDITS) -> DataFrame:
     )
 
 
-def deduplicated(docs: DataFrame, edits: int = EDITS) -> DataFrame:
+def deduplicated(docs: DataFrame, edits: int = EDITS, share: int | None = SHARE) -> DataFrame:
     """The kept documents with their own columns, the new text and its length in ``n_chars``."""
-    d = dedup_lines(docs, edits).where("kept")
+    d = dedup_lines(docs, edits, share).where("kept")
     new = {"text": F.col("text")}
     if "n_chars" in docs.columns:
         new["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)
@@ -324,7 +433,7 @@ def deduplicated(docs: DataFrame, edits: int = EDITS) -> DataFrame:
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines removed from every document, and a digest of the text that is left."""
-    d = dedup_lines(table(spark, sf_dir, "documents"))
+    d = dedup_lines(table(spark, sf_dir, "documents"), share=SHARE)
     return d.select(
         F.col("doc.doc_id").alias("doc_id"), "n_lines", "n_removed", "kept", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256")
     )
