@@ -265,3 +265,34 @@ def test_url_filter(spark):
     assert sorted(map(repr, got)) == sorted(map(repr, brute_pages(pages)))
     assert {r[4] for r in got if r[3] is None} == {"allow", "block"}  # both verdicts come from the walk
     assert links.filter_urls(df.limit(0)).count() == 0
+
+
+def test_secrets_after_an_equals_sign_and_in_paths(spark):
+    rng = random.Random(14)
+    base62 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+
+    def drawn(alphabet, n=40):
+        return "".join(rng.choice(alphabet) for _ in range(n))
+
+    forms = [
+        lambda: ("AWS_ACCESS_KEY_VALUE=", drawn(base62), ""),
+        lambda: ("SIGNATURE=", drawn(base62 + "+/") + "==", ""),
+        lambda: ("https://x.net/a?sig=", drawn(base62), "&n=1"),
+        lambda: ("https://x.net/some-path/of_pages/", "k" + drawn(base62, 40) + "z", ""),
+        lambda: ("https://x.net/some-path/of_pages/", drawn(base62 + "-_", 60), ""),
+    ]
+    texts, at = [], []
+    for i in range(150):
+        before, secret, after = forms[i % 5]()
+        texts.append(f"é {before}{secret}{after} end")
+        at.append((2 + len(before), 2 + len(before) + len(secret)))
+    out = secrets.find_secrets(docs(spark, [(i, t, "en", "a", 0) for i, t in enumerate(texts)]))
+    no_python(out)
+    hits, whole = collections.Counter(), 0
+    for r in out.collect():
+        spans = [(s.start, s.stop) for s in r.found if s.kind == 3]
+        assert r.n_random == len(spans) and all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+        start, stop = at[r.doc_id]
+        hits[r.doc_id % 5] += any(a < stop and start < b for a, b in spans)
+        whole += any(a <= start and stop <= b for a, b in spans)
+    assert min(hits[i] for i in range(5)) >= 24 and whole >= 125, (hits, whole)

@@ -2,7 +2,9 @@
 
 Three fixed kinds are found by pattern: ``assign``, ``access`` and ``hex``. To them the
 battery adds ``random`` spans: every token of 20 or more code points that mixes letters
-and digits gets an inferred encoding (its alphabet), and three tests ask whether it looks
+and digits gets an inferred encoding (its alphabet; ``=`` only ends a token, and one that
+fits no encoding is cut into the pieces of 20 or more that do, at ``/ +``, at ``- _`` and at
+all four; found pieces that overlap make one span), and three tests ask whether it looks
 like uniform draws from that alphabet: chi-squared uniformity of its symbols, a runs test
 about the alphabet's middle, and lag-one serial correlation. The three p-values are
 combined by Bonferroni. Ordinary tokens (names with numbers, slugs) pile up near p = 0,
@@ -37,7 +39,9 @@ KINDS = {
     "access": (r"AKIA[A-Z0-9]+", 0, 18),
     "hex": (r"[0-9a-f]{16,}", 0, 16),  # whole runs of 16 or more: the same spans as all runs, then the long ones
 }
-CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
+CANDIDATE = r"[A-Za-z0-9+/_-]{20,}=*"
+WHOLE = r"^(?:[A-Za-z0-9+/]+|[A-Za-z0-9_-]+)=*$"  # fits an encoding
+PIECES = [r"[A-Za-z0-9_-]{20,}=*", r"[A-Za-z0-9+/]{20,}=*", r"[A-Za-z0-9]{20,}=*"]
 DIGITS, UPPER, LOWER = "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Encodings from the narrowest alphabet to the widest: name, pattern of the whole token, alphabet in order.
 ENCODINGS = [
@@ -165,6 +169,35 @@ def battery(token: Column) -> Column:
     return let(fit, scored)
 
 
+def fitting(found: Column, wanted) -> Column:
+    """Spans of ``found`` that fit an encoding, and the pieces that do of those that fit none."""
+
+    def cut(s: Column) -> Column:
+        def moved(p: Column) -> Column:
+            return F.struct(
+                (s["start"] + p["start"]).alias("start"), (s["start"] + p["stop"]).alias("stop"), p["token"].alias("token")
+            )
+
+        pieces = F.array_distinct(F.concat(*[spans(s["token"], p, wanted) for p in PIECES]))
+        return F.when(s["token"].rlike(WHOLE), F.array(s)).otherwise(F.transform(pieces, moved))
+
+    return F.flatten(F.transform(found, cut))
+
+
+def joined(items: Column) -> Column:
+    """Structs (start, kind, stop) in order; those that overlap become one."""
+
+    def add(out: Column, s: Column) -> Column:
+        last = F.element_at(out, -1)
+        one = F.struct(last["start"].alias("start"), s["kind"].alias("kind"), F.greatest(last["stop"], s["stop"]).alias("stop"))
+        return F.when(
+            F.size(F.filter(out, lambda b: b["stop"] > s["start"])) > 0,
+            F.concat(F.slice(out, F.lit(1), F.size(out) - 1), F.array(one)),
+        ).otherwise(F.concat(out, F.array(s)))
+
+    return F.aggregate(F.array_sort(items), F.array().cast("array<struct<start:int,kind:int,stop:int>>"), add)
+
+
 def scan(docs: DataFrame) -> DataFrame:
     """doc_id, the fixed kinds' spans (start, kind number, stop) and the tested tokens."""
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -180,7 +213,7 @@ def scan(docs: DataFrame) -> DataFrame:
     d = docs.select("doc_id", *[k.alias(f"_{name}") for name, k in zip(KINDS, kinds)], spans(text, CANDIDATE, mixed).alias("_c"))
     fixed = F.array_sort(F.concat(*[F.transform(f"_{name}", numbered(i)) for i, name in enumerate(KINDS)]))
     tested = F.transform(
-        "_c",
+        fitting(F.col("_c"), mixed),
         lambda s: F.struct(
             s["start"].alias("start"), s["stop"].alias("stop"), battery(s["token"]).alias("r"),
             F.floor(F.log2(F.length(s["token"]).cast("double"))).cast("int").alias("size"),
@@ -235,8 +268,8 @@ def find_secrets(docs: DataFrame, fdr: float = FDR) -> DataFrame:
         lambda s: (s["r"]["p"] >= least(s))
         & ~F.exists("fixed", lambda b: (b["start"] < s["stop"]) & (s["start"] < b["stop"])),
     )
-    added = F.transform(
-        new, lambda s: F.struct(s["start"].alias("start"), F.lit(len(KINDS)).alias("kind"), s["stop"].alias("stop"))
+    added = joined(
+        F.transform(new, lambda s: F.struct(s["start"].alias("start"), F.lit(len(KINDS)).alias("kind"), s["stop"].alias("stop")))
     )
 
     def of_kind(i: int):
@@ -246,7 +279,7 @@ def find_secrets(docs: DataFrame, fdr: float = FDR) -> DataFrame:
         F.size(F.filter("fixed", of_kind(i))).cast("long").alias(f"n_{name}") for i, name in enumerate(KINDS)
     ]
     return scanned.select(
-        "doc_id", *counts, "fixed", F.size(new).cast("long").alias("n_random"), F.array_sort(F.concat("fixed", added)).alias("found")
+        "doc_id", *counts, "fixed", F.size(added).cast("long").alias("n_random"), F.array_sort(F.concat("fixed", added)).alias("found")
     )
 
 
