@@ -7,7 +7,7 @@ before it kept:
 1. ``toxicity``: documents that the positive-unlabelled classifier rejects go.
 2. ``line_dedup``: repeated and near-equal lines go, but for the first; documents left
    without any line go.
-3. ``near_dedup``: one document of each near-duplicate component stays.
+3. ``near_dedup``: one document of each near-duplicate component (similarity 0.8) stays.
 4. ``decontaminate``: documents that hold a benchmark item go.
 5. ``mix``: every source is taken up to its target, documents whole, repeats as rows.
 """
@@ -22,6 +22,10 @@ from tidemark.llm import decontam, linededup, mixing, neardup, toxicity
 from tidemark.llm.common import materialise, table
 
 
+#: Near copies share this many hundredths of their shingles or more; op1 alone is bound to 85.
+NEAR = 80
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.not_toxic(docs, table(spark, sf_dir, "labels"))
 
@@ -31,7 +35,7 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return neardup.one_of_each(docs)
+    return neardup.one_of_each(docs, NEAR)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

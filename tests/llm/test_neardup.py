@@ -98,3 +98,20 @@ def test_stage_keeps_one_of_each(spark):
     ids = [r.doc_id for r in out.collect()]
     assert sorted(x for x in ids if x is not None) == [1, 4, 5, 6, 7, 8, 10, 11, 12]  # 2, 3, 9 and a repeat go
     assert ids.count(None) == 2
+
+
+def test_stage_links_from_eighty_hundredths_on(spark):
+    import corpus_pipeline
+
+    rows = []
+    for i in range(12):
+        words = prose(100 + i, 200).split()
+        other = list(words)
+        for at in (20, 70, 120, 170):  # 4 of 196 shingles' words: similarity 176 / 216
+            other[at] = f"other{at}"
+        rows += [(2 * i, " ".join(words), "en", "a", 0), (2 * i + 1, " ".join(other), "en", "a", 0)]
+    d = docs(spark, rows)
+    assert {r.doc_id for r in neardup.one_of_each(d).collect()} == set(range(24))
+    kept = {r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, d, "").collect()}
+    assert kept == set(range(0, 24, 2))
+    assert neardup.chunks_for(neardup.NEAR) == neardup.CHUNKS and neardup.miss(80, neardup.chunks_for(80)) < 1.5e-4

@@ -10,7 +10,9 @@ two signatures is the number of symbols that differ.
    signatures within ``RADIUS`` differ in at most ``RADIUS // CHUNKS`` = 1 symbol of some
    chunk, so each signature is put under every chunk with each one symbol left out: all
    pairs within the radius share a key. Pairs of similarity 0.85 lie beyond the radius
-   with probability 1e-4, by the binomial tail.
+   with probability 1e-4, by the binomial tail. Other similarities (``near_duplicates``
+   takes any from 0.8 on) use longer signatures of as many chunks more as keep that
+   probability (``chunks_for``).
 3. Keys with two classes are pairs straight from one aggregation. Keys with more are cut
    into blocks of about ``BLOCK`` classes; block pairs are compared inside tasks, and each
    emits stars that connect what its pairs within the radius connect, never all pairs.
@@ -29,6 +31,7 @@ empty result; other columns are not read. Texts of any length are used whole.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,29 +48,50 @@ SYMBOLS, BITS = 40, 16
 CHUNKS = 8
 RADIUS = 15
 NEAR, OF = 85, 100  # link when OF * intersection >= NEAR * union
+WIDTH = SYMBOLS // CHUNKS
+MISS = 1.5e-4  # chance of leaving out a pair of just the similarity asked for
 BLOCK = 256
 SET_BLOCK, SET_BYTES = 128, 4 << 20
 
 _rng = np.random.default_rng(20240607)
 MULTIPLY = _rng.integers(1, 1 << 63, SYMBOLS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 ADD = _rng.integers(0, 1 << 63, SYMBOLS, dtype=np.uint64)
+MORE = 4 * SYMBOLS  # min-hashes for longer signatures
+MULTIPLY = np.append(MULTIPLY, _rng.integers(1, 1 << 63, MORE, dtype=np.uint64) * np.uint64(2) + np.uint64(1))
+ADD = np.append(ADD, _rng.integers(0, 1 << 63, MORE, dtype=np.uint64))
+
+
+def miss(near: int, chunks: int) -> float:
+    """Chance that a pair of similarity near / OF has more than one symbol wrong in each chunk allowed."""
+    n, radius, p = chunks * WIDTH, 2 * chunks - 1, 1 - near / OF
+    return sum(math.comb(n, k) * p**k * (1 - p) ** (n - k) for k in range(radius + 1, n + 1))
+
+
+def chunks_for(near: int) -> int:
+    """Least chunks (``CHUNKS`` or more) that miss a pair of this similarity with probability ``MISS`` or less."""
+    for chunks in range(CHUNKS, len(MULTIPLY) // WIDTH + 1):
+        if miss(near, chunks) <= MISS:
+            return chunks
+    raise ValueError(f"no signature is long enough for similarity {near}/{OF}")
 
 
 def shingle_set(text: bytes, words: WordHash) -> np.ndarray:
     return np.unique(shingles(words.array(text.lower().split()), SHINGLE))
 
 
-def signature(s: np.ndarray) -> np.ndarray:
-    """``SYMBOLS`` min-hashes of a non-empty set, cut to 16 bits each."""
-    least = np.full(SYMBOLS, np.iinfo(np.uint64).max, dtype=np.uint64)
+def signature(s: np.ndarray, chunks: int = CHUNKS) -> np.ndarray:
+    """``WIDTH`` min-hashes a chunk of a non-empty set, cut to 16 bits each."""
+    symbols = chunks * WIDTH
+    multiply, add = MULTIPLY[:symbols], ADD[:symbols]
+    least = np.full(symbols, np.iinfo(np.uint64).max, dtype=np.uint64)
     with np.errstate(over="ignore"):
         for lo in range(0, len(s), 4096):
             part = s[lo : lo + 4096]
-            np.minimum(least, (part[None, :] * MULTIPLY[:, None] + ADD[:, None]).min(axis=1), out=least)
+            np.minimum(least, (part[None, :] * multiply[:, None] + add[:, None]).min(axis=1), out=least)
     return (mix64(least) >> np.uint64(48)).astype("<u2")
 
 
-def sketch(docs: DataFrame) -> DataFrame:
+def sketch(docs: DataFrame, chunks: int = CHUNKS) -> DataFrame:
     """doc_id, n_shingles, cid (class of equal sets; null without words), sig."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -78,7 +102,7 @@ def sketch(docs: DataFrame) -> DataFrame:
                 s = shingle_set(t.as_py(), words)
                 n.append(len(s))
                 cid.append(xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63) if len(s) else None)
-                sig.append(signature(s).tobytes() if len(s) else None)
+                sig.append(signature(s, chunks).tobytes() if len(s) else None)
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array(n, pa.int64()), pa.array(cid, pa.int64()), pa.array(sig, pa.binary())],
                 names=["doc_id", "n_shingles", "cid", "sig"],
@@ -90,19 +114,19 @@ def sketch(docs: DataFrame) -> DataFrame:
     )
 
 
-def sig_matrix(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), "<u2").reshape(-1, SYMBOLS)
+def sig_matrix(column: pa.Array, chunks: int = CHUNKS) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), "<u2").reshape(-1, chunks * WIDTH)
 
 
-def chunk_keys(classes: DataFrame) -> DataFrame:
+def chunk_keys(classes: DataFrame, chunks: int = CHUNKS) -> DataFrame:
     """(key, cid): every chunk of every signature with each one symbol left out."""
-    width = SYMBOLS // CHUNKS
+    width = WIDTH
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sig = sig_matrix(b.column("sig")).astype(np.uint64)
+            sig = sig_matrix(b.column("sig"), chunks).astype(np.uint64)
             keys = []
-            for c in range(CHUNKS):
+            for c in range(chunks):
                 for out in range(width):
                     k = np.full(len(sig), c * width + out, dtype=np.uint64)
                     packed = np.zeros(len(sig), dtype=np.uint64)
@@ -114,7 +138,7 @@ def chunk_keys(classes: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.concatenate(keys).view(np.int64)),
-                    pa.array(np.tile(b.column("cid").to_numpy(), CHUNKS * width)),
+                    pa.array(np.tile(b.column("cid").to_numpy(), chunks * width)),
                 ],
                 names=["key", "cid"],
             )
@@ -125,7 +149,7 @@ def chunk_keys(classes: DataFrame) -> DataFrame:
 def far_symbols(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Distance matrix between two blocks of signatures."""
     out = np.zeros((len(a), len(b)), dtype=np.uint8)
-    for i in range(SYMBOLS):
+    for i in range(a.shape[1]):
         out += a[:, i][:, None] != b[:, i][None, :]
     return out
 
@@ -148,9 +172,10 @@ def members_of(column: pa.ListArray, i: int) -> tuple[np.ndarray, list[bytes]]:
     return s.field(0).to_numpy(zero_copy_only=False), s.field(1).to_pylist()
 
 
-def near_pairs(classes: DataFrame) -> DataFrame:
+def near_pairs(classes: DataFrame, chunks: int = CHUNKS) -> DataFrame:
     """Edges (a, b) that connect every two classes within the signature radius."""
-    keys = chunk_keys(classes)
+    radius = 2 * chunks - 1
+    keys = chunk_keys(classes, chunks)
     counted = materialise(
         keys.groupBy("key").agg(F.count("*").alias("n"), F.min("cid").alias("a"), F.max("cid").alias("b")).where("n > 1"),
         "near-keys",
@@ -159,8 +184,8 @@ def near_pairs(classes: DataFrame) -> DataFrame:
 
     def within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            far = (sig_matrix(b.column("sa")) != sig_matrix(b.column("sb"))).sum(axis=1)
-            hit = pa.array(far <= RADIUS)
+            far = (sig_matrix(b.column("sa"), chunks) != sig_matrix(b.column("sb"), chunks)).sum(axis=1)
+            hit = pa.array(far <= radius)
             yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], names=["a", "b"]).filter(hit)
 
     pairs = counted.where("n = 2").select("a", "b").distinct()
@@ -186,13 +211,13 @@ def near_pairs(classes: DataFrame) -> DataFrame:
             out_a, out_b = [], []
             for i in range(b.num_rows):
                 ids, raw = members_of(b.column("m"), i)
-                sa = np.frombuffer(b"".join(raw), "<u2").reshape(-1, SYMBOLS)
+                sa = np.frombuffer(b"".join(raw), "<u2").reshape(-1, chunks * WIDTH)
                 if b.column("m2")[i].is_valid:
                     other, raw = members_of(b.column("m2"), i)
-                    sb = np.frombuffer(b"".join(raw), "<u2").reshape(-1, SYMBOLS)
-                    ids, adj = np.concatenate([ids, other]), cross(far_symbols(sa, sb) <= RADIUS)
+                    sb = np.frombuffer(b"".join(raw), "<u2").reshape(-1, chunks * WIDTH)
+                    ids, adj = np.concatenate([ids, other]), cross(far_symbols(sa, sb) <= radius)
                 else:
-                    adj = far_symbols(sa, sa) <= RADIUS
+                    adj = far_symbols(sa, sa) <= radius
                     np.fill_diagonal(adj, False)
                 centres, others = star_edges(adj, ids)
                 out_a += centres
@@ -228,10 +253,10 @@ def overlaps(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def linked(sets: list[np.ndarray]) -> np.ndarray:
+def linked(sets: list[np.ndarray], near: int = NEAR) -> np.ndarray:
     sizes = np.array([len(s) for s in sets], dtype=np.float64)
     both = overlaps(sets)
-    out = OF * both >= NEAR * (sizes[:, None] + sizes[None, :] - both)
+    out = OF * both >= near * (sizes[:, None] + sizes[None, :] - both)
     np.fill_diagonal(out, False)
     return out
 
@@ -240,7 +265,7 @@ def as_sets(raw: list[bytes]) -> list[np.ndarray]:
     return [np.frombuffer(r, "<u8") for r in raw]
 
 
-def true_links(docs: DataFrame, classes: DataFrame, clusters: DataFrame) -> DataFrame:
+def true_links(docs: DataFrame, classes: DataFrame, clusters: DataFrame, near: int = NEAR) -> DataFrame:
     """Edges (a, b) that connect every two classes of a cluster whose full sets are near."""
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -282,10 +307,10 @@ def true_links(docs: DataFrame, classes: DataFrame, clusters: DataFrame) -> Data
                 ids, raw = members_of(b.column("m"), i)
                 if b.column("m2")[i].is_valid:
                     other, raw2 = members_of(b.column("m2"), i)
-                    adj = cross(linked(as_sets(raw + raw2))[: len(raw), len(raw) :])
+                    adj = cross(linked(as_sets(raw + raw2), near)[: len(raw), len(raw) :])
                     ids = np.concatenate([ids, other])
                 else:
-                    adj = linked(as_sets(raw))
+                    adj = linked(as_sets(raw), near)
                 centres, others = star_edges(adj, ids)
                 out_a += centres
                 out_b += others
@@ -302,9 +327,9 @@ def true_links(docs: DataFrame, classes: DataFrame, clusters: DataFrame) -> Data
             x, y = as_sets(b.column("hashes").to_pylist()), as_sets(b.column("lead").to_pylist())
             both = np.array([len(np.intersect1d(p, q, assume_unique=True)) for p, q in zip(x, y)], dtype=np.int64)
             union = np.array([len(p) + len(q) for p, q in zip(x, y)], dtype=np.int64) - both
-            band = np.floor((1 - both / np.maximum(union, 1)) / (1 - NEAR / OF + 1e-6)).astype(np.int32)
+            band = np.floor((1 - both / np.maximum(union, 1)) / (1 - near / OF + 1e-6)).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [b.column("cluster"), b.column("cid"), pa.array(OF * both >= NEAR * union), pa.array(band)],
+                [b.column("cluster"), b.column("cid"), pa.array(OF * both >= near * union), pa.array(band)],
                 names=["cluster", "cid", "near", "band"],
             )
 
@@ -345,18 +370,19 @@ def true_links(docs: DataFrame, classes: DataFrame, clusters: DataFrame) -> Data
     return small_links.union(star).union(rest)
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept: one row per document."""
+def near_duplicates(docs: DataFrame, near: int = NEAR) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept: one row per document; links from similarity near / OF on."""
+    chunks = chunks_for(near)
     bounded_batches(docs.sparkSession)
-    drawn = materialise(sketch(docs.select("doc_id", "text")), "near-sketch")
+    drawn = materialise(sketch(docs.select("doc_id", "text"), chunks), "near-sketch")
     classes = materialise(
         drawn.where("cid is not null")
         .groupBy("cid")
         .agg(F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n_shingles"), F.first("sig").alias("sig")),
         "near-classes",
     )
-    clusters = components(near_pairs(classes))
-    roots = components(true_links(docs, classes, clusters))
+    clusters = components(near_pairs(classes, chunks))
+    roots = components(true_links(docs, classes, clusters, near))
     of = classes.select("cid", "doc_id").join(roots, classes["cid"] == roots["id"], "left").select(
         "cid", "doc_id", F.coalesce("root", "cid").alias("root")
     )
@@ -369,9 +395,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
+def one_of_each(docs: DataFrame, near: int = NEAR) -> DataFrame:
     """``docs`` without near duplicates: the least doc_id of each component, repeated rows once."""
-    kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_id")).distinct()
+    kept = near_duplicates(docs, near).where("kept").select(F.col("doc_id").alias("_id")).distinct()
     rows = docs.select(
         F.struct(*[docs[c] for c in docs.columns]).alias("doc"), docs["doc_id"].alias("id"), F.xxhash64(docs["text"]).alias("same")
     )
