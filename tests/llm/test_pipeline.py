@@ -4,6 +4,7 @@ import collections
 
 import corpus_pipeline
 import pytest
+from tests.llm.fixtures import docs, prose
 from tests.oracle import compare, duck
 from tidemark.llm import decontam, linededup, mixing, neardup, registry, toxicity
 from tidemark.llm.common import materialise, table
@@ -54,3 +55,28 @@ def test_stages_on_an_empty_table(spark, sf_small):
     for _, f in corpus_pipeline.STAGES:
         d = materialise(f(spark, d, sf_small), "test-empty")
         assert d.count() == 0
+
+
+def test_planted_near_copies_do_not_get_through(spark):
+    """Through line dedup and near dedup: copies with a changed word in most lines, and with whole lines rewritten."""
+    rows, copies = [], set()
+    for i in range(10):
+        base = [prose(500 + 100 * i + k, 22).replace("\n", " ") for k in range(12)]
+        rows.append((i, "\n".join(base), "en", "a", 0))
+        words = [x.split(" ") for x in base]
+        for k, w in enumerate(words):
+            if k % 4:
+                w[(3 * k + i) % 22] = f"changed{k}"
+        rows.append((100 + i, "\n".join(" ".join(w) for w in words), "en", "a", 0))
+        copies.add(100 + i)
+        flat = " ".join(base).split(" ")
+        for at in (15, 80, 150, 220):
+            flat[at] = f"edit{at}"
+        rows.append((200 + i, " ".join(flat), "en", "a", 0))  # one long line: only whole documents can be compared
+        rows.append((300 + i, " ".join(base), "en", "a", 0))
+    d = docs(spark, rows)
+    for name, stage in corpus_pipeline.STAGES[1:3]:
+        d = materialise(stage(spark, d, ""), f"test-planted-{name}")
+    kept = {r.doc_id for r in d.collect()}
+    assert not kept & copies and set(range(10)) <= kept
+    assert not any(200 + i in kept and 300 + i in kept for i in range(10))
