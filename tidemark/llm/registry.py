@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from tidemark.llm import align, ctw, decontam, hardneg, linededup, links, mixing, neardup, quality, rules, secrets, toxicity
+from tidemark.llm import align, ctw, decontam, hardneg, htmltext, linededup, links, mixing, neardup, quality, rules, secrets, toxicity
 
 MODULES = {
     "op1_minhash_neardup": neardup,
@@ -16,6 +16,7 @@ MODULES = {
     "op8_line_dedup": linededup,
     "op9_quality_rules": rules,
     "op10_toxicity": toxicity,
+    "op11_html_text": htmltext,
     "op12_hard_negatives": hardneg,
     "op13_align_tokenizers": align,
 }
