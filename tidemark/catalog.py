@@ -1288,27 +1288,74 @@ def q_stream_rejects(spark, sf):
 @register(
     "stream_dedupe",
     _with_changelog()
-    + f"select source, schema_name, table_name, {_hex('lsn_no')} as lsn, seqval, op from changelog\n",
+    + f"""select source, schema_name, table_name, {_hex('lsn_no')} as lsn, seqval, op,
+  row_number() over (partition by source, table_name order by lsn_no, seqval, op) - 1 as sequence_number from changelog
+""",
 )
 def q_stream_dedupe(spark, sf):
-    """Two sources, one delivered long after the other and far behind it in time, MyDB twice:
-    the stream keeps the first delivery of every change and nothing else."""
+    """Numbered changes of two sources, one delivered long after the other and far behind it in
+    time, MyDB twice, out of order: the stream keeps the first delivery of every change and
+    nothing else. Its state is the runs of numbers delivered."""
     from tidemark.session import scratch_dir
-    from tidemark.streaming.source import dedupe_stream, stream_changes
+    from tidemark.streaming.source import stream_changes
+    from tidemark.streaming.state import dedupe_delivered, start_stateful
 
-    log = changelog(spark, sf)
+    log = batches.assign_sequence(changelog(spark, sf))
     root = scratch_dir(spark, "stream_dedupe")
     late = log.withColumn("source_ts", F.when(F.col("source") == "Archive", F.timestamp_seconds(F.lit(0))).otherwise(F.col("source_ts")))
     for n, part in enumerate((late.where("source = 'MyDB'"), late.where("source = 'Archive'"), late.where("source = 'MyDB'"))):
-        part.withColumn("delivery", F.lit(n)).repartitionByRange("lsn", "seqval").write.parquet(f"{root}/changelog/part={n}")
+        part.withColumn("delivery", F.lit(n)).repartition(4, "lsn", "seqval").write.parquet(f"{root}/changelog/part={n}")
     schema = late.withColumn("delivery", F.lit(0)).schema
     stream = stream_changes(spark, f"{root}/changelog/part=*", schema, max_files_per_trigger=4)
-    q = (
-        dedupe_stream(stream).writeStream.format("parquet").option("path", f"{root}/out")
-        .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
+    q = start_stateful(
+        spark,
+        dedupe_delivered(stream).writeStream.format("parquet").option("path", f"{root}/out")
+        .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True),
+    )
+    q.awaitTermination()
+    return _out(spark.read.schema(schema).parquet(f"{root}/out"), [*ENV_COLS, "sequence_number"])
+
+
+@register(
+    "stream_pairs",
+    oracle_with("ch_user").rstrip()
+    + f""", images AS (
+  select lsn_no, seqval, op, user_id, value from ch_user where op in (3, 4))
+select {_hex('a.lsn_no')} as lsn, a.seqval, a.user_id, b.value as old_value, a.value as new_value
+from images a join images b on a.lsn_no = b.lsn_no and a.seqval = b.seqval and a.user_id = b.user_id and a.op = 4 and b.op = 3
+""",
+)
+def q_stream_pairs(spark, sf):
+    """Updates of users streamed so that the two images of every pair come in different
+    micro-batches, half of them the after-image first: paired as in one batch."""
+    from tidemark.session import scratch_dir
+    from tidemark.streaming.source import stream_changes
+    from tidemark.streaming.state import PAIRED, pair_stream, start_stateful
+
+    log = changelog(spark, sf).where("table_name = 'users' AND op IN (3, 4)")
+    root = scratch_dir(spark, "stream_pairs")
+    first = F.pmod(F.xxhash64("lsn", "seqval", "pk_json"), F.lit(2)) == (F.col("op") - 3)
+    for n, part in enumerate((log.where(first), log.where(~first))):
+        part.repartition(2, "lsn").write.parquet(f"{root}/changelog/part={n}")
+    stream = stream_changes(spark, f"{root}/changelog/part=*", log.schema, max_files_per_trigger=2)
+    paired = pair_stream(stream, wait_ms=24 * 3600 * 1000)
+    q = start_stateful(
+        spark,
+        paired.writeStream.format("parquet").option("path", f"{root}/out")
+        .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True),
+        drain=True,
     )
     q.awaitTermination()
-    return _out(spark.read.schema(schema).parquet(f"{root}/out"))
+    out = spark.read.schema(paired.schema).parquet(f"{root}/out").where(F.col("pairing") == PAIRED)
+    field = lambda c, f: F.get_json_object(c, f"$.{f}")
+    value = lambda c: F.get_json_object(c, "$.value").cast("double")
+    return lsns_to_hex(
+        out.select(
+            "lsn", "seqval", F.get_json_object("pk_json", "$.user_id").cast("bigint").alias("user_id"),
+            value("old_row_json").alias("old_value"), value("row_json").alias("new_value"),
+        ),
+        "lsn",
+    )
 
 
 @register(
@@ -1341,23 +1388,74 @@ def q_sync_loop(spark, sf):
     return _user_order_rows(store).withColumn("cursor_lsn", F.lit(None).cast("string")).unionByName(ends)
 
 
-@register("stream_cursors", _fold_select(False))
+@register("sync_resume", REGISTRY["sync_loop"].sql)
+def q_sync_resume(spark, sf):
+    """The log grows twice; after each growth ``sync`` is called again on the same store, once
+    with a round that fails after its tables were written. Tables and cursors equal one
+    batch run over the whole log."""
+    from tidemark.session import scratch_dir
+    from tidemark.sources.changelog import read_changelog, write_changelog
+    from tidemark.streaming.apply import TableStore
+    from tidemark.streaming.loop import sync
+
+    class Breaks(TableStore):
+        """The second batch loses its connection before it is acknowledged."""
+
+        calls = 0
+
+        def _orphaned(self, folder):
+            self.calls += 1
+            if self.calls == 2:
+                raise ConnectionError("connection lost while committing")
+            return super()._orphaned(folder)
+
+    whole = _two_sources(spark, sf)
+    top = whole.groupBy("source").agg(F.max("lsn").alias("top"), F.count("*").alias("n")).collect()
+    ends = {r["source"]: int(bytes(r["top"]).hex(), 16) for r in top}
+    root = scratch_dir(spark, "sync_resume")
+    store = Breaks(spark, f"{root}/store", _user_order_specs(spark, sf))
+    size = max(r["n"] for r in top) // 2 + 1
+    for n, share in enumerate((0.4, 0.7, 1.0)):
+        seen = F.lit(False)
+        for source, end in ends.items():
+            seen = seen | ((F.col("source") == source) & (F.col("lsn") <= lsn_literal(int(end * share))))
+        write_changelog(whole.where(seen), f"{root}/log{n}")
+        cur, _events = sync(read_changelog(spark, f"{root}/log{n}"), store, batch_size=size)
+    ended = lsns_to_hex(cur, "cursor_lsn").select(
+        "source", F.lit("cursor").alias("tbl"), F.lit(None).cast("bigint").alias("id"), F.lit(None).cast("double").alias("value"),
+        F.lit(None).cast("bigint").alias("custkey"), "cursor_lsn",
+    )
+    return _user_order_rows(store).withColumn("cursor_lsn", F.lit(None).cast("string")).unionByName(ended)
+
+
+@register("stream_cursors", _fold_select(True))
 def q_stream_cursors(spark, sf):
-    """Acknowledgements streamed in several micro-batches; cursors kept by a stateful
-    streaming aggregation equal the batch fold."""
+    """Batches recorded as sent, then their acknowledgements late and out of order: cursors kept
+    by keyed state (frontier and open batches) equal the batch fold. Folding all of it again
+    from a fresh checkpoint, stopped half-way, takes no cursor back."""
     from tidemark.session import scratch_dir
     from tidemark.streaming.source import read_cursors, start_cursor_fold, stream_changes
+    from tidemark.streaming.state import SENT
 
     acks = _acks(spark, sf).withColumnRenamed("ack_at", "at")
-    root = scratch_dir(spark, "stream_cursors")
-    acks.repartitionByRange("at").write.mode("overwrite").parquet(f"{root}/acks")
-    q = start_cursor_fold(
-        stream_changes(spark, f"{root}/acks", acks.schema, max_files_per_trigger=2), f"{root}/cursors", f"{root}/checkpoint"
+    sent = _sent(spark, sf).select(
+        "source", "batch_no", "lsn", F.lit(-1).cast("bigint").alias("at"), F.lit(SENT).alias("status"), F.lit(0).alias("rows_processed")
     )
-    q.awaitTermination()
+    root = scratch_dir(spark, "stream_cursors")
+    cols = ["source", "batch_no", "lsn", "at", "status", F.col("rows_processed").cast("bigint").alias("rows_processed")]
+    acks = acks.select(*cols)
+    sent.select(*cols).coalesce(1).write.parquet(f"{root}/events/part=0")
+    acks.repartition(4, F.xxhash64("at", "status")).write.parquet(f"{root}/events/part=1")
+    both = lambda: stream_changes(spark, f"{root}/events/part=*", acks.schema, max_files_per_trigger=2)
+    start_cursor_fold(both(), f"{root}/cursors", f"{root}/checkpoint").awaitTermination()
+    again = stream_changes(spark, f"{root}/events/part=0", acks.schema)
+    start_cursor_fold(again, f"{root}/cursors", f"{root}/fresh").awaitTermination()
     return lsns_to_hex(read_cursors(spark, f"{root}/cursors"), "cursor_lsn", "last_acked_lsn")
 
 
+from tidemark import catalog_changes  # noqa: E402,F401  (registers its queries)
+
+
 def queries() -> dict[str, QueryFn]:
     return {k: q.run for k, q in REGISTRY.items()}
 

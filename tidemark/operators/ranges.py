@@ -87,23 +87,26 @@ def effective_start(captures: DataFrame, cursors: DataFrame) -> DataFrame:
 
 
 def _bounded(changes: DataFrame, bounds: DataFrame, col: str, after: bool, others: bool) -> DataFrame:
-    """Changes after (or up to) each source's bound, pushed into the scan.
+    """Changes after (or up to) each source's bound, in one filter over one scan.
 
     ``bounds`` has one small row per source. Up to ``MAX_BRANCHES`` sources become one
-    branch each, with constant predicates on ``source`` and ``lsn``: the stored log prunes
-    the other sources' directories and skips row groups by LSN, and every directory is
-    still read once. With more sources the bounds are joined, and the loosest one is
+    disjunction of constant predicates on ``source`` and ``lsn``: the stored log prunes the
+    other sources' directories and skips row groups by LSN, and the plan grows by one
+    predicate per source. With more sources the bounds are joined, and the loosest one is
     pushed as a constant. ``others``: keep sources without a bound.
     """
     rows = bounds.select("source", col).where(F.col("source").isNotNull()).limit(MAX_BRANCHES + 1).collect()
     lsn, source = F.col("lsn"), F.col("source")
     past = (lambda v: lsn > v) if after else (lambda v: lsn <= v)
     if len(rows) <= MAX_BRANCHES:
-        known = [r["source"] for r in rows if r[col] is not None]
-        out = [changes.where(source == r["source"]).where(past(lsn_literal(bytes(r[col])))) for r in rows if r[col] is not None]
+        known = {r["source"]: bytes(r[col]) for r in rows if r[col] is not None}
+        if not known:
+            return changes if others else changes.where(F.lit(False))
+        each = [(source == s) & past(lsn_literal(v)) for s, v in known.items()]
         if others:
-            out.append(changes.where(~source.isin(known) | source.isNull()) if known else changes)
-        return functools.reduce(DataFrame.unionByName, out) if out else changes.where(F.lit(False))
+            return changes.where(functools.reduce(Column.__or__, [*each, ~source.isin(*known), source.isNull()]))
+        loosest = lsn_literal((min if after else max)(known.values()))
+        return changes.where(source.isin(*known)).where(past(loosest)).where(functools.reduce(Column.__or__, each))
     j = changes.join(bounded_broadcast(bounds.select("source", col)), "source", "left" if others else "inner")
     keep = past(F.col(col))
     if others:
@@ -112,6 +115,11 @@ def _bounded(changes: DataFrame, bounds: DataFrame, col: str, after: bool, other
     return j.where(keep).where(past(lsn_literal(bytes(loosest)))).drop(col)
 
 
+def up_to(changes: DataFrame, cuts: DataFrame) -> DataFrame:
+    """Changes up to each source's ``cut_lsn``; sources without one give none."""
+    return _bounded(changes, cuts, "cut_lsn", after=False, others=False)
+
+
 def after_cursor(changes: DataFrame, cursors: DataFrame | None) -> DataFrame:
     """Changes strictly after each source's cursor (all changes of a source without one)."""
     if cursors is None:
@@ -162,7 +170,7 @@ def limit_batch(changes: DataFrame, n: int, by: Sequence[str] = ("source",)) ->
     """
     cuts = _written(_cuts(changes, n, by).select(*by, "cut_lsn"))
     if list(by) == ["source"]:
-        return _bounded(changes, cuts, "cut_lsn", after=False, others=False)
+        return up_to(changes, cuts)
     return changes.join(bounded_broadcast(cuts), list(by)).where(F.col("lsn") <= F.col("cut_lsn")).drop("cut_lsn")
 
 

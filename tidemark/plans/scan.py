@@ -55,6 +55,14 @@ class Lag:
     out: str
 
 
+@dataclass(frozen=True)
+class Lead:
+    """``value`` of the next row of the same group (null for the group's last row)."""
+
+    value: str | Column
+    out: str
+
+
 def _col(v: str | Column) -> Column:
     return F.col(v) if isinstance(v, str) else v
 
@@ -68,14 +76,14 @@ def ordered_scan(
     df: DataFrame,
     group_cols: list[str] | tuple[str, ...],
     order_cols: list[str] | tuple[str, ...],
-    specs: list[Sum | Last | Lag],
+    specs: list[Sum | Last | Lag | Lead],
     blocks: int | None = None,
     keep_block: bool = False,
 ) -> DataFrame:
     """Add the scan outputs of ``specs`` to ``df``; rows keep all their columns
     (plus the block number ``_tm_blk`` with ``keep_block``, for diagnostics).
 
-    ``order_cols`` must give a total order inside each group for ``Lag``/``Last`` to be
+    ``order_cols`` must give a total order inside each group for ``Lag``/``Lead``/``Last`` to be
     deterministic (use the change order ``(lsn, seqval, op)`` plus keys if needed).
     """
     group_cols = list(group_cols)
@@ -117,12 +125,13 @@ def ordered_scan(
         elif isinstance(s, Last):
             per_edge_aggs.append(F.max_by(v, F.when(v.isNotNull(), order_struct)).alias(f"_tm_e{i}"))
         else:
-            per_edge_aggs.append(F.max_by(F.struct(v.alias("v")), order_struct).alias(f"_tm_e{i}"))
+            edge = F.min_by if isinstance(s, Lead) else F.max_by
+            per_edge_aggs.append(edge(F.struct(v.alias("v")), order_struct).alias(f"_tm_e{i}"))
     edge_tot = edge_rows.groupBy(BLK, GKEY).agg(*per_edge_aggs)
 
     wg = Window.partitionBy(GKEY).orderBy(BLK)
     prior = wg.rowsBetween(Window.unboundedPreceding, -1)
-    carry_cols = {"_tm_has_prev": F.lag(BLK).over(wg).isNotNull()}
+    carry_cols = {"_tm_more": F.lag(BLK).over(wg).isNotNull() | F.lead(BLK).over(wg).isNotNull()}
     for i, s in enumerate(specs):
         e = F.col(f"_tm_e{i}")
         if isinstance(s, Sum):
@@ -130,10 +139,10 @@ def ordered_scan(
         elif isinstance(s, Last):
             carry_cols[f"_tm_c{i}"] = F.last(e, ignorenulls=True).over(prior)
         else:
-            carry_cols[f"_tm_c{i}"] = F.lag(e).over(wg)
+            carry_cols[f"_tm_c{i}"] = (F.lead if isinstance(s, Lead) else F.lag)(e).over(wg)
     carry = (
         edge_tot.withColumns(carry_cols)
-        .where("_tm_has_prev")
+        .where("_tm_more")
         .select(BLK, F.col(GKEY).alias("_tm_cg"), *[f"_tm_c{i}" for i in range(len(specs))])
     )
 
@@ -141,6 +150,8 @@ def ordered_scan(
     w = Window.partitionBy(BLK, *group_cols).orderBy(*order_cols)
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     inblock = {"_tm_first": F.lag(F.lit(1)).over(w).isNull()}
+    if any(isinstance(s, Lead) for s in specs):
+        inblock["_tm_last"] = F.lead(F.lit(1)).over(w).isNull()
     for i, s in enumerate(specs):
         v = F.col(f"_tm_v{i}")
         if isinstance(s, Sum):
@@ -148,7 +159,7 @@ def ordered_scan(
         elif isinstance(s, Last):
             inblock[f"_tm_w{i}"] = F.last(v, ignorenulls=True).over(upto)
         else:
-            inblock[f"_tm_w{i}"] = F.lag(v).over(w)
+            inblock[f"_tm_w{i}"] = (F.lead if isinstance(s, Lead) else F.lag)(v).over(w)
     # the block number is the partition number: blocks never share a task, and the window
     # needs no further exchange
     windowed = ranged.repartitionById(n, F.col(BLK)).withColumns(inblock)
@@ -166,6 +177,7 @@ def ordered_scan(
         elif isinstance(s, Last):
             outs[s.out] = F.coalesce(wv, cv)
         else:
-            outs[s.out] = F.when(F.col("_tm_first"), cv.getField("v")).otherwise(wv)
+            edge = F.col("_tm_last" if isinstance(s, Lead) else "_tm_first")
+            outs[s.out] = F.when(edge, cv.getField("v")).otherwise(wv)
     keep = [windowed[c] for c in df.columns] + ([windowed[BLK]] if keep_block else [])
     return joined.select(*keep, *[e.alias(k) for k, e in outs.items()])

@@ -137,15 +137,19 @@ class TableStore:
         A batch that names its tables is filtered by the spec's source, schema and table;
         one that does not can feed a single typed table only.
         """
-        wanted = {"source": spec.source, "schema_name": spec.source_schema, "table_name": spec.source_table or spec.name}
         if "table_name" not in batch.columns:
             if sum(not self._is_envelope(n) for n in self.tables) > 1:
                 raise ValueError("several typed tables, but the changes carry no table_name to route by")
             return batch
-        out = batch
+        return batch.where(self._feeds(batch, spec))
+
+    def _feeds(self, batch: DataFrame, spec: TableSpec) -> Column:
+        """Whether a row of a typed batch belongs to the target."""
+        wanted = {"source": spec.source, "schema_name": spec.source_schema, "table_name": spec.source_table or spec.name}
+        out = F.lit(True)
         for col, value in wanted.items():
             if value is not None and col in batch.columns:
-                out = out.where(F.col(col) == value)
+                out = out & (F.col(col) == value)
         return out
 
     def _targets(self) -> DataFrame:
@@ -237,10 +241,15 @@ class TableStore:
             routed.unpersist()
 
     def _write_typed(self, batch: DataFrame, folder: str, seen: dict[str, int]) -> None:
-        for name, spec in self.tables.items():
-            if self._is_envelope(name):
-                continue
+        names = [n for n in self.tables if not self._is_envelope(n)]
+        told = "table_name" in batch.columns
+        tracked = F.lit(not told)
+        rejects = None
+        for name in names:
+            spec = self.tables[name]
             mine = self._table_changes(batch, spec)
+            if told:
+                tracked = tracked | F.coalesce(self._feeds(batch, spec), F.lit(False))
             reason = reject_reason(mine, spec.pk)
             n = Observation()
             counted = mine.observe(
@@ -252,16 +261,40 @@ class TableStore:
             d.write.parquet(self._delta(folder, name))
             seen["rejected"] += n.get["bad"]
             seen["rows"] += n.get["rows"]
+            if n.get["bad"]:
+                bad = self._reject_rows(mine, spec, reason)
+                rejects = bad if rejects is None else rejects.unionByName(bad)
+        if told:
+            seen["untracked"] += batch.where(~tracked).count()
+        if rejects is not None:
+            rejects.write.mode("append").parquet(f"{self.root}/rejects/{folder}")
+
+    def _reject_rows(self, mine: DataFrame, spec: TableSpec, reason: Column) -> DataFrame:
+        """Typed changes that cannot be applied, in the form of envelope rejects."""
+        named = {"schema_name": spec.source_schema, "table_name": spec.source_table or spec.name, "source": spec.source}
+        meta = {
+            c: F.col(c) if c in mine.columns else F.lit(named.get(c)).cast("string") for c in REJECT_COLS[: -1 - 2]
+        }
+        row = [c for c in mine.columns if c not in meta]
+        as_json = lambda cols: F.to_json(F.struct(*cols), {"ignoreNullFields": "false"})
+        bad = mine.where(reason.isin(*DATA_ERRORS))
+        return bad.select(
+            *[e.alias(c) for c, e in meta.items()],
+            as_json(spec.pk).alias("pk_json"),
+            as_json(row).alias("row_json"),
+            reason.alias("reject_reason"),
+        )
 
-    def apply_batch(self, batch: DataFrame, epoch: int, query: str | None = None) -> None:
+    def apply_batch(self, batch: DataFrame, epoch: int, query: str | None = None) -> dict[str, int] | None:
         """``foreachBatch`` body: write every table's delta, then the acknowledgement.
 
         ``query`` names the delivering query; by default the streaming query's own id
-        (epochs are numbered per query and checkpoint).
+        (epochs are numbered per query and checkpoint). Returns the batch's counts
+        (changes, rows, rejected, untracked), or None if it was published before.
         """
         query = query or self.spark.sparkContext.getLocalProperty("sql.streaming.queryId") or ADHOC
         if self._applied(query, epoch):
-            return
+            return None
         folder = self._folder(query, int(epoch), uuid.uuid4().hex[:12])
         started = time.monotonic()
         seen = {"changes": 0, "rows": 0, "rejected": 0, "untracked": 0}
@@ -272,15 +305,19 @@ class TableStore:
                 self._write_envelope(batch, folder, seen)
             else:
                 self._write_typed(batch, folder, seen)
-            for fk in self.foreign_keys:
-                if self._orphans(fk, folder).limit(1).count() > 0:
-                    raise ForeignKeyViolation(f"epoch {epoch}: orphans in {fk.child}")
+            if (child := self._orphaned(folder)) is not None:
+                raise ForeignKeyViolation(f"epoch {epoch}: orphans in {child}")
         except Exception as e:
             self._acknowledge(query, epoch, folder, seen, started, error_status(str(e)), f"{type(e).__name__}: {e}"[:2000])
             raise
         finally:
             batch.unpersist()
         self._acknowledge(query, epoch, folder, seen, started, ACK_OK, None)
+        return seen
+
+    def _orphaned(self, folder: str) -> str | None:
+        """The first child table that the batch in ``folder`` would leave with orphans."""
+        return next((fk.child for fk in self.foreign_keys if self._orphans(fk, folder).limit(1).count() > 0), None)
 
     def _acknowledge(self, query, epoch, folder, seen, started, status, error) -> None:
         ms = int((time.monotonic() - started) * 1000)
