@@ -3,6 +3,9 @@
 import collections
 import hashlib
 import random
+
+import duckdb
+import numpy as np
 import re
 
 import pytest
@@ -221,16 +224,16 @@ def brute_pages(pages):
     def walk(edges, seeds):
         total = sum(seeds.values())
         base = {h: (1 - links.DAMPING) * n / total for h, n in seeds.items()} if total else {}
+        hosts = sorted({*base, *(h for e in edges for h in e)})
+        at = {h: k for k, h in enumerate(hosts)}
         out = collections.Counter()
         for (s, _), n in edges.items():
             out[s] += n
-        rank = dict(base)
-        for _ in range(links.ROUNDS):
-            new = collections.Counter(base)
-            for (s, d), n in edges.items():
-                new[d] += links.DAMPING * rank.get(s, 0) * n / out[s]
-            rank = new
-        return rank
+        m = np.eye(len(hosts))
+        for (s, d), n in edges.items():
+            m[at[d], at[s]] -= links.DAMPING * n / out[s]
+        solved = np.linalg.solve(m, [base.get(h, 0) for h in hosts]) if hosts else []
+        return {h: x if x > 1e-15 else 0 for h, x in zip(hosts, solved)}
 
     count = lambda says: collections.Counter(h for h, _, b, _ in seen if b and b[2] == says and h)
     good = walk(edges, count("allow"))
@@ -267,6 +270,29 @@ def test_url_filter(spark):
     assert links.filter_urls(df.limit(0)).count() == 0
 
 
+def test_walks_reach_the_ends_of_long_chains(spark):
+    """No limit on rounds: chains of 20 hosts from an allowed and to a blocked one, and a cycle."""
+    page = lambda host, to, path="/": (f"http://{host}{path}", "".join(f"<a href='//{t}/'>" for t in to))
+    rows = [page("shop.com", ["g0.net"], "/fr/"), page("spam.com", [], "/de/")]
+    rows += [page(f"g{k}.net", [f"g{k + 1}.net"]) for k in range(19)] + [page("g19.net", ["ring0.net"])]
+    rows += [page(f"b{k}.net", [f"b{k - 1}.net" if k else "spam.com"]) for k in range(20)]
+    rows += [page(f"ring{k}.net", [f"ring{(k + 1) % 3}.net"]) for k in range(3)]
+    pages = [(k, *r) for k, r in enumerate(rows)]
+    out = links.filter_urls(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
+    assert sum(r.host.startswith("g") and r.trust > 0 for r in out) == 20
+    assert sum(r.host.startswith("b") and r.verdict == "block" for r in out) == 20
+    got = [(r.page_id, r.host, r.path, r.rule, r.verdict) for r in out]
+    assert sorted(got) == sorted(brute_pages(pages))
+    con = duckdb.connect()
+    import pandas as pd
+
+    con.register("pages", pd.DataFrame(pages, columns=["page_id", "url", "html"]))
+    want = {r[0]: r for r in con.execute(f"SELECT page_id, verdict, trust, distrust FROM ({links.SQL})").fetchall()}
+    for r in out:
+        assert r.verdict == want[r.page_id][1]
+        assert abs(r.trust - want[r.page_id][2]) <= 1e-5 * r.trust and abs(r.distrust - want[r.page_id][3]) <= 1e-5 * r.distrust
+
+
 def test_secrets_after_an_equals_sign_and_in_paths(spark):
     rng = random.Random(14)
     base62 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"

@@ -10,9 +10,11 @@ edges from the hosts of pages that rules block, so a host that links to bad host
 collects distrust. A host is blocked when its distrust is above ``RATIO`` times its
 trust; a host that neither walk reaches is allowed.
 
-Every round is two joins of the edge list with the host table and one sum per host,
-pre-aggregated before its shuffle, written as a checkpoint; pages are read once for the
-edges and once for the result.
+A walk goes on until it reaches no new host and adds at most ``TOLERANCE`` of its rank to
+any host; there is no limit on the number of rounds. A round passes on only what the
+round before has added: one join of that with the edge list and one sum per host,
+pre-aggregated before its shuffle, written as a checkpoint, and the test of the stop rule
+reads what was written. Pages are read once for the edges and once for the result.
 
 Edge cases: a null url, or one without ``://``, has empty host and path, fits no rule and
 is allowed; null or empty markup links to nothing; repeated rows are judged alike and
@@ -36,7 +38,7 @@ RULES = [
     ("com", "/de/", "block"),
 ]
 DAMPING = 0.85
-ROUNDS = 12
+TOLERANCE = 1e-6  # of every host's rank
 RATIO = 2.0
 LINK = r"""(?i)(?:href|src|action)\s*=\s*["']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#\s"'<>]+)"""
 
@@ -70,35 +72,31 @@ def host_edges(pages: DataFrame) -> DataFrame:
     )
 
 
-def walk(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping: float = DAMPING) -> DataFrame:
+def walk(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE) -> DataFrame:
     """(host, rank): personalised PageRank over ``edges`` (src, dst, pages) from ``seeds`` (host, mass).
 
-    Stops early only when a round changes nothing. Mass that reaches a host without
-    links is not passed on.
+    The rank is the sum over all path lengths of the mass that arrives by paths of that
+    length; each round adds the next length. What arrives shrinks by ``damping`` a round, and a
+    host without rank before counts as wholly new, so the walk ends, after the longest path
+    to a new host at the earliest. Mass that reaches a host without links is not passed on.
     """
     out = edges.groupBy("src").agg(F.sum("pages").alias("_all"))
     steps = materialise(edges.join(out, "src").select("src", "dst", (F.col("pages") / F.col("_all")).alias("share")), "link-steps")
-    base = seeds.select("host", (F.lit(1 - damping) * F.col("mass")).alias("rank"))
-    rank = base.checkpoint()
-    for _ in range(rounds):
-        moved = (
-            rank.join(steps, rank["host"] == steps["src"])
-            .groupBy(F.col("dst").alias("host"))
-            .agg((F.lit(damping) * F.sum(F.col("rank") * F.col("share"))).alias("in"))
+    rank = seeds.select("host", (F.lit(1 - damping) * F.col("mass")).alias("rank"), (F.lit(1 - damping) * F.col("mass")).alias("new")).checkpoint()
+    while True:
+        added = rank.where("new > 0").select(F.col("host").alias("src"), F.col("new").alias("_from"))
+        came = (
+            added.join(steps, "src")
+            .groupBy(F.col("dst").alias("_host"))
+            .agg((F.lit(damping) * F.sum(F.col("_from") * F.col("share"))).alias("_came"))
         )
-        new = (
-            base.withColumnRenamed("rank", "base")
-            .join(moved, "host", "full")
-            .select("host", (F.coalesce("base", F.lit(0.0)) + F.coalesce("in", F.lit(0.0))).alias("rank"))
-            .checkpoint()
-        )
-        change = new.join(rank.withColumnRenamed("rank", "old"), "host", "full").agg(
-            F.max(F.abs(F.coalesce("rank", F.lit(0.0)) - F.coalesce("old", F.lit(0.0)))).alias("d")
-        )
-        rank, moved_by = new, change.first()["d"]
-        if not moved_by:
-            break
-    return rank
+        both = rank.join(came, rank["host"] == came["_host"], "full")
+        new = F.coalesce("_came", F.lit(0.0))
+        rank = both.select(
+            F.coalesce("host", "_host").alias("host"), (F.coalesce("rank", F.lit(0.0)) + new).alias("rank"), new.alias("new")
+        ).checkpoint()
+        if not rank.where(F.col("new") > F.lit(tolerance) * F.col("rank")).limit(1).count():
+            return rank.select("host", "rank")
 
 
 def host_ranks(pages: DataFrame, edges: DataFrame) -> DataFrame:
@@ -145,18 +143,14 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _walk_sql(name: str, edges: str, column: str) -> str:
-    """CTEs name_0 .. name_ROUNDS of the walk, unrolled."""
-    out = [
-        f"{name}_s AS (SELECT host, {column} / greatest(1, sum({column}) OVER ())::DOUBLE AS mass FROM seeds WHERE {column} > 0)",
-        f"{name}_e AS (SELECT src, dst, pages / (sum(pages) OVER (PARTITION BY src))::DOUBLE AS share FROM {edges})",
-        f"{name}_0 AS (SELECT host, {1 - DAMPING!r} * mass AS rank FROM {name}_s)",
-    ]
-    for i in range(1, ROUNDS + 1):
-        out.append(
-            f"{name}_{i} AS (SELECT host, sum(r) AS rank FROM (SELECT host, {1 - DAMPING!r} * mass AS r FROM {name}_s UNION ALL "
-            f"SELECT dst, {DAMPING!r} * sum(rank * share) FROM {name}_{i - 1} JOIN {name}_e ON host = src GROUP BY dst) GROUP BY host)"
-        )
-    return ",\n".join(out)
+    """The walk as a recursion over path lengths, until what arrives is too small to add to a sum."""
+    return (
+        f"{name}_s AS (SELECT host, {column} / greatest(1, sum({column}) OVER ())::DOUBLE AS mass FROM seeds WHERE {column} > 0),\n"
+        f"{name}_e AS (SELECT src, dst, pages / (sum(pages) OVER (PARTITION BY src))::DOUBLE AS share FROM {edges}),\n"
+        f"{name}_r AS (SELECT host, {1 - DAMPING!r} * mass AS came FROM {name}_s UNION ALL "
+        f"SELECT dst, {DAMPING!r} * sum(came * share) FROM {name}_r JOIN {name}_e ON host = src GROUP BY dst HAVING sum(came * share) > 1e-18),\n"
+        f"{name} AS (SELECT host, sum(came) AS rank FROM {name}_r GROUP BY host)"
+    )
 
 
 def _sql() -> str:
@@ -167,7 +161,7 @@ def _sql() -> str:
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
     link = LINK.replace("(?i)", "", 1).replace("'", "''")
     return rf"""
-WITH cut AS (
+WITH RECURSIVE cut AS (
   SELECT page_id, html, CASE WHEN position('://' IN coalesce(url, '')) > 0
     THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest FROM pages),
 named AS (
@@ -187,7 +181,7 @@ seeds AS (
 SELECT page_id, ruled.host, path, rule,
   coalesce(rule_verdict, CASE WHEN coalesce(b.rank, 0) > {RATIO} * coalesce(g.rank, 0) THEN 'block' ELSE 'allow' END) AS verdict,
   coalesce(g.rank, 0) AS trust, coalesce(b.rank, 0) AS distrust
-FROM ruled LEFT JOIN good_{ROUNDS} g ON ruled.host = g.host LEFT JOIN bad_{ROUNDS} b ON ruled.host = b.host"""
+FROM ruled LEFT JOIN good g ON ruled.host = g.host LEFT JOIN bad b ON ruled.host = b.host"""
 
 
 SQL = _sql()
