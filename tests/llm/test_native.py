@@ -270,6 +270,14 @@ def test_url_filter(spark):
     assert links.filter_urls(df.limit(0)).count() == 0
 
 
+def test_mix_and_emit_with_a_map_column(spark):
+    rows = [(k % 7, f"w {k // 2} x", "en", "s" if k % 3 else None, 0) for k in range(30)]
+    d = docs(spark, rows).withColumn("tags", F.create_map(F.lit("k"), F.col("doc_id")))
+    taken = mixing.mix(d).agg(F.sum("copies")).first()[0]
+    out = mixing.emit(d)
+    assert out.count() == taken and out.columns == [*d.columns, "copy"]
+
+
 def test_walks_reach_the_ends_of_long_chains(spark):
     """No limit on rounds: chains of 20 hosts from an allowed and to a blocked one, and a cycle."""
     page = lambda host, to, path="/": (f"http://{host}{path}", "".join(f"<a href='//{t}/'>" for t in to))

@@ -1,5 +1,6 @@
 """Near duplicates against a brute-force comparison of all pairs."""
 
+import pyarrow as pa
 import pytest
 
 from tests.llm.fixtures import corpus, docs, edited, prose, with_clashes
@@ -115,3 +116,26 @@ def test_stage_links_from_eighty_hundredths_on(spark):
     kept = {r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, d, "").collect()}
     assert kept == set(range(0, 24, 2))
     assert neardup.chunks_for(neardup.NEAR) == neardup.CHUNKS and neardup.miss(80, neardup.chunks_for(80)) < 1.5e-4
+
+
+def test_texts_that_share_an_id_are_told_apart(spark):
+    a, b = prose(31, 60), prose(32, 60)
+    rows = [(1, a, "en", "s", 0), (5, a, "en", "s", 0), (5, b, "en", "s", 0), (5, b, "en", "s", 0)]
+    out = neardup.one_of_each(docs(spark, rows)).collect()
+    assert sorted((r.doc_id, r.text) for r in out) == sorted([(1, a), (5, b)])
+
+
+def test_classes_of_one_name_are_drawn_anew(spark, monkeypatch):
+    """Names that collide in the first draw never join different sets."""
+    real = neardup.set_names
+
+    def short(sets, draw):
+        names, rest = real(sets, draw)
+        if draw == 0:
+            names = pa.array([None if x is None else 7 for x in names.to_pylist()], pa.int64())
+        return names, rest
+
+    monkeypatch.setattr(neardup, "set_names", short)
+    rows = [(k, prose(40 + k // 2, 50), "en", "s", 0) for k in range(6)]
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(docs(spark, rows)).collect()}
+    assert got == {k: k - k % 2 for k in range(6)}

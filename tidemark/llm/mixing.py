@@ -11,12 +11,12 @@ closely, whatever the offset.
 Edge cases: null text has size 0; a null source is a source of its own, ranked last; a
 source without words has target 0 and is never taken; a null doc_id sorts first;
 repeated rows are separate documents; an empty table gives an empty result. Other columns
-are not read.
+(of any type, maps too) are not read, but for ``emit``, which hands them on.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import materialise, table, word_list
@@ -28,13 +28,13 @@ SEED = "mix-1"
 
 
 def sized(docs: DataFrame) -> DataFrame:
-    """doc_id, source, size (words of the text), key (hash of the whole row)."""
-    return docs.select(
-        "doc_id",
-        "source",
-        F.size(word_list(F.col("text"))).cast("long").alias("size"),
-        F.xxhash64(*[docs[c] for c in docs.columns]).alias("key"),
-    )
+    """doc_id, source, size (words of the text)."""
+    return docs.select("doc_id", "source", F.size(word_list(F.col("text"))).cast("long").alias("size"))
+
+
+def row_digest(docs: DataFrame) -> Column:
+    """128 bits that stand for a whole row, columns of any type."""
+    return F.md5(F.to_json(F.struct(*[docs[c] for c in docs.columns])).cast("binary"))
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
@@ -84,8 +84,13 @@ def offset(source) -> F.Column:
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
-    """doc_id, source, size, key, source_size, target, copies, taken: one row per document."""
-    sizes = materialise(sized(docs), "mix-sizes")
+    """doc_id, source, size, source_size, target, copies, taken: one row per document."""
+    return mixed(sized(docs), weights, cap)
+
+
+def mixed(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
+    """The mix of rows of which only doc_id, source and size are known; other columns stay."""
+    sizes = materialise(sizes, "mix-sizes")
     targets = source_targets(sizes, weights, cap)
     # a hot source spans many blocks of the scan: no task holds a whole source
     placed = ordered_scan(sizes, ["source"], ["size", "doc_id"], [Sum(F.lit(1).cast("long"), "nth")])
@@ -99,24 +104,25 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) ->
     joined = placed.join(t, placed["source"].eqNullSafe(t["_src"]))
     upto = lambda k: F.floor(F.col("_r") * k + F.col("_u"))
     out = joined.withColumn("copies", (upto(F.col("nth")) - upto(F.col("nth") - 1)).cast("long"))
-    return out.select(
-        "doc_id", "source", "size", "key", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken")
-    )
+    taken = (F.col("copies") * F.col("size")).alias("taken")
+    return out.select(*sizes.columns, "source_size", "target", "copies", taken)
 
 
 def emit(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
     """The mix itself: each document as many times as it is taken.
 
     Rows keep their own columns and get ``copy``, numbered from 1 (named ``copy_`` if the
-    documents have a ``copy``). Rows are found again by a hash of all their columns, so
-    only equal rows can share one; those are written as one row with their copies together.
+    documents have a ``copy``). Rows are found again by doc_id and a 128-bit digest of all their
+    columns: equal rows share one and are written as one row with their copies together.
     """
-    taken = mix(docs, weights, cap).where("copies > 0")
-    per_row = taken.groupBy(F.col("key").alias("_key")).agg(F.sum("copies").alias("_copies"))
+    size = F.size(word_list(F.col("text"))).cast("long").alias("size")
+    sizes = docs.select("doc_id", "source", size, row_digest(docs).alias("_digest"))
+    taken = mixed(sizes, weights, cap).where("copies > 0")
+    per_row = taken.groupBy(F.col("doc_id").alias("_id"), F.col("_digest").alias("_key")).agg(F.sum("copies").alias("_copies"))
     rows = docs.select(
-        F.struct(*[docs[c] for c in docs.columns]).alias("doc"), F.xxhash64(*[docs[c] for c in docs.columns]).alias("key")
+        F.struct(*[docs[c] for c in docs.columns]).alias("doc"), docs["doc_id"].alias("id"), row_digest(docs).alias("key")
     )
-    found = rows.join(per_row, F.col("key") == F.col("_key")).dropDuplicates(["key"])
+    found = rows.join(per_row, (F.col("key") == F.col("_key")) & F.col("id").eqNullSafe(F.col("_id"))).dropDuplicates(["id", "key"])
     number = "copy_" if "copy" in docs.columns else "copy"
     return found.select(
         *[F.col("doc").getField(c).alias(c) for c in docs.columns],

@@ -4,8 +4,9 @@ A document's set is the distinct five-word shingles of its lower-cased (A-Z) tex
 64-bit hashes. Its signature is ``SYMBOLS`` min-hashes of ``BITS`` bits; the distance of
 two signatures is the number of symbols that differ.
 
-1. Equal sets become one class (grouped by a 128-bit fingerprint), so copies cost one row
-   each however many there are.
+1. Equal sets become one class, so copies cost one row each however many there are. Sets
+   are equal when a 128-bit fingerprint and the number of shingles are. Classes are named by
+   64 bits of it; should two classes ever get one name, all names are drawn anew.
 2. Signatures are split into ``CHUNKS`` chunks. By the pigeonhole principle two
    signatures within ``RADIUS`` differ in at most ``RADIUS // CHUNKS`` = 1 symbol of some
    chunk, so each signature is put under every chunk with each one symbol left out: all
@@ -37,7 +38,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import bounded_batches, materialise, mix64, shingles, table, text_bytes, WordHash
@@ -79,6 +80,13 @@ def shingle_set(text: bytes, words: WordHash) -> np.ndarray:
     return np.unique(shingles(words.array(text.lower().split()), SHINGLE))
 
 
+def set_names(sets: list[np.ndarray], draw: int) -> tuple[pa.Array, pa.Array]:
+    """Of each set its 64-bit name and the other 64 bits of its fingerprint; null if empty."""
+    whole = [xxhash.xxh3_128_intdigest(s.astype("<u8").tobytes(), draw) if len(s) else None for s in sets]
+    low = [None if h is None else (h & (1 << 64) - 1) - (1 << 63) for h in whole]
+    return pa.array(low, pa.int64()), pa.array([None if h is None else (h >> 64) - (1 << 63) for h in whole], pa.int64())
+
+
 def signature(s: np.ndarray, chunks: int = CHUNKS) -> np.ndarray:
     """``WIDTH`` min-hashes a chunk of a non-empty set, cut to 16 bits each."""
     symbols = chunks * WIDTH
@@ -91,29 +99,46 @@ def signature(s: np.ndarray, chunks: int = CHUNKS) -> np.ndarray:
     return (mix64(least) >> np.uint64(48)).astype("<u2")
 
 
-def sketch(docs: DataFrame, chunks: int = CHUNKS) -> DataFrame:
-    """doc_id, n_shingles, cid (class of equal sets; null without words), sig."""
+def sketch(docs: DataFrame, chunks: int = CHUNKS, draw: int = 0) -> DataFrame:
+    """doc_id, same (digest of the text), n_shingles, cid (name of the class of equal sets; null
+    without words), rest (the other half of the set's fingerprint), sig."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHash()
         for b in batches:
-            n, cid, sig = [], [], []
-            for t in b.column("_text"):
-                s = shingle_set(t.as_py(), words)
-                n.append(len(s))
-                cid.append(xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63) if len(s) else None)
-                sig.append(signature(s, chunks).tobytes() if len(s) else None)
+            sets = [shingle_set(t.as_py(), words) for t in b.column("_text")]
+            sig = [signature(s, chunks).tobytes() if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(n, pa.int64()), pa.array(cid, pa.int64()), pa.array(sig, pa.binary())],
-                names=["doc_id", "n_shingles", "cid", "sig"],
+                [b.column("doc_id"), b.column("same"), pa.array([len(s) for s in sets], pa.int64()), *set_names(sets, draw), pa.array(sig, pa.binary())],
+                names=["doc_id", "same", "n_shingles", "cid", "rest", "sig"],
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", text_bytes().alias("_text")).mapInArrow(
-        run, f"doc_id {kind}, n_shingles long, cid long, sig binary"
+    return docs.select("doc_id", text_digest(docs["text"]).alias("same"), text_bytes().alias("_text")).mapInArrow(
+        run, f"doc_id {kind}, same binary, n_shingles long, cid long, rest long, sig binary"
     )
 
 
+def text_digest(text: Column) -> Column:
+    """128 bits that stand for a text; null for null."""
+    return F.unhex(F.md5(text.cast("binary")))
+
+
+def equal_sets(docs: DataFrame, chunks: int) -> tuple[DataFrame, DataFrame, int]:
+    """The documents' sketches, one row per class of equal sets, and the draw that names them."""
+    for draw in range(8):
+        drawn = materialise(sketch(docs.select("doc_id", "text"), chunks, draw), "near-sketch")
+        classes = materialise(
+            drawn.where("cid is not null")
+            .groupBy("cid", "rest", "n_shingles")
+            .agg(F.min("doc_id").alias("doc_id"), F.first("sig").alias("sig")),
+            "near-classes",
+        )
+        if not classes.groupBy("cid").count().where("count > 1").limit(1).count():
+            return drawn, classes, draw
+    raise RuntimeError("eight draws of 64-bit names all had two classes of one name")
+
+
 def sig_matrix(column: pa.Array, chunks: int = CHUNKS) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), "<u2").reshape(-1, chunks * WIDTH)
 
@@ -265,7 +290,7 @@ def as_sets(raw: list[bytes]) -> list[np.ndarray]:
     return [np.frombuffer(r, "<u8") for r in raw]
 
 
-def true_links(docs: DataFrame, classes: DataFrame, clusters: DataFrame, near: int = NEAR) -> DataFrame:
+def true_links(docs: DataFrame, classes: DataFrame, clusters: DataFrame, near: int = NEAR, draw: int = 0) -> DataFrame:
     """Edges (a, b) that connect every two classes of a cluster whose full sets are near."""
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -273,10 +298,7 @@ def true_links(docs: DataFrame, classes: DataFrame, clusters: DataFrame, near: i
         for b in batches:
             sets = [shingle_set(t.as_py(), words).astype("<u8") for t in b.column("_text")]
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63) if len(s) else None for s in sets], pa.int64()),
-                    pa.array([s.tobytes() for s in sets], pa.binary()),
-                ],
+                [set_names(sets, draw)[0], pa.array([s.tobytes() for s in sets], pa.binary())],
                 names=["cid", "hashes"],
             )
 
@@ -370,19 +392,13 @@ def true_links(docs: DataFrame, classes: DataFrame, clusters: DataFrame, near: i
     return small_links.union(star).union(rest)
 
 
-def near_duplicates(docs: DataFrame, near: int = NEAR) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept: one row per document; links from similarity near / OF on."""
+def components_of(docs: DataFrame, near: int) -> DataFrame:
+    """doc_id, same, n_shingles, component_id, kept: one row per document."""
     chunks = chunks_for(near)
     bounded_batches(docs.sparkSession)
-    drawn = materialise(sketch(docs.select("doc_id", "text"), chunks), "near-sketch")
-    classes = materialise(
-        drawn.where("cid is not null")
-        .groupBy("cid")
-        .agg(F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n_shingles"), F.first("sig").alias("sig")),
-        "near-classes",
-    )
+    drawn, classes, draw = equal_sets(docs, chunks)
     clusters = components(near_pairs(classes, chunks))
-    roots = components(true_links(docs, classes, clusters, near))
+    roots = components(true_links(docs, classes, clusters, near, draw))
     of = classes.select("cid", "doc_id").join(roots, classes["cid"] == roots["id"], "left").select(
         "cid", "doc_id", F.coalesce("root", "cid").alias("root")
     )
@@ -390,18 +406,27 @@ def near_duplicates(docs: DataFrame, near: int = NEAR) -> DataFrame:
     by_class = of.join(least, "root").select(F.col("cid").alias("_cid"), "component_id")
     out = drawn.join(by_class, drawn["cid"] == F.col("_cid"), "left")
     component = F.when(F.col("cid").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
+    return out.select("doc_id", "same", "n_shingles", component.alias("component_id")).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
     )
 
 
+def near_duplicates(docs: DataFrame, near: int = NEAR) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept: one row per document; links from similarity near / OF on."""
+    return components_of(docs, near).drop("same")
+
+
 def one_of_each(docs: DataFrame, near: int = NEAR) -> DataFrame:
-    """``docs`` without near duplicates: the least doc_id of each component, repeated rows once."""
-    kept = near_duplicates(docs, near).where("kept").select(F.col("doc_id").alias("_id")).distinct()
+    """``docs`` without near duplicates: the least doc_id of each component, repeated rows once.
+
+    Texts that share a doc_id are told apart: each stays or goes with its own component.
+    """
+    kept = components_of(docs, near).where("kept").select(F.col("doc_id").alias("_id"), F.col("same").alias("_same")).distinct()
     rows = docs.select(
-        F.struct(*[docs[c] for c in docs.columns]).alias("doc"), docs["doc_id"].alias("id"), F.xxhash64(docs["text"]).alias("same")
+        F.struct(*[docs[c] for c in docs.columns]).alias("doc"), docs["doc_id"].alias("id"), text_digest(docs["text"]).alias("same")
     )
-    one = rows.join(kept, rows["id"].eqNullSafe(kept["_id"]), "left_semi").dropDuplicates(["id", "same"])
+    both = rows["id"].eqNullSafe(kept["_id"]) & rows["same"].eqNullSafe(kept["_same"])
+    one = rows.join(kept, both, "left_semi").dropDuplicates(["id", "same"])
     return one.select(*[F.col("doc").getField(c).alias(c) for c in docs.columns])
 
 

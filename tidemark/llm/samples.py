@@ -52,7 +52,10 @@ def gather(
     broadcast; texts become features inside the tasks and only those travel.
     """
     extra = [c for c in chosen.columns if c != "doc_id"]
-    few = docs.select("doc_id", text_bytes().alias("_text")).join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
+    found = docs.select("doc_id", text_bytes().alias("_text")).join(F.broadcast(chosen), "doc_id")
+    # of several texts with one id always the same one, whatever the order of rows
+    order = F.struct(F.xxhash64("_text"), F.md5("_text"))
+    few = found.groupBy("doc_id", *extra).agg(F.min_by("_text", order).alias("_text")).select("doc_id", "_text", *extra)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
