@@ -330,3 +330,27 @@ def test_secrets_after_an_equals_sign_and_in_paths(spark):
         hits[r.doc_id % 5] += any(a < stop and start < b for a, b in spans)
         whole += any(a <= start and stop <= b for a, b in spans)
     assert min(hits[i] for i in range(5)) >= 24 and whole >= 125, (hits, whole)
+
+
+def test_single_tokens_are_found(spark):
+    """Tables with one random token each: too few for a cut, so each stands for itself."""
+    rng = random.Random(21)
+    base62 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    found = 0
+    for _ in range(12):
+        token = "".join(rng.choice(base62) for _ in range(40))
+        (r,) = secrets.find_secrets(docs(spark, [(1, f"a {token} b", "en", "a", 0)])).collect()
+        found += r.n_random
+    assert found >= 10
+    repeated = "abcdefghijklmnopqrst0" * 3
+    (r,) = secrets.find_secrets(docs(spark, [(1, f"a {repeated} b", "en", "a", 0)])).collect()
+    assert r.n_random == 0
+
+
+def test_cuts_pool_neighbouring_classes():
+    none = {f"c{i}": 0 for i in range(len(secrets.CUTS))}
+    few = dict(n=3, upper=0, **{k: 3 for k in none})
+    many = dict(n=1000, upper=480, **{f"c{i}": int(1000 * (1 - c)) for i, c in enumerate(secrets.CUTS)})
+    noise = dict(n=1000, upper=0, **{f"c{i}": int(900 * (0.5 - c)) for i, c in enumerate(secrets.CUTS)})
+    assert secrets.lowest_cut([few, many], 0.05) == secrets.CUTS[0]
+    assert secrets.lowest_cut([noise], 0.05) is None

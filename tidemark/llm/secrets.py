@@ -56,7 +56,10 @@ ENCODINGS = [
 ]
 FDR = 0.05
 CUTS = (0.01, 0.02, 0.05, 0.1, 0.2, 0.3, 0.4, 0.5)
-DOUBLINGS = 24
+#: A text holds less than 2^31 bytes, so less than 2^27 matches of 16 characters and a separator.
+DOUBLINGS = 27
+ENOUGH = 200  # tokens that a cut is drawn from
+ALONE = 0.05  # least p where there are not so many
 
 
 def running(values: Column) -> Column:
@@ -223,24 +226,48 @@ def scan(docs: DataFrame) -> DataFrame:
 
 
 def cuts(scanned: DataFrame, fdr: float = FDR) -> dict[tuple[str, int], float]:
-    """Lowest admissible p per (encoding, length class); at most encodings x 31 entries."""
+    """Lowest admissible p per (encoding, length class); at most encodings x 31 entries.
+
+    The cut of a class is drawn from its own tokens and, until there are ``ENOUGH``, from those
+    of ever more distant length classes, then of all encodings. Where all of them are too few to
+    tell random tokens from others by their numbers, each token stands for itself: ``ALONE``
+    keeps all but that share of random ones.
+    """
     t = scanned.select(F.explode("tested").alias("t")).select("t.r.encoding", "t.size", "t.r.p")
     rows = (
         t.groupBy("encoding", "size")
-        .agg(F.count_if(F.col("p") > 0.5).alias("upper"), *[F.count_if(F.col("p") >= c).alias(f"c{i}") for i, c in enumerate(CUTS)])
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.count_if(F.col("p") > 0.5).alias("upper"),
+            *[F.count_if(F.col("p") >= c).alias(f"c{i}") for i, c in enumerate(CUTS)],
+        )
         .collect()
     )
     out = {}
     for r in rows:
-        random_all = 2.0 * r["upper"]
-        for i, c in enumerate(CUTS):
-            flagged = r[f"c{i}"]
-            if flagged and 1 - min(1.0, random_all * (1 - c) / flagged) <= fdr:
-                out[r["encoding"], r["size"]] = c
-                break
+        pools = [[q for q in rows if q["encoding"] == r["encoding"] and abs(q["size"] - r["size"]) <= d] for d in range(32)]
+        pool = next((x for x in [*pools, rows] if sum(q["n"] for q in x) >= ENOUGH), None)
+        if pool is None:
+            out[r["encoding"], r["size"]] = ALONE
+        elif (c := lowest_cut(pool, fdr)) is not None:
+            out[r["encoding"], r["size"]] = c
     return out
 
 
+def lowest_cut(pool: list, fdr: float) -> float | None:
+    """Least of ``CUTS`` above which at most a share ``fdr`` of a pool's tokens is not random.
+
+    Random tokens have uniform p, others hardly any above a half: twice the tokens there
+    estimate all random ones.
+    """
+    random_all = 2.0 * sum(q["upper"] for q in pool)
+    for i, c in enumerate(CUTS):
+        flagged = sum(q[f"c{i}"] for q in pool)
+        if flagged and 1 - min(1.0, random_all * (1 - c) / flagged) <= fdr:
+            return c
+    return None
+
+
 def text_of(items: Column, names: list[str]) -> Column:
     """``kind:start:end`` joined by commas, from structs in order."""
     named = F.array(*[F.lit(n) for n in names])
