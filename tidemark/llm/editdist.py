@@ -9,15 +9,17 @@ TOP = np.uint64(63)
 PAIRS, CELLS = 4096, 1 << 21  # pairs, and padded bytes, worked at once
 
 
-def padded(rows: list[bytes], width: int, fill: int) -> np.ndarray:
-    out = np.full((len(rows), width), fill, dtype=np.int16)
+def padded(rows: list, width: int, fill: int) -> np.ndarray:
+    """Bytes, or arrays of ids from 0, one row each."""
+    out = np.full((len(rows), width), fill, dtype=np.int32)
     for i, r in enumerate(rows):
-        out[i, : len(r)] = np.frombuffer(r, np.uint8)
+        out[i, : len(r)] = np.frombuffer(r, np.uint8) if isinstance(r, bytes) else r
     return out
 
 
-def within(a: list[bytes], b: list[bytes], limit: int) -> np.ndarray:
-    """For each pair: is the Levenshtein distance of the bytes at most ``limit`` (up to 31)?
+def within(a: list, b: list, limit: int) -> np.ndarray:
+    """For each pair: is the Levenshtein distance at most ``limit`` (up to 31)? Pairs of bytes, or
+    of arrays of word ids (equal words, equal ids).
 
     Hyyro's bit-vector recurrence on a band of rows about the diagonal: bit 63 of a word
     is row ``column + limit``. The score is followed down the band's lowest diagonal,
@@ -49,7 +51,7 @@ def _band(rows: list[bytes], cols: list[bytes], n: np.ndarray, m: np.ndarray, li
     """Distance <= limit of patterns ``rows`` (lengths n > limit) and texts ``cols`` (lengths m <= n)."""
     k = len(rows)
     width = int(n.max()) + 2 * limit + 1
-    pattern = np.full((k, limit + width), -1, dtype=np.int16)
+    pattern = np.full((k, limit + width), -1, dtype=np.int32)
     pattern[:, limit : limit + int(n.max())] = padded(rows, int(n.max()), -1)
     text = padded(cols, max(1, int(m.max())), -2)
     pattern, text = np.ascontiguousarray(pattern.T), np.ascontiguousarray(text.T)

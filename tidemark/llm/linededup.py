@@ -14,16 +14,21 @@ of them has fewer than ``2 * SHARE`` words, at most ``FEW`` UTF-8 bytes (Levensh
    keeps one of them unchanged, at a position fixed to a few by the lengths. Each line
    therefore files its own segments under (l, segment number, content) and probes those
    of the lengths l - EDITS .. l at the admissible positions only. All of a batch's keys
-   come from one running polynomial hash. Word edits: a line of w words has w // SHARE
-   of them at most, so the longer of two near lines shares a run of 5 words or more with
-   the other (8 or more from 40 words on), and both file the least hash of five words in
-   every window that fills such a run (winnowing): near lines always share a key.
+   come from one running polynomial hash. Word edits are joined in the same way over word
+   hashes, with one segment more than the longer line's edits (``word_segments``), while
+   these are ``LADDER`` at most: the positions to probe grow with the cube of the edits. Of
+   lines with more words, the longer of two near ones shares a run of 8 words or more with
+   the other, and both file the least hash of five words in every window that fills such a
+   run (content-defined segments, ``word_keys``). Near lines always share a key.
 3. One aggregation finds the keys that hold two different lines. Keys with two lines are
-   pairs; longer ones are cut into blocks, compared by block pairs inside tasks, and
-   give connecting stars only. Every pair is verified on the whole lines, by the banded
-   bit-parallel edit distance or, with ``share``, by furthest-reaching diagonals. Keys with the
-   same lines are worked once.
-4. Components of the verified links choose the line that stays.
+   pairs; longer ones are compared inside tasks, in blocks if they are hot: blocks hold lines of
+   one length class and some ``BLOCK_BYTES``, and only blocks of neighbouring classes meet.
+   Every pair is verified on the whole lines by the banded bit-parallel edit distance, of
+   bytes or of word ids (beyond 31 edits, and for a handful of pairs, by furthest-reaching
+   diagonals, which give the same answer).
+4. An eighth of the keys is worked first. Lines that it has connected are not compared with
+   each other under the other keys, and keys whose lines are all connected are dropped.
+5. Components of the verified links choose the line that stays.
 
 Edge cases: null and empty texts, and texts without a word, pass unchanged (``n_lines`` 0);
 lines without a word stay where they are while the document keeps another line; a
@@ -41,7 +46,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import WordHash, bounded_batches, materialise, mix64, shingles, table, text_bytes
@@ -55,7 +60,11 @@ SHORT = 20
 SHARE = 10  # words per word edit
 FEW = 2  # byte edits of lines with few words
 BAG = 64
+LADDER = 3  # word edits up to which all admissible positions are probed
 BLOCK = 256
+BLOCK_BYTES = 4 << 20
+FIRST = 8  # one key of so many is worked first
+SEVERAL = 48  # pairs from which the bit-parallel distance is the faster one
 PIECE = 1 << 20  # bytes of lines hashed at once
 SEEN = 1 << 17  # line hashes a task remembers, to file a repeated line once
 
@@ -102,36 +111,77 @@ def segment(length: np.ndarray, i: int, parts: int) -> tuple[np.ndarray, np.ndar
     return base * i + before, base + (i >= parts - longer)
 
 
-def line_keys(lines: list[bytes], edits: int = EDITS) -> tuple[np.ndarray, np.ndarray]:
-    """(line number, key) of all segments filed and probed by lines of ``SHORT`` bytes or more."""
-    size = np.array([len(x) for x in lines], dtype=np.int64)
-    buf = np.frombuffer(b"".join(lines), np.uint8)
-    start = np.zeros(len(lines) + 1, dtype=np.int64)
+def running_hash(symbols: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start of each line in ``symbols``, running sums of the polynomial, and its inverse powers."""
+    start = np.zeros(len(size) + 1, dtype=np.int64)
     np.cumsum(size, out=start[1:])
     longest = int(size.max(initial=0))
     up, down = UP.upto(longest), DOWN.upto(longest)
-    which, keys = [], []
+    run = np.zeros(len(symbols) + 1, dtype=np.uint64)
     with np.errstate(over="ignore"):
-        run = np.zeros(len(buf) + 1, dtype=np.uint64)
-        np.cumsum(SYMBOL[buf] * up[np.arange(len(buf)) - np.repeat(start[:-1], size)], out=run[1:])
-        for shorter in range(edits + 1):
+        np.cumsum(symbols * up[np.arange(len(symbols)) - np.repeat(start[:-1], size)], out=run[1:])
+    return start, run, down
+
+
+def segment_keys(hashed, size: np.ndarray, edits: int, which: np.ndarray, least: int, probe: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """(line number, key) of the segments that the lines ``which`` file and, with ``probe``, probe.
+
+    Lines looked for have ``least`` symbols or more; a key names the edits, their length, the
+    segment's number and its content.
+    """
+    start, run, down = hashed
+    size = size[which]
+    at_line = start[:-1][which]
+    out, keys = [], []
+    with np.errstate(over="ignore"):
+        for shorter in range(edits + 1 if probe else 1):
             of = size - shorter  # length of the lines looked for
             for i in range(edits + 1):
                 at, n = segment(of, i, edits + 1)
-                first = max(-i, shorter - (edits - i))
-                last = min(i, shorter + (edits - i))
+                first = max(-i, shorter - (edits - i)) if probe else 0
+                last = min(i, shorter + (edits - i)) if probe else 0
                 for shift in range(first, last + 1):
                     p = at + shift
-                    ok = np.flatnonzero((of >= SHORT) & (p >= 0) & (p + n <= size))
-                    a = start[ok] + p[ok]
+                    ok = np.flatnonzero((of >= least) & (p >= 0) & (p + n <= size))
+                    a = at_line[ok] + p[ok]
                     part = (run[a + n[ok]] - run[a]) * down[p[ok]]
-                    tag = of[ok].astype(np.uint64) * np.uint64(64) + np.uint64(i)
+                    tag = (of[ok].astype(np.uint64) * np.uint64(64) + np.uint64(i)) * np.uint64(32) + np.uint64(edits)
                     keys.append(mix64(part ^ mix64(tag)))
-                    which.append(ok)
-    return np.concatenate(which), np.concatenate(keys).view(np.int64)  # a key can come twice: nearby positions, same content
+                    out.append(which[ok])
+    # a key can come twice: nearby positions, same content
+    return np.concatenate([*out, NO_KEYS[0]]), np.concatenate([*keys, NO_KEYS[1].view(np.uint64)]).view(np.int64)
+
+
+def line_keys(lines: list[bytes], edits: int = EDITS) -> tuple[np.ndarray, np.ndarray]:
+    """(line number, key) of all segments filed and probed by lines of ``SHORT`` bytes or more."""
+    size = np.array([len(x) for x in lines], dtype=np.int64)
+    hashed = running_hash(SYMBOL[np.frombuffer(b"".join(lines), np.uint8)], size)
+    return segment_keys(hashed, size, edits, np.arange(len(lines)), SHORT)
+
+
+def word_segments(split: list[list[bytes]], share: int, words: WordHash) -> tuple[np.ndarray, np.ndarray]:
+    """(line number, key) for pairs whose longer line has ``LADDER`` word edits at most.
+
+    The longer line of n words has t = n // share edits and probes the lengths n - t .. n,
+    cut into t + 1 segments; it files its own likewise. A line that is only near
+    lines of the next t, because it is a little too short for it, files its segments for that
+    t too.
+    """
+    n = np.array([len(x) for x in split], dtype=np.int64)
+    hashed = running_hash(words.array(list(chain.from_iterable(split))) | np.uint64(1), n)
+    parts = []
+    for t in range(1, LADDER + 1):
+        own = np.flatnonzero(n // share == t)
+        below = np.flatnonzero((n // share == t - 1) & (share * t - n <= t))
+        parts.append(segment_keys(hashed, n, t, own, 1))
+        parts.append(segment_keys(hashed, n, t, below, 1, probe=False))
+    return np.concatenate([w for w, _ in parts]), mix64(np.concatenate([k for _, k in parts]).view(np.uint64) ^ WORDS).view(np.int64)
+
+
+WORDS = np.uint64(0xC3C3C3C3C3C3C3C3)  # keeps keys of words apart from keys of bytes
 
 
-def word_keys(lines: list[bytes], share: int, words: WordHash) -> tuple[np.ndarray, np.ndarray]:
+def word_keys(split: list[list[bytes]], share: int, words: WordHash) -> tuple[np.ndarray, np.ndarray]:
     """(line number, key): the least hash of ``share // 2`` words in every window of each line.
 
     A line of w words with at most k = w // share word edits keeps a run of at least
@@ -139,7 +189,6 @@ def word_keys(lines: list[bytes], share: int, words: WordHash) -> tuple[np.ndarr
     that run, so the longer of two near lines files a key that the shorter one files too.
     """
     gram = share // 2
-    split = [x.split() for x in lines]
     n = np.array([len(x) for x in split], dtype=np.int64)
     flat = list(chain.from_iterable(split))
     if len(flat) < gram:
@@ -166,13 +215,18 @@ def all_keys(lines: list[bytes], edits: int, share: int | None, words: WordHash)
     """(line number, key) of everything a line files, as ``near`` needs it."""
     if share is None:
         return line_keys(lines, edits)
-    big = [i for i, x in enumerate(lines) if len(x) >= SHORT]
-    few = [i for i in big if len(lines[i].split()) < 2 * share + FEW]
+    split = {i: x.split() for i, x in enumerate(lines) if len(x) >= SHORT}
+    few = [i for i, w in split.items() if len(w) < 2 * share + FEW]
+    # lines of share - LADDER .. words may be near one with share; of the longest of them to one beyond the ladder
+    some = [i for i, w in split.items() if share - 1 <= len(w) < share * (LADDER + 1)]
+    long = [i for i, w in split.items() if len(w) >= (share - 1) * (LADDER + 1)]
     parts = []
-    for at, (which, keys) in (
-        (few, line_keys([lines[i] for i in few], FEW) if few else NO_KEYS),
-        (big, word_keys([lines[i] for i in big], share, words) if big else NO_KEYS),
+    for at, made in (
+        (few, lambda: line_keys([lines[i] for i in few], FEW)),
+        (some, lambda: word_segments([split[i] for i in some], share, words)),
+        (long, lambda: word_keys([split[i] for i in long], share, words)),
     ):
+        which, keys = made() if at else NO_KEYS
         parts.append((np.array(at, dtype=np.int64)[which], keys))
     return np.concatenate([w for w, _ in parts]), np.concatenate([k for _, k in parts])
 
@@ -192,31 +246,60 @@ def near_words(x: bytes, y: bytes, a: list[bytes], b: list[bytes], share: int) -
     return k > 0 and close(a, b, k)
 
 
-def links(ids: np.ndarray, lines: list[bytes], share: int) -> tuple[list[int], list[int]]:
+def near_many(x: list[bytes], y: list[bytes], share: int) -> np.ndarray:
+    """``near`` of many pairs, by the banded bit-parallel distance of word ids and of bytes."""
+    if len(x) < SEVERAL:
+        return np.array([near(p, q, share) for p, q in zip(x, y)], dtype=bool)
+    ids: dict[bytes, int] = {}
+    a, b = ([np.array([ids.setdefault(w, len(ids)) for w in line.split()], dtype=np.int32) for line in side] for side in (x, y))
+    n, m = (np.array([len(w) for w in side], dtype=np.int64) for side in (a, b))
+    nx, ny = (np.array([len(line) for line in side], dtype=np.int64) for side in (x, y))
+    whole = np.minimum(nx, ny) >= SHORT
+    out = np.zeros(len(x), dtype=bool)
+    bytewise = np.flatnonzero(whole & (np.minimum(n, m) < 2 * share) & (np.abs(nx - ny) <= FEW))
+    out[bytewise] = within([x[i] for i in bytewise], [y[i] for i in bytewise], FEW)
+    edits = np.maximum(n, m) // share
+    todo = whole & ~out & (edits > 0) & (np.abs(n - m) <= edits)
+    for k in np.unique(edits[todo]):
+        at = np.flatnonzero(todo & (edits == k))
+        p, q = [a[i] for i in at], [b[i] for i in at]
+        out[at] = within(p, q, int(k)) if k <= 31 else [close(u.tolist(), v.tolist(), int(k)) for u, v in zip(p, q)]
+    return out
+
+
+def links(ids: np.ndarray, lines: list[bytes], share: int, roots: np.ndarray | None = None) -> tuple[list[int], list[int]]:
     """Edges that connect what near lines of a block connect: who is reached is not compared again.
 
-    Counts of words by hash leave out pairs that cannot be near: one word edit changes the
-    counts by 2 at most, one byte edit by 3 (a word cut in two).
+    ``roots``: lines of one root are connected already. Counts of words by hash leave out
+    pairs that cannot be near: one word edit changes the counts by 2 at most, one byte edit
+    by 3 (a word cut in two).
     """
     words = WordHash()
-    split = [x.split() for x in lines]
+    roots = ids if roots is None else roots
     size = np.array([len(x) for x in lines], dtype=np.int64)
+    split = [x.split() for x in lines]
     n = np.array([len(x) for x in split], dtype=np.int64)
-    bags = np.stack([np.bincount((words.array(x) & np.uint64(BAG - 1)).astype(np.int64), minlength=BAG) for x in split]).astype(np.int32)
+    flat = (words.array(list(chain.from_iterable(split))) & np.uint64(BAG - 1)).astype(np.int64)
+    bags = np.bincount(np.repeat(np.arange(len(n)), n) * BAG + flat, minlength=BAG * len(n)).reshape(len(n), BAG).astype(np.int32)
     rest = np.flatnonzero(size >= SHORT)
     out_a, out_b = [], []
     while len(rest):
-        queue, rest = [rest[-1]], rest[:-1]
+        together = roots[rest] == roots[rest[-1]]
+        queue, rest = rest[together].tolist(), rest[~together]
         while queue and len(rest):
             at = queue.pop()
             off = np.abs(bags[rest] - bags[at]).sum(axis=1)
             may = off <= 2 * (np.maximum(n[rest], n[at]) // share)
             may |= (np.minimum(n[rest], n[at]) < 2 * share) & (np.abs(size[rest] - size[at]) <= FEW) & (off <= 3 * FEW)
-            may[may] = [near_words(lines[at], lines[i], split[at], split[i], share) for i in rest[may]]
-            out_a += [int(ids[at])] * int(may.sum())
-            out_b += ids[rest[may]].tolist()
-            queue += rest[may].tolist()
-            rest = rest[~may]
+            some = rest[may]
+            if not len(some):
+                continue
+            hit = some[near_many([lines[at]] * len(some), [lines[i] for i in some], share)]
+            out_a += [int(ids[at])] * len(hit)
+            out_b += ids[hit].tolist()
+            reached = np.isin(roots[rest], roots[hit])
+            queue += rest[reached].tolist()
+            rest = rest[~reached]
     return out_a, out_b
 
 
@@ -277,13 +360,14 @@ def filed(docs: DataFrame, edits: int, share: int | None) -> DataFrame:
 
 
 def line_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(line, bytes) of the wanted line hashes."""
+    """(line, bytes, words) of the wanted line hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lines, hashes in pieces(texts_of(batches)):
-            yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.int64()), pa.array(lines, pa.binary())], names=["line", "bytes"])
+            words = pa.array([len(x.split()) for x in lines], pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.int64()), pa.array(lines, pa.binary()), words], names=["line", "bytes", "words"])
 
-    every = docs.select(text_bytes().alias("_text")).mapInArrow(run, "line long, bytes binary")
+    every = docs.select(text_bytes().alias("_text")).mapInArrow(run, "line long, bytes binary, words int")
     return every.join(bounded_broadcast(wanted, 500_000), "line", "left_semi").dropDuplicates(["line"])
 
 
@@ -295,23 +379,48 @@ def near_lines(docs: DataFrame, edits: int = EDITS, share: int | None = None) ->
         "line-keys",
     )
     members = materialise(keys.join(shared, "key").distinct(), "line-members")
+    texts = materialise(line_texts(docs, members.select("line").distinct()), "line-texts")
+    early = F.pmod("key", F.lit(FIRST)) == 0
+    alone = F.col("line").alias("root")
+    first = materialise(compared(members.where(early).select("key", "line", alone), texts, edits, share), "line-links")
+    roots = components(first).select(F.col("id").alias("_id"), F.col("root").alias("_root"))
+    later = members.where(~early).join(roots, F.col("line") == F.col("_id"), "left")
+    rest = compared(later.select("key", "line", F.coalesce("_root", "line").alias("root")), texts, edits, share)
+    return first.union(rest)
+
+
+def length_class(size: Column, share: int | None) -> Column:
+    """Near lines have the same class or neighbouring ones: lengths of a class differ by a factor
+    of at most 1.12, where one word in ten is the most that near lines differ by."""
+    if share is None:
+        return F.lit(0)
+    least = 2 * share + 2 * FEW
+    step = F.log(F.lit(1 + 1.2 / share))
+    return F.when(size < least, 0).otherwise(1 + F.floor(F.log(size / least) / step)).cast("int")
+
+
+def compared(members: DataFrame, texts: DataFrame, edits: int, share: int | None) -> DataFrame:
+    """Edges among the ``members`` (key, line, root) of each key with lines of several roots."""
     counted = members.groupBy("key").agg(
-        F.count("*").alias("n"), F.min("line").alias("a"), F.max("line").alias("b"), F.bit_xor(F.xxhash64("line")).alias("same")
-    )
+        F.count("*").alias("n"), F.min("line").alias("a"), F.max("line").alias("b"), F.bit_xor(F.xxhash64("line")).alias("same"),
+        F.min("root").alias("low"), F.max("root").alias("high"),
+    )
+    counted = counted.where("low <> high")
+    # keys with the same lines are worked once
     counted = materialise(counted.groupBy("n", "a", "b", "same").agg(F.min("key").alias("key")), "line-groups")
-    texts = materialise(line_texts(docs, members.select("line").distinct()), "line-texts")
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ta, tb = b.column("ta").to_pylist(), b.column("tb").to_pylist()
-            hit = within(ta, tb, edits) if share is None else [near(x, y, share) for x, y in zip(ta, tb)]
+            hit = within(ta, tb, edits) if share is None else near_many(ta, tb, share)
             yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], names=["a", "b"]).filter(pa.array(hit))
 
+    may = F.abs(F.length("ta") - F.length("tb")) <= edits if share is None else F.abs(length_class(F.col("wa"), share) - length_class(F.col("wb"), share)) <= 1
     twos = (
         counted.where("n = 2").select("a", "b").distinct()
-        .join(texts.select(F.col("line").alias("a"), F.col("bytes").alias("ta")), "a")
-        .join(texts.select(F.col("line").alias("b"), F.col("bytes").alias("tb")), "b")
-        .where(F.abs(F.length("ta") - F.length("tb")) <= edits if share is None else F.lit(True))
+        .join(texts.select(F.col("line").alias("a"), F.col("bytes").alias("ta"), F.col("words").alias("wa")), "a")
+        .join(texts.select(F.col("line").alias("b"), F.col("bytes").alias("tb"), F.col("words").alias("wb")), "b")
+        .where(may)
         .select("a", "b", "ta", "tb")
         .mapInArrow(pairs, "a long, b long")
     )
@@ -321,39 +430,43 @@ def near_lines(docs: DataFrame, edits: int = EDITS, share: int | None = None) ->
             out_a, out_b = [], []
             for i in range(b.num_rows):
                 ids, x = members_of(b.column("m"), i)
+                roots = b.column("m")[i].values.field(2).to_numpy(zero_copy_only=False)
+                other, y = (members_of(b.column("m2"), i)) if b.column("m2")[i].is_valid else (None, [])
                 if share is not None:
-                    if b.column("m2")[i].is_valid:
-                        other, y = members_of(b.column("m2"), i)
+                    if other is not None:
                         ids, x = np.concatenate([ids, other]), x + y
-                    centres, others = links(ids, x, share)
-                    out_a += centres
-                    out_b += others
-                    continue
-                if b.column("m2")[i].is_valid:
-                    other, y = members_of(b.column("m2"), i)
-                    adj = cross(block_pairs(x, y, edits))
-                    ids = np.concatenate([ids, other])
+                        roots = np.concatenate([roots, b.column("m2")[i].values.field(2).to_numpy(zero_copy_only=False)])
+                    centres, others = links(ids, x, share, roots)
+                elif other is not None:
+                    centres, others = star_edges(cross(block_pairs(x, y, edits)), np.concatenate([ids, other]))
                 else:
                     adj = block_pairs(x, x, edits)
                     np.fill_diagonal(adj, False)
-                centres, others = star_edges(adj, ids)
+                    centres, others = star_edges(adj, ids)
                 out_a += centres
                 out_b += others
             yield edge_batch(out_a, out_b)
 
+    many = members.join(counted.where("n > 2").select("key", "n"), "key").join(texts.select("line", "words", F.length("bytes").alias("size")), "line")
+    placed = many.withColumn("class", F.when(F.col("n") <= BLOCK, F.lit(-1)).otherwise(length_class(F.col("words"), share)))
+    per_class = placed.groupBy("key", "class").agg(
+        F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("size") / BLOCK_BYTES)).alias("of")
+    )
     blocks = materialise(
-        members.join(counted.where("n > 2").select("key", "n"), "key")
-        .withColumn("of", F.ceil(F.col("n") / BLOCK))
+        placed.select("key", "class", "line", "root")
+        .join(per_class, ["key", "class"])
         .withColumn("blk", F.pmod(F.xxhash64("line"), F.col("of")))
-        .join(texts, "line")
-        .groupBy("key", "blk", "of")
-        .agg(F.collect_list(F.struct("line", "bytes")).alias("m")),
+        .join(texts.select("line", "bytes"), "line")
+        .groupBy("key", "class", "blk", "of")
+        .agg(F.collect_list(F.struct("line", "bytes", "root")).alias("m")),
         "line-blocks",
     )
-    alone = blocks.select("m", F.lit(None).cast(blocks.schema["m"].dataType).alias("m2"))
-    split = blocks.where("of > 1")
-    two = split.join(split.select("key", F.col("blk").alias("blk2"), F.col("m").alias("m2")), "key").where("blk < blk2")
-    return twos.union(alone.union(two.select("m", "m2")).mapInArrow(stars, "a long, b long"))
+    own = blocks.where(F.size("m") > 1).select("m", F.lit(None).cast(blocks.schema["m"].dataType).alias("m2"))
+    split = blocks.where("of > 1 OR class >= 0")
+    at = lambda s: F.struct("class", "blk").alias(s)
+    two = split.select("key", at("p"), "m").join(split.select("key", at("q"), F.col("m").alias("m2")), "key")
+    two = two.where("p < q AND abs(p.class - q.class) <= 1")
+    return twos.union(own.union(two.select("m", "m2")).mapInArrow(stars, "a long, b long"))
 
 
 def block_pairs(x: list[bytes], y: list[bytes], edits: int) -> np.ndarray:
