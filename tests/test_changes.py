@@ -142,3 +142,77 @@ def test_polls_of_many_sources_stay_one_scan(spark, tmp_path):
     assert sorted(r.source for r in polled.collect()) == sorted(f"s{k}" for k in range(64))
     plan = polled._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Relation [") == 1 and "Union" not in plan
+
+
+def test_many_tables_are_decoded_by_their_own_rules(spark, tmp_path):
+    from tidemark.operators import decode
+
+    a = T.StructType.fromDDL("k INT NOT NULL, s STRING, d DECIMAL(5,2), b BOOLEAN NOT NULL")
+    b = T.StructType.fromDDL("k BIGINT NOT NULL, t TIMESTAMP, x BINARY, y DOUBLE")
+    tables = {"a": (a, ["k"], ("s", "d", "a")), "b": (b, ["k"], ("s", "d", "b"))}
+    tables |= {f"t{n}": (a, ["k"], ("s", "d", f"t{n}")) for n in range(64)}
+    rules = decode.rules_of(spark, tables, {("a", "s"): 3})
+    row = lambda t, n, op, pk, r: ("s", "d", t, n, 0, op, pk, r)
+    rows = [
+        row("a", 1, 2, '{"k":1}', '{"k":1,"s":"abc","d":"123.45","b":true}'),
+        row("a", 2, 4, '{"k":1}', '{"k":1,"s":"abcd","d":"1.00","b":true}'),  # too long
+        row("a", 3, 2, '{"k":2}', '{"k":2,"s":null,"d":"1234.00","b":false}'),  # five digits hold three before the point
+        row("a", 4, 2, '{"k":3}', '{"k":3,"b":null}'),
+        row("a", 5, 2, '{"k":null}', '{"k":null,"b":true}'),
+        row("a", 6, 2, '{"k":3000000000}', '{"k":3000000000,"b":true}'),
+        row("a", 7, 2, '{"k":4}', '{"k":4,'),
+        row("a", 8, 2, '{"k":5}', None),
+        row("a", 9, 1, '{"k":1}', None),  # a delete needs its key only
+        row("b", 10, 2, '{"k":7}', '{"k":7,"t":"2024-05-06T07:08:09.5Z","x":"AAE=","y":1.5}'),
+        row("b", 11, 2, '{"k":8}', '{"k":8,"t":"yesterday"}'),
+        row("b", 12, 2, '{"k":9}', '{"k":"nine"}'),
+        row("b", 13, 3, '{"k":7}', '{"k":7}'),  # a before-image is not applied
+        row("c", 14, 2, '{"k":7}', '{"k":7}'),
+        row("t63", 15, 2, '{"k":6}', '{"k":6,"b":false,"more":1}'),
+    ]
+    log = spark.createDataFrame(rows, LOG).withColumn("lsn", lsn_from_number("n")).drop("n")
+    out = decode.decode_many(log, rules)
+    got = {int(bytes(r.lsn).hex(), 16): (r.reject_reason, r.fault_column) for r in out.collect()}
+    assert got == {
+        1: (None, None), 2: ("too_long", "s"), 3: ("out_of_range", "d"), 4: ("null_value", "b"), 5: ("null_key", "k"),
+        6: ("out_of_range", "k"), 7: ("malformed_row", None), 8: ("empty_row", None), 9: (None, None), 10: (None, None),
+        11: ("malformed_row", "t"), 12: ("malformed_row", "k"), 14: ("untracked", None), 15: (None, None),
+    }
+    path = str(tmp_path / "many")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("many", "")
+    decode.write_many(out, path)
+    jobs = len(tracker.getJobIdsForGroup("many"))
+    spark.sparkContext.setJobGroup("other", "")
+    assert jobs <= 3  # whatever the number of tables
+    (r,) = decode.read_one(spark, path, "b", b).collect()
+    assert (r.k, r.t.isoformat(), bytes(r.x), r.y) == (7, "2024-05-06T07:08:09.500000", b"\x00\x01", 1.5)
+    assert sorted((r.op, r.k, r.s, r.d and str(r.d)) for r in decode.read_one(spark, path, "a", a).collect()) == [(1, 1, None, None), (2, 1, "abc", "123.45")]
+    assert decode.read_one(spark, path, "t63", a).count() == 1
+
+
+def test_vector_polls_read_every_row_once(spark):
+    cols = "source string, schema_name string, table_name string, n long, seqval long, op int"
+    rows = [("s", "d", "a", n, 0, 2) for n in range(1, 20)] + [("s", "d", "b", n, q, 2) for n in (3, 18) for q in range(4)]
+    rows += [("z", "d", "a", 5, 0, 2), (None, "d", "a", 7, 0, 2)]
+    log = spark.createDataFrame(rows, cols).withColumn("lsn", lsn_from_number("n"))
+    vector, got, marks = None, [], []
+    for _ in range(20):
+        part, vector = ranges.poll_vector(log, vector, 5)
+        vector = vector.checkpoint()
+        new = [(r.source, r.table_name, r.n, r.seqval) for r in part.collect()]
+        assert len(new) == sum(r.polled for r in vector.collect())
+        if not new:
+            break
+        got += new
+        mark = {r.source: int(bytes(r.high_water_lsn).hex(), 16) for r in ranges.vector_mark(vector).collect()}["s"]
+        marks.append(mark)
+        assert {r for r in got if r[0] == "s" and r[2] <= mark} == {(a, t, n, q) for a, _, t, n, q, _ in rows if a == "s" and n <= mark}
+    key = lambda r: (r[0] or "", *r[1:])
+    want = [(a, t, n, q) for a, _, t, n, q, _ in rows if a is not None]
+    assert sorted((r for r in got if r[0] is not None), key=key) == sorted(want, key=key)
+    assert marks == sorted(marks) and marks[-1] == 19
+    # a log that grows is read on from each capture's own place
+    grown = log.unionByName(log.limit(1).withColumn("n", F.lit(30).cast("long")).withColumn("lsn", lsn_from_number("n")))
+    part, vector = ranges.poll_vector(grown, vector, 5)
+    assert [r.n for r in part.collect() if r.source] == [30]

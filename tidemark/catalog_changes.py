@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.catalog import REGISTRY, _hex, register
+from tidemark.catalog import REGISTRY, _hex, _with_changelog, changelog, read_log, register
 from tidemark.functions import mask
 from tidemark.functions.lsn import lsn_from_number, lsn_literal, lsns_to_hex
-from tidemark.operators import analytics, checksums, history, merge, sketches, versions
+from tidemark.operators import analytics, checksums, decode, history, merge, ranges, sketches, versions
 from tidemark.sources.fixtures import FIXTURE_PK, fixture, oracle_with, table
 from tidemark.session import scratch_dir
 
@@ -218,3 +218,78 @@ def q_latency_sketch(spark, sf):
     )
     near = lambda c: (F.abs(F.col(c) - F.col(f"exact_{c}")) <= sketches.ERROR * F.col(f"exact_{c}") + 1e-6).alias(f"{c}_within")
     return est.join(exact, "source").select("source", "n", "mean", "exact_p50", near("p50"), "exact_p99", near("p99"))
+
+
+# ---------------------------------------------------------------- polls -----------
+
+
+@register(
+    "poll_vector",
+    _with_changelog()
+    + f"""select source, schema_name, table_name, count(*) as delivered, count(*) as rows_read,
+  {_hex('max(lsn_no)')} as last_lsn, {_hex('max(max(lsn_no)) over (partition by source)')} as high_water_lsn from changelog
+group by source, schema_name, table_name
+""",
+)
+def q_poll_vector(spark, sf):
+    """Polls with a cursor per capture until the log is dry: every row is read once and
+    delivered once, and the least cursor of a source is its safe mark."""
+    log = read_log(spark, sf)
+    most = log.groupBy(*ranges.CAPTURE).count().agg(F.max("count")).first()[0]
+    vector, got, read = None, None, None
+    while True:
+        rows, vector = ranges.poll_vector(log, vector, most // 2 + 1)
+        polled = vector.where("polled > 0").select(*ranges.CAPTURE, "polled")
+        if not polled.limit(1).count():
+            break
+        part = rows.groupBy(*ranges.CAPTURE).agg(F.count("*").alias("n"), F.max("lsn").alias("last")).checkpoint()
+        got = part if got is None else got.unionByName(part)
+        read = polled if read is None else read.unionByName(polled)
+    delivered = got.groupBy(*ranges.CAPTURE).agg(F.sum("n").alias("delivered"), F.max("last").alias("last_lsn"))
+    reads = read.groupBy(*ranges.CAPTURE).agg(F.sum("polled").alias("rows_read"))
+    out = delivered.join(reads, list(ranges.CAPTURE)).join(ranges.vector_mark(vector), "source")
+    return lsns_to_hex(out, "last_lsn", "high_water_lsn")
+
+
+# ---------------------------------------------------------------- many tables -----
+
+
+@register(
+    "decode_many",
+    oracle_with("ch_user", "ch_order", "ch_line").rstrip()
+    + f""", u AS (select 'users' as target, case when user_id is null then 'null_key' when length(event_type) > 6 then 'too_long' end as reason,
+  user_id as k, lsn_no, op from ch_user where op in (1, 2, 4)),
+o AS (select 'orders', case when op <> 1 and o_custkey >= 128 then 'out_of_range' end, o_orderkey, lsn_no, op from ch_order where op in (1, 2, 4)),
+l AS (select 'untracked', 'untracked', l_orderkey, lsn_no, op from ch_line where op in (1, 2, 4)),
+a AS (select * from u union all select * from o union all select * from l)
+select target, coalesce(case when op = 1 and reason = 'too_long' then null else reason end, 'applied') as outcome, count(*) as n,
+  cast(sum(k) as bigint) as keys, {_hex('max(lsn_no)')} as last_lsn from a group by all
+""",
+)
+def q_decode_many(spark, sf):
+    """Users and orders of one log checked in one plan by rules of type, length and range, stored by
+    one job as VARIANT and read back with their types; lines have no target."""
+    from pyspark.sql import types as T
+
+    users = T.StructType.fromDDL("user_id BIGINT NOT NULL, value DOUBLE, event_type STRING, ts TIMESTAMP")
+    orders = T.StructType.fromDDL("o_orderkey BIGINT NOT NULL, o_custkey TINYINT, o_totalprice DECIMAL(18,2)")
+    rules = decode.rules_of(
+        spark,
+        {"users": (users, ["user_id"], ("MyDB", "dbo", "users")), "orders": (orders, ["o_orderkey"], ("MyDB", "dbo", "orders"))},
+        {("users", "event_type"): 6},
+    )
+    checked = decode.decode_many(changelog(spark, sf), rules)
+    path = scratch_dir(spark, "decode-many")
+    decode.write_many(checked, path)
+    n = F.count(F.lit(1)).alias("n")
+    bad = checked.where(F.col("reject_reason").isNotNull())
+    keyed = F.coalesce(*[F.get_json_object("pk_json", f"$.{c}") for c in ("user_id", "o_orderkey", "l_orderkey")]).cast("bigint")
+    rejected = bad.groupBy(F.coalesce("target", F.lit("untracked")).alias("target"), F.col("reject_reason").alias("outcome")).agg(
+        n, F.sum(keyed).alias("keys"), F.max("lsn").alias("last_lsn")
+    )
+    good = [
+        decode.read_one(spark, path, t, schema).agg(n, F.sum(k).alias("keys"), F.max("lsn").alias("last_lsn"))
+        .select(F.lit(t).alias("target"), F.lit("applied").alias("outcome"), "n", "keys", "last_lsn")
+        for t, schema, k in (("users", users, "user_id"), ("orders", orders, "o_orderkey"))
+    ]
+    return lsns_to_hex(rejected.unionByName(good[0]).unionByName(good[1]), "last_lsn")

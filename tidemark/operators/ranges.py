@@ -217,6 +217,82 @@ def poll_per_capture(
     return _bounded(pending, hw, "high_water_lsn", after=False, others=False)
 
 
+MAX_CAPTURES = 512
+
+
+def _capture_bounded(changes: DataFrame, bounds: DataFrame, col: str, after: bool, others: bool) -> DataFrame:
+    """``_bounded`` with a bound of its own for each capture."""
+    known = F.col(col).isNotNull()
+    rows = bounds.select(*CAPTURE, col).where(known).limit(MAX_CAPTURES + 1).collect()
+    lsn = F.col("lsn")
+    if len(rows) > MAX_CAPTURES:
+        j = changes.join(bounded_broadcast(bounds.select(*CAPTURE, col).where(known)), list(CAPTURE), "left" if others else "inner")
+        keep = lsn > F.col(col) if after else lsn <= F.col(col)
+        return j.where(keep | F.col(col).isNull() if others else keep).drop(col)
+    if not rows:
+        return changes if others else changes.where(F.lit(False))
+    within, among = [], []
+    for r in rows:
+        mine = functools.reduce(Column.__and__, [F.col(c).eqNullSafe(F.lit(r[c])) for c in CAPTURE])
+        at = lsn_literal(bytes(r[col]))
+        among.append(mine)
+        within.append(mine & (lsn > at if after else lsn <= at))
+    keep = functools.reduce(Column.__or__, within)
+    if others:
+        return changes.where(keep | ~functools.reduce(Column.__or__, among))
+    loosest = lsn_literal((min if after else max)(bytes(r[col]) for r in rows))
+    sources = sorted({r["source"] for r in rows if r["source"] is not None})
+    out = changes if any(r["source"] is None for r in rows) else changes.where(F.col("source").isin(*sources))
+    return out.where(lsn > loosest if after else lsn <= loosest).where(keep)
+
+
+def after_vector(changes: DataFrame, vector: DataFrame | None) -> DataFrame:
+    """Changes strictly after each capture's own cursor (all changes of a capture without one)."""
+    if vector is None:
+        return changes
+    one = vector.groupBy(*CAPTURE).agg(F.max("cursor_lsn").alias("cursor_lsn"))
+    return _capture_bounded(changes, one, "cursor_lsn", after=True, others=True)
+
+
+def poll_vector(changes: DataFrame, vector: DataFrame | None, batch_size: int) -> tuple[DataFrame, DataFrame]:
+    """One poll with a cursor per capture: (rows, vector).
+
+    Every capture is read up to ``batch_size`` rows (whole LSNs) after its own cursor and all
+    of it is delivered: nothing that was read has to be read again because another capture
+    was cut short, as ``poll_per_capture`` with one cursor per source does. The new vector
+    (CAPTURE, cursor_lsn, drained, polled) holds every capture's cut; a capture read to its
+    end is ``drained`` and stands at its source's last position. An empty poll has no rows
+    and a vector without polled rows. Captures of a source are no longer delivered in one
+    order; apply by position (as ``latest_per_key`` and the store do).
+    """
+    pending = after_vector(changes, vector)
+    cuts = _cuts(pending, batch_size, CAPTURE, with_max=True)
+    tops = changes.groupBy(*CAPTURE).agg(F.max("lsn").alias("_tm_top"))
+    last = tops.groupBy("source").agg(F.max("_tm_top").alias("_tm_last"))
+    j = tops.join(cuts, list(CAPTURE), "left").join(bounded_broadcast(last), "source")
+    drained = F.col("cut_lsn").isNull() | (F.col("cut_lsn") >= F.col("max_lsn"))
+    moved = j.select(
+        *CAPTURE,
+        F.when(drained, F.col("_tm_last")).otherwise(F.col("cut_lsn")).alias("cursor_lsn"),
+        drained.alias("drained"),
+        F.coalesce("polled", F.lit(0)).cast("bigint").alias("polled"),
+        "cut_lsn",
+    )
+    moved = _written(moved)
+    if vector is not None:  # a capture that the log does not show any more keeps its place
+        gone = vector.select(*CAPTURE, "cursor_lsn").join(moved.select(*CAPTURE), list(CAPTURE), "left_anti")
+        nothing = {"drained": F.lit(True), "polled": F.lit(0).cast("bigint"), "cut_lsn": F.lit(None).cast("binary")}
+        out = moved.unionByName(gone.withColumns(nothing)).drop("cut_lsn")
+    else:
+        out = moved.drop("cut_lsn")
+    return _capture_bounded(pending, moved, "cut_lsn", after=False, others=False), out
+
+
+def vector_mark(vector: DataFrame) -> DataFrame:
+    """source, high_water_lsn: the position below which every capture has been delivered."""
+    return vector.groupBy("source").agg(F.min("cursor_lsn").alias("high_water_lsn"))
+
+
 def poll_cursor(
     changes: DataFrame, cursors: DataFrame | None, batch_size: int
 ) -> DataFrame:
