@@ -242,7 +242,7 @@ def test_cursor_fold_keeps_a_readable_version(spark):
     ).withColumn("lsn", lsn_from_number("n")).drop("n")
     acks.repartitionByRange(3, "at").write.parquet(f"{root}/acks")
     start_cursor_fold(
-        stream_changes(spark, f"{root}/acks", acks.schema, max_files_per_trigger=1), f"{root}/cur", f"{root}/ckpt"
+        stream_changes(spark, f"{root}/acks", acks.schema, max_files_per_trigger=1), f"{root}/cur", f"{root}/ckpt", numbering=(1, 1)
     ).awaitTermination()
     (c,) = read_cursors(spark, f"{root}/cur").collect()
     assert int.from_bytes(c.cursor_lsn, "big") == 10  # batch 2 is open: resuming delivers it again
@@ -277,3 +277,27 @@ def test_dedupe_stream_drops_no_first_delivery(spark):
     q.awaitTermination()
     got = spark.sql("select source, count(*) as n from tm_dedupe_out group by source").collect()
     assert {r.source: r.n for r in got} == {"a": 20, "b": 20}
+
+
+def test_append_mode_refuses_live_keys_and_typed_batches_are_accounted(spark):
+    from tidemark.streaming.apply import AppendConflict
+
+    cols = "table_name string, n long, seqval long, op int, k long, v string"
+
+    def batch(*rows):
+        return spark.createDataFrame(list(rows), cols).withColumn("lsn", lsn_from_number("n")).drop("n")
+
+    store = TableStore(spark, tempfile.mkdtemp(prefix="tm-append-"), {"t": TableSpec("t", ("k",), mode="append"), "u": TableSpec("u", ("k",))})
+    seen = store.apply_batch(batch(("t", 1, 0, 2, 1, "a"), ("t", 1, 1, 2, 2, "b"), ("x", 1, 2, 2, 9, "no target"), ("u", 1, 3, 2, None, "no key")), 0, "q")
+    assert seen == {"changes": 4, "rows": 2, "rejected": 1, "untracked": 1}
+    assert store.apply_batch(batch(("t", 1, 0, 2, 1, "a")), 0, "q") is None  # published before
+    store.apply_batch(batch(("t", 2, 0, 1, 1, "a"), ("t", 3, 0, 2, 1, "again")), 1, "q")  # delete, then insert
+    for rows in ([("t", 4, 0, 2, 2, "live")], [("t", 4, 0, 2, 5, "x"), ("t", 4, 1, 4, 5, "y")], [("t", 4, 0, 4, 1, "z")]):
+        with pytest.raises(AppendConflict):
+            store.apply_batch(batch(*rows), 2, "q")
+    assert sorted((r.k, r.v) for r in store.read_table("t").collect()) == [(1, "again"), (2, "b")]
+    (bad,) = store.rejects().collect()
+    assert (bad.table_name, bad.reject_reason) == ("u", "null_key") and '"no key"' in bad.row_json
+    assert sorted(r.status for r in store.acks().collect()) == ["FAILED", "FAILED", "FAILED", "OK", "OK"]
+    with pytest.raises(ValueError):
+        TableSpec("t", ("k",), mode="merge")

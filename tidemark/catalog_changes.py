@@ -293,3 +293,47 @@ def q_decode_many(spark, sf):
         for t, schema, k in (("users", users, "user_id"), ("orders", orders, "o_orderkey"))
     ]
     return lsns_to_hex(rejected.unionByName(good[0]).unionByName(good[1]), "last_lsn")
+
+
+# ---------------------------------------------------------------- append mode -----
+
+
+@register(
+    "stream_append",
+    """select 'row' as kind, o_orderkey as k, cast(o_custkey + case when o_orderkey % 10 = 0 then 1 else 0 end as bigint) as v from orders
+where o_orderkey % 10 <> 0 or o_orderkey % 20 = 0
+union all select 'FAILED', 0, 1
+union all select 'rows', 0, cast(count(*) + count(*) filter (where o_orderkey % 10 = 0) + count(*) filter (where o_orderkey % 20 = 0) as bigint) from orders
+""",
+)
+def q_stream_append(spark, sf):
+    """Orders streamed into a table of mode "append": inserts, deletes, some keys inserted again;
+    then a batch that inserts a live key, which fails whole and publishes nothing."""
+    from tidemark.streaming.apply import AppendConflict, TableSpec, TableStore
+    from tidemark.streaming.source import start_apply, stream_changes
+
+    own = table(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").cast("bigint").alias("o_custkey"))
+
+    def at(n, op, rows, more=0):
+        return rows.select(
+            lsn_from_number(F.lit(n)).alias("lsn"), F.col("o_orderkey").cast("bigint").alias("seqval"), F.lit(op).alias("op"),
+            "o_orderkey", (F.col("o_custkey") + more).alias("o_custkey"),
+        )
+
+    tens, twenties = own.where("o_orderkey % 10 = 0"), own.where("o_orderkey % 20 = 0")
+    root = scratch_dir(spark, "stream_append")
+    parts = [at(1, 2, own), at(2, 1, tens).unionByName(at(3, 2, twenties, 1))]
+    for n, part in enumerate(parts):
+        part.coalesce(1).write.parquet(f"{root}/in/part={n}")
+    store = TableStore(spark, f"{root}/store", {"orders": TableSpec("orders", ("o_orderkey",), mode="append")})
+    stream = stream_changes(spark, f"{root}/in/part=*", parts[0].schema, max_files_per_trigger=1)
+    start_apply(stream, store, f"{root}/checkpoint").awaitTermination()
+    try:
+        store.apply_batch(at(4, 1, tens).unionByName(at(5, 2, own.where("o_orderkey % 50 = 1"), 7)), 0, "conflict")
+    except AppendConflict:
+        pass
+    acks = store.acks()
+    rows = store.read_table("orders").select(F.lit("row").alias("kind"), F.col("o_orderkey").cast("bigint").alias("k"), F.col("o_custkey").alias("v"))
+    failed = acks.where("status <> 'OK'").groupBy(F.col("status").alias("kind")).agg(F.lit(0).cast("bigint").alias("k"), F.count("*").alias("v"))
+    done = acks.agg(F.lit("rows").alias("kind"), F.lit(0).cast("bigint").alias("k"), F.sum("rows_processed").alias("v"))
+    return rows.unionByName(failed).unionByName(done)

@@ -8,6 +8,7 @@ published micro-batch. ``apply_batch`` is the ``foreachBatch`` function:
    epoch and attempt, so neither a crash nor a new streaming checkpoint can overwrite one;
 2. each change is routed by (source, schema, table) to its target; changes of no target
    are counted as untracked;
+   A target of mode "append" refuses a batch that inserts a live key;
 3. changes that cannot be applied (bad JSON, values that do not fit the target's schema,
    empty rows or keys, NULL key parts) are written to ``rejects`` with their reason,
    before the reduction, so a bad change never replaces a key's last good version;
@@ -48,6 +49,7 @@ from tidemark.operators.merge import (
     REJECT_MALFORMED_ROW,
     REJECT_NULL_KEY,
     _any_null,
+    key_history,
     latest_per_key,
     reject_reason,
     table_columns,
@@ -63,6 +65,10 @@ TARGETS_PER_JOB = 32  # envelope targets written by one job: bounds the size of
 ADHOC = "adhoc"
 
 
+class AppendConflict(RuntimeError):
+    """A batch inserts a key that is live at that moment; nothing was published."""
+
+
 class ForeignKeyViolation(RuntimeError):
     """A batch would leave child rows without their parent; nothing was published."""
 
@@ -74,6 +80,10 @@ class TableSpec:
     ``source`` / ``source_schema`` / ``source_table`` pick the captured table. Without
     ``source`` the target takes that table of every source, and the source is part of
     its key, so rows of different sources never replace each other.
+
+    ``mode`` "append" applies changes as plain inserts and deletes: an insert or
+    after-image of a key that is live at that moment fails the whole batch, as a repeated
+    delivery under another batch does. "upsert" (the default) absorbs both.
     """
 
     name: str
@@ -82,6 +92,11 @@ class TableSpec:
     source_schema: str | None = None
     source_table: str | None = None
     source: str | None = None
+    mode: str = "upsert"
+
+    def __post_init__(self):
+        if self.mode not in ("upsert", "append"):
+            raise ValueError(f"unknown mode {self.mode!r}")
 
 
 @dataclass(frozen=True)
@@ -226,6 +241,7 @@ class TableStore:
                     key = self._key(name)
                     if not self._keeps_source(name):
                         good = good.drop("source")
+                    self._refuse_conflicts(name, good)
                     latest = latest_per_key(good, key, keep_deletes=True)
                     latest.write.parquet(self._delta(folder, name))
                     seen["rows"] += counted.get["n"]
@@ -257,6 +273,7 @@ class TableStore:
                 F.count(F.when(reason.isin(*DATA_ERRORS), F.lit(1))).alias("bad"),
                 F.count(F.when(reason.isNull(), F.lit(1))).alias("rows"),
             )
+            self._refuse_conflicts(name, mine.where(reason.isNull()))
             d = latest_per_key(counted, spec.pk, keep_deletes=True)
             d.write.parquet(self._delta(folder, name))
             seen["rejected"] += n.get["bad"]
@@ -269,6 +286,25 @@ class TableStore:
         if rejects is not None:
             rejects.write.mode("append").parquet(f"{self.root}/rejects/{folder}")
 
+    def _refuse_conflicts(self, name: str, changes: DataFrame) -> None:
+        """Raise if the changes of an "append" table insert a key that is live at that moment.
+
+        The keys' histories inside the batch and their state before it decide: deleting and
+        inserting again is no conflict.
+        """
+        if self.tables[name].mode != "append":
+            return
+        key = self._key(name)
+        narrow = changes.select(*key, *ORDER_COLS)
+        try:
+            live = self._typed(name).select(*key)
+        except FileNotFoundError:  # the table's first batch
+            live = None
+        hist = key_history(narrow, live, key)
+        row = hist.where(F.col("op").isin(*UPSERT_OPS) & F.col("live_before")).limit(1).collect()
+        if row:
+            raise AppendConflict(f"duplicate key in {name}: {row[0].asDict()}")
+
     def _reject_rows(self, mine: DataFrame, spec: TableSpec, reason: Column) -> DataFrame:
         """Typed changes that cannot be applied, in the form of envelope rejects."""
         named = {"schema_name": spec.source_schema, "table_name": spec.source_table or spec.name, "source": spec.source}

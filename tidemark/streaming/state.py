@@ -64,7 +64,7 @@ CURSOR_SCHEMA = (
 )
 _TOTALS = (
     "cursor binary, acked_lsn binary, rows long, acked long, retries long, failures long, "
-    "last_at long, last_status string, error_at long, error_status string"
+    "last_at long, last_status string, error_at long, error_status string, next long"
 )
 _OPEN = "lsn binary, settled boolean, acked boolean, rows long, rows_at long"
 _POLL = -1  # batch number under which an empty poll waits
@@ -77,15 +77,22 @@ class CursorFrontier(StatefulProcessor):
     it passes is folded into the totals and evicted, so the state holds the batches that
     are open, or settled beyond an open one. A late acknowledgement of an evicted batch
     is counted as an event and changes nothing else.
+
+    A batch must be known to hold the frontier. Either ``SENT`` events say so before later
+    batches are acknowledged, or, with ``numbering`` = (first, step), the batch numbers of a
+    source do: the frontier passes them in order, and a number not seen yet holds it.
     """
 
+    def __init__(self, numbering: tuple[int, int] | None = None):
+        self.numbering = numbering
+
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.totals = handle.getValueState("totals", _TOTALS)
         self.open = handle.getMapState("open", "batch long, at_lsn binary", _OPEN)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         names = _TOTALS.replace(",", "").split()[::2]
-        held = self.totals.get() if self.totals.exists() else (None, None, 0, 0, 0, 0, None, None, None, None)
+        held = self.totals.get() if self.totals.exists() else (None, None, 0, 0, 0, 0, None, None, None, None, None)
         t = dict(zip(names, held))
         cursor = None if t["cursor"] is None else bytes(t["cursor"])
         before = {(k[0], bytes(k[1])): (bytes(v[0]), *v[1:]) for k, v in self.open.iterator()}
@@ -103,23 +110,23 @@ class CursorFrontier(StatefulProcessor):
                 continue
             if acked and (t["acked_lsn"] is None or bytes(t["acked_lsn"]) < lsn):
                 t["acked_lsn"] = lsn
-            if cursor is not None and lsn <= cursor:
-                known = (r["batch_no"], b"")
-                if known not in now:
-                    continue  # settled before, or a poll that found nothing new
+            if self.numbering and r["batch_no"] is not None:
+                passed = r["batch_no"] < (self.numbering[0] if t["next"] is None else t["next"])
+            else:
+                passed = cursor is not None and lsn <= cursor and (r["batch_no"], b"") not in now
+            if passed:
+                continue  # settled before, or a poll that found nothing new
             at = (_POLL, lsn) if r["batch_no"] is None else (r["batch_no"], b"")
             old = now.get(at, (lsn, False, False, 0, None))
             n, n_at = old[3], old[4]
             if acked and (n_at is None or r["at"] >= n_at):
                 n, n_at = r["rows_processed"] or 0, r["at"]
             now[at] = (max(old[0], lsn), old[1] or moves, old[2] or acked, n, n_at)
-        stop = min((v[0] for v in now.values() if not v[1]), default=None)
-        for at, v in list(now.items()):
-            if v[1] and (stop is None or v[0] < stop):
-                cursor = v[0] if cursor is None else max(cursor, v[0])
-                t["rows"] += v[3]
-                t["acked"] += v[2]
-                del now[at]
+        for at in self._settled(now, t):
+            v = now.pop(at)
+            cursor = v[0] if cursor is None else max(cursor, v[0])
+            t["rows"] += v[3]
+            t["acked"] += v[2]
         for at in before.keys() - now.keys():
             self.open.removeKey(at)
         for at, v in now.items():
@@ -141,6 +148,20 @@ class CursorFrontier(StatefulProcessor):
             open_batches=len(now),
         )
 
+    def _settled(self, now: dict, t: dict) -> list[tuple]:
+        """The batches and polls that the frontier passes."""
+        if self.numbering is None:
+            stop = min((v[0] for v in now.values() if not v[1]), default=None)
+            return [at for at, v in now.items() if v[1] and (stop is None or v[0] < stop)]
+        first, step = self.numbering
+        out, n = [], first if t["next"] is None else t["next"]
+        while (at := (n, b"")) in now and now[at][1]:
+            out.append(at)
+            n += step
+        t["next"] = n
+        polls = [at for at in now if at[0] == _POLL]
+        return out + polls if len(out) + len(polls) == len(now) else out
+
     def close(self) -> None:
         pass
 
@@ -150,13 +171,14 @@ def _placed(event: tuple) -> tuple:
     return (event[0] is not None, event[0] or 0, event[1] or "")
 
 
-def settle_stream(events: DataFrame) -> DataFrame:
+def settle_stream(events: DataFrame, numbering: tuple[int, int] | None = None) -> DataFrame:
     """Each source's cursor row, updated by a stream of (source, batch_no, status, lsn,
-    rows_processed, at) events; ``SENT`` events open a batch before it is delivered."""
+    rows_processed, at) events; ``SENT`` events open a batch before it is delivered, or
+    ``numbering`` (first, step) tells which batches there must be."""
     known = F.col("source").isNotNull() & F.col("status").isNotNull() & F.col("at").isNotNull()
     numbers = [F.col(c).cast("long").alias(c) for c in ("batch_no", "rows_processed", "at")]
     picked = events.where(known).select("source", "status", "lsn", *numbers)
-    return picked.groupBy("source").transformWithState(CursorFrontier(), CURSOR_SCHEMA, "update", "none")
+    return picked.groupBy("source").transformWithState(CursorFrontier(numbering), CURSOR_SCHEMA, "update", "none")
 
 
 # ------------------------------------------------------------------- dedupe ----------
