@@ -60,6 +60,7 @@ SHORT = 20
 SHARE = 10  # words per word edit
 FEW = 2  # byte edits of lines with few words
 BAG = 64
+FILTER_BITS = 27  # 16 MB
 LADDER = 3  # word edits up to which all admissible positions are probed
 BLOCK = 256
 BLOCK_BYTES = 4 << 20
@@ -345,13 +346,50 @@ def occurrences(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", text_bytes().alias("_text")).mapInArrow(run, f"doc_id {kind}, line long")
 
 
-def filed(docs: DataFrame, edits: int, share: int | None) -> DataFrame:
-    """(key, line): segments filed and probed, a repeated line once per task or more."""
+def key_place(keys: np.ndarray) -> np.ndarray:
+    """A key's place in the key filter: its leading bits."""
+    return (keys.view(np.uint64) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+
+
+def key_filter(shared: DataFrame):
+    """Broadcast bitmap of the keys' leading bits: 2^FILTER_BITS bits, however many keys there are.
+
+    It lets the second filing leave out, before the shuffle, keys that are not shared; the
+    join afterwards decides.
+    """
+    chunk, inside = F.shiftrightunsigned("key", 64 - FILTER_BITS + 16), F.shiftrightunsigned("key", 64 - FILTER_BITS).bitwiseAND(F.lit(0xFFFF))
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        for b in batches:
+            at, bit = b.column("chunk").to_numpy(), b.column("bit").to_numpy()
+            for c in np.unique(at):
+                held.setdefault(int(c), np.zeros(1 << 16, dtype=bool))[bit[at == c]] = True
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(held), pa.int64()), pa.array([np.packbits(x).tobytes() for x in held.values()], pa.binary())], names=["chunk", "bits"]
+        )
+
+    places = shared.select(chunk.alias("chunk"), inside.alias("bit")).repartition("chunk")
+    bits = np.zeros((1 << (FILTER_BITS - 16), 1 << 13), dtype=np.uint8)
+    for r in places.mapInArrow(mark, "chunk long, bits binary").toLocalIterator():
+        bits[r["chunk"]] = np.frombuffer(r["bits"], np.uint8)
+    return shared.sparkSession.sparkContext.broadcast(bits.reshape(-1))
+
+
+def filed(docs: DataFrame, edits: int, share: int | None, only=None) -> DataFrame:
+    """(key, line): segments filed and probed, a repeated line once per task or more.
+
+    ``only``: a ``key_filter`` that the keys must pass.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHash()
         for lines, hashes in pieces(texts_of(batches)):
             which, keys = all_keys(lines, edits, share, words)
+            if only is not None:
+                at = key_place(keys)
+                passed = (only.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
+                which, keys = which[passed], keys[passed]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys), pa.array(np.array(hashes, dtype=np.int64)[which])], names=["key", "line"]
             )
@@ -378,7 +416,8 @@ def near_lines(docs: DataFrame, edits: int = EDITS, share: int | None = None) ->
         keys.groupBy("key").agg(F.min("line").alias("a"), F.max("line").alias("b")).where("a <> b").select("key"),
         "line-keys",
     )
-    members = materialise(keys.join(shared, "key").distinct(), "line-members")
+    again = filed(docs, edits, share, key_filter(shared))
+    members = materialise(again.join(shared, "key").distinct(), "line-members")
     texts = materialise(line_texts(docs, members.select("line").distinct()), "line-texts")
     early = F.pmod("key", F.lit(FIRST)) == 0
     alone = F.col("line").alias("root")
