@@ -43,3 +43,8 @@ def test_merge_statements():
     assert st[2] == 'DELETE FROM public.users WHERE EXISTS (SELECT 1 FROM stage_d d WHERE d."id" = public.users."id")'
     allkey = jdbc.merge_statements("t", "su", "sd", ["a", "b"], ["a", "b"], defer_constraints=False)
     assert "UPDATE SET" not in allkey[0] and len(allkey) == 2
+
+
+def test_staging_names_are_a_runs_own():
+    a, b = jdbc.staging_names("public.users"), jdbc.staging_names("public.users")
+    assert len({*a, *b}) == 4 and all(n.startswith("public.users_tm_") for n in (*a, *b))

@@ -301,3 +301,20 @@ def test_append_mode_refuses_live_keys_and_typed_batches_are_accounted(spark):
     assert sorted(r.status for r in store.acks().collect()) == ["FAILED", "FAILED", "FAILED", "OK", "OK"]
     with pytest.raises(ValueError):
         TableSpec("t", ("k",), mode="merge")
+
+
+def test_vacuum_archives_the_log_and_replays_stay_known(spark):
+    store = TableStore(spark, tempfile.mkdtemp(prefix="tm-archive-"), {"t": TableSpec("t", ("k",))})
+    batch = lambda n, v: spark.createDataFrame([(n, 0, 2, n % 3, v)], SCHEMA).withColumn("lsn", lsn_from_number("lsn_no")).drop("lsn_no")
+    for n in range(1, 5):
+        store.apply_batch(batch(n, f"v{n}"), n, "q")
+    store.compact("t")
+    assert store.vacuum() == 4 and store._folders() == []
+    assert store.acks().count() == 4 and store.metrics().first().batches_acked == 4
+    assert store.apply_batch(batch(2, "other"), 2, "q") is None  # an archived epoch is still known
+    store.apply_batch(batch(9, "v9"), 9, "q")
+    want = [(0, "v9"), (1, "v4"), (2, "v2")]
+    assert sorted((r.k, r.v) for r in store.read_table("t").collect()) == want
+    store.compact("t")
+    assert store.vacuum() == 1 and store.acks().count() == 5
+    assert sorted((r.k, r.v) for r in store.read_table("t").collect()) == want

@@ -16,6 +16,7 @@ server may be started there); the statement text is unit-tested.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -104,6 +105,12 @@ def merge_statements(
     return stmts
 
 
+def staging_names(target: str) -> tuple[str, str]:
+    """Names of one run's staging tables, in the target's schema."""
+    run = uuid.uuid4().hex[:12]
+    return f"{target}_tm_{run}_u", f"{target}_tm_{run}_d"
+
+
 def jdbc_merge(
     changes: DataFrame,
     url: str,
@@ -115,14 +122,18 @@ def jdbc_merge(
     defer_constraints: bool = True,
 ) -> int:
     """Apply ``changes`` to the relational ``target`` in one transaction; returns the
-    number of keys written (upserted + deleted)."""
+    number of keys written (upserted + deleted).
+
+    Every run stages under names of its own, so two runs never overwrite each other, and
+    drops its staging tables when it is done, also after an error.
+    """
     props = dict(properties or {})
     pk = list(pk)
     latest = latest_per_key(changes, pk, keep_deletes=True).persist()
     columns = [c for c in latest.columns if c not in ORDER_COLS]
     ups = latest.where(F.col("op") != OP_DELETE).select(*columns)
     dels = latest.where(F.col("op") == OP_DELETE).select(*pk)
-    stage_u, stage_d = f"{target}_tm_stage_upserts", f"{target}_tm_stage_deletes"
+    stage_u, stage_d = staging_names(target)
     opts = {**props, "batchsize": str(batchsize), "numPartitions": str(num_partitions)}
     ups.write.mode("overwrite").options(**opts).jdbc(url, stage_u, properties=props)
     dels.write.mode("overwrite").options(**opts).jdbc(url, stage_d, properties=props)
@@ -142,7 +153,13 @@ def jdbc_merge(
         conn.rollback()
         raise
     finally:
-        conn.close()
+        try:
+            for name in (stage_u, stage_d):
+                st = conn.createStatement()
+                st.execute(f"DROP TABLE {name}")
+            conn.commit()
+        finally:
+            conn.close()
     written = latest.count()
     latest.unpersist()
     return written

@@ -58,7 +58,7 @@ from tidemark.plans.joins import bounded_broadcast
 
 ACK_SCHEMA = (
     "query string, epoch long, folder string, changes long, rows_processed long, rejected long, "
-    "untracked long, apply_ms long, status string, error string"
+    "untracked long, apply_ms long, status string, error string, written string"
 )
 REJECT_COLS = ["source", "schema_name", "table_name", *ORDER_COLS, "pk_json", "row_json", "reject_reason"]
 TARGETS_PER_JOB = 32  # envelope targets written by one job: bounds the size of one plan
@@ -334,7 +334,7 @@ class TableStore:
         folder = self._folder(query, int(epoch), uuid.uuid4().hex[:12])
         started = time.monotonic()
         seen = {"changes": 0, "rows": 0, "rejected": 0, "untracked": 0}
-        batch = batch.persist()
+        batch = batch.persist()  # each target reads it
         try:
             seen["changes"] = batch.count()
             if "row_json" in batch.columns:
@@ -359,16 +359,21 @@ class TableStore:
         ms = int((time.monotonic() - started) * 1000)
         row = (
             query, int(epoch), folder, int(seen["changes"]), int(seen["rows"]) if status == ACK_OK else 0,
-            int(seen["rejected"]), int(seen["untracked"]), ms, status, error,
+            int(seen["rejected"]), int(seen["untracked"]), ms, status, error, ",".join(sorted(self.tables)),
         )
         self.spark.createDataFrame([row], ACK_SCHEMA).coalesce(1).write.json(f"{self._log()}/{folder}")
 
     def _applied(self, query: str, epoch: int) -> bool:
         path = f"{self._log()}/query={query}/epoch={int(epoch)}"
-        if not self._exists(path):
+        if self._exists(path):
+            acks = self.spark.read.schema(ACK_SCHEMA).option("recursiveFileLookup", "true").json(path)
+            if acks.where(F.col("status") == ACK_OK).limit(1).count() > 0:
+                return True
+        old = self._archived()
+        if old is None:
             return False
-        acks = self.spark.read.schema(ACK_SCHEMA).option("recursiveFileLookup", "true").json(path)
-        return acks.where(F.col("status") == ACK_OK).limit(1).count() > 0
+        same = (F.col("query") == query) & (F.col("epoch") == int(epoch)) & (F.col("status") == ACK_OK)
+        return old.where(same).limit(1).count() > 0
 
     # ------------------------------------------------------------ foreign keys ----
     def _orphans(self, fk: ForeignKey, folder: str) -> DataFrame:
@@ -395,12 +400,33 @@ class TableStore:
         return child.join(missing, keys, "left_semi")
 
     # -------------------------------------------------------------- reading -------
-    def acks(self) -> DataFrame:
-        """Every attempt's acknowledgement: query, epoch, folder, changes, rows_processed
-        (applied), rejected (data errors), untracked, apply_ms, status, error."""
+    def _open_log(self) -> DataFrame:
+        """Acknowledgements of the log that are not archived yet."""
         if not self._exists(self._log()):
             return self.spark.createDataFrame([], ACK_SCHEMA)
-        return self.spark.read.schema(ACK_SCHEMA).option("recursiveFileLookup", "true").json(self._log())
+        log = self.spark.read.schema(ACK_SCHEMA).option("recursiveFileLookup", "true").json(self._log())
+        old = self._archived()
+        return log if old is None else log.join(old.select("folder"), "folder", "left_anti").select(*log.columns)
+
+    def _archived(self) -> DataFrame | None:
+        """Acknowledgements that ``vacuum`` took out of the log."""
+        path = self._latest_version(f"{self.root}/archive")
+        return None if path is None else self.spark.read.schema(ACK_SCHEMA).parquet(path)
+
+    def _latest_version(self, root: str, done: str = "_SUCCESS") -> str | None:
+        if not self._exists(root):
+            return None
+        fs, p = self._fs(root)
+        names = (s.getPath().getName() for s in fs.listStatus(p))
+        finished = [(int(n.split("=")[1]), n) for n in names if n.startswith("v=") and self._exists(f"{root}/{n}/{done}")]
+        return f"{root}/{max(finished)[1]}" if finished else None
+
+    def acks(self) -> DataFrame:
+        """Every attempt's acknowledgement: query, epoch, folder, changes, rows_processed
+        (applied), rejected (data errors), untracked, apply_ms, status, error, written
+        (the store's tables at that time)."""
+        old = self._archived()
+        return self._open_log() if old is None else self._open_log().unionByName(old)
 
     def committed_epochs(self) -> DataFrame:
         """One row per published micro-batch: query, epoch, folder."""
@@ -408,7 +434,8 @@ class TableStore:
 
     def rejects(self) -> DataFrame:
         """Rejected envelope changes of the published micro-batches, with their reason."""
-        paths = [p for f in self._folders() if self._exists(p := f"{self.root}/rejects/{f}")]
+        some = self.acks().where((F.col("status") == ACK_OK) & (F.col("rejected") > 0)).select("folder").distinct()
+        paths = [f"{self.root}/rejects/{r['folder']}" for r in some.collect()]  # batches with rejects only
         if not paths:
             return self.spark.createDataFrame([], ", ".join(f"{c} string" for c in REJECT_COLS))
         return self.spark.read.parquet(*paths)
@@ -427,27 +454,21 @@ class TableStore:
             F.max("epoch").alias("last_epoch"),
         )
 
-    def _folders(self) -> list[str]:
-        """Folders of published micro-batches (one short row per batch since ``vacuum``)."""
-        return [r["folder"] for r in self.committed_epochs().select("folder").distinct().collect()]
+    def _folders(self, name: str | None = None) -> list[str]:
+        """Folders of published micro-batches since ``vacuum`` (with a delta of table ``name``)."""
+        ok = self._open_log().where(F.col("status") == ACK_OK)
+        if name is not None:
+            ok = ok.where(F.array_contains(F.split("written", ","), name))
+        return [r["folder"] for r in ok.select("folder").distinct().collect()]
 
     def _has(self, name: str, folder: str) -> bool:
         return self._exists(self._delta(folder, name))
 
     def _versions(self, name: str) -> tuple[str | None, set[str]]:
         """Path of the latest finished base of ``name`` and the folders it covers."""
-        root = self._base(name)
-        if not self._exists(root):
-            return None, set()
-        fs, p = self._fs(root)
-        done = [
-            (int(n.split("=")[1]), n)
-            for n in (s.getPath().getName() for s in fs.listStatus(p))
-            if n.startswith("v=") and self._exists(f"{root}/{n}/covered/_SUCCESS")
-        ]
-        if not done:
+        path = self._latest_version(self._base(name), "covered/_SUCCESS")
+        if path is None:
             return None, set()
-        path = f"{root}/{max(done)[1]}"
         covered = self.spark.read.schema("folder string").json(f"{path}/covered")
         return f"{path}/rows", {r["folder"] for r in covered.collect()}
 
@@ -462,7 +483,9 @@ class TableStore:
         wins; keys the base does not have are added.
         """
         base_path, covered = self._versions(name)
-        folders = [f for f in [*self._folders(), *([extra] if extra else [])] if f not in covered and self._has(name, f)]
+        folders = [f for f in self._folders(name) if f not in covered]
+        if extra and self._has(name, extra):
+            folders.append(extra)
         base = self.spark.read.parquet(base_path) if base_path else None
         if base is None and not folders:
             raise FileNotFoundError(f"no data for table {name}")
@@ -510,14 +533,36 @@ class TableStore:
         covered.coalesce(1).write.json(f"{path}/covered")  # written last: publishes the base
         return len(folders)
 
+    def _archive(self, covered: set[str]) -> None:
+        """Acknowledgements of covered batches, and of failed attempts, into a new archive version."""
+        if not covered:
+            return
+        rows = self.spark.createDataFrame([(f,) for f in sorted(covered)], "folder string")
+        log = self._open_log()
+        moved = log.join(F.broadcast(rows), "folder", "left_semi").unionByName(log.where(F.col("status") != ACK_OK).select("folder", *[c for c in log.columns if c != "folder"]))
+        moved = moved.select(*log.columns)
+        old, last = self._archived(), self._latest_version(f"{self.root}/archive")
+        out = moved if old is None else old.unionByName(moved)
+        gone = [r["folder"] for r in moved.select("folder").distinct().collect()]
+        out.coalesce(1).write.parquet(f"{self.root}/archive/v={time.time_ns()}")  # published by its _SUCCESS file
+        for f in gone:
+            fs, p = self._fs(f"{self._log()}/{f}")
+            fs.delete(p, True)
+        if last:
+            fs, p = self._fs(last)
+            fs.delete(p, True)
+
     def vacuum(self) -> int:
-        """Delete delta folders that the current base of every table covers, and older bases.
+        """Delete delta folders that the current base of every table covers, and older bases;
+        their acknowledgements move from the log, one file per attempt, to one archive table.
 
-        Not to run beside readers that began before the last compaction. Returns the
-        number of folders deleted.
+        Reading a table then lists the batches since the last vacuum, however many there
+        have been. Not to run beside readers that began before the last compaction. Returns
+        the number of folders deleted.
         """
         current = {n: self._versions(n) for n in self.tables}
         covered = set.intersection(*[c for _, c in current.values()]) if current else set()
+        self._archive(covered)
         n = 0
         for f in sorted(covered):
             fs, p = self._fs(f"{self.root}/deltas/{f}")
