@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.catalog import REGISTRY, _hex, _with_changelog, changelog, read_log, register
+from tidemark.catalog import REGISTRY, _hex, _with_changelog, changelog, read_log, register, stored_log
 from tidemark.functions import mask
 from tidemark.functions.lsn import lsn_from_number, lsn_literal, lsns_to_hex
 from tidemark.operators import analytics, checksums, decode, history, merge, ranges, sketches, versions
@@ -337,3 +337,50 @@ def q_stream_append(spark, sf):
     failed = acks.where("status <> 'OK'").groupBy(F.col("status").alias("kind")).agg(F.lit(0).cast("bigint").alias("k"), F.count("*").alias("v"))
     done = acks.agg(F.lit("rows").alias("kind"), F.lit(0).cast("bigint").alias("k"), F.sum("rows_processed").alias("v"))
     return rows.unionByName(failed).unionByName(done)
+
+
+# ---------------------------------------------------------------- polled source ---
+
+
+@register(
+    "stream_poll",
+    _with_changelog()
+    + f"""select source, schema_name, table_name, {_hex('lsn_no')} as lsn, seqval, op, 1 as batches_of_lsn from changelog
+""",
+)
+def q_stream_poll(spark, sf):
+    """The stored log polled as a stream source, stopped after some batches and resumed from its
+    checkpoint: every change once, and no LSN of a source in two batches."""
+    from tidemark.sources.poll import NAME, register_poll
+
+    register_poll(spark)
+    log = read_log(spark, sf)
+    size = log.groupBy("source").count().agg(F.max("count")).first()[0] // 4 + 1
+    root, path = scratch_dir(spark, "stream_poll"), stored_log(spark, sf)
+    stops = iter((2, None))
+
+    def run(stop):
+        seen = []
+
+        def keep(batch, epoch):
+            if stop is not None and len(seen) == stop:
+                raise InterruptedError("stopped half-way")
+            seen.append(epoch)
+            batch.withColumn("epoch", F.lit(epoch)).write.mode("overwrite").parquet(f"{root}/out/epoch={epoch}")
+
+        polled = spark.readStream.format(NAME).option("path", path).option("batch_size", size).option("position", f"{root}/position").load()
+        q = polled.writeStream.foreachBatch(keep).option("checkpointLocation", f"{root}/checkpoint").start()
+        try:
+            q.processAllAvailable()
+        except Exception as e:  # noqa: BLE001
+            if "stopped half-way" not in str(e):
+                raise
+        finally:
+            q.stop()
+
+    for stop in stops:
+        run(stop)
+    out = spark.read.option("recursiveFileLookup", "true").parquet(f"{root}/out")
+    per_lsn = out.groupBy("source", "lsn").agg(F.countDistinct("epoch").cast("int").alias("batches_of_lsn"))
+    rows = out.join(per_lsn, ["source", "lsn"])
+    return lsns_to_hex(rows.select("source", "schema_name", "table_name", "lsn", "seqval", "op", "batches_of_lsn"), "lsn")
