@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,6 +52,15 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of frames that nobody holds any more.
+
+    It does so when the driver's JVM collects garbage, which by itself may be long after.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 ARROW_BYTES, ARROW_DEFAULT = 8 << 20, 64 << 20
 
 

@@ -49,7 +49,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WordHash, bounded_batches, materialise, mix64, shingles, table, text_bytes
+from tidemark.llm.common import WordHash, bounded_batches, materialise, mix64, release, shingles, table, text_bytes
 from tidemark.llm.editdist import close, within
 from tidemark.llm.graph import components, star_edges
 from tidemark.llm.neardup import cross, edge_batch, members_of
@@ -411,18 +411,19 @@ def line_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def near_lines(docs: DataFrame, edits: int = EDITS, share: int | None = None) -> DataFrame:
     """Edges (a, b) of line hashes that connect every two near lines: within ``edits`` bytes, or by ``share``."""
-    keys = filed(docs, edits, share)
-    shared = materialise(
-        keys.groupBy("key").agg(F.min("line").alias("a"), F.max("line").alias("b")).where("a <> b").select("key"),
-        "line-keys",
-    )
+    spark = docs.sparkSession
+    held = F.min("line").alias("a"), F.max("line").alias("b")
+    shared = materialise(filed(docs, edits, share).groupBy("key").agg(*held).where("a <> b").select("key"), "line-keys")
+    release(spark)
     again = filed(docs, edits, share, key_filter(shared))
     members = materialise(again.join(shared, "key").distinct(), "line-members")
     texts = materialise(line_texts(docs, members.select("line").distinct()), "line-texts")
+    release(spark)
     early = F.pmod("key", F.lit(FIRST)) == 0
     alone = F.col("line").alias("root")
     first = materialise(compared(members.where(early).select("key", "line", alone), texts, edits, share), "line-links")
-    roots = components(first).select(F.col("id").alias("_id"), F.col("root").alias("_root"))
+    roots = materialise(components(first).select(F.col("id").alias("_id"), F.col("root").alias("_root")), "line-roots")
+    release(spark)
     later = members.where(~early).join(roots, F.col("line") == F.col("_id"), "left")
     rest = compared(later.select("key", "line", F.coalesce("_root", "line").alias("root")), texts, edits, share)
     return first.union(rest)
@@ -523,7 +524,9 @@ def removals(docs: DataFrame, edits: int = EDITS, share: int | None = None) -> D
     """(doc_id, gone): the line hashes that leave each document altogether."""
     seen = materialise(occurrences(docs), "line-seen")
     classes = seen.groupBy("line").agg(F.min("doc_id").alias("first"), F.count("*").alias("docs"))
-    roots = components(near_lines(docs, edits, share))
+    edges = materialise(near_lines(docs, edits, share), "line-edges")
+    release(docs.sparkSession)
+    roots = components(edges)
     grouped = classes.join(roots, classes["line"] == roots["id"], "left").where("docs > 1 OR root IS NOT NULL")
     grouped = materialise(
         grouped.select("line", "first", F.coalesce("root", "line").alias("root")), "line-classes"
