@@ -112,3 +112,18 @@ def test_positions_compare_as_binary(spark):
     """Cursors of versions are compared unsigned: 0xFF.. lies after 0x00.. ."""
     df = spark.createDataFrame([("a", bytearray(b"\xff\x00")), ("a", bytearray(b"\x01\x00"))], "s string, b binary")
     assert bytes(df.groupBy("s").agg(F.max(F.struct("b")).alias("m")).first().m.b) == b"\xff\x00"
+
+
+def test_processors_travel_without_the_package():
+    """Spark's workers beside the driver do not see the driver's path."""
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    from tidemark.sources.poll import PollSource
+
+    for thing in (state.CursorFrontier((1, 1)), state.DeliveredRuns(3), state.UpdatePairs(None, 5), PollSource):
+        code = "import sys, pickle; print(type(pickle.loads(sys.stdin.buffer.read())))"
+        out = subprocess.run([sys.executable, "-c", code], input=cloudpickle.dumps(thing), cwd="/", capture_output=True, env={})
+        assert out.returncode == 0, out.stderr.decode()[-500:]

@@ -22,6 +22,7 @@ file system it knows.
 from __future__ import annotations
 
 import json
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 from urllib.parse import unquote
@@ -30,6 +31,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import pyarrow.parquet as pq
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
@@ -210,3 +212,8 @@ def keys_of(path: str) -> tuple:
 def register_poll(spark: SparkSession) -> None:
     """Make the format known to the session."""
     spark.dataSource.register(PollSource)
+
+
+# Spark also starts Python workers beside the driver for these, which get neither its path nor
+# its shipped files: the reader travel whole, not by module name
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

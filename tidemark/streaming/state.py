@@ -10,9 +10,11 @@ All three are keyed processors (``transformWithState``) whose state is what is s
 
 from __future__ import annotations
 
+import sys
 from bisect import bisect_right
 from collections.abc import Iterator
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -330,3 +332,8 @@ def pair_stream(changes: DataFrame, wait_ms: int, buckets: int = BUCKETS) -> Dat
     out.append(T.StructField("pairing", T.StringType()))
     pairs = UpdatePairs(T.StructType(fields), wait_ms)
     return images.groupBy("_bucket").transformWithState(pairs, T.StructType(out), "append", "processingTime")
+
+
+# Spark also starts Python workers beside the driver for these, which get neither its path nor
+# its shipped files: the processors travel whole, not by module name
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
