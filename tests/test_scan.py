@@ -5,7 +5,7 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidemark.plans.scan import Lag, Last, Sum, ordered_scan
+from tidemark.plans.scan import Lag, Last, Lead, Sum, ordered_scan
 
 rows_st = st.lists(
     st.tuples(
@@ -28,6 +28,7 @@ def reference(df, group, order):
         (F.coalesce(F.sum("v").over(upto), F.lit(0)) - F.coalesce(F.col("v"), F.lit(0))).alias("s_ex"),
         F.last("v", ignorenulls=True).over(upto).alias("l"),
         F.lag("v").over(w).alias("lg"),
+        F.lead("v").over(w).alias("ld"),
     )
 
 
@@ -36,7 +37,7 @@ def scanned(df, group, order, blocks):
         df,
         group,
         order,
-        [Sum("v", "s_in"), Sum("v", "s_ex", inclusive=False), Last("v", "l"), Lag("v", "lg")],
+        [Sum("v", "s_in"), Sum("v", "s_ex", inclusive=False), Last("v", "l"), Lag("v", "lg"), Lead("v", "ld")],
         blocks=blocks,
     )
 
@@ -51,7 +52,7 @@ def test_scan_matches_window(spark, rows, blocks, grouped):
     got = sorted(
         (tuple(r)
         for r in scanned(df, group, ["o"] if grouped else ["g", "o"], blocks)
-        .select("g", "o", "v", "s_in", "s_ex", "l", "lg")
+        .select("g", "o", "v", "s_in", "s_ex", "l", "lg", "ld")
         .collect()),
         key=key,
     )
