@@ -26,7 +26,8 @@ from tidemark.session import ensure_checkpoint_dir
 
 CAPTURE = ("source", "schema_name", "table_name")
 ZERO_LSN = 0
-MAX_BRANCHES = 64
+MAX_BRANCHES = 64  # sources whose bounds become constants of the plan
+SCANS = 8
 TOP_N_LSNS = 1_000_000  # LSNs of one group that a single task ranks
 
 
@@ -86,27 +87,51 @@ def effective_start(captures: DataFrame, cursors: DataFrame) -> DataFrame:
     )
 
 
+def _scans(changes: DataFrame, rows: list[tuple[str, bytes | None, bytes | None]], others: bool) -> DataFrame:
+    """Changes with ``low < lsn <= high`` of each (source, low, high); a null bound is open.
+
+    Sources with close bounds share a scan, ``SCANS`` at most: each scan prunes the other
+    sources' directories and skips row groups by the loosest bounds of its own sources, so a
+    source that lags, or has no cursor yet, does not make the others' files be read again. The
+    exact bounds are one disjunction per scan: predicates grow with the sources, scans do
+    not. ``others``: keep sources that are not named.
+    """
+    source, lsn = F.col("source"), F.col("lsn")
+
+    def bounds(low: bytes | None, high: bytes | None) -> Column:
+        out = F.lit(True) if low is None else lsn > lsn_literal(low)
+        return out if high is None else out & (lsn <= lsn_literal(high))
+
+    out = []
+    for open_ in (False, True):  # sources without a lower bound read from the beginning: apart
+        mine = sorted((r for r in rows if (r[1] is None) == open_), key=lambda r: (r[1] or b"", r[2] or b""))
+        wide = -(-len(mine) // max(1, SCANS // 2 if any((r[1] is None) != open_ for r in rows) else SCANS))
+        for k in range(0, len(mine), max(1, wide)):
+            part = mine[k : k + wide]
+            low = None if open_ else min(r[1] for r in part)
+            high = None if any(r[2] is None for r in part) else max(r[2] for r in part)
+            scan = changes.where(source.isin(*[r[0] for r in part])).where(bounds(low, high))
+            if len(part) > 1:
+                scan = scan.where(functools.reduce(Column.__or__, [(source == s) & bounds(a, b) for s, a, b in part]))
+            out.append(scan)
+    if others:
+        out.append(changes.where(~source.isin(*[r[0] for r in rows]) | source.isNull()) if rows else changes)
+    return functools.reduce(DataFrame.unionByName, out) if out else changes.where(F.lit(False))
+
+
 def _bounded(changes: DataFrame, bounds: DataFrame, col: str, after: bool, others: bool) -> DataFrame:
-    """Changes after (or up to) each source's bound, in one filter over one scan.
+    """Changes after (or up to) each source's bound.
 
-    ``bounds`` has one small row per source. Up to ``MAX_BRANCHES`` sources become one
-    disjunction of constant predicates on ``source`` and ``lsn``: the stored log prunes the
-    other sources' directories and skips row groups by LSN, and the plan grows by one
-    predicate per source. With more sources the bounds are joined, and the loosest one is
-    pushed as a constant. ``others``: keep sources without a bound.
+    ``bounds`` has one small row per source. The bounds of up to ``MAX_BRANCHES`` sources
+    become constants of a few scans (``_scans``); with more sources they are joined, and the
+    loosest one is pushed as a constant. ``others``: keep sources without a bound.
     """
     rows = bounds.select("source", col).where(F.col("source").isNotNull()).limit(MAX_BRANCHES + 1).collect()
-    lsn, source = F.col("lsn"), F.col("source")
-    past = (lambda v: lsn > v) if after else (lambda v: lsn <= v)
     if len(rows) <= MAX_BRANCHES:
-        known = {r["source"]: bytes(r[col]) for r in rows if r[col] is not None}
-        if not known:
-            return changes if others else changes.where(F.lit(False))
-        each = [(source == s) & past(lsn_literal(v)) for s, v in known.items()]
-        if others:
-            return changes.where(functools.reduce(Column.__or__, [*each, ~source.isin(*known), source.isNull()]))
-        loosest = lsn_literal((min if after else max)(known.values()))
-        return changes.where(source.isin(*known)).where(past(loosest)).where(functools.reduce(Column.__or__, each))
+        known = [(r["source"], bytes(r[col])) for r in rows if r[col] is not None]
+        return _scans(changes, [(s, v, None) if after else (s, None, v) for s, v in known], others)
+    lsn = F.col("lsn")
+    past = (lambda v: lsn > v) if after else (lambda v: lsn <= v)
     j = changes.join(bounded_broadcast(bounds.select("source", col)), "source", "left" if others else "inner")
     keep = past(F.col(col))
     if others:
@@ -115,6 +140,20 @@ def _bounded(changes: DataFrame, bounds: DataFrame, col: str, after: bool, other
     return j.where(keep).where(past(lsn_literal(bytes(loosest)))).drop(col)
 
 
+def between(changes: DataFrame, cursors: DataFrame | None, cuts: DataFrame) -> DataFrame:
+    """Changes after each source's cursor and up to its ``cut_lsn``; sources without a cut give
+    none, those without a cursor are read from their beginning."""
+    if cursors is None:
+        return up_to(changes, cuts)
+    own = bounded_broadcast(_one_cursor_per_source(cursors))
+    both = cuts.select("source", "cut_lsn").join(own, "source", "left").where(F.col("source").isNotNull() & F.col("cut_lsn").isNotNull())
+    rows = both.limit(MAX_BRANCHES + 1).collect()
+    if len(rows) > MAX_BRANCHES:
+        return up_to(after_cursor(changes, cursors), cuts)
+    at = lambda v: None if v is None else bytes(v)
+    return _scans(changes, [(r["source"], at(r["cursor_lsn"]), at(r["cut_lsn"])) for r in rows], others=False)
+
+
 def up_to(changes: DataFrame, cuts: DataFrame) -> DataFrame:
     """Changes up to each source's ``cut_lsn``; sources without one give none."""
     return _bounded(changes, cuts, "cut_lsn", after=False, others=False)
@@ -184,7 +223,10 @@ def poll_changes(
     find the cuts, and one of the rows between cursor and cut.
     """
     pending = after_cursor(changes, cursors)
-    return pending if batch_size is None else limit_batch(pending, batch_size)
+    if batch_size is None:
+        return pending
+    cuts = _written(_cuts(pending, batch_size, ["source"]).select("source", "cut_lsn"))
+    return between(changes, cursors, cuts)
 
 
 def safe_high_water(
@@ -212,9 +254,8 @@ def poll_per_capture(
 ) -> DataFrame:
     """Per-capture bounded read, trimmed to the safe high-water mark (no capture loses
     changes below the mark; everything above it is read again next poll)."""
-    pending = after_cursor(changes, cursors)
-    hw = _written(safe_high_water(changes, cursors, batch_size).select("source", "high_water_lsn"))
-    return _bounded(pending, hw, "high_water_lsn", after=False, others=False)
+    hw = _written(safe_high_water(changes, cursors, batch_size).select("source", F.col("high_water_lsn").alias("cut_lsn")))
+    return between(changes, cursors, hw)
 
 
 MAX_CAPTURES = 512

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.errors import error_status
 from tidemark.model import ACK_OK
 from tidemark.operators.batches import EMPTY_POLL, SKIPPED
-from tidemark.operators.ranges import after_cursor, poll_cursor, up_to
+from tidemark.operators.ranges import between, poll_cursor
 from tidemark.session import ensure_checkpoint_dir
 from tidemark.streaming.apply import TableStore
 from tidemark.streaming.state import SENT
@@ -144,7 +144,7 @@ def sync(
         # exactly the rows up to the cuts that are going to be the cursors: one plan would
         # cut again, over a log that may have grown in the meantime
         bounds = spark.createDataFrame([*cuts.items()], "source string, cut_lsn binary")
-        batch = up_to(after_cursor(log, at_cursors if before else None), bounds)
+        batch = between(log, at_cursors if before else None, bounds)
         journal.record([(p["source"], ident, SENT, cuts[p["source"]], int(p["polled"]), at, None) for p in found])
         status, error = ACK_OK, None
         try:
