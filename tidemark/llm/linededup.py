@@ -26,9 +26,7 @@ of them has fewer than ``2 * SHARE`` words, at most ``FEW`` UTF-8 bytes (Levensh
    Every pair is verified on the whole lines by the banded bit-parallel edit distance, of
    bytes or of word ids (beyond 31 edits, and for a handful of pairs, by furthest-reaching
    diagonals, which give the same answer).
-4. An eighth of the keys is worked first. Lines that it has connected are not compared with
-   each other under the other keys, and keys whose lines are all connected are dropped.
-5. Components of the verified links choose the line that stays.
+4. Components of the verified links choose the line that stays.
 
 Edge cases: null and empty texts, and texts without a word, pass unchanged (``n_lines`` 0);
 lines without a word stay where they are while the document keeps another line; a
@@ -60,11 +58,9 @@ SHORT = 20
 SHARE = 10  # words per word edit
 FEW = 2  # byte edits of lines with few words
 BAG = 64
-FILTER_BITS = 27  # 16 MB
 LADDER = 3  # word edits up to which all admissible positions are probed
 BLOCK = 256
 BLOCK_BYTES = 4 << 20
-FIRST = 8  # one key of so many is worked first
 SEVERAL = 48  # pairs from which the bit-parallel distance is the faster one
 PIECE = 1 << 20  # bytes of lines hashed at once
 SEEN = 1 << 17  # line hashes a task remembers, to file a repeated line once
@@ -346,50 +342,13 @@ def occurrences(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", text_bytes().alias("_text")).mapInArrow(run, f"doc_id {kind}, line long")
 
 
-def key_place(keys: np.ndarray) -> np.ndarray:
-    """A key's place in the key filter: its leading bits."""
-    return (keys.view(np.uint64) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
-
-
-def key_filter(shared: DataFrame):
-    """Broadcast bitmap of the keys' leading bits: 2^FILTER_BITS bits, however many keys there are.
-
-    It lets the second filing leave out, before the shuffle, keys that are not shared; the
-    join afterwards decides.
-    """
-    chunk, inside = F.shiftrightunsigned("key", 64 - FILTER_BITS + 16), F.shiftrightunsigned("key", 64 - FILTER_BITS).bitwiseAND(F.lit(0xFFFF))
-
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, np.ndarray] = {}
-        for b in batches:
-            at, bit = b.column("chunk").to_numpy(), b.column("bit").to_numpy()
-            for c in np.unique(at):
-                held.setdefault(int(c), np.zeros(1 << 16, dtype=bool))[bit[at == c]] = True
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(held), pa.int64()), pa.array([np.packbits(x).tobytes() for x in held.values()], pa.binary())], names=["chunk", "bits"]
-        )
-
-    places = shared.select(chunk.alias("chunk"), inside.alias("bit")).repartition("chunk")
-    bits = np.zeros((1 << (FILTER_BITS - 16), 1 << 13), dtype=np.uint8)
-    for r in places.mapInArrow(mark, "chunk long, bits binary").toLocalIterator():
-        bits[r["chunk"]] = np.frombuffer(r["bits"], np.uint8)
-    return shared.sparkSession.sparkContext.broadcast(bits.reshape(-1))
-
-
-def filed(docs: DataFrame, edits: int, share: int | None, only=None) -> DataFrame:
-    """(key, line): segments filed and probed, a repeated line once per task or more.
-
-    ``only``: a ``key_filter`` that the keys must pass.
-    """
+def filed(docs: DataFrame, edits: int, share: int | None) -> DataFrame:
+    """(key, line): segments filed and probed, a repeated line once per task or more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHash()
         for lines, hashes in pieces(texts_of(batches)):
             which, keys = all_keys(lines, edits, share, words)
-            if only is not None:
-                at = key_place(keys)
-                passed = (only.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
-                which, keys = which[passed], keys[passed]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys), pa.array(np.array(hashes, dtype=np.int64)[which])], names=["key", "line"]
             )
@@ -415,18 +374,11 @@ def near_lines(docs: DataFrame, edits: int = EDITS, share: int | None = None) ->
     held = F.min("line").alias("a"), F.max("line").alias("b")
     shared = materialise(filed(docs, edits, share).groupBy("key").agg(*held).where("a <> b").select("key"), "line-keys")
     release(spark)
-    again = filed(docs, edits, share, key_filter(shared))
-    members = materialise(again.join(shared, "key").distinct(), "line-members")
-    texts = materialise(line_texts(docs, members.select("line").distinct()), "line-texts")
+    members = materialise(filed(docs, edits, share).join(shared, "key").distinct(), "line-members")
     release(spark)
-    early = F.pmod("key", F.lit(FIRST)) == 0
-    alone = F.col("line").alias("root")
-    first = materialise(compared(members.where(early).select("key", "line", alone), texts, edits, share), "line-links")
-    roots = materialise(components(first).select(F.col("id").alias("_id"), F.col("root").alias("_root")), "line-roots")
+    texts = materialise(line_texts(docs, members.select("line").distinct()), "line-texts")
     release(spark)
-    later = members.where(~early).join(roots, F.col("line") == F.col("_id"), "left")
-    rest = compared(later.select("key", "line", F.coalesce("_root", "line").alias("root")), texts, edits, share)
-    return first.union(rest)
+    return compared(members.select("key", "line", F.col("line").alias("root")), texts, edits, share)
 
 
 def length_class(size: Column, share: int | None) -> Column:
@@ -440,7 +392,7 @@ def length_class(size: Column, share: int | None) -> Column:
 
 
 def compared(members: DataFrame, texts: DataFrame, edits: int, share: int | None) -> DataFrame:
-    """Edges among the ``members`` (key, line, root) of each key with lines of several roots."""
+    """Edges among the ``members`` (key, line, root) of each key; lines of one root need none."""
     counted = members.groupBy("key").agg(
         F.count("*").alias("n"), F.min("line").alias("a"), F.max("line").alias("b"), F.bit_xor(F.xxhash64("line")).alias("same"),
         F.min("root").alias("low"), F.max("root").alias("high"),
