@@ -1088,10 +1088,15 @@ def q_reconcile(spark, sf):
 
 
 def _write_files(df: DataFrame, path: str) -> None:
-    """Stage a changelog as files by LSN range: 100,000 rows each, six at least, so that
-    the stream sees several micro-batches."""
-    files = max(6, df.count() // 100_000)
-    df.repartitionByRange(files, "lsn", "seqval").write.mode("overwrite").parquet(path)
+    """Stage a changelog as files by LSN range: ``STAGED_ROWS`` rows each, six at least, so
+    that the stream sees several micro-batches."""
+    files = max(6, df.count() // STAGED_ROWS)
+    out = df.repartitionByRange(files, "lsn", "seqval").write.mode("overwrite")
+    out.option("parquet.block.size", STAGED_GROUP).parquet(path)
+STAGED_ROWS = 2_000_000  # rows of a staged file: what a micro-batch costs beside its rows stays small
+STAGED_GROUP = 8 << 20  # bytes of its row groups: the tasks of a micro-batch share a file
+
+
 
 
 def _staged_stream(spark, df: DataFrame, name: str, per_trigger: int = 2):

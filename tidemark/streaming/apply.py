@@ -54,13 +54,15 @@ from tidemark.operators.merge import (
     reject_reason,
     table_columns,
 )
-from tidemark.plans.joins import bounded_broadcast
+from tidemark.plans.joins import DEFAULT_MAX_BROADCAST_ROWS
+from tidemark.plans.scan import default_blocks
 
 ACK_SCHEMA = (
     "query string, epoch long, folder string, changes long, rows_processed long, rejected long, "
     "untracked long, apply_ms long, status string, error string, written string"
 )
 REJECT_COLS = ["source", "schema_name", "table_name", *ORDER_COLS, "pk_json", "row_json", "reject_reason"]
+ROWS_PER_BLOCK = 1_000_000  # changes of an "append" batch that one task looks through
 TARGETS_PER_JOB = 32  # envelope targets written by one job: bounds the size of one plan
 ADHOC = "adhoc"
 
@@ -174,7 +176,7 @@ class TableStore:
             if self._is_envelope(name)
         ]
         t = self.spark.createDataFrame(rows, "_src string, _sch string, _tbl string, target string")
-        return bounded_broadcast(t)
+        return F.broadcast(t) if len(rows) <= DEFAULT_MAX_BROADCAST_ROWS else t
 
     def _routed(self, batch: DataFrame) -> DataFrame:
         """Envelope changes with their ``target`` (null: untracked).
@@ -224,29 +226,28 @@ class TableStore:
 
     # -------------------------------------------------------------- writing -------
     def _write_envelope(self, batch: DataFrame, folder: str, seen: dict[str, int]) -> None:
-        routed = self._routed(batch).persist()
+        routed = self._routed(batch).persist()  # each target reads it
         try:
-            untracked = Observation()
-            lost = routed.where(F.col("target").isNull()).observe(untracked, F.count(F.lit(1)).alias("n"))
-            lost.write.format("noop").mode("overwrite").save()
-            seen["untracked"] += untracked.get["n"]
+            told = Observation()  # one job keeps the routed rows and counts them
+            routed.observe(
+                told, F.count(F.lit(1)).alias("changes"), F.count(F.when(F.col("target").isNull(), F.lit(1))).alias("untracked")
+            ).write.format("noop").mode("overwrite").save()
+            seen["changes"] = told.get["changes"]
+            seen["untracked"] += told.get["untracked"]
             names = [n for n in self.tables if self._is_envelope(n)]
             for lo in range(0, len(names), TARGETS_PER_JOB):
                 rejects = None
                 for name in names[lo : lo + TARGETS_PER_JOB]:
                     d = self._decoded(routed, name)
-                    good = d.where(F.col("reject_reason").isNull())
                     counted = Observation()
-                    good = good.observe(counted, F.count(F.lit(1)).alias("n")).select("source", *ORDER_COLS, "_row.*")
-                    key = self._key(name)
-                    if not self._keeps_source(name):
-                        good = good.drop("source")
-                    self._refuse_conflicts(name, good)
-                    latest = latest_per_key(good, key, keep_deletes=True)
+                    good = self._good(d, name, counted)
+                    self._refuse_conflicts(name, self._good(d, name), seen["changes"])
+                    latest = latest_per_key(good, self._key(name), keep_deletes=True)
                     latest.write.parquet(self._delta(folder, name))
-                    seen["rows"] += counted.get["n"]
-                    bad = d.where(F.col("reject_reason").isin(*DATA_ERRORS)).select(*REJECT_COLS)
-                    rejects = bad if rejects is None else rejects.unionByName(bad)
+                    seen["rows"] += counted.get["rows"]
+                    if counted.get["bad"]:
+                        bad = _judged(d).where(F.col("reject_reason").isin(*DATA_ERRORS)).select(*REJECT_COLS)
+                        rejects = bad if rejects is None else rejects.unionByName(bad)
                 if rejects is not None:
                     n = Observation()
                     rejects.observe(n, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(
@@ -256,6 +257,11 @@ class TableStore:
         finally:
             routed.unpersist()
 
+    def _good(self, decoded: DataFrame, name: str, counted: Observation | None = None) -> DataFrame:
+        """The rows of a target that can be applied."""
+        good = _judged(decoded, counted).where(F.col("reject_reason").isNull()).select("source", *ORDER_COLS, "_row.*")
+        return good if self._keeps_source(name) else good.drop("source")
+
     def _write_typed(self, batch: DataFrame, folder: str, seen: dict[str, int]) -> None:
         names = [n for n in self.tables if not self._is_envelope(n)]
         told = "table_name" in batch.columns
@@ -273,7 +279,7 @@ class TableStore:
                 F.count(F.when(reason.isin(*DATA_ERRORS), F.lit(1))).alias("bad"),
                 F.count(F.when(reason.isNull(), F.lit(1))).alias("rows"),
             )
-            self._refuse_conflicts(name, mine.where(reason.isNull()))
+            self._refuse_conflicts(name, mine.where(reason.isNull()), seen["changes"])
             d = latest_per_key(counted, spec.pk, keep_deletes=True)
             d.write.parquet(self._delta(folder, name))
             seen["rejected"] += n.get["bad"]
@@ -286,11 +292,12 @@ class TableStore:
         if rejects is not None:
             rejects.write.mode("append").parquet(f"{self.root}/rejects/{folder}")
 
-    def _refuse_conflicts(self, name: str, changes: DataFrame) -> None:
+    def _refuse_conflicts(self, name: str, changes: DataFrame, n: int) -> None:
         """Raise if the changes of an "append" table insert a key that is live at that moment.
 
         The keys' histories inside the batch and their state before it decide: deleting and
-        inserting again is no conflict.
+        inserting again is no conflict. ``n``, the changes of the batch, sets the number of
+        blocks that are looked through, so that one block's size does not grow with a batch.
         """
         if self.tables[name].mode != "append":
             return
@@ -300,7 +307,7 @@ class TableStore:
             live = self._typed(name).select(*key)
         except FileNotFoundError:  # the table's first batch
             live = None
-        hist = key_history(narrow, live, key)
+        hist = key_history(narrow, live, key, blocks=max(default_blocks(narrow), n // ROWS_PER_BLOCK))
         row = hist.where(F.col("op").isin(*UPSERT_OPS) & F.col("live_before")).limit(1).collect()
         if row:
             raise AppendConflict(f"duplicate key in {name}: {row[0].asDict()}")
@@ -334,12 +341,12 @@ class TableStore:
         folder = self._folder(query, int(epoch), uuid.uuid4().hex[:12])
         started = time.monotonic()
         seen = {"changes": 0, "rows": 0, "rejected": 0, "untracked": 0}
-        batch = batch.persist()  # each target reads it
         try:
-            seen["changes"] = batch.count()
             if "row_json" in batch.columns:
                 self._write_envelope(batch, folder, seen)
             else:
+                batch = batch.persist()  # each target reads it
+                seen["changes"] = batch.count()
                 self._write_typed(batch, folder, seen)
             if (child := self._orphaned(folder)) is not None:
                 raise ForeignKeyViolation(f"epoch {epoch}: orphans in {child}")
@@ -347,7 +354,8 @@ class TableStore:
             self._acknowledge(query, epoch, folder, seen, started, error_status(str(e)), f"{type(e).__name__}: {e}"[:2000])
             raise
         finally:
-            batch.unpersist()
+            if "row_json" not in batch.columns:
+                batch.unpersist()
         self._acknowledge(query, epoch, folder, seen, started, ACK_OK, None)
         return seen
 
@@ -576,6 +584,20 @@ class TableStore:
         return n
 
 
+def _judged(decoded: DataFrame, counted: Observation | None = None) -> DataFrame:
+    """Decoded changes, counted by what becomes of them.
+
+    The count also keeps a filter by ``reject_reason`` above the decoding: pushed below it,
+    the filter would repeat the parsing of the JSON for every use of a field.
+    """
+    reason = F.col("reject_reason")
+    return decoded.observe(
+        Observation() if counted is None else counted,
+        F.count(F.when(reason.isNull(), F.lit(1))).alias("rows"),
+        F.count(F.when(reason.isin(*DATA_ERRORS), F.lit(1))).alias("bad"),
+    )
+
+
 def last_position(rows: DataFrame, key: Sequence[str]) -> DataFrame:
     """Per key the row with the greatest position, deletes included."""
     rest = [c for c in rows.columns if c not in key]
