@@ -56,9 +56,8 @@ def rules_of(
     return spark.createDataFrame(rows, RULES)
 
 
-def _fault(rule: Column, fields: Column, given: Column) -> Column:
-    """What is wrong with a field by its rule: a reason, or null."""
-    text = F.element_at(fields, rule["column"])
+def _fault(rule: Column, text: Column, given: Column) -> Column:
+    """What is wrong with a field's text by its rule: a reason, or null."""
     kind = rule["kind"]
     whole = text.try_cast("decimal(38,0)")
     bound = F.lit(None).cast("bigint")
@@ -114,10 +113,13 @@ def decode_many(changes: DataFrame, rules: DataFrame) -> DataFrame:
     j = changes.where(F.col("op").isin(*UPSERT_OPS, OP_DELETE)).join(b, same, "left").drop(*[f"_{c}" for c in ENVELOPE_KEY])
     is_delete = F.col("op") == OP_DELETE
     src = F.when(is_delete, F.coalesce("pk_json", "row_json")).otherwise(F.col("row_json"))
-    j = j.withColumn("_text", src).withColumn("_fields", F.from_json("_text", "map<string,string>")).withColumn("payload", F.try_parse_json("_text"))
+    tracked = F.col("target").isNotNull()
+    fields = F.when(tracked, F.from_json("_text", "map<string,string>"))  # of no use without rules
+    j = j.withColumn("_text", src).withColumn("_fields", fields).withColumn("_parsed", F.when(tracked, F.try_parse_json("_text")))
     tested = F.filter("_rules", lambda r: ~is_delete | r["is_key"])
+    tested = F.transform(tested, lambda r: F.struct(r.alias("rule"), F.element_at("_fields", r["column"]).alias("text")))
     faults = F.filter(
-        F.transform(tested, lambda r: F.struct(r["column"].alias("column"), _fault(r, F.col("_fields"), ~is_delete).alias("reason"))),
+        F.transform(tested, lambda t: F.struct(t["rule"]["column"].alias("column"), _fault(t["rule"], t["text"], ~is_delete).alias("reason"))),
         lambda x: x["reason"].isNotNull(),
     )
     j = j.withColumn("_fault", F.get(faults, F.lit(0)))
@@ -125,18 +127,21 @@ def decode_many(changes: DataFrame, rules: DataFrame) -> DataFrame:
     reason = (
         F.when(F.col("target").isNull(), F.lit(UNTRACKED))
         .when(empty, F.when(is_delete, F.lit(EMPTY_KEY)).otherwise(F.lit(EMPTY_ROW)))
-        .when(F.col("payload").isNull() | F.col("_fields").isNull(), F.lit(MALFORMED_ROW))
+        .when(F.col("_parsed").isNull() | F.col("_fields").isNull(), F.lit(MALFORMED_ROW))
         .otherwise(F.col("_fault")["reason"])
     )
     kept = [c for c in changes.columns]
-    return j.select(
-        *kept, "target", reason.alias("reject_reason"), F.when(reason.eqNullSafe(F.col("_fault")["reason"]), F.col("_fault")["column"]).alias("fault_column"), "payload"
-    )
+    # a filter by reason stays above the generator: pushed below the parsing it would repeat
+    # the JSON of a row for every use of a field
+    j = j.select(*[c for c in j.columns if c != "_fault"], F.inline(F.array(F.struct(reason.alias("reject_reason"), F.col("_fault").alias("_fault")))))
+    fault = F.when(F.col("reject_reason").eqNullSafe(F.col("_fault")["reason"]), F.col("_fault")["column"])
+    payload = F.when(F.col("target").isNull(), F.try_parse_json("_text")).otherwise(F.col("_parsed"))
+    return j.select(*kept, "target", "reject_reason", fault.alias("fault_column"), payload.alias("payload"))
 
 
 def write_many(decoded: DataFrame, path: str) -> None:
     """Store the good rows of every target by one job, partitioned by target."""
-    good = decoded.where(F.col("reject_reason").isNull())
+    good = decoded.where(F.col("target").isNotNull()).where(F.col("reject_reason").isNull())
     good.select("target", "source", *ORDER_COLS, "payload").write.mode("append").partitionBy("target").parquet(path)
 
 
