@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.catalog import REGISTRY, _hex, _with_changelog, changelog, read_log, register, stored_log
+from tidemark.catalog import REGISTRY, STAGED_ROWS, _hex, _with_changelog, changelog, read_log, register, stored_log
 from tidemark.functions import mask
 from tidemark.functions.lsn import lsn_from_number, lsn_literal, lsns_to_hex
 from tidemark.operators import analytics, checksums, decode, history, merge, ranges, sketches, versions
@@ -323,10 +323,11 @@ def q_stream_append(spark, sf):
     tens, twenties = own.where("o_orderkey % 10 = 0"), own.where("o_orderkey % 20 = 0")
     root = scratch_dir(spark, "stream_append")
     parts = [at(1, 2, own), at(2, 1, tens).unionByName(at(3, 2, twenties, 1))]
+    files = own.count() // STAGED_ROWS + 1  # of a part: one micro-batch, a key in one file
     for n, part in enumerate(parts):
-        part.coalesce(1).write.parquet(f"{root}/in/part={n}")
+        part.repartition(files, "o_orderkey").write.parquet(f"{root}/in/part={n}")
     store = TableStore(spark, f"{root}/store", {"orders": TableSpec("orders", ("o_orderkey",), mode="append")})
-    stream = stream_changes(spark, f"{root}/in/part=*", parts[0].schema, max_files_per_trigger=1)
+    stream = stream_changes(spark, f"{root}/in/part=*", parts[0].schema, max_files_per_trigger=files)
     start_apply(stream, store, f"{root}/checkpoint").awaitTermination()
     try:
         store.apply_batch(at(4, 1, tens).unionByName(at(5, 2, own.where("o_orderkey % 50 = 1"), 7)), 0, "conflict")
