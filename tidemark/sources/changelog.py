@@ -8,14 +8,17 @@ pushes ``lsn >= a AND lsn <= b`` into the Parquet scan (row-group min/max skippi
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.envelope import encode_changes
 from tidemark.model import ORDER_COLS
 from tidemark.operators.ranges import read_changes
 
 PARTITION_COLS = ("source", "schema_name", "table_name")
+FILE_ROWS = 2_000_000  # rows of a capture that one task sorts, at most about
 
 
 def write_changelog(
@@ -34,6 +37,36 @@ def write_changelog(
     out.sortWithinPartitions(*parts, *ORDER_COLS).write.mode(mode).partitionBy(*parts).parquet(path)
 
 
+@dataclass(frozen=True)
+class Capture:
+    """The typed changes of one captured table, and how ``encode_changes`` writes them."""
+
+    source: str
+    schema_name: str
+    table_name: str
+    changes: DataFrame
+    pk: Sequence[str]
+    time_col: str | None = None
+
+    def encoded(self, changes: DataFrame | None = None) -> DataFrame:
+        rows = self.changes if changes is None else changes
+        return encode_changes(rows, self.schema_name, self.table_name, self.pk, time_col=self.time_col).withColumn("source", F.lit(self.source))
+
+
+def write_captures(captures: Sequence[Capture], path: str, mode: str = "append") -> None:
+    """``write_changelog`` of typed captures, each encoded as it is written.
+
+    What is shuffled and sorted are the typed rows, a fraction of their JSON texts. Rows with
+    no position go to the first file.
+    """
+    for n, c in enumerate(captures):
+        files = c.changes.count() // FILE_ROWS + 1
+        own = int(c.changes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        by = c.changes.repartitionByRange(files, "lsn", "seqval") if files > own else c.changes.repartitionByRange("lsn", "seqval")
+        out = c.encoded(by.sortWithinPartitions(*ORDER_COLS))
+        out.write.mode(mode if n == 0 else "append").partitionBy(*PARTITION_COLS).parquet(path)
+
+
 def read_changelog(
     spark: SparkSession,
     path: str,

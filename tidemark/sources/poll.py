@@ -172,7 +172,9 @@ class PollReader(DataSourceStreamReader):
         fs, _ = file_system(self.path)
         kinds = {c: t for c, t in zip(PARTITIONS, partition.keys)}
         with fs.open_input_file(partition.path) as f:
-            for b in pq.ParquetFile(f).iter_batches(batch_size=8192):
+            file = pq.ParquetFile(f)
+            groups = [k for k in range(file.metadata.num_row_groups) if within(file, k, partition.low, partition.high)]
+            for b in file.iter_batches(batch_size=8192, row_groups=groups):
                 lsn = b.column("lsn")
                 b = b.filter(pc.and_(pc.greater(lsn, partition.low), pc.less_equal(lsn, partition.high)))
                 if b.num_rows:
@@ -196,6 +198,12 @@ def row_groups(fs: pafs.FileSystem, path: str) -> list[tuple[bytes, bytes, int]]
     return [g for g in out if g[0] is not None]
 
 
+def within(file: pq.ParquetFile, k: int, low: bytes, high: bytes) -> bool:
+    """Whether a row group can hold an LSN with ``low < lsn <= high``, by its statistics."""
+    stats = file.metadata.row_group(k).column(file.schema_arrow.names.index("lsn")).statistics
+    return stats is None or not stats.has_min_max or (bytes(stats.max) > low and bytes(stats.min) <= high)
+
+
 def in_utc(column: pa.Array) -> pa.Array:
     """Timestamps as Spark takes them; other columns as they are."""
     if not pa.types.is_timestamp(column.type):
