@@ -227,3 +227,64 @@ def test_word_sized_edits(spark, block, monkeypatch):
     got = {r.doc["doc_id"]: r.text for r in linededup.dedup_lines(docs(spark, rows), share=linededup.SHARE).collect()}
     assert got == word_brute(rows)
     assert got[20] == "its own line, found nowhere else"
+
+
+def test_word_hashes_follow_the_words():
+    lines = [b"a  b\tc", b"", b" b", b"a\x0bb ab", "née\x1cx née".encode()]
+    n, h = linededup.word_hashes(lines)
+    words = [w for x in lines for w in x.split()]
+    assert n.tolist() == [len(x.split()) for x in lines] and len(h) == len(words)
+    assert all((p == q) == (words[i] == words[j]) for i, p in enumerate(h) for j, q in enumerate(h))
+
+
+def test_buckets_give_every_key_of_two_lines():
+    """Also keys of very many lines, which leave their bucket but for the first lines."""
+    rng = np.random.default_rng(4)
+    keys = rng.integers(0, 1 << 63, 400, dtype=np.uint64)[rng.integers(0, 400, 1500)]
+    keys = np.concatenate([keys, np.full(3 * linededup.HOT, keys[0]), keys[:50]])
+    lines = rng.integers(-(1 << 62), 1 << 62, len(keys))
+    lines[-50:] = lines[:50]  # filed twice
+    parts = [linededup.packed(keys[i::2], lines[i::2], 64) for i in (0, 1)]
+    rows = [r for p in parts for r in p.to_pylist()]
+    got = {}
+    for bucket in {r["bucket"] for r in rows}:
+        table = linededup.pa.Table.from_pylist([r for r in rows if r["bucket"] == bucket], parts[0].schema)
+        for r in linededup.shared_lines(table).to_pylist():
+            assert r["big"] or 1 < len(r["lines"]) <= linededup.HOT
+            got.setdefault(r["gid"], set()).update(r["lines"])
+    want = {}
+    for k, x in zip(keys.tolist(), lines.tolist()):
+        want.setdefault(k, set()).add(x)
+    assert sorted(map(sorted, got.values())) == sorted(sorted(v) for v in want.values() if len(v) > 1)
+
+
+def test_keys_are_filed_once_and_pairs_verified_once(spark, monkeypatch):
+    calls, tested = [], []
+    filed, verified = linededup.filed, linededup.verified
+    monkeypatch.setattr(linededup, "filed", lambda *a: calls.append(1) or filed(*a))
+    monkeypatch.setattr(linededup, "verified", lambda pairs, *a: tested.extend(map(tuple, pairs.select("a", "b").collect())) or verified(pairs, *a))
+    base = prose(9, 60).replace("\n", " ").split(" ")
+    texts = [" ".join([*base[:i], f"other{i}", *base[i + 1 :]]) for i in range(0, 30, 3)]
+    edges = linededup.near_lines(docs(spark, [(i, t, "en", "a", 0) for i, t in enumerate(texts)]), share=linededup.SHARE).collect()
+    assert len(calls) == 1
+    assert len(tested) == len(set(tested)) < len(texts) * (len(texts) - 1) // 2  # one link a line, not all pairs
+    assert {linededup.line_hash(t.encode()) for t in texts} == {x for e in edges for x in e}
+
+
+@pytest.mark.parametrize("share", [None, linededup.SHARE])
+def test_near_lines_are_never_left_out(share):
+    """Lengths and bags of words let every near pair through."""
+    rng = random.Random(17)
+    lines = []
+    for _ in range(60):
+        x = " ".join(f"w{rng.randrange(40)}" for _ in range(rng.randint(6, 45)))
+        p = rng.randrange(len(x))
+        lines += [x, x[:p] + rng.choice(["", " ", "é", "w7 "]) + x[p + 1 :]]
+    raw = [x.encode() for x in lines]
+    split = [x.split() for x in raw]
+    bag = [np.bincount(WordHash().array(w) % np.uint64(linededup.BAG), minlength=linededup.BAG).astype(np.uint8) for w in split]
+    f = {"size": np.array([len(x) for x in raw]), "words": np.array([len(w) for w in split]), "bag": np.array(bag)}
+    p, q = np.triu_indices(len(raw), 1)
+    may = set(linededup.may_be_near(f, p, q, 1, share).tolist())
+    is_near = [distance(raw[i], raw[j]) <= 1 if share is None else linededup.near(raw[i], raw[j], share) for i, j in zip(p, q)]
+    assert sum(is_near) > 10 and all(i in may for i in np.flatnonzero(is_near))

@@ -50,11 +50,11 @@ def within(a: list, b: list, limit: int) -> np.ndarray:
 def _band(rows: list[bytes], cols: list[bytes], n: np.ndarray, m: np.ndarray, limit: int) -> np.ndarray:
     """Distance <= limit of patterns ``rows`` (lengths n > limit) and texts ``cols`` (lengths m <= n)."""
     k = len(rows)
-    width = int(n.max()) + 2 * limit + 1
-    pattern = np.full((k, limit + width), -1, dtype=np.int32)
+    span = -(-(2 * limit + 1) // 8) * 8  # rows of the band, in whole bytes
+    pattern = np.full((k, limit + int(n.max()) + span), -1, dtype=np.int32)
     pattern[:, limit : limit + int(n.max())] = padded(rows, int(n.max()), -1)
     text = padded(cols, max(1, int(m.max())), -2)
-    pattern, text = np.ascontiguousarray(pattern.T), np.ascontiguousarray(text.T)
+    band = np.zeros((k, 8), dtype=np.uint8)
     vp = np.full(k, (1 << 64) - (1 << (63 - limit)), dtype=np.uint64)
     vn = np.zeros(k, dtype=np.uint64)
     score = np.full(k, limit, dtype=np.int64)
@@ -62,9 +62,8 @@ def _band(rows: list[bytes], cols: list[bytes], n: np.ndarray, m: np.ndarray, li
     live = np.ones(k, dtype=bool)
     with np.errstate(over="ignore"):
         for j in range(int(m.max())):
-            eq = np.zeros(k, dtype=np.uint64)
-            for d in range(2 * limit + 1):  # row j - limit + d is bit 63 - 2 * limit + d
-                eq |= (pattern[j + d] == text[j]).astype(np.uint64) << np.uint64(63 - 2 * limit + d)
+            band[:, : span // 8] = np.packbits(pattern[:, j : j + span] == text[:, j : j + 1], axis=1, bitorder="little")
+            eq = band.view("<u8")[:, 0] << np.uint64(63 - 2 * limit)  # row j - limit + d is bit 63 - 2 * limit + d
             d0 = (((eq & vp) + vp) ^ vp) | eq | vn
             hp = vn | ~(d0 | vp)
             hn = d0 & vp
@@ -92,10 +91,12 @@ def close(a, b, limit: int) -> bool:
     n, m = len(a), len(b)
     if abs(n - m) > limit:
         return False
+    gap = m - n
     far = {}  # diagonal (place in b - place in a) -> places of a used up
     for e in range(limit + 1):
         new = {}
-        for d in range(-e, e + 1):
+        # diagonals from which the edits left reach the last one
+        for d in range(max(-e, gap - limit + e), min(e, gap + limit - e) + 1):
             if e == 0:
                 i = 0
             else:

@@ -39,6 +39,7 @@ along by ``dedup_lines`` and may have any names.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import chain
 
 import numpy as np
@@ -49,18 +50,22 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import WordHash, bounded_batches, materialise, mix64, release, shingles, table, text_bytes
 from tidemark.llm.editdist import close, within
-from tidemark.llm.graph import components, star_edges
-from tidemark.llm.neardup import cross, edge_batch, members_of
+from tidemark.llm.graph import components
 from tidemark.plans.joins import bounded_broadcast
 
 EDITS = 1
 SHORT = 20
 SHARE = 10  # words per word edit
 FEW = 2  # byte edits of lines with few words
-BAG = 64
+BAG = 256  # classes of words, counted to 255 each
 LADDER = 3  # word edits up to which all admissible positions are probed
 BLOCK = 256
-BLOCK_BYTES = 4 << 20
+HOT = 64  # lines of a key up to which it is one group
+PACKED = 1 << 20  # keys packed at once
+BUCKET_BYTES = 4 << 20
+PAIRS = 1 << 16
+HELD = 64 << 20  # bytes of pairs' texts that are always compared in one pass
+STEPS = ("first", "all")
 SEVERAL = 48  # pairs from which the bit-parallel distance is the faster one
 PIECE = 1 << 20  # bytes of lines hashed at once
 SEEN = 1 << 17  # line hashes a task remembers, to file a repeated line once
@@ -156,7 +161,21 @@ def line_keys(lines: list[bytes], edits: int = EDITS) -> tuple[np.ndarray, np.nd
     return segment_keys(hashed, size, edits, np.arange(len(lines)), SHORT)
 
 
-def word_segments(split: list[list[bytes]], share: int, words: WordHash) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Words per line, and a 64-bit hash of every word of all lines, from one running polynomial."""
+    raw = np.frombuffer(b"\n".join([*lines, b""]), np.uint8)
+    space = np.ones(len(raw) + 1, dtype=bool)
+    space[1:] = IS_SPACE[raw]
+    turn = np.flatnonzero(space[1:] != space[:-1])  # every line ends in a space
+    first, end = turn[::2], turn[1::2]
+    _, run, down = running_hash(SYMBOL[raw], np.array([len(raw)]))
+    with np.errstate(over="ignore"):
+        hashes = mix64((run[end] - run[first]) * down[first])
+    at = np.cumsum([0, *map(len, lines)]) + np.arange(len(lines) + 1)
+    return np.diff(np.searchsorted(first, at)), hashes
+
+
+def word_segments(n: np.ndarray, hashes: np.ndarray, share: int) -> tuple[np.ndarray, np.ndarray]:
     """(line number, key) for pairs whose longer line has ``LADDER`` word edits at most.
 
     The longer line of n words has t = n // share edits and probes the lengths n - t .. n,
@@ -164,8 +183,7 @@ def word_segments(split: list[list[bytes]], share: int, words: WordHash) -> tupl
     lines of the next t, because it is a little too short for it, files its segments for that
     t too.
     """
-    n = np.array([len(x) for x in split], dtype=np.int64)
-    hashed = running_hash(words.array(list(chain.from_iterable(split))) | np.uint64(1), n)
+    hashed = running_hash(hashes | np.uint64(1), n)
     parts = []
     for t in range(1, LADDER + 1):
         own = np.flatnonzero(n // share == t)
@@ -178,7 +196,7 @@ def word_segments(split: list[list[bytes]], share: int, words: WordHash) -> tupl
 WORDS = np.uint64(0xC3C3C3C3C3C3C3C3)  # keeps keys of words apart from keys of bytes
 
 
-def word_keys(split: list[list[bytes]], share: int, words: WordHash) -> tuple[np.ndarray, np.ndarray]:
+def word_keys(n: np.ndarray, hashes: np.ndarray, share: int) -> tuple[np.ndarray, np.ndarray]:
     """(line number, key): the least hash of ``share // 2`` words in every window of each line.
 
     A line of w words with at most k = w // share word edits keeps a run of at least
@@ -186,11 +204,9 @@ def word_keys(split: list[list[bytes]], share: int, words: WordHash) -> tuple[np
     that run, so the longer of two near lines files a key that the shorter one files too.
     """
     gram = share // 2
-    n = np.array([len(x) for x in split], dtype=np.int64)
-    flat = list(chain.from_iterable(split))
-    if len(flat) < gram:
-        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-    grams = shingles(words.array(flat), gram)
+    if len(hashes) < gram:
+        return NO_KEYS
+    grams = shingles(hashes, gram)
     k = n // share
     wide = np.maximum(1, -(-k * (share - 1) // (k + 1)) - gram + 1)
     which = np.repeat(np.arange(len(n)), n)[: len(grams)]
@@ -208,23 +224,28 @@ def word_keys(split: list[list[bytes]], share: int, words: WordHash) -> tuple[np
     return which[new], keys[new].view(np.int64)
 
 
-def all_keys(lines: list[bytes], edits: int, share: int | None, words: WordHash) -> tuple[np.ndarray, np.ndarray]:
-    """(line number, key) of everything a line files, as ``near`` needs it."""
+def all_keys(lines: list[bytes], edits: int, share: int | None, words: WordHash | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(line number, key) of everything a line files, as ``near`` needs it; words by ``words``, else ``word_hashes``."""
     if share is None:
         return line_keys(lines, edits)
-    split = {i: x.split() for i, x in enumerate(lines) if len(x) >= SHORT}
-    few = [i for i, w in split.items() if len(w) < 2 * share + FEW]
+    if words is None:
+        n, hashes = word_hashes(lines)
+    else:
+        split = [x.split() for x in lines]
+        n, hashes = np.array([len(x) for x in split], dtype=np.int64), words.array(list(chain.from_iterable(split)))
+    whole = np.array([len(x) >= SHORT for x in lines], dtype=bool)
+    few = np.flatnonzero(whole & (n < 2 * share + FEW))
     # lines of share - LADDER .. words may be near one with share; of the longest of them to one beyond the ladder
-    some = [i for i, w in split.items() if share - 1 <= len(w) < share * (LADDER + 1)]
-    long = [i for i, w in split.items() if len(w) >= (share - 1) * (LADDER + 1)]
+    some = whole & (n >= share - 1) & (n < share * (LADDER + 1))
+    long = whole & (n >= (share - 1) * (LADDER + 1))
     parts = []
     for at, made in (
-        (few, lambda: line_keys([lines[i] for i in few], FEW)),
-        (some, lambda: word_segments([split[i] for i in some], share, words)),
-        (long, lambda: word_keys([split[i] for i in long], share, words)),
+        (few, lambda: line_keys([lines[i] for i in few.tolist()], FEW)),
+        (np.flatnonzero(some), lambda: word_segments(n[some], hashes[np.repeat(some, n)], share)),
+        (np.flatnonzero(long), lambda: word_keys(n[long], hashes[np.repeat(long, n)], share)),
     ):
-        which, keys = made() if at else NO_KEYS
-        parts.append((np.array(at, dtype=np.int64)[which], keys))
+        which, keys = made() if len(at) else NO_KEYS
+        parts.append((at[which], keys))
     return np.concatenate([w for w, _ in parts]), np.concatenate([k for _, k in parts])
 
 
@@ -248,7 +269,8 @@ def near_many(x: list[bytes], y: list[bytes], share: int) -> np.ndarray:
     if len(x) < SEVERAL:
         return np.array([near(p, q, share) for p, q in zip(x, y)], dtype=bool)
     ids: dict[bytes, int] = {}
-    a, b = ([np.array([ids.setdefault(w, len(ids)) for w in line.split()], dtype=np.int32) for line in side] for side in (x, y))
+    known = {line: np.array([ids.setdefault(w, len(ids)) for w in line.split()], dtype=np.int32) for line in {*x, *y}}
+    a, b = ([known[line] for line in side] for side in (x, y))
     n, m = (np.array([len(w) for w in side], dtype=np.int64) for side in (a, b))
     nx, ny = (np.array([len(line) for line in side], dtype=np.int64) for side in (x, y))
     whole = np.minimum(nx, ny) >= SHORT
@@ -264,42 +286,6 @@ def near_many(x: list[bytes], y: list[bytes], share: int) -> np.ndarray:
     return out
 
 
-def links(ids: np.ndarray, lines: list[bytes], share: int, roots: np.ndarray | None = None) -> tuple[list[int], list[int]]:
-    """Edges that connect what near lines of a block connect: who is reached is not compared again.
-
-    ``roots``: lines of one root are connected already. Counts of words by hash leave out
-    pairs that cannot be near: one word edit changes the counts by 2 at most, one byte edit
-    by 3 (a word cut in two).
-    """
-    words = WordHash()
-    roots = ids if roots is None else roots
-    size = np.array([len(x) for x in lines], dtype=np.int64)
-    split = [x.split() for x in lines]
-    n = np.array([len(x) for x in split], dtype=np.int64)
-    flat = (words.array(list(chain.from_iterable(split))) & np.uint64(BAG - 1)).astype(np.int64)
-    bags = np.bincount(np.repeat(np.arange(len(n)), n) * BAG + flat, minlength=BAG * len(n)).reshape(len(n), BAG).astype(np.int32)
-    rest = np.flatnonzero(size >= SHORT)
-    out_a, out_b = [], []
-    while len(rest):
-        together = roots[rest] == roots[rest[-1]]
-        queue, rest = rest[together].tolist(), rest[~together]
-        while queue and len(rest):
-            at = queue.pop()
-            off = np.abs(bags[rest] - bags[at]).sum(axis=1)
-            may = off <= 2 * (np.maximum(n[rest], n[at]) // share)
-            may |= (np.minimum(n[rest], n[at]) < 2 * share) & (np.abs(size[rest] - size[at]) <= FEW) & (off <= 3 * FEW)
-            some = rest[may]
-            if not len(some):
-                continue
-            hit = some[near_many([lines[at]] * len(some), [lines[i] for i in some], share)]
-            out_a += [int(ids[at])] * len(hit)
-            out_b += ids[hit].tolist()
-            reached = np.isin(roots[rest], roots[hit])
-            queue += rest[reached].tolist()
-            rest = rest[~reached]
-    return out_a, out_b
-
-
 def pieces(texts: Iterator[bytes]) -> Iterator[tuple[list[bytes], list[int]]]:
     """Lines not seen lately in this task, with their hashes, some ``PIECE`` bytes at a time."""
     seen: set[int] = set()
@@ -342,43 +328,152 @@ def occurrences(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", text_bytes().alias("_text")).mapInArrow(run, f"doc_id {kind}, line long")
 
 
-def filed(docs: DataFrame, edits: int, share: int | None) -> DataFrame:
-    """(key, line): segments filed and probed, a repeated line once per task or more."""
+def filed(docs: DataFrame, edits: int, share: int | None, buckets: int) -> DataFrame:
+    """(bucket, keys, lines, hot): segments filed and probed, packed by the first bits of the key.
+
+    A row holds what some ``PACKED`` keys have in one bucket: the next 32 bits of each key, and
+    its line. Of a key that more than ``HOT`` lines share there, the rest goes to a bucket below
+    0 drawn at random, and the key is named in ``hot``.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordHash()
+        held: list[tuple[np.ndarray, np.ndarray]] = []
         for lines, hashes in pieces(texts_of(batches)):
-            which, keys = all_keys(lines, edits, share, words)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys), pa.array(np.array(hashes, dtype=np.int64)[which])], names=["key", "line"]
-            )
-
-    return docs.select(text_bytes().alias("_text")).mapInArrow(run, "key long, line long")
+            which, keys = all_keys(lines, edits, share)
+            held.append((keys.view(np.uint64), np.array(hashes, dtype=np.int64)[which]))
+            if sum(len(k) for k, _ in held) >= PACKED:
+                yield packed(*map(np.concatenate, zip(*held)), buckets)
+                held = []
+        if held:
+            yield packed(*map(np.concatenate, zip(*held)), buckets)
+
+    return docs.select(text_bytes().alias("_text")).mapInArrow(run, "bucket int, keys binary, lines binary, hot binary")
+
+
+def packed(keys: np.ndarray, lines: np.ndarray, buckets: int) -> pa.RecordBatch:
+    order = np.argsort(keys)
+    keys, lines = keys[order] >> np.uint64(32 - (buckets.bit_length() - 1)), lines[order]
+    first = starts(keys)
+    size = np.diff(first, append=len(keys))
+    spilt = np.arange(len(keys)) - np.repeat(first, size) >= HOT
+    hot = keys[first[size > HOT]]
+    rest = keys[spilt], lines[spilt]
+    keys, lines = keys[~spilt], lines[~spilt]
+    edge = np.arange(buckets + 1, dtype=np.uint64) << np.uint64(32)
+    cut, hot_cut = np.searchsorted(keys, edge).tolist(), np.searchsorted(hot, edge).tolist()
+    low, hot_low = keys.astype(np.uint32), hot.astype(np.uint32)
+    full = np.flatnonzero(np.diff(cut)).tolist()
+    out = [(i, low[cut[i] : cut[i + 1]].tobytes(), lines[cut[i] : cut[i + 1]].tobytes(), hot_low[hot_cut[i] : hot_cut[i + 1]].tobytes()) for i in full]
+    if len(rest[0]):
+        out.append((-1 - int(mix64(rest[1][:1].view(np.uint64))[0] % np.uint64(buckets)), rest[0].tobytes(), rest[1].tobytes(), b""))
+    kinds = pa.int32(), pa.binary(), pa.binary(), pa.binary()
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [()] * 4, kinds)], names=["bucket", "keys", "lines", "hot"])
+
+
+def starts(*sorted_: np.ndarray) -> np.ndarray:
+    """Where a new value begins in sorted columns."""
+    new = np.zeros(len(sorted_[0]), dtype=bool)
+    new[:1] = True
+    for c in sorted_:
+        new[1:] |= c[1:] != c[:-1]
+    return np.flatnonzero(new)
+
+
+def shared_lines(table: pa.Table) -> pa.Table:
+    """(gid, big, lines) of the keys of a bucket that two different lines have or, if ``big``, may have."""
+    bucket = table.column("bucket")[0].as_py()
+    joined = lambda name, kind: np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
+    keys, lines, hot = joined("keys", np.uint32 if bucket >= 0 else np.uint64), joined("lines", np.int64), joined("hot", np.uint32)
+    order = np.argsort(keys)
+    keys = keys[order]
+    first = starts(keys)
+    size = np.diff(first, append=len(keys))
+    several = np.repeat(size > 1, size) if bucket >= 0 else np.ones(len(keys), dtype=bool)
+    keys, lines = keys[several], lines[order[several]]
+    order = np.lexsort((lines, keys))
+    new = starts(keys[order], lines[order])
+    keys, lines = keys[order][new], lines[order][new]
+    first = starts(keys)
+    size = np.diff(first, append=len(keys))
+    big = (size > HOT) | np.isin(keys[first], hot) | (bucket < 0)
+    keep = big | (size > 1)
+    lines = lines[np.repeat(keep, size)]
+    gid, big, size = keys[first[keep]].astype(np.uint64), big[keep], size[keep]
+    if bucket >= 0:
+        gid |= np.uint64(bucket) << np.uint64(32)
+    at = np.zeros(len(size) + 1, dtype=np.int64)
+    np.cumsum(size, out=at[1:])
+    return pa.table(
+        {"gid": gid.view(np.int64), "big": big, "lines": pa.LargeListArray.from_arrays(at, pa.array(lines)).cast(pa.list_(pa.int64()))}
+    )
 
 
 def line_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(line, bytes, words) of the wanted line hashes."""
+    """(line, bytes, words, size, bag) of the wanted line hashes: their text, and how many of its words
+    fall in each of ``BAG`` classes, a byte each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lines, hashes in pieces(texts_of(batches)):
-            words = pa.array([len(x.split()) for x in lines], pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.int64()), pa.array(lines, pa.binary()), words], names=["line", "bytes", "words"])
+            yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.int64()), pa.array(lines, pa.binary())], names=["line", "bytes"])
 
-    every = docs.select(text_bytes().alias("_text")).mapInArrow(run, "line long, bytes binary, words int")
-    return every.join(bounded_broadcast(wanted, 500_000), "line", "left_semi").dropDuplicates(["line"])
+    def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = WordHash()
+        for b in batches:
+            split = [x.split() for x in b.column("bytes").to_pylist()]
+            n = np.array([len(x) for x in split], dtype=np.int64)
+            at = np.repeat(np.arange(len(n)), n) * BAG + (words.array(list(chain.from_iterable(split))) & np.uint64(BAG - 1)).astype(np.int64)
+            counts = np.minimum(np.bincount(at, minlength=BAG * len(n)), 255).astype(np.uint8).tobytes()
+            bags = pa.FixedSizeBinaryArray.from_buffers(pa.binary(BAG), len(n), [None, pa.py_buffer(counts)]).cast(pa.binary())
+            size = pa.array([len(x) for x in b.column("bytes").to_pylist()], pa.int32())
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(n, pa.int32()), size, bags], names=["line", "bytes", "words", "size", "bag"])
+
+    every = docs.select(text_bytes().alias("_text")).mapInArrow(run, "line long, bytes binary")
+    found = every.join(bounded_broadcast(wanted, 500_000), "line", "left_semi").dropDuplicates(["line"])
+    return found.mapInArrow(measured, "line long, bytes binary, words int, size int, bag binary")
 
 
 def near_lines(docs: DataFrame, edits: int = EDITS, share: int | None = None) -> DataFrame:
     """Edges (a, b) of line hashes that connect every two near lines: within ``edits`` bytes, or by ``share``."""
     spark = docs.sparkSession
-    held = F.min("line").alias("a"), F.max("line").alias("b")
-    shared = materialise(filed(docs, edits, share).groupBy("key").agg(*held).where("a <> b").select("key"), "line-keys")
-    release(spark)
-    members = materialise(filed(docs, edits, share).join(shared, "key").distinct(), "line-members")
+    held = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = 1 << max(6, (held // BUCKET_BYTES).bit_length())  # a bucket's share of the keys is about as large as that of the text
+    groups = filed(docs, edits, share, buckets).groupBy("bucket").applyInArrow(shared_lines, "gid long, big boolean, lines array<long>")
+    groups = materialise(groups, "line-groups")
     release(spark)
+    # keys with the same lines are worked once
+    small = groups.where("not big").select("lines").distinct().select(F.xxhash64("lines").alias("gid"), F.explode("lines").alias("line"))
+    members = materialise(
+        small.distinct().withColumn("big", F.lit(False)).union(once(groups.where("big")).withColumn("big", F.lit(True))), "line-members"
+    )
     texts = materialise(line_texts(docs, members.select("line").distinct()), "line-texts")
     release(spark)
-    return compared(members.select("key", "line", F.col("line").alias("root")), texts, edits, share)
+    placed = materialise(blocks(members.join(texts.drop("bytes"), "line"), share), "line-placed")
+    release(spark)
+    edges, tested, roots = [], None, None
+    for step in STEPS:
+        pairs = candidates(placed, roots, step, edits, share)
+        pairs = pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti")
+        pairs = materialise(pairs, "line-pairs")
+        # the texts of so many pairs at once as the documents hold
+        passes = 1 + (pairs.agg(F.sum("held")).first()[0] or 0) // max(held, HELD)
+        for i in range(passes):
+            some = pairs.where(F.pmod(F.xxhash64("a", "b"), F.lit(passes)) == i) if passes > 1 else pairs
+            edges.append(materialise(verified(some, texts, edits, share), "line-near"))
+            release(spark)
+        if step == STEPS[-1]:
+            break
+        roots = materialise(components(reduce(DataFrame.union, edges)).distinct(), "line-roots")
+        tested = pairs.select("a", "b")
+    return reduce(DataFrame.union, edges)
+
+
+def once(big: DataFrame) -> DataFrame:
+    """(gid, line) of large groups, of those with the same lines the first."""
+    flat = materialise(big.select("gid", F.explode("lines").alias("line")).distinct(), "line-big")
+    counted = flat.groupBy("gid").agg(
+        F.count("*").alias("n"), F.min("line").alias("a"), F.max("line").alias("b"), F.bit_xor(F.xxhash64("line")).alias("same")
+    )
+    return flat.join(counted.where("n > 1").groupBy("n", "a", "b", "same").agg(F.min("gid").alias("gid")).select("gid"), "gid", "left_semi")
 
 
 def length_class(size: Column, share: int | None) -> Column:
@@ -391,85 +486,107 @@ def length_class(size: Column, share: int | None) -> Column:
     return F.when(size < least, 0).otherwise(1 + F.floor(F.log(size / least) / step)).cast("int")
 
 
-def compared(members: DataFrame, texts: DataFrame, edits: int, share: int | None) -> DataFrame:
-    """Edges among the ``members`` (key, line, root) of each key; lines of one root need none."""
-    counted = members.groupBy("key").agg(
-        F.count("*").alias("n"), F.min("line").alias("a"), F.max("line").alias("b"), F.bit_xor(F.xxhash64("line")).alias("same"),
-        F.min("root").alias("low"), F.max("root").alias("high"),
-    )
-    counted = counted.where("low <> high")
-    # keys with the same lines are worked once
-    counted = materialise(counted.groupBy("n", "a", "b", "same").agg(F.min("key").alias("key")), "line-groups")
+def blocks(members: DataFrame, share: int | None) -> DataFrame:
+    """``members`` with class, blk and of: small groups are one block, large ones blocks of some ``BLOCK``
+    lines of one length class."""
+    placed = members.withColumn("class", F.when(F.col("big"), length_class(F.col("words"), share)).otherwise(F.lit(-1)))
+    per_class = placed.where("big").groupBy("gid", "class").agg(F.ceil(F.count("*") / BLOCK).alias("of"))
+    large = placed.where("big").join(per_class, ["gid", "class"]).withColumn("blk", F.pmod(F.xxhash64("line"), F.col("of")))
+    small = placed.where("not big").withColumns({"of": F.lit(1).cast("long"), "blk": F.lit(0).cast("long")})
+    return large.unionByName(small).drop("big", "of")
+
+
+def candidates(placed: DataFrame, roots: DataFrame | None, step: str, edits: int, share: int | None) -> DataFrame:
+    """Pairs (a, b, held: their bytes) of lines of one group and of different ``roots`` that lengths and bags of words allow to be near.
 
-    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    ``step``: for each line of a group the ``first`` such one, or ``all``.
+    """
+    if roots is None:
+        rooted = placed.withColumn("root", F.col("line"))
+    else:
+        rooted = placed.join(roots, placed["line"] == roots["id"], "left").withColumn("root", F.coalesce("root", "line")).drop("id")
+        mixed = rooted.groupBy("gid").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+        rooted = rooted.join(mixed.select("gid"), "gid", "left_semi")
+    grouped = rooted.groupBy("gid", "class", "blk").agg(F.collect_list(F.struct("line", "root", "words", "size", "bag")).alias("m"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = list(pairs_of(b, step, edits, share))
+            a, c, held = (np.concatenate([f[i] for f in found] + [NO_KEYS[0]]) for i in (0, 1, 2))
+            pair = np.stack([np.minimum(a, c), np.maximum(a, c), held])
+            pair = pair[:, np.lexsort(pair)]
+            pair = pair[:, starts(*pair)]
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, pair)), names=["a", "b", "held"])
+
+    grouped = materialise(grouped, "line-blocks")
+    kind = grouped.schema["m"].dataType
+    own = grouped.where(F.size("m") > 1).select("m", F.lit(None).cast(kind).alias("m2"))
+    at = lambda s: F.struct("class", "blk").alias(s)
+    large = grouped.where("class >= 0")
+    two = large.select("gid", at("p"), "m").join(large.select("gid", at("q"), F.col("m").alias("m2")), "gid")
+    two = two.where("p < q AND abs(p.class - q.class) <= 1" + (" AND p.blk = 0" if step == STEPS[0] else ""))
+    return own.union(two.select("m", "m2")).mapInArrow(run, "a long, b long, held long").distinct()
+
+
+def pairs_of(b: pa.RecordBatch, step: str, edits: int, share: int | None) -> Iterator[tuple[np.ndarray, ...]]:
+    """Pairs of lines within each ``m``, or of ``m`` with ``m2``, some ``PAIRS`` at a time."""
+    m, m2 = b.column("m"), b.column("m2")
+    size = [np.diff(x.offsets.to_numpy()) * np.asarray(x.is_valid()) for x in (m, m2)]
+    flat = pa.concat_arrays([m.flatten(), m2.flatten()])
+    f = {name: flat.field(i).to_numpy(zero_copy_only=False) for i, name in enumerate(["line", "root", "words", "size"])}
+    f["bag"] = np.frombuffer(b"".join(flat.field(4).to_pylist()), np.uint8).reshape(-1, BAG)
+    order = np.lexsort((f["line"], np.repeat(np.arange(2 * len(m)), np.concatenate(size))))  # by line within each list
+    f = {name: c[order] for name, c in f.items()}
+    at = np.concatenate([[0], np.cumsum(np.concatenate(size))[:-1]]).astype(np.int64)
+    at, at2 = at[: len(m)], at[len(m) :]
+    for n, n2 in np.unique(np.stack(size, axis=1), axis=0).tolist():
+        rows = np.flatnonzero((size[0] == n) & (size[1] == n2))
+        p, q = np.divmod(np.arange(n * n2), n2) if n2 else np.triu_indices(n, 1)
+        few = max(1, PAIRS // max(1, len(p)))
+        for lo in range(0, len(rows), few):
+            some = rows[lo : lo + few]
+            left = (at[some][:, None] + p).ravel()
+            right = ((at2 if n2 else at)[some][:, None] + q).ravel()
+            ok = np.flatnonzero(f["root"][left] != f["root"][right])
+            ok = ok[may_be_near(f, left[ok], right[ok], edits, share)]
+            left, right = left[ok], right[ok]
+            if step == "first":
+                right, new = np.unique(right, return_index=True)
+                left = left[new]
+            yield f["line"][left], f["line"][right], (f["size"][left] + f["size"][right]).astype(np.int64)
+
+
+def may_be_near(f: dict[str, np.ndarray], p: np.ndarray, q: np.ndarray, edits: int, share: int | None) -> np.ndarray:
+    """Leaves out pairs that cannot be near: one word edit changes the counts by 2 at most, one byte
+    edit by 3 (a word cut in two)."""
+    more = np.abs(f["size"][p] - f["size"][q])
+    if share is None:
+        whole, bytewise, k = np.zeros(len(p), dtype=bool), more <= edits, np.zeros(len(p), dtype=np.int64)
+    else:
+        a, b = f["words"][p], f["words"][q]
+        k = np.maximum(a, b) // share
+        whole, bytewise = (k > 0) & (np.abs(a - b) <= k), (np.minimum(a, b) < 2 * share) & (more <= FEW)
+    out = np.flatnonzero(whole | bytewise)
+    a, b = f["bag"][p[out]], f["bag"][q[out]]
+    off = (np.maximum(a, b) - np.minimum(a, b)).sum(axis=1, dtype=np.int64)
+    return out[(whole[out] & (off <= 2 * k[out])) | (bytewise[out] & (off <= 3 * (edits if share is None else FEW)))]
+
+
+def verified(pairs: DataFrame, texts: DataFrame, edits: int, share: int | None) -> DataFrame:
+    """The ``pairs`` (a, b) that are near, by their whole lines."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ta, tb = b.column("ta").to_pylist(), b.column("tb").to_pylist()
             hit = within(ta, tb, edits) if share is None else near_many(ta, tb, share)
             yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], names=["a", "b"]).filter(pa.array(hit))
 
-    may = F.abs(F.length("ta") - F.length("tb")) <= edits if share is None else F.abs(length_class(F.col("wa"), share) - length_class(F.col("wb"), share)) <= 1
-    twos = (
-        counted.where("n = 2").select("a", "b").distinct()
-        .join(texts.select(F.col("line").alias("a"), F.col("bytes").alias("ta"), F.col("words").alias("wa")), "a")
-        .join(texts.select(F.col("line").alias("b"), F.col("bytes").alias("tb"), F.col("words").alias("wb")), "b")
-        .where(may)
+    return (
+        pairs.join(texts.select(F.col("line").alias("a"), F.col("bytes").alias("ta")), "a")
+        .join(texts.select(F.col("line").alias("b"), F.col("bytes").alias("tb")), "b")
         .select("a", "b", "ta", "tb")
-        .mapInArrow(pairs, "a long, b long")
-    )
-
-    def stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            out_a, out_b = [], []
-            for i in range(b.num_rows):
-                ids, x = members_of(b.column("m"), i)
-                roots = b.column("m")[i].values.field(2).to_numpy(zero_copy_only=False)
-                other, y = (members_of(b.column("m2"), i)) if b.column("m2")[i].is_valid else (None, [])
-                if share is not None:
-                    if other is not None:
-                        ids, x = np.concatenate([ids, other]), x + y
-                        roots = np.concatenate([roots, b.column("m2")[i].values.field(2).to_numpy(zero_copy_only=False)])
-                    centres, others = links(ids, x, share, roots)
-                elif other is not None:
-                    centres, others = star_edges(cross(block_pairs(x, y, edits)), np.concatenate([ids, other]))
-                else:
-                    adj = block_pairs(x, x, edits)
-                    np.fill_diagonal(adj, False)
-                    centres, others = star_edges(adj, ids)
-                out_a += centres
-                out_b += others
-            yield edge_batch(out_a, out_b)
-
-    many = members.join(counted.where("n > 2").select("key", "n"), "key").join(texts.select("line", "words", F.length("bytes").alias("size")), "line")
-    placed = many.withColumn("class", F.when(F.col("n") <= BLOCK, F.lit(-1)).otherwise(length_class(F.col("words"), share)))
-    per_class = placed.groupBy("key", "class").agg(
-        F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("size") / BLOCK_BYTES)).alias("of")
-    )
-    blocks = materialise(
-        placed.select("key", "class", "line", "root")
-        .join(per_class, ["key", "class"])
-        .withColumn("blk", F.pmod(F.xxhash64("line"), F.col("of")))
-        .join(texts.select("line", "bytes"), "line")
-        .groupBy("key", "class", "blk", "of")
-        .agg(F.collect_list(F.struct("line", "bytes", "root")).alias("m")),
-        "line-blocks",
+        .mapInArrow(run, "a long, b long")
     )
-    own = blocks.where(F.size("m") > 1).select("m", F.lit(None).cast(blocks.schema["m"].dataType).alias("m2"))
-    split = blocks.where("of > 1 OR class >= 0")
-    at = lambda s: F.struct("class", "blk").alias(s)
-    two = split.select("key", at("p"), "m").join(split.select("key", at("q"), F.col("m").alias("m2")), "key")
-    two = two.where("p < q AND abs(p.class - q.class) <= 1")
-    return twos.union(own.union(two.select("m", "m2")).mapInArrow(stars, "a long, b long"))
-
-
-def block_pairs(x: list[bytes], y: list[bytes], edits: int) -> np.ndarray:
-    """Which lines of two blocks lie within ``edits``; only near lengths are compared."""
-    nx, ny = np.array([len(s) for s in x]), np.array([len(s) for s in y])
-    p, q = np.nonzero(np.abs(nx[:, None] - ny[None, :]) <= edits)
-    out = np.zeros((len(x), len(y)), dtype=bool)
-    for lo in range(0, len(p), 4096):
-        i, j = p[lo : lo + 4096], q[lo : lo + 4096]
-        out[i, j] = within([x[k] for k in i], [y[k] for k in j], edits)
-    return out
 
 
 def removals(docs: DataFrame, edits: int = EDITS, share: int | None = None) -> DataFrame:
