@@ -99,7 +99,7 @@ def line_hash(line: bytes) -> int:
 
 
 def has_word(line: bytes) -> bool:
-    return bool(line.split())
+    return bool(line) and not line.isspace()
 
 
 def word_lines(text: bytes) -> list[bytes]:
@@ -417,14 +417,13 @@ def line_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.int64()), pa.array(lines, pa.binary())], names=["line", "bytes"])
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordHash()
         for b in batches:
-            split = [x.split() for x in b.column("bytes").to_pylist()]
-            n = np.array([len(x) for x in split], dtype=np.int64)
-            at = np.repeat(np.arange(len(n)), n) * BAG + (words.array(list(chain.from_iterable(split))) & np.uint64(BAG - 1)).astype(np.int64)
+            lines = b.column("bytes").to_pylist()
+            n, hashes = word_hashes(lines)
+            at = np.repeat(np.arange(len(n)), n) * BAG + (hashes % np.uint64(BAG)).astype(np.int64)
             counts = np.minimum(np.bincount(at, minlength=BAG * len(n)), 255).astype(np.uint8).tobytes()
             bags = pa.FixedSizeBinaryArray.from_buffers(pa.binary(BAG), len(n), [None, pa.py_buffer(counts)]).cast(pa.binary())
-            size = pa.array([len(x) for x in b.column("bytes").to_pylist()], pa.int32())
+            size = pa.array(list(map(len, lines)), pa.int32())
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(n, pa.int32()), size, bags], names=["line", "bytes", "words", "size", "bag"])
 
     every = docs.select(text_bytes().alias("_text")).mapInArrow(run, "line long, bytes binary")
@@ -463,7 +462,7 @@ def near_lines(docs: DataFrame, edits: int = EDITS, share: int | None = None) ->
         if step == STEPS[-1]:
             break
         roots = materialise(components(reduce(DataFrame.union, edges)).distinct(), "line-roots")
-        tested = pairs.select("a", "b")
+        edges, tested = [roots.select(F.col("id").alias("a"), F.col("root").alias("b"))], pairs.select("a", "b")
     return reduce(DataFrame.union, edges)
 
 
