@@ -20,12 +20,13 @@ of them has fewer than ``2 * SHARE`` words, at most ``FEW`` UTF-8 bytes (Levensh
    lines with more words, the longer of two near ones shares a run of 8 words or more with
    the other, and both file the least hash of five words in every window that fills such a
    run (content-defined segments, ``word_keys``). Near lines always share a key.
-3. One aggregation finds the keys that hold two different lines. Keys with two lines are
-   pairs; longer ones are compared inside tasks, in blocks if they are hot: blocks hold lines of
-   one length class and some ``BLOCK_BYTES``, and only blocks of neighbouring classes meet.
-   Every pair is verified on the whole lines by the banded bit-parallel edit distance, of
-   bytes or of word ids (beyond 31 edits, and for a handful of pairs, by furthest-reaching
-   diagonals, which give the same answer).
+3. Keys are filed once, packed by their first bits into as many buckets as the text needs, and
+   each bucket gives the lines of every key that two lines share. What many lines share leaves
+   its bucket early and is compared in blocks of one length class and its neighbours. Pairs that
+   lengths and counts of words allow are verified once, on the whole lines, by the banded
+   bit-parallel edit distance, of bytes or of word ids (beyond 31 edits, and for a handful of
+   pairs, by furthest-reaching diagonals, which give the same answer): first one pair for each line of
+   a group, then all pairs of lines that these have not connected.
 4. Components of the verified links choose the line that stays.
 
 Edge cases: null and empty texts, and texts without a word, pass unchanged (``n_lines`` 0);
@@ -453,8 +454,8 @@ def near_lines(docs: DataFrame, edits: int = EDITS, share: int | None = None) ->
         pairs = candidates(placed, roots, step, edits, share)
         pairs = pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti")
         pairs = materialise(pairs, "line-pairs")
-        # the texts of so many pairs at once as the documents hold
-        passes = 1 + (pairs.agg(F.sum("held")).first()[0] or 0) // max(held, HELD)
+        # the join holds one text of each pair: at once some twice the bytes of all documents
+        passes = 1 + (pairs.agg(F.sum("held")).first()[0] or 0) // (4 * max(held, HELD))
         for i in range(passes):
             some = pairs.where(F.pmod(F.xxhash64("a", "b"), F.lit(passes)) == i) if passes > 1 else pairs
             edges.append(materialise(verified(some, texts, edits, share), "line-near"))
