@@ -1,6 +1,8 @@
 """What a batch costs: accesses of the state, rows held, parses of a JSON text, files of a part."""
 
+import os
 import tempfile
+import time
 from types import SimpleNamespace
 
 import pandas as pd
@@ -8,8 +10,9 @@ from pyspark.sql import Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark import catalog, session
 from tidemark.functions.lsn import lsn_from_number
-from tidemark.operators import decode
+from tidemark.operators import batches, decode
 from tidemark.sources.changelog import Capture, read_changelog, write_captures
 from tidemark.streaming import state
 from tidemark.streaming.apply import TableSpec, TableStore
@@ -120,3 +123,54 @@ def test_captures_are_shuffled_before_they_are_encoded(spark):
     want = some[0].encoded().unionByName(some[1].encoded()).select(*cols)
     got = read_changelog(spark, path).select(*cols)
     assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+
+
+def _recorded(monkeypatch) -> list[str]:
+    """The scratch folders that are asked for from now on."""
+    roots, made = [], session.scratch_dir
+
+    def scratch_dir(spark, name):
+        roots.append(made(spark, name))
+        return roots[-1]
+
+    monkeypatch.setattr(session, "scratch_dir", scratch_dir)
+    return roots
+
+
+def _local(path: str) -> str:
+    return path.removeprefix("file:")
+
+
+def _staged(roots: list[str]) -> list[str]:
+    return [f for r in roots for _, _, fs in os.walk(f"{_local(r)}/changelog") for f in fs if f.endswith(".parquet")]
+
+
+def _shuffled(spark) -> set[str]:
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = (files.apply(i).getName() for i in range(files.size()))
+    return {n for n in names if n.startswith("shuffle_")}
+
+
+def test_dedupe_takes_deliveries_in_bounded_batches_and_keeps_no_staged_copy(spark, sf_small, monkeypatch):
+    roots = _recorded(monkeypatch)
+    monkeypatch.setattr(catalog, "STAGED_ROWS", 800)  # a delivery of the lines is 7 files, 2 micro-batches
+    kept = _local(spark.sparkContext.getCheckpointDir())
+    before = {d for d in os.listdir(kept) if d.startswith("rdd-")}
+    got = catalog.q_stream_dedupe(spark, sf_small)
+    (root,) = roots
+    assert not _staged(roots)
+    assert not {d for d in os.listdir(kept) if d.startswith("rdd-")} - before
+    assert len([f for f in os.listdir(f"{_local(root)}/checkpoint/commits") if f.isdigit()]) > 3
+    want = catalog._out(batches.assign_sequence(catalog.changelog(spark, sf_small)), got.columns)
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+
+
+def test_shuffle_files_go_with_the_write(spark):
+    before = _shuffled(spark)
+    with session.shuffles_released(spark):
+        spark.range(5000).repartitionByRange(4, "id").write.parquet(f"{tempfile.mkdtemp(prefix='tm-scale-')}/t")
+    for _ in range(50):  # removed behind the write
+        if not _shuffled(spark) - before:
+            return
+        time.sleep(0.2)
+    raise AssertionError("shuffle files are left")
