@@ -174,3 +174,37 @@ def test_shuffle_files_go_with_the_write(spark):
             return
         time.sleep(0.2)
     raise AssertionError("shuffle files are left")
+
+
+def test_late_deliveries_keep_no_staged_copy(spark, sf_small, monkeypatch):
+    roots = _recorded(monkeypatch)
+    got = catalog.q_stream_apply_late(spark, sf_small)
+    assert len(roots) == 3 and not _staged(roots)
+    assert got.count() > 0
+
+
+def test_large_deltas_and_the_base_are_shuffled_once(spark, monkeypatch):
+    cols = "lsn binary, seqval bigint, op int, k bigint, v string, m map<string,int>"
+    at = lambda n: n.to_bytes(10, "big")
+    first = [(at(5), 0, 2, 1, "a", None), (at(5), 1, 2, 2, "b", {"x": 1}), (at(6), 0, 1, 3, None, None), (at(7), 0, 2, 4, "d", None)]
+    later = [
+        (at(4), 0, 4, 1, "old", None), (at(5), 1, 2, 2, "copy", None), (at(5), 0, 2, 3, "gone", None),  # none replaces the base
+        (at(8), 0, 1, 4, None, None), (at(9), 0, 2, 5, "new", {"y": 2}), (at(9), 1, 4, 5, "newer", None),
+    ]
+    for drop in ("", "m"):
+        store = TableStore(spark, tempfile.mkdtemp(prefix="tm-scale-"), {"t": TableSpec("t", ("k",))})
+        store.apply_batch(spark.createDataFrame(first, cols).drop(drop), 0, "q")
+        store.compact("t")
+        store.apply_batch(spark.createDataFrame(later, cols).drop(drop), 1, "q")
+        small = store.read_table("t", with_meta=True)
+        before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        try:
+            large = store.read_table("t", with_meta=True)
+            assert large._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+            assert large.columns == small.columns
+            rows = sorted(map(repr, large.collect()))
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        assert rows == sorted(map(repr, small.collect()))
+        assert sorted((r.k, r.v) for r in large.collect()) == [(1, "a"), (2, "b"), (5, "newer")]

@@ -1100,7 +1100,7 @@ def _write_files(df: DataFrame, path: str) -> None:
     """Stage a changelog as files by LSN range: ``STAGED_ROWS`` rows each, six at least, so
     that the stream sees several micro-batches."""
     files = max(6, df.count() // STAGED_ROWS)
-    out = df.repartitionByRange(files, "lsn", "seqval").write.mode("overwrite")
+    out = df.repartitionByRange(files, "lsn", "seqval").write.mode("overwrite").option("compression", "zstd")
     out.option("parquet.block.size", STAGED_GROUP).parquet(path)
 
 
@@ -1138,21 +1138,27 @@ def q_stream_apply_late(spark, sf):
     """The changes after LSN 1200 are applied and compacted first, then a second query with a
     fresh checkpoint delivers the older ones, and a third all of them again: the later
     positions win wherever they are stored, deleted keys stay deleted."""
+    from tidemark.session import drop_files, shuffles_released
     from tidemark.streaming.apply import TableSpec, TableStore
     from tidemark.streaming.source import start_apply
 
     ch = fixture(spark, sf, "ch_line")
     cut = lsn_from_number(F.lit(1200))
-    root, late = _staged_stream(spark, ch.where(F.col("lsn") > cut), "stream_late", 3)
-    store = TableStore(spark, f"{root}/store", {"lines": TableSpec("lines", FIXTURE_PK["ch_line"])})
-    start_apply(late, store, f"{root}/checkpoint").awaitTermination()
-    store.compact("lines")
-    for n, part in enumerate((ch.where(F.col("lsn") <= cut), ch)):
-        root2, stream = _staged_stream(spark, part, "stream_late", 3)
-        start_apply(stream, store, f"{root2}/checkpoint").awaitTermination()
-        if n == 0:
-            store.compact("lines")
-            store.vacuum()
+
+    def deliver(part: DataFrame, store: TableStore | None) -> TableStore:
+        root, stream = _staged_stream(spark, part, "stream_late", 3)
+        store = store or TableStore(spark, f"{root}/store", {"lines": TableSpec("lines", FIXTURE_PK["ch_line"])})
+        start_apply(stream, store, f"{root}/checkpoint").awaitTermination()
+        drop_files(spark, f"{root}/changelog")  # delivered: nothing reads the staged copy any more
+        return store
+
+    with shuffles_released(spark):
+        store = deliver(ch.where(F.col("lsn") > cut), None)
+        store.compact("lines")
+        deliver(ch.where(F.col("lsn") <= cut), store)
+        store.compact("lines")
+        store.vacuum()
+        deliver(ch, store)
     return store.read_table("lines").select(*_LINE_COLS)
 
 

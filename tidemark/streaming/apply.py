@@ -64,6 +64,8 @@ ACK_SCHEMA = (
 REJECT_COLS = ["source", "schema_name", "table_name", *ORDER_COLS, "pk_json", "row_json", "reject_reason"]
 ROWS_PER_BLOCK = 1_000_000  # changes of an "append" batch that one task looks through
 TARGETS_PER_JOB = 32  # envelope targets written by one job: bounds the size of one plan
+DELTA_GROWTH = 8  # bytes that a delta's rows take at most about in memory, for a byte of its files
+CODEC = "zstd"  # of deltas and bases
 ADHOC = "adhoc"
 
 
@@ -243,7 +245,7 @@ class TableStore:
                     good = self._good(d, name, counted)
                     self._refuse_conflicts(name, self._good(d, name), seen["changes"])
                     latest = latest_per_key(good, self._key(name), keep_deletes=True)
-                    latest.write.parquet(self._delta(folder, name))
+                    latest.write.option("compression", CODEC).parquet(self._delta(folder, name))
                     seen["rows"] += counted.get["rows"]
                     if counted.get["bad"]:
                         bad = _judged(d).where(F.col("reject_reason").isin(*DATA_ERRORS)).select(*REJECT_COLS)
@@ -281,7 +283,7 @@ class TableStore:
             )
             self._refuse_conflicts(name, mine.where(reason.isNull()), seen["changes"])
             d = latest_per_key(counted, spec.pk, keep_deletes=True)
-            d.write.parquet(self._delta(folder, name))
+            d.write.option("compression", CODEC).parquet(self._delta(folder, name))
             seen["rejected"] += n.get["bad"]
             seen["rows"] += n.get["rows"]
             if n.get["bad"]:
@@ -483,12 +485,23 @@ class TableStore:
     def _read_delta(self, name: str, folders: Sequence[str]) -> DataFrame:
         return self.spark.read.parquet(*[self._delta(f, name) for f in folders])
 
+    def _small(self, name: str, folders: Sequence[str]) -> bool:
+        """Whether deltas are within what a join broadcasts, by the size of their files."""
+        left = self.spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold() // DELTA_GROWTH
+        for f in folders:
+            fs, p = self._fs(self._delta(f, name))
+            left -= fs.getContentSummary(p).getLength()
+            if left < 0:
+                return False
+        return True
+
     def _latest(self, name: str, extra: str | None = None) -> DataFrame:
         """Last change per key by position, tombstones included.
 
-        The base is neither re-aggregated nor shuffled: the deltas, reduced per key, are
-        joined to it on the key (broadcast by AQE when small) and the later position
-        wins; keys the base does not have are added.
+        With deltas small enough to be broadcast, the base is neither re-aggregated nor
+        shuffled: the deltas, reduced per key, are joined to it on the key and the later
+        position wins; keys the base does not have are added. Larger ones are reduced together
+        with the base.
         """
         base_path, covered = self._versions(name)
         folders = [f for f in self._folders(name) if f not in covered]
@@ -501,6 +514,10 @@ class TableStore:
             return base
         key = self._key(name)
         deltas = self._read_delta(name, folders)
+        if base is not None and not self._small(name, folders):
+            # both sides are shuffled either way: once each, by one reduction; a base row wins its ties
+            both = base.withColumn("_based", F.lit(1)).unionByName(deltas.withColumn("_based", F.lit(0)))
+            return last_position(both, key, "_based").select(*deltas.columns)
         new = last_position(deltas, key)
         if base is None:
             return new
@@ -536,7 +553,7 @@ class TableStore:
         if settled is not None:
             rows = rows.where((F.col("op") != OP_DELETE) | (F.col("lsn") >= settled))
         path = f"{self._base(name)}/v={time.time_ns()}"
-        rows.write.parquet(f"{path}/rows")
+        rows.write.option("compression", CODEC).parquet(f"{path}/rows")
         covered = self.spark.createDataFrame([(f,) for f in sorted(folders)], "folder string")
         covered.coalesce(1).write.json(f"{path}/covered")  # written last: publishes the base
         return len(folders)
@@ -598,9 +615,25 @@ def _judged(decoded: DataFrame, counted: Observation | None = None) -> DataFrame
     )
 
 
-def last_position(rows: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Per key the row with the greatest position, deletes included."""
-    rest = [c for c in rows.columns if c not in key]
-    order = F.struct(*[F.col(c) for c in ORDER_COLS])
-    best = rows.groupBy(*key).agg(F.max_by(F.struct(*rest), order).alias("_last"))
-    return best.select(*key, "_last.*").select(*rows.columns)
+def last_position(rows: DataFrame, key: Sequence[str], *then: str) -> DataFrame:
+    """Per key the row with the greatest position, deletes included; ``then`` breaks its ties.
+
+    Columns that can be compared are kept behind the position, so that a row is shuffled with
+    one copy of it: of equal positions the greatest row is taken.
+    """
+    order = [*ORDER_COLS, *then]
+    rest = [f for f in rows.schema.fields if f.name not in key and f.name not in order]
+    if any(_unordered(f.dataType) for f in rest):
+        last = F.max_by(F.struct(*order, *[f.name for f in rest]), F.struct(*order))
+    else:
+        last = F.max(F.struct(*order, *[f.name for f in rest]))
+    return rows.groupBy(*key).agg(last.alias("_last")).select(*key, "_last.*").select(*rows.columns)
+
+
+def _unordered(t: T.DataType) -> bool:
+    """Whether Spark cannot compare values of the type."""
+    if isinstance(t, T.ArrayType):
+        return _unordered(t.elementType)
+    if isinstance(t, T.StructType):
+        return any(_unordered(f.dataType) for f in t.fields)
+    return isinstance(t, (T.MapType, T.VariantType))
